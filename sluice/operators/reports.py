@@ -45,7 +45,7 @@ def report_file_pick(files: DataFrame, prefix: str, dates: DataFrame, name_col:
     cands = files.where(~name.contains("_TEST") & name.startswith(prefix) & name.endswith("CSV"))
     windows = F.filter(
         F.transform(F.sequence(F.lit(1), F.greatest(F.length(name) - 7, F.lit(1))),
-                    lambda i: F.substring(name, i, 8)),
+                    lambda i: name.substr(i, F.lit(8))),
         lambda w: w.rlike("^[0-9]{8}$"))
     cands = cands.select(name.alias("_name"), F.explode(F.array_distinct(windows)).alias("_ymd"))
     d = dates.select(F.col(date_col), F.date_format(F.col(date_col), "yyyyMMdd").alias("_ymd"))
@@ -117,10 +117,11 @@ def control_total_check(rows: DataFrame, check_col: str, file_col: str = "file_p
 def settlement(df: DataFrame, cells_col: str = "cells") -> DataFrame:
     """23 positional cells -> named columns + ``transaction_type``, ``decimal_amount``, ``decimal_fees``."""
     cells = F.col(cells_col)
-    named = [cells[i].alias(n) for i, n in enumerate(SETTLEMENT_FIELDS)]
-    out = df.select("*", *named, (F.size(cells) == len(SETTLEMENT_FIELDS)).alias("_arity"))
+    named = [F.get(cells, i).alias(n) for i, n in enumerate(SETTLEMENT_FIELDS)]
+    keep = [c for c in df.columns if c != cells_col and c not in SETTLEMENT_FIELDS]
+    out = df.select(*keep, *named, (F.size(cells) == len(SETTLEMENT_FIELDS)).alias("_arity"))
     return out.select(
-        *[c for c in df.columns if c != cells_col], *SETTLEMENT_FIELDS,
+        *keep, *SETTLEMENT_FIELDS,
         transaction_type("type").alias("transaction_type"),
         cents_to_decimal("amount", "type").alias("decimal_amount"),
         cents_to_decimal("paypal_fees", "type").alias("decimal_fees"),
