@@ -1,10 +1,14 @@
 """Deterministic global numbering and fixed-size batches without a single-partition window.
 
 A global ``row_number() over (order by key)`` sends every row to one task.
-Here rows are range-partitioned on the key (balanced by sampling, so a hot
-key range is split across tasks), sorted inside each partition, counted per
-partition, and the small table of per-partition counts (one row per
-partition) turns local positions into global ranks.
+Here the key space is cut into ranges by split points taken from a bounded
+sample of the keys (fixed seed); the split points become literals, so the
+range of a row is a pure function of its key and every evaluation (and
+every retry after a lost executor) agrees. Rows are counted per range (a
+partial + final aggregate), the running sum over the ranges (one row per
+range) gives each range its offset, and ``row_number`` inside a range plus
+the offset is the global rank. Keys must be unique for a total order, so no
+range can hold a hot key.
 """
 
 from __future__ import annotations
@@ -13,24 +17,65 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _POS_BITS = 33  # monotonically_increasing_id = partition_index << 33 | row position
+SAMPLE_PER_RANGE = 60
 
 
-def global_rank(df: DataFrame, order_by: list[str | Column], rank_col: str = "rank",
+def _sort_key(row):
+    return tuple((0, None) if v is None else (1, v) for v in row)
+
+
+def _split_points(df: DataFrame, keys: list[str], ranges: int, seed: int = 17) -> list[tuple]:
+    """Up to ``ranges - 1`` ordered split points from a bounded sample of the keys."""
+    want = ranges * SAMPLE_PER_RANGE
+    total = df.count()
+    if total == 0 or ranges <= 1:
+        return []
+    fraction = min(1.0, 2.0 * want / total)
+    sample = df.select(*keys).sample(False, fraction, seed).limit(2 * want).collect()  # bounded
+    rows = sorted((tuple(r) for r in sample), key=_sort_key)
+    if not rows:
+        return []
+    points = []
+    for i in range(1, ranges):
+        p = rows[min(len(rows) - 1, (i * len(rows)) // ranges)]
+        if not points or _sort_key(p) > _sort_key(points[-1]):
+            points.append(p)
+    return points
+
+
+def range_bucket(df: DataFrame, keys: list[str], points: list[tuple]) -> Column:
+    """Index of the key range of each row (binary search over literal split points)."""
+    types = [df.schema[k].dataType for k in keys]
+    key = F.struct(*[F.col(k) for k in keys])
+
+    def lit_point(p):
+        return F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(p, types, keys)])
+
+    def search(lo, hi):  # ranges lo..hi; point i separates range i and i + 1
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key <= lit_point(points[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
+
+    return search(0, len(points)) if points else F.lit(0)
+
+
+def global_rank(df: DataFrame, order_by: list[str], rank_col: str = "rank",
                 partitions: int | None = None) -> DataFrame:
-    """Add a dense 1-based rank in ``order_by`` order (keys should be unique for a total order)."""
+    """Add a dense 1-based rank in ``order_by`` order (keys must be unique for a total order)."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    tagged = ranged.select("*", F.spark_partition_id().alias("_part"),
-                           F.monotonically_increasing_id().alias("_mid"))
-    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition: bounded by the partition count, safe to broadcast
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
-    out = tagged.join(F.broadcast(offsets), "_part")
-    local = F.col("_mid") - F.shiftleft(F.col("_part").cast("long"), _POS_BITS)
-    return out.withColumn(rank_col, F.col("_off") + local + 1).drop("_part", "_mid", "_off")
+    keys = [k if isinstance(k, str) else k._jc.toString() for k in order_by]
+    points = _split_points(df, keys, n)
+    b = df.withColumn("_range", range_bucket(df, keys, points))
+    counts = b.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range: bounded by the range count, safe to broadcast
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_range").orderBy(*[F.col(k) for k in keys])
+    ranked = b.join(F.broadcast(offsets), "_range").withColumn(
+        rank_col, F.col("_off") + F.row_number().over(inside))
+    return ranked.drop("_range", "_off")
 
 
 def batch_ids(df: DataFrame, size: int, order_by: list[str | Column] | None = None,

@@ -51,7 +51,7 @@ def report_file_pick(files: DataFrame, prefix: str, dates: DataFrame, name_col:
     d = dates.select(F.col(date_col), F.date_format(F.col(date_col), "yyyyMMdd").alias("_ymd"))
     joined = d.join(cands, "_ymd")
     pattern = F.concat(F.lit("^" + re.escape(prefix) + ".*"), F.col("_ymd"), F.lit(".*CSV$"))
-    joined = joined.where(F.col("_name").rlike(pattern))
+    joined = joined.where(F.regexp_like(F.col("_name"), pattern))
     picked = joined.groupBy(date_col).agg(F.min("_name").alias(name_col))
     return dates.select(date_col).distinct().join(picked, date_col, "left")
 

@@ -28,7 +28,8 @@ def _locs(df: DataFrame, doc_col: str, tag: str, keep: list[str]) -> DataFrame:
            .when(n_entries != n_locs, F.format_string("%d <%s> entries without <loc>", n_entries - n_locs,
                                                       F.lit(tag))))
     return df.select(*keep, err.alias("error"), F.posexplode_outer(locs).alias("pos", "url")) \
-             .select(*keep, (F.col("pos") + 1).alias("pos"), F.trim("url").alias("url"), "error")
+             .select(*keep, (F.col("pos") + 1).alias("pos"),
+                     F.regexp_replace("url", r"^\s+|\s+$", "").alias("url"), "error")
 
 
 def sitemap_index_urls(df: DataFrame, doc_col: str = "doc", keep: list[str] | None = None) -> DataFrame:

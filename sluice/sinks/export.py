@@ -105,13 +105,16 @@ def manifest_write(spark: SparkSession, path: str, name: str = MANIFEST_NAME) ->
     return manifest.select(F.explode("entries").alias("e")).select("e.url", "e.mandatory")
 
 
-def ndjson_gzip_export(df: DataFrame, root: str, dataset: str, date: str) -> DataFrame:
-    """One date of a table -> gzip NDJSON shards under ``<root>/dataset=<d>/date=<date>/``.
+def ndjson_gzip_export(df: DataFrame, root: str, dataset: str, date: str | None = None,
+                       date_col: str | None = None) -> DataFrame:
+    """Dates of a table -> gzip NDJSON shards under ``<root>/dataset=<d>/date=<date>/``.
 
-    Dynamic partition overwrite replaces only that date.
+    ``date`` exports one date; ``date_col`` exports every date of the column.
+    Dynamic partition overwrite replaces only the dates written.
     """
     obs = Observation(f"ndjson_{uuid.uuid4().hex[:8]}")
-    (df.withColumn("dataset", F.lit(dataset)).withColumn("date", F.lit(date))
+    dcol = F.lit(date) if date is not None else F.col(date_col).cast("string")
+    (df.withColumn("dataset", F.lit(dataset)).withColumn("date", dcol)
        .observe(obs, F.count(F.lit(1)).alias("n"))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .option("compression", "gzip").partitionBy("dataset", "date").json(root))

@@ -16,8 +16,9 @@ def delimited_load(spark: SparkSession, path: str | list[str], schema_ddl: str,
     ``quote=""`` means no enclosing character. ``\\N`` is read as NULL (the
     MySQL / Hive convention), an empty field as an empty string.
     """
+    # quoted fields may hold line breaks: read files whole (export files are size capped)
     opts = {"sep": sep, "escape": escape, "nullValue": null_value, "emptyValue": "",
-            "mode": "PERMISSIVE", "multiLine": "false"}
+            "mode": "PERMISSIVE", "multiLine": "true" if quote else "false"}
     opts["quote"] = quote if quote else "\u0000"
     if ignore_lines <= 1:
         reader = spark.read.options(**opts).schema(schema_ddl)
