@@ -75,15 +75,18 @@ def flatten_by_mapping(df: DataFrame, json_col: str, mapping: dict[str, str], sp
                            e["label"].isin(*prefixes) if prefixes else F.lit(False))
         level = F.flatten(F.transform(objects, lambda e: _level(e["text"], e["label"], e["ord"])))
         levels.append(level)
-    leaves = F.array_sort(F.filter(F.concat(*levels) if len(levels) > 1 else levels[0],
-                                   lambda e: e["label"].isin(*paths.keys()) &
-                                   ~variant_kind(e["v"]).isin("object", "array", "null")))
-    base = df.select(*keep, leaves.alias("_leaves"))
+    leaves = F.filter(F.concat(*levels) if len(levels) > 1 else levels[0],
+                      lambda e: e["label"].isin(*paths.keys()) & ~variant_kind(e["v"]).isin("object", "array", "null"))
+    # document order: compare the position paths only (VARIANT values are not orderable)
+    leaves = F.array_sort(leaves, lambda a, b: F.when(a["ord"] < b["ord"], -1).when(a["ord"] > b["ord"], 1)
+                          .otherwise(0))
+    calc = calculated or {}
+    base = df.select(*keep, leaves.alias("_leaves"), *[c.alias(f"_calc_{n}") for n, c in calc.items()])
     out = []
     for f in spec.fields:
         sources = [p for p, fld in paths.items() if fld == f.name]
-        if f.name in (calculated or {}):
-            out.append(_convert(f, calculated[f.name].cast("variant")).cast(f.spark_type).alias(f.name))
+        if f.name in calc:
+            out.append(_convert(f, F.col(f"_calc_{f.name}").cast("variant")).cast(f.spark_type).alias(f.name))
             continue
         if not sources:
             out.append(F.lit(None).cast(f.spark_type).alias(f.name))
@@ -92,5 +95,5 @@ def flatten_by_mapping(df: DataFrame, json_col: str, mapping: dict[str, str], sp
                             lambda e: _convert(f, e["v"]).cast(f.spark_type))
         if f.kind in ("integer", "float", "boolean"):
             cands = F.filter(cands, lambda x: x.isNotNull())
-        out.append(F.element_at(cands, -1).alias(f.name))
+        out.append(F.try_element_at(cands, F.lit(-1)).alias(f.name))
     return base.select(*keep, *out)

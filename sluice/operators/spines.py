@@ -54,9 +54,10 @@ def month_spine(spark: SparkSession, start: str, end: str, fmt: str = "yyyy-MM-d
     return month_spine_from(bounds, "s", "e", fmt, col)
 
 
-def missing_slices(spine: DataFrame, loaded: DataFrame, col: str = "date") -> DataFrame:
+def missing_slices(spine: DataFrame, loaded: DataFrame, col: str | list[str] = "date") -> DataFrame:
     """Spine values that the target does not hold yet (each one is a load to run)."""
-    return spine.join(loaded.select(col).distinct(), col, "left_anti")
+    cols = [col] if isinstance(col, str) else list(col)
+    return spine.join(loaded.select(*cols).distinct(), cols, "left_anti")
 
 
 def param_product(*lists: DataFrame, limit: int = PARAM_LIST_LIMIT) -> DataFrame:
