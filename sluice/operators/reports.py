@@ -63,6 +63,17 @@ def header_columns(header_line: str) -> list[str]:
     return next(csv.reader(io.StringIO(header_line)))
 
 
+def report_header(spark, path: str, preamble: int = PREAMBLE_LINES) -> str:
+    """The header line of one report (the first file of the listing; one bounded read)."""
+    files = sorted(spark.read.text(path).inputFiles())
+    if not files:
+        raise FileNotFoundError(f"no report files under {path}")
+    head = spark.read.text(files[0]).limit(preamble + 1).collect()
+    if len(head) <= preamble:
+        raise ValueError(f"{files[0]} has no header line")
+    return head[preamble]["value"]
+
+
 def report_rows(lines: DataFrame, columns: list[str], preamble: int = PREAMBLE_LINES) -> DataFrame:
     """Numbered report lines -> ``(file_path, line, <columns as strings>, malformed)``.
 
@@ -225,18 +236,25 @@ def report_page_rows(df: DataFrame, xml_col: str, keep: list[str] | None = None)
     """Data page documents -> one row per report row: ``(row_num, cells array<string>, error)``.
 
     Cells are untyped strings in document order; an empty ``<data/>`` is ``''``,
-    a missing ``<data>`` is a malformed response.
+    a missing ``<data>`` is a malformed response. Each document is parsed once
+    (page-level checks happen before the rows are exploded).
     """
     keep = keep or []
-    r = parse_response(xml_col)
+    parsed = df.select(*keep, parse_response(xml_col).alias("_r"))
+    r = F.col("_r")
     rows = F.coalesce(r["getDataResponse"]["reportDataRow"],
                       F.array().cast("array<struct<columnData:array<struct<data:string>>>>"))
-    exploded = df.select(*keep, response_ok(r).alias("_base"),
-                         F.when(r["getDataResponse"].isNull(), _missing("getDataResponse")).alias("_body_err"),
-                         F.posexplode_outer(rows).alias("_pos", "_row"))
+    page = parsed.select(*keep, F.coalesce(response_ok(r)["error"], F.when(
+        r["getDataResponse"].isNull(), _missing("getDataResponse"))).alias("_page_err"), rows.alias("_rows"))
+    exploded = page.select(*keep, "_page_err", F.posexplode_outer("_rows").alias("_pos", "_row"))
     cells = F.transform(F.coalesce(F.col("_row")["columnData"], F.array().cast("array<struct<data:string>>")),
                         lambda c: c["data"])
     return exploded.select(
         *keep, (F.col("_pos") + 1).cast("long").alias("row_num"), cells.alias("cells"),
-        F.coalesce(F.col("_base")["error"], F.col("_body_err"),
+        F.coalesce(F.col("_page_err"),
                    F.when(F.exists(cells, lambda x: x.isNull()), _missing("data"))).alias("error"))
+
+
+def parse_once(df: DataFrame, xml_col: str, keep: list[str] | None = None, alias: str = "_r") -> DataFrame:
+    """Project the parsed response once so later expressions share it."""
+    return df.select(*(keep or []), parse_response(xml_col).alias(alias))

@@ -185,26 +185,26 @@ REPORT_COLUMNS = ["CH", "order_key", "line_no", "qty", "amount_cents", "flag", "
 
 
 def report_files(spark: SparkSession, sf_dir: str) -> str:
-    """One CSV report per ship date under ``report_date=<yyyy-MM-dd>/``: 3 free lines, header,
-    SB rows, SF footer (wrong on the 13th, missing on the 7th, one SB row after it on the 21st)."""
+    """One CSV report per ship month under ``report_date=<yyyy-MM-01>/``: 3 free lines, header,
+    SB rows, SF footer (wrong in January, missing in July, line-1 rows after it in November)."""
     def build(path):
         li = table(spark, sf_dir, "lineitem")
-        d = F.date_format("l_shipdate", "yyyy-MM-dd")
-        day = F.dayofmonth("l_shipdate")
+        d = F.date_format(F.trunc("l_shipdate", "MM"), "yyyy-MM-dd")
+        mon = F.month("l_shipdate")
         body = li.select(
             d.alias("report_date"),
-            F.when((day == 21) & (F.col("l_linenumber") == 1), F.lit(4)).otherwise(F.lit(2)).alias("section"),
+            F.when((mon == 11) & (F.col("l_linenumber") == 1), F.lit(4)).otherwise(F.lit(2)).alias("section"),
             *[F.col(c) for c in LINEITEM_ORDER],
             F.concat_ws(",", F.lit("SB"), s("l_orderkey"), s("l_linenumber"), s(F.col("l_quantity").cast("long")),
                         s(F.round(F.col("l_extendedprice") * 100).cast("long")), F.col("l_returnflag"),
                         F.concat(F.lit('"'), F.col("l_returnflag"), F.lit(", "), F.col("l_linestatus"), F.lit('"')),
                         F.lit("")).alias("value"))
-        per_day = li.groupBy(d.alias("report_date")).agg(F.count(F.lit(1)).alias("n"))
-        pday = F.dayofmonth(F.to_date("report_date"))
-        footer = per_day.where(pday != 7).select(
+        per_month = li.groupBy(d.alias("report_date")).agg(F.count(F.lit(1)).alias("n"))
+        pmon = F.month(F.to_date("report_date"))
+        footer = per_month.where(pmon != 7).select(
             "report_date", F.lit(3).alias("section"),
-            F.concat(F.lit("SF,,,,,,,"), s(F.col("n") + F.when(pday == 13, 1).otherwise(0))).alias("value"))
-        head = per_day.select("report_date", F.explode(F.array(
+            F.concat(F.lit("SF,,,,,,,"), s(F.col("n") + F.when(pmon == 1, 1).otherwise(0))).alias("value"))
+        head = per_month.select("report_date", F.explode(F.array(
             *[F.struct(F.lit(i).alias("section"), v.alias("value")) for i, v in enumerate([
                 F.lit("Settlement report"), F.concat(F.lit("Generated for "), F.col("report_date")),
                 F.lit("Version 1"), F.lit(REPORT_HEADER)])])).alias("h")).select(
@@ -212,6 +212,7 @@ def report_files(spark: SparkSession, sf_dir: str) -> str:
         empty = [F.lit(None).cast(li.schema[c].dataType).alias(c) for c in LINEITEM_ORDER]
         allrows = body.unionByName(footer.select("report_date", "section", *empty, "value")) \
                       .unionByName(head.select("report_date", "section", *empty, "value"))
+        # one file per report: the writer of a file is one task by nature (fixture only)
         (allrows.repartition("report_date").sortWithinPartitions("report_date", "section", *LINEITEM_ORDER)
                 .select("report_date", "value").write.partitionBy("report_date").text(path))
     return once(spark, sf_dir, "report_files", build)

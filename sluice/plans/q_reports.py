@@ -38,40 +38,41 @@ def q_report_file_pick(spark, sf_dir):
     return picked.select(F.date_format("report_date", "yyyy-MM-dd").alias("report_date"), "name")
 
 
+def _report_rows(spark, sf_dir):
+    """Numbered lines of every derived report, parsed with the header of one report."""
+    root = derive.report_files(spark, sf_dir)
+    lines = numbered_lines(spark, root, keep=["report_date"])
+    cols = R.header_columns(R.report_header(spark, root))
+    rows = R.report_rows(lines, cols)
+    dates = lines.select("file_path", F.col("report_date").cast("string").alias("rd")).distinct()
+    return rows, dates, cols
+
+
 @query("report_body", """
-SELECT strftime(l_shipdate, '%Y-%m-%d') AS report_date, CAST(l_orderkey AS VARCHAR) AS order_key,
+SELECT strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS report_date, CAST(l_orderkey AS VARCHAR) AS order_key,
        CAST(l_linenumber AS VARCHAR) AS line_no, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS qty,
        CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) AS amount_cents, l_returnflag AS flag,
        l_returnflag || ', ' || l_linestatus AS note
 FROM lineitem""")
 def q_report_body(spark, sf_dir):
-    root = derive.report_files(spark, sf_dir)
-    lines = numbered_lines(spark, root, keep=["report_date"])
-    header = lines.where(F.col("line") == R.PREAMBLE_LINES + 1).select("value").limit(1).first()["value"]
-    cols = R.header_columns(header)
-    parsed = R.report_rows(lines, cols).join(
-        lines.select("file_path", F.col("report_date").cast("string").alias("rd")).distinct(), "file_path")
-    body = R.report_body(parsed, F.col("rd"), cols)
+    rows, dates, cols = _report_rows(spark, sf_dir)
+    body = R.report_body(rows.join(F.broadcast(dates), "file_path"), F.col("rd"), cols)
     return body.select("report_date", "order_key", "line_no", "qty", "amount_cents", "flag", "note")
 
 
 @query("control_total_check", """
-WITH d AS (SELECT CAST(l_shipdate AS DATE) AS dd, count(*) AS n,
-                  count(*) FILTER (WHERE day(l_shipdate) = 21 AND l_linenumber = 1) AS late
+WITH d AS (SELECT date_trunc('month', l_shipdate) AS mo, count(*) AS n,
+                  count(*) FILTER (WHERE month(l_shipdate) = 11 AND l_linenumber = 1) AS late
            FROM lineitem GROUP BY 1),
-e AS (SELECT dd, n - late AS found, CASE WHEN day(dd) = 7 THEN 0 WHEN day(dd) = 13 THEN n + 1 ELSE n END AS expected
+e AS (SELECT mo, n - late AS found, CASE WHEN month(mo) = 7 THEN 0 WHEN month(mo) = 1 THEN n + 1 ELSE n END AS expected
       FROM d)
-SELECT strftime(dd, '%Y-%m-%d') AS report_date, found, CAST(expected AS BIGINT) AS expected, found = expected AS ok
+SELECT strftime(mo, '%Y-%m-%d') AS report_date, found, CAST(expected AS BIGINT) AS expected, found = expected AS ok
 FROM e""")
 def q_control_total_check(spark, sf_dir):
-    root = derive.report_files(spark, sf_dir)
-    lines = numbered_lines(spark, root, keep=["report_date"])
-    header = lines.where(F.col("line") == R.PREAMBLE_LINES + 1).select("value").limit(1).first()["value"]
-    cols = R.header_columns(header)
-    rows = R.report_rows(lines, cols)
+    rows, dates, _ = _report_rows(spark, sf_dir)
     checked = R.control_total_check(rows, "row_count")
-    dates = lines.select("file_path", F.col("report_date").cast("string").alias("report_date")).distinct()
-    return checked.join(dates, "file_path").select("report_date", "found", "expected", "ok")
+    return checked.join(F.broadcast(dates), "file_path").select(F.col("rd").alias("report_date"), "found",
+                                                                "expected", "ok")
 
 
 SETTLEMENT_SQL = """
@@ -156,8 +157,8 @@ SELECT page_no, CASE WHEN page_no % 7 = 3 THEN 107 ELSE 100 END AS response_code
        page_no % 7 <> 3 AS ok
 FROM p GROUP BY page_no""")
 def q_xml_pages_scan(spark, sf_dir):
-    d = derive.data_pages(spark, sf_dir)
-    r = R.parse_response("doc")
+    d = R.parse_once(derive.data_pages(spark, sf_dir), "doc", ["page_no"])
+    r = F.col("_r")
     base = R.response_ok(r)
     return d.select("page_no", base["response_code"].alias("response_code"),
                     F.size(r["getDataResponse"]["reportDataRow"]).cast("long").alias("n_rows"),
@@ -173,8 +174,8 @@ SELECT strftime(mo, '%Y-%m-%d') AS report_month, CAST(n AS INTEGER) AS num_rows,
        CASE WHEN month(mo) = 6 THEN 'The required element "pageSize" was not found in the API response' END AS error
 FROM m""")
 def q_report_metadata(spark, sf_dir):
-    d = derive.metadata_pages(spark, sf_dir)
-    m = R.report_metadata(R.parse_response("doc"))
+    d = R.parse_once(derive.metadata_pages(spark, sf_dir), "doc", ["report_month"])
+    m = R.report_metadata(F.col("_r"))
     cols = F.array_join(F.transform(m["columns"], lambda c: F.concat(c["name"], F.lit(":"), c["data_type"])), ",")
     return d.select("report_month", m["num_rows"].alias("num_rows"), m["num_pages"].alias("num_pages"),
                     m["page_size"].alias("page_size"), cols.alias("columns"), m["error"].alias("error"))
@@ -191,8 +192,8 @@ STATUS_SQL = RANKED_SQL + """
 
 
 def _status(spark, sf_dir):
-    d = derive.status_pages(spark, sf_dir)
-    r = R.parse_response("doc")
+    d = R.parse_once(derive.status_pages(spark, sf_dir), "doc", ["page_no"])
+    r = F.col("_r")
     return d.select("page_no", R.report_status(r).alias("st"), R.response_ok(r).alias("base"))
 
 
