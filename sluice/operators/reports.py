@@ -94,15 +94,18 @@ def report_body(rows: DataFrame, report_date, columns: list[str]) -> DataFrame:
         "file_path", "line", *columns, _col(report_date).alias("report_date"))
 
 
-def control_total_check(rows: DataFrame, check_col: str, file_col: str = "file_path") -> DataFrame:
+def control_total_check(rows: DataFrame, check_col: str, file_col: str = "file_path",
+                        files: DataFrame | None = None) -> DataFrame:
     """Per file: SB rows before the first SF row vs. the count in the footer's check column.
 
-    No footer means 0 expected. Returns ``(file, found, expected, ok, error)``.
+    No footer means 0 expected. ``files`` lists every report file (pass the
+    numbered lines' files so that a report without body rows is checked too).
+    Returns ``(file, found, expected, ok, error)``.
     """
     ct = F.col(ROW_TYPE_COL)
     footers = rows.where(ct == FOOTER).groupBy(file_col).agg(
         F.min("line").alias("_first_sf"), F.min_by(F.col(check_col), F.col("line")).alias("_check"))
-    files = rows.select(file_col).distinct()
+    files = (files if files is not None else rows).select(file_col).distinct()
     bodies = rows.where(ct == BODY).select(file_col, "line")
     # footers: one row per file, joined twice; both sides are per-file aggregates or body rows
     counted = bodies.join(footers, file_col, "left").where(

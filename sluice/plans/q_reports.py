@@ -70,7 +70,7 @@ SELECT strftime(mo, '%Y-%m-%d') AS report_date, found, CAST(expected AS BIGINT)
 FROM e""")
 def q_control_total_check(spark, sf_dir):
     rows, dates, _ = _report_rows(spark, sf_dir)
-    checked = R.control_total_check(rows, "row_count")
+    checked = R.control_total_check(rows, "row_count", files=dates)
     return checked.join(F.broadcast(dates), "file_path").select(F.col("rd").alias("report_date"), "found",
                                                                 "expected", "ok")
 
