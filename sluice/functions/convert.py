@@ -19,25 +19,37 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` (a lambda binding; subexpressions inside
+    conditional branches are otherwise evaluated once per reference)."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _typed(v, fn) -> Column:
+    """``fn(kind, value)`` with the JSON kind of the variant computed once."""
+    return let(F.struct(variant_kind(v).alias("k"), _col(v).alias("v")), lambda x: fn(x["k"], x["v"]))
+
+
 def variant_kind(v) -> Column:
     """Coarse JSON type of a variant: null, boolean, int, number, string, object, array."""
-    s = F.schema_of_variant(_col(v))
-    return (F.when(_col(v).isNull() | (s == "VOID"), F.lit("null"))
-            .when(s == "BOOLEAN", F.lit("boolean"))
-            .when(s.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit("int"))
-            .when(s.startswith("DECIMAL") | s.isin("DOUBLE", "FLOAT"), F.lit("number"))
-            .when(s == "STRING", F.lit("string"))
-            .when(s.startswith("OBJECT"), F.lit("object"))
-            .when(s.startswith("ARRAY"), F.lit("array"))
-            .otherwise(F.lit("other")))
+    v = _col(v)
+
+    def kind(s):
+        return (F.when(s.isNull() | (s == "VOID"), F.lit("null"))
+                .when(s == "BOOLEAN", F.lit("boolean"))
+                .when(s.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit("int"))
+                .when(s.startswith("DECIMAL") | s.isin("DOUBLE", "FLOAT"), F.lit("number"))
+                .when(s == "STRING", F.lit("string"))
+                .when(s.startswith("OBJECT"), F.lit("object"))
+                .when(s.startswith("ARRAY"), F.lit("array"))
+                .otherwise(F.lit("other")))
+    return let(F.schema_of_variant(v), kind)
 
 
 def variant_text(v) -> Column:
     """Python-like ``str(value)`` of a scalar variant (booleans print ``True`` / ``False``)."""
-    v = _col(v)
-    k = variant_kind(v)
-    txt = F.variant_get(v, "$", "string")
-    return F.when(k == "boolean", F.initcap(txt)).otherwise(txt)
+    return _typed(v, lambda k, x: F.when(k == "boolean", F.initcap(F.variant_get(x, "$", "string")))
+                  .otherwise(F.variant_get(x, "$", "string")))
 
 
 def escape_text(s) -> Column:
@@ -52,69 +64,75 @@ def escape_text(s) -> Column:
 def map_string(v, length: int | None = None, is_variant: bool = True) -> Column:
     """Text of the value, escaped; longer than ``length`` -> first ``length-4`` chars + ``...``."""
     txt = variant_text(v) if is_variant else _col(v)
-    esc = escape_text(txt)
-    if length is None:
-        return esc
-    return F.when(F.length(esc) > length, F.concat(F.substring(esc, 1, max(length - 4, 0)), F.lit("..."))
-                  ).otherwise(esc)
+
+    def shorten(esc):
+        if length is None:
+            return esc
+        return F.when(F.length(esc) > length, F.concat(F.substring(esc, 1, max(length - 4, 0)), F.lit("...")))\
+                .otherwise(esc)
+    return let(escape_text(txt), shorten)
 
 
 def map_int(v) -> Column:
     """Integer conversion: whole-number text, numbers truncated toward zero, booleans 1/0."""
-    v = _col(v)
-    k = variant_kind(v)
-    txt = F.variant_get(v, "$", "string")
-    return (F.when(k == "int", F.variant_get(v, "$", "bigint"))
-            .when(k == "number", (F.variant_get(v, "$", "double")).try_cast("bigint"))
-            .when(k == "boolean", F.variant_get(v, "$", "boolean").cast("bigint"))
-            .when((k == "string") & txt.rlike(INT_TEXT), (F.trim(txt)).try_cast("bigint")))
+    def conv(k, v):
+        txt = F.variant_get(v, "$", "string")
+        return (F.when(k == "int", F.variant_get(v, "$", "bigint"))
+                .when(k == "number", F.variant_get(v, "$", "double").try_cast("bigint"))
+                .when(k == "boolean", F.variant_get(v, "$", "boolean").cast("bigint"))
+                .when((k == "string") & txt.rlike(INT_TEXT), F.trim(txt).try_cast("bigint")))
+    return _typed(v, conv)
 
 
 def map_float(v) -> Column:
-    v = _col(v)
-    k = variant_kind(v)
-    txt = F.variant_get(v, "$", "string")
-    return (F.when(k.isin("int", "number"), F.variant_get(v, "$", "double"))
-            .when(k == "boolean", F.variant_get(v, "$", "boolean").cast("double"))
-            .when((k == "string") & txt.rlike(FLOAT_TEXT), (F.trim(txt)).try_cast("double")))
+    def conv(k, v):
+        txt = F.variant_get(v, "$", "string")
+        return (F.when(k.isin("int", "number"), F.variant_get(v, "$", "double"))
+                .when(k == "boolean", F.variant_get(v, "$", "boolean").cast("double"))
+                .when((k == "string") & txt.rlike(FLOAT_TEXT), F.trim(txt).try_cast("double")))
+    return _typed(v, conv)
 
 
 def map_bool(v) -> Column:
     """Truthiness: non-empty text, non-zero numbers, the boolean itself (``"false"`` is true)."""
-    v = _col(v)
-    k = variant_kind(v)
-    txt = F.variant_get(v, "$", "string")
-    return (F.when(k == "boolean", F.variant_get(v, "$", "boolean"))
-            .when(k.isin("int", "number"), F.variant_get(v, "$", "double") != 0)
-            .when(k == "string", F.length(txt) > 0))
+    def conv(k, v):
+        return (F.when(k == "boolean", F.variant_get(v, "$", "boolean"))
+                .when(k.isin("int", "number"), F.variant_get(v, "$", "double") != 0)
+                .when(k == "string", F.length(F.variant_get(v, "$", "string")) > 0))
+    return _typed(v, conv)
 
 
 def parse_iso_utc(s) -> Column:
     """ISO-8601 text with an explicit offset -> UTC timestamp; naive, pre-1900 or bad text -> null."""
-    s = F.trim(_col(s))
+    return let(F.trim(_col(s)), _parse_iso_utc)
+
+
+def _parse_iso_utc(s: Column) -> Column:
     ts = F.coalesce(
         F.try_to_timestamp(s),
         F.try_to_timestamp(s, F.lit("yyyyMMdd'T'HHmmss[.SSSSSS]X")),
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mmXXX")),
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mmXXX")),
     )
-    return F.when(s.rlike(OFFSET_SUFFIX) & (F.year(ts) >= 1900), ts)
+    return let(ts, lambda t: F.when(s.rlike(OFFSET_SUFFIX) & (F.year(t) >= 1900), t))
 
 
 def map_datetime(v) -> Column:
-    v = _col(v)
-    return F.when(variant_kind(v) == "string", parse_iso_utc(F.variant_get(v, "$", "string")))
+    return _typed(v, lambda k, x: F.when(k == "string", parse_iso_utc(F.variant_get(x, "$", "string"))))
 
 
 def datetime_digits(s) -> Column:
     """All digit runs -> year, month, day[, hour, minute, second, fraction]; fraction read as an
     integer number of microseconds (``.5`` is 5 µs). Fewer than 3 or more than 7 runs -> null."""
-    s = _col(s)
-    parts = F.filter(F.split(F.regexp_replace(s, r"\D+", " "), " "), lambda x: x != "")
+    parts = F.filter(F.split(F.regexp_replace(_col(s), r"\D+", " "), " "), lambda x: x != "")
+    return let(parts, _digits_to_ts)
+
+
+def _digits_to_ts(parts: Column) -> Column:
     n = F.size(parts)
 
     def part(i: int, default: int = 0) -> Column:
-        return F.when(n > i, (parts[i]).try_cast("int")).otherwise(F.lit(default))
+        return F.when(n > i, parts[i].try_cast("int")).otherwise(F.lit(default))
 
     sec = part(5).cast("decimal(16,6)") + (part(6).cast("decimal(16,6)") / F.lit(1000000)).cast("decimal(16,6)")
     ok = (n >= 3) & (n <= 7) & (part(6) < 1000000)

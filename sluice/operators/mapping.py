@@ -18,7 +18,7 @@ from ..functions.convert import map_bool, map_datetime, map_float, map_int, map_
 from ..spec import Field, RecordSpec
 
 ROOT = "root"
-_ENTRY = "struct<ord:array<int>,label:string,text:string,v:variant>"
+_ENTRY = "struct<ord:array<int>,label:string,text:string,v:variant,k:string>"
 
 
 def _level(text: Column, label: Column, ord_: Column) -> Column:
@@ -30,7 +30,8 @@ def _level(text: Column, label: Column, ord_: Column) -> Column:
         F.concat(ord_, F.array(i.cast("int"))).alias("ord"),
         F.concat(label, F.lit("."), F.lower(p["t"]["key"])).alias("label"),
         p["t"]["value"].alias("text"),
-        p["v"]["value"].alias("v")))
+        p["v"]["value"].alias("v"),
+        variant_kind(p["v"]["value"]).alias("k")))
 
 
 def _convert(f: Field, v: Column) -> Column:
@@ -68,20 +69,24 @@ def flatten_by_mapping(df: DataFrame, json_col: str, mapping: dict[str, str], sp
     prefixes = sorted({".".join(p.split(".")[:i]) for p in paths for i in range(2, len(p.split(".")))})
     depth = max(len(p.split(".")) for p in paths) - 1
 
-    level = _level(F.col(json_col), F.lit(ROOT), F.array().cast("array<int>"))
-    levels = [level]
-    for _ in range(depth - 1):
-        objects = F.filter(level, lambda e: (variant_kind(e["v"]) == "object") &
-                           e["label"].isin(*prefixes) if prefixes else F.lit(False))
-        level = F.flatten(F.transform(objects, lambda e: _level(e["text"], e["label"], e["ord"])))
-        levels.append(level)
+    # each level is projected once and read by the next level (no re-evaluation of parents)
+    cur = df.select(*keep, *[c.alias(f"_calc_{n}") for n, c in (calculated or {}).items()],
+                    _level(F.col(json_col), F.lit(ROOT), F.array().cast("array<int>")).alias("_l0"))
+    carried = [f"_calc_{n}" for n in (calculated or {})]
+    for d in range(1, depth):
+        prev = F.col(f"_l{d - 1}")
+        objects = F.filter(prev, lambda e: (e["k"] == "object") & e["label"].isin(*prefixes)) if prefixes \
+            else F.array().cast(f"array<{_ENTRY}>")
+        nxt = F.flatten(F.transform(objects, lambda e: _level(e["text"], e["label"], e["ord"])))
+        cur = cur.select("*", nxt.alias(f"_l{d}"))
+    levels = [F.col(f"_l{d}") for d in range(depth)]
     leaves = F.filter(F.concat(*levels) if len(levels) > 1 else levels[0],
-                      lambda e: e["label"].isin(*paths.keys()) & ~variant_kind(e["v"]).isin("object", "array", "null"))
+                      lambda e: e["label"].isin(*paths.keys()) & ~e["k"].isin("object", "array", "null"))
     # document order: compare the position paths only (VARIANT values are not orderable)
     leaves = F.array_sort(leaves, lambda a, b: F.when(a["ord"] < b["ord"], -1).when(a["ord"] > b["ord"], 1)
                           .otherwise(0))
     calc = calculated or {}
-    base = df.select(*keep, leaves.alias("_leaves"), *[c.alias(f"_calc_{n}") for n, c in calc.items()])
+    base = cur.select(*keep, *carried, leaves.alias("_leaves"))
     out = []
     for f in spec.fields:
         sources = [p for p, fld in paths.items() if fld == f.name]

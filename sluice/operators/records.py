@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,9 +105,8 @@ def record_diff(a: DataFrame, b: DataFrame) -> DataFrame:
 
 # --- JSON rows -> records (row-level conformance) -----------------------------------------------
 
-def _json_field(f: Field, v: Column) -> tuple[Column, list[tuple[Column, str]]]:
-    """Typed value and type checks for one field read from a VARIANT value."""
-    k = variant_kind(v)
+def _json_field(f: Field, v: Column, k: Column) -> tuple[Column, list[tuple[Column, str]]]:
+    """Typed value and type checks for one field read from a VARIANT value of JSON kind ``k``."""
     present = k != "null"
     txt = F.variant_get(v, "$", "string")
     if f.kind == "string":
@@ -153,30 +154,35 @@ def conform_json(df: DataFrame, json_col: str, spec: RecordSpec, sparse: bool =
 
     Per row: keys outside the spec are an error, absent keys are an error
     unless ``sparse`` (absent = null), then every field is type checked.
+    The document is parsed once; every field's value and kind are projected once.
     """
-    keep = keep or []
-    obj = F.from_json(F.col(json_col), "map<string,variant>")
-    keys = F.coalesce(F.map_keys(obj), F.array().cast("array<string>"))
+    keep = list(keep or [])
+    parsed = df.select(*keep, F.from_json(F.col(json_col), "map<string,variant>").alias("_obj"))
+    obj = F.col("_obj")
+    fields = parsed.select(*keep, obj.isNull().alias("_bad"),
+                           F.coalesce(F.map_keys(obj), F.array().cast("array<string>")).alias("_keys"),
+                           *[obj[f.name].alias(f"_v{i}") for i, f in enumerate(spec.fields)])
     names = F.array(*[F.lit(n) for n in spec.names])
-    unknown = F.array_except(keys, names)
-    missing = F.array_except(names, keys)
+    unknown = F.array_except(F.col("_keys"), names)
+    missing = F.array_except(names, F.col("_keys"))
     row_errs = [
-        F.when(obj.isNull(), F.struct(F.lit("*").alias("field"), F.lit("not a JSON object").alias("message"))),
+        F.when(F.col("_bad"), F.struct(F.lit("*").alias("field"), F.lit("not a JSON object").alias("message"))),
         F.when(F.size(unknown) > 0, F.struct(F.lit("*").alias("field"), F.concat(
             F.lit("Unknown fields specified: "), F.array_join(unknown, ", ")).alias("message"))),
     ]
     if not sparse:
         row_errs.append(F.when(F.size(missing) > 0, F.struct(F.lit("*").alias("field"), F.concat(
             F.lit("Required fields not specified: "), F.array_join(missing, ", ")).alias("message"))))
+    kinds = fields.select(*keep, "_bad", "_keys", *[F.col(f"_v{i}") for i in range(len(spec.fields))],
+                          *[variant_kind(F.col(f"_v{i}")).alias(f"_k{i}") for i in range(len(spec.fields))])
     values, field_errs = [], []
-    for f in spec.fields:
-        v = obj[f.name]
-        val, checks = _json_field(f, v)
+    for i, f in enumerate(spec.fields):
+        val, checks = _json_field(f, F.col(f"_v{i}"), F.col(f"_k{i}"))
         if not f.nullable:
-            checks = [(val.isNull() & (variant_kind(v) == "null"), MSG_NULL)] + checks
+            checks = [(val.isNull() & (F.col(f"_k{i}") == "null"), MSG_NULL)] + checks
         values.append(val.cast(f.spark_type).alias(f.name))
         field_errs.append(_msgs(f.name, checks))
-    return df.select(*keep, *values, _collect(row_errs + field_errs).alias(errors_col))
+    return kinds.select(*keep, *values, _collect(row_errs + field_errs).alias(errors_col))
 
 
 # --- Hive TSV codec --------------------------------------------------------------------------------
@@ -230,18 +236,26 @@ def decode_field(f: Field, s: Column) -> tuple[Column, list[tuple[Column, str]]]
 
 def tsv_decode(df: DataFrame, spec: RecordSpec, col: str = "line", sep: str = "\t", null: str = HIVE_NULL,
                keep: list[str] | None = None, errors_col: str = "errors") -> DataFrame:
-    """Separated lines -> typed spec columns + ``errors`` (arity, parse and validation errors)."""
-    cells = F.split(F.regexp_replace(F.col(col), r"[\r\n]+$", ""), "\\t" if sep == "\t" else sep, -1)
+    """Separated lines -> typed spec columns + ``errors`` (arity, parse and validation errors).
+
+    The line is split once (projected) and every field reads the shared cells.
+    """
+    keep = list(keep or [])
+    pattern = "\\t" if sep == "\t" else re.escape(sep)
+    split = df.select(*keep, F.split(F.regexp_replace(F.col(col), r"[\r\n]+$", ""), pattern, -1).alias("_cells"))
+    cells = F.col("_cells")
     arity_ok = F.size(cells) == len(spec.fields)
-    vals, errs = [], [F.when(~arity_ok, F.struct(F.lit("*").alias("field"), F.lit(MSG_ARITY).alias("message")))]
+    raws = split.select(*keep, arity_ok.alias("_ok"), *[
+        F.when(arity_ok, F.nullif(cells[i], F.lit(null))).alias(f"_raw{i}") for i in range(len(spec.fields))])
+    ok = F.col("_ok")
+    vals, errs = [], [F.when(~ok, F.struct(F.lit("*").alias("field"), F.lit(MSG_ARITY).alias("message")))]
     for i, f in enumerate(spec.fields):
-        raw = F.when(arity_ok, F.nullif(cells[i], F.lit(null)))
-        v, checks = decode_field(f, raw)
+        v, checks = decode_field(f, F.col(f"_raw{i}"))
         v = v.cast(f.spark_type)
-        checks = checks + [(chk, m) for chk, m in _value_checks(f, v, arity_ok)]
+        checks = checks + _value_checks(f, v, ok)
         vals.append(v.alias(f.name))
         errs.append(_msgs(f.name, checks))
-    return df.select(*(keep or []), *vals, _collect(errs).alias(errors_col))
+    return raws.select(*keep, *vals, _collect(errs).alias(errors_col))
 
 
 def _value_checks(f: Field, v: Column, arity_ok: Column) -> list[tuple[Column, str]]:
