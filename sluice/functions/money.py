@@ -38,13 +38,13 @@ def cents_to_decimal(amount, type_col) -> Column:
     """Whole cents as text -> exact ``decimal(38,2)``; refunds are negated.
 
     ``"5000"`` -> ``50.00``, ``""`` -> ``0.00``; non-integer text or an unknown
-    transaction type gives null (see ``cents_error``).
+    transaction type gives null (see ``cents_error``). Cheap expressions are
+    repeated rather than bound (repetition keeps whole-stage codegen).
     """
     a = _col(amount)
     t = transaction_type(type_col)
     digits = F.when(F.trim(a).rlike(r"^[+-]?$"), F.concat(F.trim(a), F.lit("0"))).otherwise(F.ltrim(a))
-    cents = (digits).try_cast("decimal(38,0)")
-    value = (cents * F.lit(0.01).cast("decimal(3,2)")).cast(AMOUNT_TYPE)
+    value = (digits.try_cast("decimal(38,0)") * F.lit(0.01).cast("decimal(3,2)")).cast(AMOUNT_TYPE)
     signed = F.when(t == "refund", -value).otherwise(value)
     return F.when(_amount_valid(a) & t.isNotNull(), signed)
 

@@ -16,6 +16,7 @@ ROW_TYPE_COL = "CH"
 BODY = "SB"
 FOOTER = "SF"
 PREAMBLE_LINES = 3
+FOOTER_BROADCAST_ROWS = 1_000_000
 # API response codes
 SUCCESS_CODE = 100
 STATUS_CREATED, STATUS_EXECUTING, STATUS_COMPLETE = 1, 2, 3
@@ -105,10 +106,13 @@ def control_total_check(rows: DataFrame, check_col: str, file_col: str = "file_p
     ct = F.col(ROW_TYPE_COL)
     footers = rows.where(ct == FOOTER).groupBy(file_col).agg(
         F.min("line").alias("_first_sf"), F.min_by(F.col(check_col), F.col("line")).alias("_check"))
+    # one row per file with a footer: materialised once, broadcast when its size is proven small,
+    # so body rows are never shuffled by file (a hot file cannot skew the join)
+    footers = footers.checkpoint(eager=True)
+    small = footers.count() <= FOOTER_BROADCAST_ROWS
     files = (files if files is not None else rows).select(file_col).distinct()
     bodies = rows.where(ct == BODY).select(file_col, "line")
-    # footers: one row per file, joined twice; both sides are per-file aggregates or body rows
-    counted = bodies.join(footers, file_col, "left").where(
+    counted = bodies.join(F.broadcast(footers) if small else footers, file_col, "left").where(
         F.col("_first_sf").isNull() | (F.col("line") < F.col("_first_sf"))
     ).groupBy(file_col).agg(F.count(F.lit(1)).alias("found"))
     out = files.join(footers, file_col, "left").join(counted, file_col, "left")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Above this many (file, split) rows the split-offset table is joined with a
-# shuffle instead of being broadcast (one row per input split, ~100 bytes each).
-BLOCK_BROADCAST_ROWS = 200_000
+# Above this many splits the split-offset table is joined with a shuffle instead
+# of being broadcast. A row is 4 longs (~32 bytes): 4M splits (~500 TB of
+# 128 MB splits) stay near 128 MB.
+BLOCK_BROADCAST_ROWS = 4_000_000
 
 
 def file_predicate(file: str | None = None, pattern: str | None = None,
@@ -65,22 +66,24 @@ def numbered_lines(spark: SparkSession, path: str | list[str], file: str | None
     keep = list(keep or [])
     tagged = raw.select(
         F.col("_metadata.file_path").alias("file_path"),
+        F.xxhash64(F.col("_metadata.file_path")).alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_pos"),
         "value",
         *keep,
     )
-    blocks = tagged.groupBy("file_path", "_block").agg(
+    # one row per split, keyed by a 64-bit hash of the path (compact to broadcast)
+    blocks = tagged.groupBy("_file", "_block").agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy("file_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(
-        "file_path", "_block", "_first",
+        "_file", "_block", "_first",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     # materialise the small split table once (reliable checkpoint in the shared dir)
     blocks = blocks.checkpoint(eager=True)
     if blocks.count() <= BLOCK_BROADCAST_ROWS:
         blocks = F.broadcast(blocks)
-    out = tagged.join(blocks, ["file_path", "_block"])
+    out = tagged.join(blocks, ["_file", "_block"])
     return out.select(
         "file_path",
         (F.col("_pos") - F.col("_first") + F.col("_before") + 1).alias("line"),

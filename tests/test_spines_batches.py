@@ -46,3 +46,14 @@ def test_batch_pack_bounds(spark):
     assert first[0] == 0 and first[1] == 75
     fast = batch_pack(df, 50).collect()
     assert max(r["n"] for r in fast) <= 50 and sum(r["n"] for r in fast) == 1234
+
+
+def test_global_rank_string_and_composite_keys(spark):
+    rows = [(f"k{i % 97:03d}", i // 97, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a string, b long, v long")
+    got = {(r["a"], r["b"]): r["rank"] for r in global_rank(df, ["a", "b"], "rank", partitions=9).collect()}
+    exp = {k: i + 1 for i, k in enumerate(sorted((a, b) for a, b, _ in rows))}
+    assert got == exp
+    ts = spark.range(0, 500, 1, 3).select(F.timestamp_seconds(F.col("id") * 7 % 501).alias("t"), "id")
+    ranked = global_rank(ts, ["t"], "rank", partitions=6).orderBy("t").collect()
+    assert [r["rank"] for r in ranked] == list(range(1, 501))
