@@ -220,3 +220,12 @@ def q_delimited_list_cap(spark, sf_dir):
     return per.select("l_orderkey", F.size(lst).cast("long").alias("n_items"), F.get(lst, 0).alias("first_item"),
                       F.try_element_at(lst, F.lit(-1)).alias("last_item"),
                       list_cap_error("items", ";", 5, "line numbers", k).alias("error"))
+
+
+@query("projected_scan", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000""")
+def q_projected_scan(spark, sf_dir):
+    from ..sources.scan import projected_scan
+    o = derive.table(spark, sf_dir, "orders")
+    return projected_scan(o, ["o_orderkey", "o_custkey", "o_totalprice"],
+                          "WHERE o_orderstatus = 'F' AND o_totalprice > 100000")

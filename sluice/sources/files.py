@@ -37,14 +37,25 @@ def file_select(df: DataFrame, file: str | None = None, pattern: str | None = No
     return df.where(file_predicate(file, pattern, path_col))
 
 
-def read_text(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
+def read_text(spark: SparkSession, path: str | list[str], recursive: bool = False,
+              base_path: str | None = None) -> DataFrame:
     reader = spark.read
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
+    if base_path:
+        reader = reader.option("basePath", base_path)
     paths = [path] if isinstance(path, str) else list(path)
     return reader.text(paths)
 
 
+def selected_files(spark: SparkSession, path: str, file: str | None = None,
+                   pattern: str | None = None) -> list[str]:
+    """Files under ``path`` matching ``file`` / ``pattern``: the regex runs over the distributed
+    listing; only the matching names (one row per file) come back to hand them to the scan."""
+    inv = object_inventory(spark, path)
+    return [r["path"] for r in inv.where(file_predicate(file, pattern, "path")).select("path").collect()]
+
+
 def numbered_lines(spark: SparkSession, path: str | list[str], file: str | None = None,
                    pattern: str | None = None, recursive: bool = False,
                    keep: list[str] | None = None) -> DataFrame:
@@ -59,11 +70,18 @@ def numbered_lines(spark: SparkSession, path: str | list[str], file: str | None
 
     Returns ``file_path, line, value`` (+ ``keep`` columns such as partition columns).
     """
-    raw = read_text(spark, path, recursive)
-    if file or pattern:
-        # applied before the non-deterministic id so it prunes files in the scan
-        raw = raw.where(file_predicate(file, pattern))
     keep = list(keep or [])
+    if file or pattern:
+        # resolve the selection on the listing, so unselected files are never opened
+        if not isinstance(path, str):
+            raise ValueError("file / pattern selection needs one root path")
+        paths = selected_files(spark, path, file, pattern)
+        if not paths:
+            schema = "file_path string, line bigint, value string" + "".join(f", {k} string" for k in keep)
+            return spark.createDataFrame([], schema)
+        raw = read_text(spark, paths, base_path=None if recursive else path)
+    else:
+        raw = read_text(spark, path, recursive)
     tagged = raw.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.xxhash64(F.col("_metadata.file_path")).alias("_file"),
