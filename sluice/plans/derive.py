@@ -14,7 +14,22 @@ from ..session import scratch_path
 LINEITEM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                   "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 PAGE_SIZE = 50
+# Derived file layouts grow with the data: event files hold at least EVENT_CHUNK ids and there are
+# at most ~EVENT_FILES_PER_TYPE id chunks; report files hold at most ~REPORT_FILE_ROWS rows per month.
 EVENT_CHUNK = 2000
+EVENT_FILES_PER_TYPE = 5000
+REPORT_FILE_ROWS = 400_000_000
+
+
+def event_chunk(spark: SparkSession, sf_dir: str) -> int:
+    """Ids per event file: ``greatest(2000, count(*) div 5000)`` (same rule in the oracle SQL)."""
+    n = table(spark, sf_dir, "events").count()  # Parquet footer count
+    return max(EVENT_CHUNK, n // EVENT_FILES_PER_TYPE)
+
+
+def report_parts(spark: SparkSession, sf_dir: str) -> int:
+    """Report files per month: ``1 + count(*) div 400M`` (same rule in the oracle SQL)."""
+    return 1 + table(spark, sf_dir, "lineitem").count() // REPORT_FILE_ROWS
 
 _written: dict[tuple[str, str], str] = {}
 
@@ -53,11 +68,12 @@ def event_json_line(broken: bool = True) -> Column:
 
 
 def events_ndjson(spark: SparkSession, sf_dir: str) -> str:
-    """events -> ``event_type=<t>/chunk=<event_id div 2000>/`` text files, one JSON object per line,
+    """events -> ``event_type=<t>/chunk=<event_id div chunk>/`` text files, one JSON object per line,
     in event_id order; every 10th record is broken (first character removed)."""
     def build(path):
         ev = table(spark, sf_dir, "events")
-        lines = ev.select("event_type", F.floor(F.col("event_id") / EVENT_CHUNK).cast("long").alias("chunk"),
+        chunk = event_chunk(spark, sf_dir)
+        lines = ev.select("event_type", F.floor(F.col("event_id") / chunk).cast("long").alias("chunk"),
                           "event_id", event_json_line().alias("value"))
         (lines.repartition("event_type", "chunk").sortWithinPartitions("event_type", "chunk", "event_id")
               .drop("event_id").write.partitionBy("event_type", "chunk").text(path))
@@ -185,36 +201,40 @@ REPORT_COLUMNS = ["CH", "order_key", "line_no", "qty", "amount_cents", "flag", "
 
 
 def report_files(spark: SparkSession, sf_dir: str) -> str:
-    """One CSV report per ship month under ``report_date=<yyyy-MM-01>/``: 3 free lines, header,
-    SB rows, SF footer (wrong in January, missing in July, line-1 rows after it in November)."""
+    """CSV reports per ship month (``report_parts`` files a month, split by order key) under
+    ``report_date=<yyyy-MM-01>/part=<p>/``: 3 free lines, header, SB rows, SF footer (wrong in
+    January, missing in July, line-1 rows after it in November)."""
     def build(path):
         li = table(spark, sf_dir, "lineitem")
+        parts = report_parts(spark, sf_dir)
+        li = li.withColumn("part", F.pmod(F.col("l_orderkey"), F.lit(parts)).cast("long"))
         d = F.date_format(F.trunc("l_shipdate", "MM"), "yyyy-MM-dd")
         mon = F.month("l_shipdate")
         body = li.select(
-            d.alias("report_date"),
+            d.alias("report_date"), "part",
             F.when((mon == 11) & (F.col("l_linenumber") == 1), F.lit(4)).otherwise(F.lit(2)).alias("section"),
             *[F.col(c) for c in LINEITEM_ORDER],
             F.concat_ws(",", F.lit("SB"), s("l_orderkey"), s("l_linenumber"), s(F.col("l_quantity").cast("long")),
                         s(F.round(F.col("l_extendedprice") * 100).cast("long")), F.col("l_returnflag"),
                         F.concat(F.lit('"'), F.col("l_returnflag"), F.lit(", "), F.col("l_linestatus"), F.lit('"')),
                         F.lit("")).alias("value"))
-        per_month = li.groupBy(d.alias("report_date")).agg(F.count(F.lit(1)).alias("n"))
+        per_month = li.groupBy(d.alias("report_date"), "part").agg(F.count(F.lit(1)).alias("n"))
         pmon = F.month(F.to_date("report_date"))
         footer = per_month.where(pmon != 7).select(
-            "report_date", F.lit(3).alias("section"),
+            "report_date", "part", F.lit(3).alias("section"),
             F.concat(F.lit("SF,,,,,,,"), s(F.col("n") + F.when(pmon == 1, 1).otherwise(0))).alias("value"))
-        head = per_month.select("report_date", F.explode(F.array(
+        head = per_month.select("report_date", "part", F.explode(F.array(
             *[F.struct(F.lit(i).alias("section"), v.alias("value")) for i, v in enumerate([
                 F.lit("Settlement report"), F.concat(F.lit("Generated for "), F.col("report_date")),
                 F.lit("Version 1"), F.lit(REPORT_HEADER)])])).alias("h")).select(
-            "report_date", (F.col("h.section") - 4).alias("section"), "h.value")
+            "report_date", "part", (F.col("h.section") - 4).alias("section"), "h.value")
         empty = [F.lit(None).cast(li.schema[c].dataType).alias(c) for c in LINEITEM_ORDER]
-        allrows = body.unionByName(footer.select("report_date", "section", *empty, "value")) \
-                      .unionByName(head.select("report_date", "section", *empty, "value"))
-        # one file per report: the writer of a file is one task by nature (fixture only)
-        (allrows.repartition("report_date").sortWithinPartitions("report_date", "section", *LINEITEM_ORDER)
-                .select("report_date", "value").write.partitionBy("report_date").text(path))
+        allrows = body.unionByName(footer.select("report_date", "part", "section", *empty, "value")) \
+                      .unionByName(head.select("report_date", "part", "section", *empty, "value"))
+        # one file per report (the writer of one file is one task); files are size-bounded by `parts`
+        (allrows.repartition("report_date", "part")
+                .sortWithinPartitions("report_date", "part", "section", *LINEITEM_ORDER)
+                .select("report_date", "part", "value").write.partitionBy("report_date", "part").text(path))
     return once(spark, sf_dir, "report_files", build)
 
 
