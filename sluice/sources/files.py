@@ -58,7 +58,8 @@ def selected_files(spark: SparkSession, path: str, file: str | None = None,
 
 def numbered_lines(spark: SparkSession, path: str | list[str], file: str | None = None,
                    pattern: str | None = None, recursive: bool = False,
-                   keep: list[str] | None = None) -> DataFrame:
+                   keep: list[str] | None = None, skip_blank: bool = False,
+                   line_filter: Column | None = None) -> DataFrame:
     """Every line of every file with its 1-based line number inside its own file.
 
     Files are read split by split in parallel; no file is funnelled through a
@@ -68,6 +69,9 @@ def numbered_lines(spark: SparkSession, path: str | list[str], file: str | None
     number of lines in earlier splits of the same file; joining it back turns
     the in-split position into the file line number.
 
+    With ``skip_blank`` blank lines (and with ``line_filter`` the lines it
+    rejects) are dropped before numbering, so ``line`` is the record number.
+
     Returns ``file_path, line, value`` (+ ``keep`` columns such as partition columns).
     """
     keep = list(keep or [])
@@ -82,6 +86,11 @@ def numbered_lines(spark: SparkSession, path: str | list[str], file: str | None
         raw = read_text(spark, paths, base_path=None if recursive else path)
     else:
         raw = read_text(spark, path, recursive)
+    if skip_blank:
+        # before the position id: positions stay contiguous among the kept lines of a split
+        raw = raw.where(F.trim("value") != "")
+    if line_filter is not None:
+        raw = raw.where(line_filter)
     tagged = raw.select(
         F.col("_metadata.file_path").alias("file_path"),
         F.xxhash64(F.col("_metadata.file_path")).alias("_file"),

@@ -23,16 +23,17 @@ def strict_json(text) -> "F.Column":
 
 
 def _records(spark, path, file, pattern, strip_outer_array, recursive, keep):
-    lines = numbered_lines(spark, path, file=file, pattern=pattern, recursive=recursive, keep=keep)
-    text = F.col("value")
-    if strip_outer_array:
-        # arrays laid out one element per line: drop bracket-only lines, strip
-        # the leading "[", trailing "]" and the separating commas
-        text = F.regexp_replace(F.regexp_replace(F.trim(text), r"^\[\s*", ""), r"\s*(\]\s*)?,?\s*$", "")
-        lines = lines.withColumn("value", text).where(F.col("value") != "")
-    else:
-        lines = lines.where(F.trim("value") != "")
-    return lines
+    if not strip_outer_array:
+        # blank lines are not records: numbering counts records
+        return numbered_lines(spark, path, file=file, pattern=pattern, recursive=recursive, keep=keep,
+                              skip_blank=True)
+    # arrays laid out one element per line: strip the leading "[", trailing "]" and the
+    # separating commas; bracket-only lines are dropped before numbering
+    bracket_only = F.trim("value").rlike(r"^[\[\],\s]*$")
+    lines = numbered_lines(spark, path, file=file, pattern=pattern, recursive=recursive, keep=keep,
+                           skip_blank=True, line_filter=~bracket_only)
+    text = F.regexp_replace(F.regexp_replace(F.trim("value"), r"^\[\s*", ""), r"\s*(\]\s*)?,?\s*$", "")
+    return lines.withColumn("value", text).where(F.col("value") != "")
 
 
 def variant_landing(spark: SparkSession, path: str, file: str | None = None, pattern: str | None = None,

@@ -23,7 +23,7 @@ def test_variant_landing(spark, tmp):
     _write(tmp + "/in", "b.json", '{"k":3}\n')
     d = variant_landing(spark, tmp + "/in").orderBy("origin_file_name", "origin_file_line").collect()
     assert [(r["origin_file_name"].rsplit("/", 1)[1], r["origin_file_line"]) for r in d] == [
-        ("a.json", 1), ("a.json", 2), ("a.json", 4), ("b.json", 1)]
+        ("a.json", 1), ("a.json", 2), ("a.json", 3), ("b.json", 1)]  # blank lines are not records
     assert d[1]["properties"] is None and d[1]["origin_str"] == '{"date":"2020-01-01"} junk'
     assert len({r["id"] for r in d}) == 4
     sel = variant_landing(spark, tmp + "/in", file="b.json").count()
@@ -35,6 +35,15 @@ def test_variant_landing(spark, tmp):
         file_predicate()
 
 
+def test_strip_outer_array(spark, tmp):
+    _write(tmp + "/arr", "a.json", '[\n{"k":1},\n{"k":2},\n{"k":3}\n]\n')
+    _write(tmp + "/arr", "b.json", '[{"k":4},\n{"k":5}]\n')
+    d = variant_landing(spark, tmp + "/arr", strip_outer_array=True).orderBy("origin_file_name", "origin_file_line")
+    got = [(r["origin_file_name"].rsplit("/", 1)[1], r["origin_file_line"], r["origin_str"]) for r in d.collect()]
+    assert got == [("a.json", 1, '{"k":1}'), ("a.json", 2, '{"k":2}'), ("a.json", 3, '{"k":3}'),
+                   ("b.json", 1, '{"k":4}'), ("b.json", 2, '{"k":5}')]
+
+
 def test_load_once(spark, tmp):
     _write(tmp + "/in", "a.json", "{}\n")
     _write(tmp + "/in", "b.json", "{}\n")
