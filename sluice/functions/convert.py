@@ -25,31 +25,37 @@ def let(value: Column, fn) -> Column:
     return F.element_at(F.transform(F.array(value), fn), 1)
 
 
-def _typed(v, fn) -> Column:
-    """``fn(kind, value)`` with the JSON kind of the variant computed once."""
+def _typed(v, fn, kind: Column | None = None) -> Column:
+    """``fn(kind, value)`` with the JSON kind of the variant computed once (or given)."""
+    if kind is not None:
+        return fn(kind, _col(v))
     return let(F.struct(variant_kind(v).alias("k"), _col(v).alias("v")), lambda x: fn(x["k"], x["v"]))
 
 
 def variant_kind(v) -> Column:
-    """Coarse JSON type of a variant: null, boolean, int, number, string, object, array."""
+    """Coarse JSON type of a variant: null, boolean, int, number, string, object, array.
+
+    Objects and arrays are recognised by a shallow cast (a full ``schema_of_variant``
+    would render the whole nested schema); scalars by their schema name.
+    """
     v = _col(v)
 
-    def kind(s):
+    def scalar(s):
         return (F.when(s.isNull() | (s == "VOID"), F.lit("null"))
                 .when(s == "BOOLEAN", F.lit("boolean"))
                 .when(s.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit("int"))
                 .when(s.startswith("DECIMAL") | s.isin("DOUBLE", "FLOAT"), F.lit("number"))
                 .when(s == "STRING", F.lit("string"))
-                .when(s.startswith("OBJECT"), F.lit("object"))
-                .when(s.startswith("ARRAY"), F.lit("array"))
                 .otherwise(F.lit("other")))
-    return let(F.schema_of_variant(v), kind)
+    return (F.when(F.try_variant_get(v, "$", "map<string,variant>").isNotNull(), F.lit("object"))
+             .when(F.try_variant_get(v, "$", "array<variant>").isNotNull(), F.lit("array"))
+             .otherwise(let(F.schema_of_variant(v), scalar)))
 
 
-def variant_text(v) -> Column:
+def variant_text(v, kind: Column | None = None) -> Column:
     """Python-like ``str(value)`` of a scalar variant (booleans print ``True`` / ``False``)."""
     return _typed(v, lambda k, x: F.when(k == "boolean", F.initcap(F.variant_get(x, "$", "string")))
-                  .otherwise(F.variant_get(x, "$", "string")))
+                  .otherwise(F.variant_get(x, "$", "string")), kind)
 
 
 def escape_text(s) -> Column:
@@ -61,9 +67,9 @@ def escape_text(s) -> Column:
     return out
 
 
-def map_string(v, length: int | None = None, is_variant: bool = True) -> Column:
+def map_string(v, length: int | None = None, is_variant: bool = True, kind: Column | None = None) -> Column:
     """Text of the value, escaped; longer than ``length`` -> first ``length-4`` chars + ``...``."""
-    txt = variant_text(v) if is_variant else _col(v)
+    txt = variant_text(v, kind) if is_variant else _col(v)
 
     def shorten(esc):
         if length is None:
@@ -73,7 +79,7 @@ def map_string(v, length: int | None = None, is_variant: bool = True) -> Column:
     return let(escape_text(txt), shorten)
 
 
-def map_int(v) -> Column:
+def map_int(v, kind: Column | None = None) -> Column:
     """Integer conversion: whole-number text, numbers truncated toward zero, booleans 1/0."""
     def conv(k, v):
         txt = F.variant_get(v, "$", "string")
@@ -81,25 +87,25 @@ def map_int(v) -> Column:
                 .when(k == "number", F.variant_get(v, "$", "double").try_cast("bigint"))
                 .when(k == "boolean", F.variant_get(v, "$", "boolean").cast("bigint"))
                 .when((k == "string") & txt.rlike(INT_TEXT), F.trim(txt).try_cast("bigint")))
-    return _typed(v, conv)
+    return _typed(v, conv, kind)
 
 
-def map_float(v) -> Column:
+def map_float(v, kind: Column | None = None) -> Column:
     def conv(k, v):
         txt = F.variant_get(v, "$", "string")
         return (F.when(k.isin("int", "number"), F.variant_get(v, "$", "double"))
                 .when(k == "boolean", F.variant_get(v, "$", "boolean").cast("double"))
                 .when((k == "string") & txt.rlike(FLOAT_TEXT), F.trim(txt).try_cast("double")))
-    return _typed(v, conv)
+    return _typed(v, conv, kind)
 
 
-def map_bool(v) -> Column:
+def map_bool(v, kind: Column | None = None) -> Column:
     """Truthiness: non-empty text, non-zero numbers, the boolean itself (``"false"`` is true)."""
     def conv(k, v):
         return (F.when(k == "boolean", F.variant_get(v, "$", "boolean"))
                 .when(k.isin("int", "number"), F.variant_get(v, "$", "double") != 0)
                 .when(k == "string", F.length(F.variant_get(v, "$", "string")) > 0))
-    return _typed(v, conv)
+    return _typed(v, conv, kind)
 
 
 def parse_iso_utc(s) -> Column:
@@ -117,8 +123,8 @@ def _parse_iso_utc(s: Column) -> Column:
     return let(ts, lambda t: F.when(s.rlike(OFFSET_SUFFIX) & (F.year(t) >= 1900), t))
 
 
-def map_datetime(v) -> Column:
-    return _typed(v, lambda k, x: F.when(k == "string", parse_iso_utc(F.variant_get(x, "$", "string"))))
+def map_datetime(v, kind: Column | None = None) -> Column:
+    return _typed(v, lambda k, x: F.when(k == "string", parse_iso_utc(F.variant_get(x, "$", "string"))), kind)
 
 
 def datetime_digits(s) -> Column:

@@ -21,30 +21,40 @@ ROOT = "root"
 _ENTRY = "struct<ord:array<int>,label:string,text:string,v:variant,k:string>"
 
 
-def _level(text: Column, label: Column, ord_: Column) -> Column:
-    """Entries of one JSON object: ``array<struct<ord, label, text, v>>`` in document order."""
-    as_text = F.map_entries(F.from_json(text, "map<string,string>"))
+def _level(text: Column, label: Column, ord_: Column, with_text: bool = True) -> Column:
+    """Entries of one JSON object: ``array<struct<ord, label, text, v, k>>`` in document order.
+
+    ``with_text=False`` (deepest level: nothing recurses from it) skips the raw-text parse.
+    """
     as_var = F.map_entries(F.from_json(text, "map<string,variant>"))
-    pairs = F.arrays_zip(as_text.alias("t"), as_var.alias("v"))
-    return F.transform(pairs, lambda p, i: F.struct(
+    if with_text:
+        as_text = F.map_entries(F.from_json(text, "map<string,string>"))
+        pairs = F.arrays_zip(as_text.alias("t"), as_var.alias("v"))
+        return F.transform(pairs, lambda p, i: F.struct(
+            F.concat(ord_, F.array(i.cast("int"))).alias("ord"),
+            F.concat(label, F.lit("."), F.lower(p["t"]["key"])).alias("label"),
+            p["t"]["value"].alias("text"),
+            p["v"]["value"].alias("v"),
+            variant_kind(p["v"]["value"]).alias("k")))
+    return F.transform(as_var, lambda e, i: F.struct(
         F.concat(ord_, F.array(i.cast("int"))).alias("ord"),
-        F.concat(label, F.lit("."), F.lower(p["t"]["key"])).alias("label"),
-        p["t"]["value"].alias("text"),
-        p["v"]["value"].alias("v"),
-        variant_kind(p["v"]["value"]).alias("k")))
+        F.concat(label, F.lit("."), F.lower(e["key"])).alias("label"),
+        F.lit(None).cast("string").alias("text"),
+        e["value"].alias("v"),
+        variant_kind(e["value"]).alias("k")))
 
 
-def _convert(f: Field, v: Column) -> Column:
+def _convert(f: Field, v: Column, kind: Column | None = None) -> Column:
     if f.kind == "string":
-        return map_string(v, f.length)
+        return map_string(v, f.length, kind=kind)
     if f.kind == "integer":
-        return map_int(v)
+        return map_int(v, kind)
     if f.kind == "float":
-        return map_float(v)
+        return map_float(v, kind)
     if f.kind == "boolean":
-        return map_bool(v)
+        return map_bool(v, kind)
     if f.kind == "datetime":
-        return map_datetime(v)
+        return map_datetime(v, kind)
     return F.variant_get(v, "$", f.spark_type.simpleString())
 
 
@@ -71,13 +81,14 @@ def flatten_by_mapping(df: DataFrame, json_col: str, mapping: dict[str, str], sp
 
     # each level is projected once and read by the next level (no re-evaluation of parents)
     cur = df.select(*keep, *[c.alias(f"_calc_{n}") for n, c in (calculated or {}).items()],
-                    _level(F.col(json_col), F.lit(ROOT), F.array().cast("array<int>")).alias("_l0"))
+                    _level(F.col(json_col), F.lit(ROOT), F.array().cast("array<int>"), depth > 1).alias("_l0"))
     carried = [f"_calc_{n}" for n in (calculated or {})]
     for d in range(1, depth):
         prev = F.col(f"_l{d - 1}")
         objects = F.filter(prev, lambda e: (e["k"] == "object") & e["label"].isin(*prefixes)) if prefixes \
             else F.array().cast(f"array<{_ENTRY}>")
-        nxt = F.flatten(F.transform(objects, lambda e: _level(e["text"], e["label"], e["ord"])))
+        last = d == depth - 1
+        nxt = F.flatten(F.transform(objects, lambda e: _level(e["text"], e["label"], e["ord"], not last)))
         cur = cur.select("*", nxt.alias(f"_l{d}"))
     levels = [F.col(f"_l{d}") for d in range(depth)]
     leaves = F.filter(F.concat(*levels) if len(levels) > 1 else levels[0],
@@ -97,7 +108,7 @@ def flatten_by_mapping(df: DataFrame, json_col: str, mapping: dict[str, str], sp
             out.append(F.lit(None).cast(f.spark_type).alias(f.name))
             continue
         cands = F.transform(F.filter("_leaves", lambda e: e["label"].isin(*sources)),
-                            lambda e: _convert(f, e["v"]).cast(f.spark_type))
+                            lambda e: _convert(f, e["v"], e["k"]).cast(f.spark_type))
         if f.kind in ("integer", "float", "boolean"):
             cands = F.filter(cands, lambda x: x.isNotNull())
         out.append(F.try_element_at(cands, F.lit(-1)).alias(f.name))

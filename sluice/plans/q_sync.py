@@ -118,7 +118,6 @@ def q_processed_count(spark, sf_dir):
 @query("lead_custom_attrs", LEADS_SQL + "SELECT hs_object_id, custom_json, error FROM payload")
 def q_lead_custom_attrs(spark, sf_dir):
     d = _leads(spark, sf_dir)
-    from ..operators.records import error_text  # noqa: F401
     return d.select("hs_object_id", sync.to_json_keep_nulls(sync.lead_custom_attrs()).alias("custom_json"),
                     F.array_join(sync.lead_errors(), "; ").alias("error"))
 
