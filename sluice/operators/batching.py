@@ -151,7 +151,7 @@ def batch_pack(df: DataFrame, size: int, order_by: list[str | Column] | None = N
         packed = numbered.groupBy(batch_col).agg(
             F.array_sort(F.collect_list(F.struct(F.col("batch_rank").alias("_r"),
                                                  F.struct(*cols).alias("_row")))).alias("_items"))
-        return packed.select(batch_col, F.size("_items").alias("n"),
+        return packed.select(batch_col, F.size("_items").cast("long").alias("n"),
                              F.transform("_items", lambda x: x["_row"]).alias("rows"))
     packed = numbered.groupBy(batch_col).agg(F.collect_list(F.struct(*cols)).alias("rows"))
-    return packed.select(batch_col, F.size("rows").alias("n"), "rows")
+    return packed.select(batch_col, F.size("rows").cast("long").alias("n"), "rows")
