@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import csv
 import io
-import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,21 +38,23 @@ def report_file_pick(files: DataFrame, prefix: str, dates: DataFrame, name_col:
                      date_col: str = "report_date") -> DataFrame:
     """For each date: the file named like ``<prefix>*<yyyymmdd>*CSV`` without ``_TEST`` (min name).
 
-    An equi-join on every 8-digit window of a name replaces a pattern join;
-    the full (case-sensitive, whole-name) pattern is checked afterwards.
+    The name pattern is checked by position: every 8-digit window of a name
+    that starts after the prefix and ends before the ``CSV`` suffix is a
+    candidate date, so the match is an equi-join on the date (no pattern
+    join, no per-row regex). Case-sensitive, whole name.
     """
     name = F.col(name_col)
+    lo, suffix = len(prefix) + 1, 3
     cands = files.where(~name.contains("_TEST") & name.startswith(prefix) & name.endswith("CSV"))
+    last_start = F.length(name) - suffix - 8 + 1
     windows = F.filter(
-        F.transform(F.sequence(F.lit(1), F.greatest(F.length(name) - 7, F.lit(1))),
-                    lambda i: name.substr(i, F.lit(8))),
-        lambda w: w.rlike("^[0-9]{8}$"))
-    cands = cands.select(name.alias("_name"), F.explode(F.array_distinct(windows)).alias("_ymd"))
+        F.transform(F.sequence(F.lit(lo), F.greatest(last_start, F.lit(lo))),
+                    lambda i: F.struct(i.alias("i"), name.substr(i, F.lit(8)).alias("w"))),
+        lambda x: (x["i"] <= last_start) & x["w"].rlike("^[0-9]{8}$"))
+    cands = cands.select(name.alias("_name"), F.explode(F.array_distinct(
+        F.transform(windows, lambda x: x["w"]))).alias("_ymd"))
     d = dates.select(F.col(date_col), F.date_format(F.col(date_col), "yyyyMMdd").alias("_ymd"))
-    joined = d.join(cands, "_ymd")
-    pattern = F.concat(F.lit("^" + re.escape(prefix) + ".*"), F.col("_ymd"), F.lit(".*CSV$"))
-    joined = joined.where(F.regexp_like(F.col("_name"), pattern))
-    picked = joined.groupBy(date_col).agg(F.min("_name").alias(name_col))
+    picked = d.join(cands, "_ymd").groupBy(date_col).agg(F.min("_name").alias(name_col))
     return dates.select(date_col).distinct().join(picked, date_col, "left")
 
 

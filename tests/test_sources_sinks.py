@@ -137,3 +137,17 @@ def test_stream_load_new_files_only(spark, tmp):
     load_new_files(spark, src, sink, ckpt)
     load_new_files(spark, src, sink, ckpt)
     assert sorted(r["value"] for r in spark.read.parquet(sink).collect()) == ["1", "2", "3"]
+
+
+def test_stream_incremental_parquet(spark, tmp):
+    from sluice.streaming.incremental import high_water_stream
+
+    src, sink, ckpt = tmp + "/src", tmp + "/sink", tmp + "/ckpt"
+    schema = "id long, modified timestamp"
+    spark.createDataFrame([(1, None), (2, None)], schema).write.parquet(src + "/a")
+    first = high_water_stream(spark, src + "/a", sink, ckpt, "modified", schema)
+    spark.createDataFrame([(3, None)], schema).write.mode("append").parquet(src + "/a")
+    second = high_water_stream(spark, src + "/a", sink, ckpt, "modified", schema)
+    third = high_water_stream(spark, src + "/a", sink, ckpt, "modified", schema)
+    assert (first, second, third) == (1, 1, 0)
+    assert sorted(r["id"] for r in spark.read.parquet(sink).collect()) == [1, 2, 3]
