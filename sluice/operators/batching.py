@@ -95,6 +95,8 @@ def _with_ranges(df: DataFrame, keys: list[str], partitions: int) -> DataFrame:
         probs = [i / ranges for i in range(1, ranges)]
         qs = x.approxQuantile("_x", probs, min(0.01, 0.25 / ranges)) if total and probs else []
         inner = sorted({q for q in qs if q not in (float("inf"), float("-inf"))})
+        if not inner:  # empty input or one range
+            return df.withColumn("_range", F.lit(0))
         splits = [float("-inf")] + inner + [float("inf")]
         b = Bucketizer(splits=splits, inputCol="_x", outputCol="_rb", handleInvalid="keep")
         return b.transform(x).withColumn("_range", F.col("_rb").cast("int")).drop("_x", "_rb")
