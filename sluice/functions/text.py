@@ -8,12 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values (must equal the reference's behaviour):
-# - safe file-name characters are word characters, period and hyphen
+# - safe file-name characters are word characters (letters, numbers, underscore, as in
+#   Python's Unicode \w), period and hyphen
 # - the course key namespace that is dropped is "course-v1:"; a key has
 #   exactly three parts (org, course, run) made of word characters, "-", "~", ".", ":"
 COURSE_KEY_NAMESPACE = "course-v1:"
-COURSE_KEY_PART = r"[\w\-~.:]+"
-UNSAFE_FILENAME_CHARS = r"[^\w.\-]"
+WORD = r"\p{L}\p{N}_"
+COURSE_KEY_PART = r"[" + WORD + r"\-~.:]+"
+UNSAFE_FILENAME_CHARS = r"[^" + WORD + r".\-]"
 
 
 def _col(c) -> Column:
@@ -29,9 +31,9 @@ def safe_course_id(c, repl: str = "_") -> Column:
     c = _col(c)
     part = COURSE_KEY_PART
     # namespace dropped only when the rest is a valid three part key
-    new_style = "(?U)^" + re.escape(COURSE_KEY_NAMESPACE) + f"(?={part}\\+{part}\\+{part}$)"
+    new_style = "^" + re.escape(COURSE_KEY_NAMESPACE) + f"(?={part}\\+{part}\\+{part}$)"
     body = F.regexp_replace(c, new_style, "")
-    return F.regexp_replace(body, "(?U)" + UNSAFE_FILENAME_CHARS, repl.replace("\\", "\\\\").replace("$", "\\$"))
+    return F.regexp_replace(body, UNSAFE_FILENAME_CHARS, repl.replace("\\", "\\\\").replace("$", "\\$"))
 
 
 def url_path(c) -> Column:

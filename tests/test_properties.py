@@ -11,7 +11,7 @@ from sluice.operators.batching import batch_pack, global_rank
 from sluice.operators.spines import date_spine, missing_slices
 from sluice.spec import BooleanField, DateTimeField, FloatField, IntegerField, RecordSpec, StringField
 
-SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=int(__import__("os").environ.get("PROPERTY_EXAMPLES", "8")), deadline=None, suppress_health_check=list(HealthCheck))
 
 SPEC = RecordSpec(IntegerField("id"), StringField("s"), BooleanField("b"), DateTimeField("t"), FloatField("f"))
 text = st.text(alphabet=st.characters(blacklist_categories=("Cs",), blacklist_characters="\t\n\r\x00"),
@@ -63,3 +63,64 @@ def test_rank_is_sorted_order(spark, keys, parts):
     df = spark.createDataFrame(keys, "a long, b long").repartition(3)
     got = {(r["a"], r["b"]): r["rank"] for r in global_rank(df, ["a", "b"], "rank", partitions=parts).collect()}
     assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.text(alphabet="ab xy", max_size=25), max_size=40), min_size=1, max_size=3),
+       st.integers(16, 300))
+def test_line_numbers_across_splits(spark, files, split_bytes):
+    import os
+    import tempfile
+
+    from sluice.sources.files import numbered_lines
+
+    d = tempfile.mkdtemp(prefix="sluice-lines-")
+    for i, lines in enumerate(files):
+        with open(os.path.join(d, f"f{i}.txt"), "w") as f:
+            f.write("".join(x + "\n" for x in lines))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = numbered_lines(spark, d).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    by_file = {}
+    for r in got:
+        by_file.setdefault(os.path.basename(r["file_path"]), []).append((r["line"], r["value"]))
+    for i, lines in enumerate(files):
+        assert sorted(by_file.get(f"f{i}.txt", [])) == [(n + 1, x) for n, x in enumerate(lines)]
+
+
+segment = st.text(alphabet="abz09._;-", max_size=8)
+
+
+@SETTINGS
+@given(st.lists(segment, max_size=4), st.booleans(), st.booleans(), st.sampled_from(["http", "https", ""]))
+def test_url_file_stem_matches_python(spark, segs, query, frag, scheme):
+    from os.path import basename, splitext
+    from urllib.parse import urlparse
+
+    from sluice.functions.text import url_file_stem
+
+    url = (f"{scheme}://h.example.org" if scheme else "") + "/" + "/".join(segs) + ("?a=1.b" if query else "") \
+        + ("#x.y" if frag else "")
+    got = spark.createDataFrame([(url,)], "u string").select(url_file_stem("u")).first()[0]
+    assert got == splitext(basename(urlparse(url).path))[0], url
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet=st.characters(max_codepoint=0x2FFF, blacklist_categories=("Cs",)), max_size=15),
+                min_size=1, max_size=20))
+def test_safe_id_matches_python_for_unparsable_ids(spark, ids):
+    import re
+
+    from sluice.functions.text import safe_course_id
+
+    ids = [i for i in ids if not i.startswith("course-v1:")]
+    if not ids:
+        return
+    rows = spark.createDataFrame([(i,) for i in ids], "v string").select("v", safe_course_id("v").alias("s")).collect()
+    for r in rows:
+        assert r["s"] == re.sub(r"[^\w\.\-]", "_", r["v"]), repr(r["v"])
