@@ -19,6 +19,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip_ws(c) -> Column:
+    """Remove leading / trailing whitespace of any kind (``trim`` removes only spaces)."""
+    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+
+
 def let(value: Column, fn) -> Column:
     """Evaluate ``value`` once and pass it to ``fn`` (a lambda binding; subexpressions inside
     conditional branches are otherwise evaluated once per reference)."""
@@ -86,7 +91,7 @@ def map_int(v, kind: Column | None = None) -> Column:
         return (F.when(k == "int", F.variant_get(v, "$", "bigint"))
                 .when(k == "number", F.variant_get(v, "$", "double").try_cast("bigint"))
                 .when(k == "boolean", F.variant_get(v, "$", "boolean").cast("bigint"))
-                .when((k == "string") & txt.rlike(INT_TEXT), F.trim(txt).try_cast("bigint")))
+                .when((k == "string") & txt.rlike(INT_TEXT), strip_ws(txt).try_cast("bigint")))
     return _typed(v, conv, kind)
 
 
@@ -95,7 +100,7 @@ def map_float(v, kind: Column | None = None) -> Column:
         txt = F.variant_get(v, "$", "string")
         return (F.when(k.isin("int", "number"), F.variant_get(v, "$", "double"))
                 .when(k == "boolean", F.variant_get(v, "$", "boolean").cast("double"))
-                .when((k == "string") & txt.rlike(FLOAT_TEXT), F.trim(txt).try_cast("double")))
+                .when((k == "string") & txt.rlike(FLOAT_TEXT), strip_ws(txt).try_cast("double")))
     return _typed(v, conv, kind)
 
 

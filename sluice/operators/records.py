@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.convert import FLOAT_TEXT, INT_TEXT, datetime_digits, variant_kind
+from ..functions.convert import FLOAT_TEXT, INT_TEXT, datetime_digits, strip_ws, variant_kind
 from ..spec import Field, RecordSpec
 
 # Validation messages
@@ -132,7 +132,7 @@ def _json_field(f: Field, v: Column, k: Column) -> tuple[Column, list[tuple[Colu
         ok = k.isin("int", "number", "boolean") | ((k == "string") & txt.rlike(FLOAT_TEXT))
         val = F.when(k.isin("int", "number"), F.variant_get(v, "$", "double")).when(
             k == "boolean", F.variant_get(v, "$", "boolean").cast("double")).when(
-            (k == "string") & txt.rlike(FLOAT_TEXT), F.trim(txt).try_cast("double"))
+            (k == "string") & txt.rlike(FLOAT_TEXT), strip_ws(txt).try_cast("double"))
         return val, [(present & ~ok, MSG_NOT_FLOAT)]
     if f.kind == "date":
         d = F.when((k == "string") & txt.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), F.to_date(txt.try_cast("date")))
@@ -221,10 +221,10 @@ def decode_field(f: Field, s: Column) -> tuple[Column, list[tuple[Column, str]]]
         return s == "1", []
     if f.kind == "integer":
         ok = s.rlike(INT_TEXT)
-        return F.when(ok, F.trim(s).try_cast("bigint")), [(s.isNotNull() & ~ok, MSG_NOT_INT)]
+        return F.when(ok, strip_ws(s).try_cast("bigint")), [(s.isNotNull() & ~ok, MSG_NOT_INT)]
     if f.kind == "float":
         ok = s.rlike(FLOAT_TEXT)
-        return F.when(ok, F.trim(s).try_cast("double")), [(s.isNotNull() & ~ok, MSG_NOT_FLOAT)]
+        return F.when(ok, strip_ws(s).try_cast("double")), [(s.isNotNull() & ~ok, MSG_NOT_FLOAT)]
     if f.kind == "date":
         p = F.split(s, "-", -1)
         d = F.when(F.size(p) == 3, F.try_make_timestamp_ntz(

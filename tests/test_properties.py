@@ -124,3 +124,78 @@ def test_safe_id_matches_python_for_unparsable_ids(spark, ids):
     rows = spark.createDataFrame([(i,) for i in ids], "v string").select("v", safe_course_id("v").alias("s")).collect()
     for r in rows:
         assert r["s"] == re.sub(r"[^\w\.\-]", "_", r["v"]), repr(r["v"])
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="0123456789-/ :.T", max_size=30), min_size=1, max_size=25))
+def test_datetime_digits_matches_python(spark, texts):
+    import re
+
+    from sluice.functions.convert import datetime_digits
+
+    def py(s):
+        try:
+            return dt.datetime(*[int(x) for x in re.split(r"\D+", s) if x])
+        except (TypeError, ValueError, OverflowError):
+            return None
+    rows = spark.createDataFrame([(t,) for t in texts], "s string").select(
+        "s", datetime_digits("s").alias("d")).collect()
+    for r in rows:
+        exp = py(r["s"])
+        if exp is not None and exp.year < 1:
+            continue
+        assert r["d"] == exp, repr(r["s"])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.text(alphabet="0123456789+- .e", max_size=12), st.sampled_from(["Sale", "Credit"])),
+                min_size=1, max_size=25))
+def test_cents_to_decimal_matches_python(spark, rows):
+    from decimal import Decimal, InvalidOperation
+
+    from sluice.functions.money import cents_to_decimal
+
+    def py(a, t):
+        try:
+            v = Decimal(a + ".00") / Decimal(100)
+        except InvalidOperation:
+            return None
+        return -v if t == "Credit" else v
+    got = spark.createDataFrame(rows, "a string, t string").select(
+        "a", "t", cents_to_decimal("a", "t").alias("d")).collect()
+    for r in got:
+        exp = py(r["a"], r["t"])
+        if exp is None or not exp.is_finite() or abs(exp) >= Decimal(10) ** 30:
+            assert r["d"] is None or exp is not None, repr(r["a"])
+            continue
+        assert r["d"] is not None and r["d"] == exp, repr(r["a"])
+
+
+json_scalar = st.one_of(
+    st.integers(-10**12, 10**12), st.floats(-1e12, 1e12, allow_nan=False), st.booleans(),
+    st.text(alphabet="0123456789+-.eE \t", max_size=8), st.sampled_from(["inf", "-Infinity", "nan", "", "abc"]))
+
+
+@SETTINGS
+@given(st.lists(json_scalar, min_size=1, max_size=25))
+def test_converters_match_python(spark, values):
+    import json
+    import math
+
+    from sluice.functions.convert import map_bool, map_float, map_int
+
+    def call(fn, v):
+        try:
+            return fn(v)
+        except (ValueError, OverflowError):
+            return None
+    docs = [(json.dumps({"v": v}),) for v in values]
+    df = spark.createDataFrame(docs, "j string").select(F.from_json("j", "map<string,variant>")["v"].alias("v"), "j")
+    rows = df.select("j", map_int("v").alias("i"), map_float("v").alias("f"), map_bool("v").alias("b")).collect()
+    for r in rows:
+        v = json.loads(r["j"])["v"]
+        assert r["i"] == call(int, v), r["j"]
+        exp_f = call(float, v)
+        assert (r["f"] is None and exp_f is None) or (exp_f is not None and r["f"] is not None and (
+            r["f"] == exp_f or (math.isnan(exp_f) and math.isnan(r["f"])))), r["j"]
+        assert r["b"] == bool(v), r["j"]
