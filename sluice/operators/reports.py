@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import cents_error, cents_to_decimal, transaction_type
+from .sizing import broadcast_if_small
 
 # Report row types and layout
 ROW_TYPE_COL = "CH"
@@ -109,11 +110,10 @@ def control_total_check(rows: DataFrame, check_col: str, file_col: str = "file_p
         F.min("line").alias("_first_sf"), F.min_by(F.col(check_col), F.col("line")).alias("_check"))
     # one row per file with a footer: materialised once, broadcast when its size is proven small,
     # so body rows are never shuffled by file (a hot file cannot skew the join)
-    footers = footers.checkpoint(eager=True)
-    small = footers.count() <= FOOTER_BROADCAST_ROWS
+    footers = broadcast_if_small(footers, FOOTER_BROADCAST_ROWS)
     files = (files if files is not None else rows).select(file_col).distinct()
     bodies = rows.where(ct == BODY).select(file_col, "line")
-    counted = bodies.join(F.broadcast(footers) if small else footers, file_col, "left").where(
+    counted = bodies.join(footers, file_col, "left").where(
         F.col("_first_sf").isNull() | (F.col("line") < F.col("_first_sf"))
     ).groupBy(file_col).agg(F.count(F.lit(1)).alias("found"))
     out = files.join(footers, file_col, "left").join(counted, file_col, "left")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import cents_error, transaction_type, transaction_type_error
 from ..operators import reports as R
+from ..operators.sizing import broadcast_if_small
 from ..sources.files import numbered_lines
 from . import derive
 from .registry import query
@@ -44,8 +45,8 @@ def _report_rows(spark, sf_dir):
     lines = numbered_lines(spark, root, keep=["report_date", "part"])
     cols = R.header_columns(R.report_header(spark, root))
     rows = R.report_rows(lines, cols)
-    dates = lines.select("file_path", F.col("report_date").cast("string").alias("rd"),
-                         F.col("part").cast("long").alias("part")).distinct()
+    dates = broadcast_if_small(lines.select("file_path", F.col("report_date").cast("string").alias("rd"),
+                                            F.col("part").cast("long").alias("part")).distinct())
     return rows, dates, cols
 
 
@@ -57,7 +58,7 @@ SELECT strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS report_date, CAS
 FROM lineitem""")
 def q_report_body(spark, sf_dir):
     rows, dates, cols = _report_rows(spark, sf_dir)
-    body = R.report_body(rows.join(F.broadcast(dates), "file_path"), F.col("rd"), cols)
+    body = R.report_body(rows.join(dates, "file_path"), F.col("rd"), cols)
     return body.select("report_date", "order_key", "line_no", "qty", "amount_cents", "flag", "note")
 
 
@@ -75,7 +76,7 @@ FROM e""")
 def q_control_total_check(spark, sf_dir):
     rows, dates, _ = _report_rows(spark, sf_dir)
     checked = R.control_total_check(rows, "row_count", files=dates)
-    return checked.join(F.broadcast(dates), "file_path").select(F.col("rd").alias("report_date"), "part", "found",
+    return checked.join(dates, "file_path").select(F.col("rd").alias("report_date"), "part", "found",
                                                                 "expected", "ok")
 
 

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..operators.sizing import broadcast_if_small
 from ..session import path_exists
 
 
@@ -32,8 +33,9 @@ def dated_report_sink(df: DataFrame, path: str, date_col: str = "report_date",
     spark = df.sparkSession
     todo = df
     if not overwrite:
-        present = present_partitions(spark, path, date_col)
-        todo = df.join(F.broadcast(present), df[date_col].cast("string") == present[date_col], "left_anti")
+        # one row per partition folder already written: broadcast once its size is checked
+        present = broadcast_if_small(present_partitions(spark, path, date_col))
+        todo = df.join(present, df[date_col].cast("string") == present[date_col], "left_anti")
     obs = Observation(f"dated_{uuid.uuid4().hex[:8]}")
     (todo.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).format(fmt).save(path))
