@@ -29,19 +29,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_LOCAL_ROOTS: dict[int, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     When the session does not name one (local tests), a private folder is
-    created and registered, so every later call sees the same root.
+    created and registered as the context's checkpoint dir, so every later
+    call sees the same root.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_CONF, None) or _LOCAL_ROOTS.get(id(sc))
     if not root:
         root = tempfile.mkdtemp(prefix="sluice-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        _LOCAL_ROOTS[id(sc)] = root
+        try:
+            spark.conf.set(CHECKPOINT_CONF, root)
+        except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
+            pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 

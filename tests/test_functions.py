@@ -89,3 +89,30 @@ def test_converters(spark):
 def test_map_string_truncates(spark):
     assert one(spark, C.map_string("v", 10, is_variant=False), "abcdefghijkl") == "abcdef..."
     assert one(spark, C.map_string("v", is_variant=False), "a\x00b") == "a\\0b"
+
+
+def test_checkpoint_root_when_unset():
+    from sluice.session import checkpoint_root
+
+    class Conf:
+        def get(self, k, d=None):
+            return d
+
+        def set(self, k, v):
+            raise RuntimeError("read-only")
+
+    class Ctx:
+        dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class Session:
+        conf, sparkContext = Conf(), Ctx()
+
+    s = Session()
+    root = checkpoint_root(s)
+    assert root and s.sparkContext.dir == root and checkpoint_root(s) == root
