@@ -25,7 +25,7 @@ def _col(c) -> Column:
 def safe_course_id(c, repl: str = "_") -> Column:
     """Course id usable in a file path: drop the key namespace, replace unsafe characters.
 
-    ``course-v1:edX+DemoX+2015`` and ``edX/DemoX/2015`` both give ``edX_DemoX_2015``;
+    ``course-v1:OrgX+DemoX+2015`` and ``OrgX/DemoX/2015`` both give ``OrgX_DemoX_2015``;
     an unparsable id keeps its text (only unsafe characters are replaced).
     """
     c = _col(c)

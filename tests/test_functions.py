@@ -12,12 +12,12 @@ def one(spark, expr, value, ddl="v string"):
 
 
 def test_safe_course_id(spark):
-    assert one(spark, X.safe_course_id("v"), "course-v1:edX+DemoX+2015") == "edX_DemoX_2015"
-    assert one(spark, X.safe_course_id("v"), "edX/DemoX/2015") == "edX_DemoX_2015"
+    assert one(spark, X.safe_course_id("v"), "course-v1:OrgX+DemoX+2015") == "OrgX_DemoX_2015"
+    assert one(spark, X.safe_course_id("v"), "OrgX/DemoX/2015") == "OrgX_DemoX_2015"
     assert one(spark, X.safe_course_id("v"), "not a key") == "not_a_key"
     assert one(spark, X.safe_course_id("v", "-"), "not a key") == "not-a-key"
     assert one(spark, X.safe_course_id("v"), "course-v1:Ünï+DemoX+2015") == "Ünï_DemoX_2015"
-    assert one(spark, X.safe_course_id("v"), "library-v1:edX+lib") == "library-v1_edX_lib"
+    assert one(spark, X.safe_course_id("v"), "library-v1:OrgX+lib") == "library-v1_OrgX_lib"
 
 
 def test_url_file_stem(spark):
