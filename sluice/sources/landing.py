@@ -38,11 +38,14 @@ def _records(spark, path, file, pattern, strip_outer_array, recursive, keep):
 
 def variant_landing(spark: SparkSession, path: str, file: str | None = None, pattern: str | None = None,
                     strip_outer_array: bool = False, recursive: bool = False, id_offset: int = 0,
-                    keep: list[str] | None = None) -> DataFrame:
+                    keep: list[str] | None = None, date_property: str | None = None) -> DataFrame:
     """Load JSON records as ``(id, load_time, origin_file_name, origin_file_line, origin_str, properties)``.
 
     Invalid JSON keeps its ``origin_str`` and gets a NULL ``properties``.
     ``id`` is unique (not dense) above ``id_offset`` (pass the target's max id).
+    ``date_property`` promotes ``date(properties:<prop>)`` to a real ``slice_date``
+    column (``yyyy-MM-dd``), so a target can be partitioned by its slices and a
+    guarded reload replaces one partition instead of rewriting the table.
     """
     rec = _records(spark, path, file, pattern, strip_outer_array, recursive, keep)
     return rec.select(
@@ -53,13 +56,24 @@ def variant_landing(spark: SparkSession, path: str, file: str | None = None, pat
         F.col("value").alias("origin_str"),
         strict_json("value").alias("properties"),
         *(keep or []),
-    )
+    ).transform(lambda d: _with_slice_date(d, "properties", date_property, cast_date=True))
+
+
+def _with_slice_date(df: DataFrame, col: str, prop: str | None, cast_date: bool) -> DataFrame:
+    if not prop:
+        return df
+    v = F.try_variant_get(F.col(col), f"$.{prop}", "date" if cast_date else "string")
+    return df.withColumn("slice_date", F.date_format(v, "yyyy-MM-dd") if cast_date else v)
 
 
 def session_landing(spark: SparkSession, path: str, ga_view_id: str, pattern: str = ".*",
                     file: str | None = None, recursive: bool = False, id_offset: int = 0,
-                    keep: list[str] | None = None) -> DataFrame:
-    """Load one date of session records, tagged with the source dataset ``ga_view_id``."""
+                    keep: list[str] | None = None, date_key: str | None = None) -> DataFrame:
+    """Load one date of session records, tagged with the source dataset ``ga_view_id``.
+
+    ``date_key`` promotes the session's date text (string, as the slice predicate
+    compares it) to a ``slice_date`` column for partitioning the target.
+    """
     rec = _records(spark, path, file, pattern, False, recursive, keep)
     return rec.select(
         (F.lit(id_offset).cast("long") + F.monotonically_increasing_id() + 1).alias("id"),
@@ -69,4 +83,4 @@ def session_landing(spark: SparkSession, path: str, ga_view_id: str, pattern: st
         F.lit(ga_view_id).alias("ga_view_id"),
         strict_json("value").alias("session"),
         *(keep or []),
-    )
+    ).transform(lambda d: _with_slice_date(d, "session", date_key, cast_date=False))

@@ -151,3 +151,21 @@ def test_stream_incremental_parquet(spark, tmp):
     third = high_water_stream(spark, src + "/a", sink, ckpt, "modified", schema)
     assert (first, second, third) == (1, 1, 0)
     assert sorted(r["id"] for r in spark.read.parquet(sink).collect()) == [1, 2, 3]
+
+
+def test_landing_into_partitioned_target(spark, tmp):
+    src = tmp + "/in"
+    _write(src, "d1.json", '{"date":"2020-01-01 10:00:00","k":1}\n{"date":"2020-01-02","k":2}\n')
+    target = tmp + "/landing"
+    first = variant_landing(spark, src, date_property="date").drop("properties")
+    guard.guarded_slice_load(spark, target, first, None, partition_col="slice_date")
+    _write(tmp + "/in2", "d2.json", '{"date":"2020-01-02T08:00:00","k":20}\n')
+    again = variant_landing(spark, tmp + "/in2", date_property="date").drop("properties")
+    pred = F.col("slice_date") == "2020-01-02"
+    st = guard.guarded_slice_load(spark, target, again, pred, overwrite=True, partition_col="slice_date").first()
+    assert st["action"] == "replaced"
+    got = sorted((str(r["slice_date"]), r["origin_str"]) for r in spark.read.parquet(target).collect())
+    assert got == [("2020-01-01", '{"date":"2020-01-01 10:00:00","k":1}'),
+                   ("2020-01-02", '{"date":"2020-01-02T08:00:00","k":20}')]
+    sess = variant_landing(spark, src, date_property=None)
+    assert "slice_date" not in sess.columns
