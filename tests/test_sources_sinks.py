@@ -169,3 +169,48 @@ def test_landing_into_partitioned_target(spark, tmp):
                    ("2020-01-02", '{"date":"2020-01-02T08:00:00","k":20}')]
     sess = variant_landing(spark, src, date_property=None)
     assert "slice_date" not in sess.columns
+
+
+def test_export_options(spark, tmp):
+    import glob
+
+    df = spark.createDataFrame([(1, bytearray(b"\x01\xff")), (2, None)], "id int, b binary")
+    X.delimited_export(df, tmp + "/hex", binary_format="HEX")
+    assert sorted(r[0] for r in spark.read.text(tmp + "/hex").collect()) == ["1,01FF", "2,\\N"]
+    X.delimited_export(df, tmp + "/b64", binary_format="BASE64", null_marker="NULL")
+    assert sorted(r[0] for r in spark.read.text(tmp + "/b64").collect()) == ["1,Af8=", "2,NULL"]
+    many = spark.range(0, 400, 1, 4).withColumn("s", F.lit("x" * 20))
+    X.delimited_export(many, tmp + "/one", single=True)
+    assert len(glob.glob(tmp + "/one/part-*")) == 1
+    X.delimited_export(many, tmp + "/capped", max_file_bytes=2000)
+    files = glob.glob(tmp + "/capped/part-*")
+    assert len(files) > 4 and sum(1 for f in files for _ in open(f)) == 400
+
+
+def test_manifest_missing_mandatory(spark, tmp):
+    import json
+
+    os.makedirs(tmp + "/m/manifest.json", exist_ok=True)
+    with open(tmp + "/m/manifest.json/part-0.json", "w") as f:
+        f.write(json.dumps({"entries": [{"url": tmp + "/m/nope.csv", "mandatory": True}]}) + "\n")
+    with pytest.raises(FileNotFoundError):
+        manifest_load(spark, tmp + "/m", "a int")
+
+
+def test_ndjson_gzip_one_date(spark, tmp):
+    import glob
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    st = X.ndjson_gzip_export(df, tmp + "/ga", "views", "20200101").first()
+    assert st["rows"] == 2
+    files = glob.glob(tmp + "/ga/dataset=views/date=20200101/*.json.gz")
+    assert files and spark.read.json(tmp + "/ga").count() == 2
+
+
+def test_record_replace_unknown_field(spark):
+    from sluice.operators.records import record_replace
+    from sluice.spec import IntegerField, RecordSpec
+
+    spec = RecordSpec(IntegerField("id"))
+    with pytest.raises(TypeError, match="Unknown fields specified: nope"):
+        record_replace(spark.createDataFrame([(1,)], "id long"), spec, nope=F.lit(1))
