@@ -90,7 +90,7 @@ def numbered_lines(spark: SparkSession, path: str | list[str], file: str | None
         raw = read_text(spark, path, recursive)
     if skip_blank:
         # before the position id: positions stay contiguous among the kept lines of a split
-        raw = raw.where(F.trim("value") != "")
+        raw = raw.where(~F.col("value").rlike(r"^\s*$"))
     if line_filter is not None:
         raw = raw.where(line_filter)
     tagged = raw.select(
