@@ -93,9 +93,6 @@ def flatten_by_mapping(df: DataFrame, json_col: str, mapping: dict[str, str], sp
     levels = [F.col(f"_l{d}") for d in range(depth)]
     leaves = F.filter(F.concat(*levels) if len(levels) > 1 else levels[0],
                       lambda e: e["label"].isin(*paths.keys()) & ~e["k"].isin("object", "array", "null"))
-    # document order: compare the position paths only (VARIANT values are not orderable)
-    leaves = F.array_sort(leaves, lambda a, b: F.when(a["ord"] < b["ord"], -1).when(a["ord"] > b["ord"], 1)
-                          .otherwise(0))
     calc = calculated or {}
     base = cur.select(*keep, *carried, leaves.alias("_leaves"))
     out = []
@@ -107,9 +104,12 @@ def flatten_by_mapping(df: DataFrame, json_col: str, mapping: dict[str, str], sp
         if not sources:
             out.append(F.lit(None).cast(f.spark_type).alias(f.name))
             continue
+        # (document position, converted value): the last source in document order is the
+        # candidate with the greatest position (positions are distinct paths of indexes)
         cands = F.transform(F.filter("_leaves", lambda e: e["label"].isin(*sources)),
-                            lambda e: _convert(f, e["v"], e["k"]).cast(f.spark_type))
+                            lambda e: F.struct(e["ord"].alias("ord"),
+                                               _convert(f, e["v"], e["k"]).cast(f.spark_type).alias("val")))
         if f.kind in ("integer", "float", "boolean"):
-            cands = F.filter(cands, lambda x: x.isNotNull())
-        out.append(F.try_element_at(cands, F.lit(-1)).alias(f.name))
+            cands = F.filter(cands, lambda x: x["val"].isNotNull())
+        out.append(F.array_max(cands)["val"].alias(f.name))
     return base.select(*keep, *out)
