@@ -37,6 +37,64 @@ def _typed(v, fn, kind: Column | None = None) -> Column:
     return let(F.struct(variant_kind(v).alias("k"), _col(v).alias("v")), lambda x: fn(x["k"], x["v"]))
 
 
+def _shortest_text(d: Column) -> Column:
+    """Round-trip digits of a double. The JVM's own text can carry a digit too many (a known JDK 17
+    flaw), so the double is rendered with 15, 16 and 17 significant digits and the first that
+    parses back to the same double wins (trailing zeros are dropped later)."""
+    c15 = F.format_string("%.14e", d)
+    c16 = F.format_string("%.15e", d)
+    c17 = F.format_string("%.16e", d)
+    return (F.when(c15.cast("double") == d, c15)
+            .when(c16.cast("double") == d, c16)
+            .when(c17.cast("double") == d, c17)
+            .otherwise(d.cast("string")))
+
+
+def _float_parts(txt: Column) -> Column:
+    """``struct(neg, sig, sci)``: sign, significant digits and decimal exponent of a number text."""
+    body = F.regexp_replace(txt, "^-", "")
+    mant = F.regexp_extract(body, r"^([0-9.]+)", 1)
+    exp = F.coalesce(F.regexp_extract(body, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+    ip = F.regexp_extract(mant, r"^([0-9]*)", 1)
+    digits = F.concat(ip, F.regexp_extract(mant, r"\.([0-9]*)$", 1))
+    lead = F.length(F.regexp_extract(digits, r"^(0*)", 1))
+    return F.struct(txt.startswith("-").alias("neg"),
+                    F.regexp_replace(F.regexp_replace(digits, r"^0+", ""), r"0+$", "").alias("sig"),
+                    (F.length(ip) + exp - lead - 1).alias("sci"))
+
+
+def _python_format(p: Column) -> Column:
+    sig, sci = p["sig"], p["sci"]
+    n = F.length(sig)
+    int_len = sci + 1
+    frac = F.when(n > int_len, sig.substr(int_len + 1, n)).otherwise(F.lit("0"))
+    plain_pos = F.concat(F.rpad(F.substring(sig, 1, int_len), int_len, "0"), F.lit("."), frac)
+    plain_neg = F.concat(F.lit("0."), F.repeat(F.lit("0"), -sci - 1), sig)
+    scientific = F.concat(F.substring(sig, 1, 1),
+                          F.when(n > 1, F.concat(F.lit("."), sig.substr(F.lit(2), n))).otherwise(F.lit("")),
+                          F.lit("e"), F.when(sci < 0, F.lit("-")).otherwise(F.lit("+")),
+                          F.when(F.abs(sci) < 10, F.concat(F.lit("0"), F.abs(sci).cast("string")))
+                          .otherwise(F.abs(sci).cast("string")))
+    body = (F.when(sig == "", F.lit("0.0"))
+            .when((sci >= 0) & (sci < 16), plain_pos)
+            .when((sci < 0) & (sci >= -4), plain_neg)
+            .otherwise(scientific))
+    return F.concat(F.when(p["neg"], F.lit("-")).otherwise(F.lit("")), body)
+
+
+def python_float_text(d) -> Column:
+    """Text of a double the way Python prints a float: shortest round-trip digits, plain notation
+    for decimal exponents -4..15 (always with a fraction: ``3.0``), otherwise ``1.5e+16`` /
+    ``2.5e-08``; ``nan``, ``inf``, ``-inf``."""
+    d = _col(d)
+    formatted = let(_float_parts(_shortest_text(d)), _python_format)
+    return (F.when(d.isNull(), F.lit(None))
+            .when(F.isnan(d), F.lit("nan"))
+            .when(d == float("inf"), F.lit("inf"))
+            .when(d == float("-inf"), F.lit("-inf"))
+            .otherwise(formatted))
+
+
 def variant_kind(v) -> Column:
     """Coarse JSON type of a variant: null, boolean, int, number, string, object, array.
 
@@ -49,6 +107,9 @@ def variant_kind(v) -> Column:
         return (F.when(s.isNull() | (s == "VOID"), F.lit("null"))
                 .when(s == "BOOLEAN", F.lit("boolean"))
                 .when(s.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), F.lit("int"))
+                # integer tokens that fit a long are BIGINT; a scale-0 decimal wider than that is a
+                # big integer, a narrower one is a normalised float token such as 3.0
+                .when(s.rlike(r"^DECIMAL\((19|[2-9][0-9]|1[0-9]{2}),0\)$"), F.lit("int"))
                 .when(s.startswith("DECIMAL") | s.isin("DOUBLE", "FLOAT"), F.lit("number"))
                 .when(s == "STRING", F.lit("string"))
                 .otherwise(F.lit("other")))
@@ -58,8 +119,10 @@ def variant_kind(v) -> Column:
 
 
 def variant_text(v, kind: Column | None = None) -> Column:
-    """Python-like ``str(value)`` of a scalar variant (booleans print ``True`` / ``False``)."""
+    """Python-like ``str(value)`` of a scalar variant: booleans print ``True`` / ``False``,
+    JSON floats print like Python floats (``3.0``, ``1e+21``)."""
     return _typed(v, lambda k, x: F.when(k == "boolean", F.initcap(F.variant_get(x, "$", "string")))
+                  .when(k == "number", python_float_text(F.variant_get(x, "$", "double")))
                   .otherwise(F.variant_get(x, "$", "string")), kind)
 
 
@@ -88,7 +151,7 @@ def map_int(v, kind: Column | None = None) -> Column:
     """Integer conversion: whole-number text, numbers truncated toward zero, booleans 1/0."""
     def conv(k, v):
         txt = F.variant_get(v, "$", "string")
-        return (F.when(k == "int", F.variant_get(v, "$", "bigint"))
+        return (F.when(k == "int", F.try_variant_get(v, "$", "bigint"))
                 .when(k == "number", F.variant_get(v, "$", "double").try_cast("bigint"))
                 .when(k == "boolean", F.variant_get(v, "$", "boolean").cast("bigint"))
                 .when((k == "string") & txt.rlike(INT_TEXT), strip_ws(txt).try_cast("bigint")))

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.convert import FLOAT_TEXT, INT_TEXT, datetime_digits, strip_ws, variant_kind
+from ..functions.convert import FLOAT_TEXT, INT_TEXT, datetime_digits, python_float_text, strip_ws, variant_kind
 from ..spec import Field, RecordSpec
 
 # Validation messages
@@ -198,6 +198,8 @@ def encode_field(f: Field, c: Column, normalize_ws: bool = False) -> Column:
         s = F.date_format(c, "yyyy-MM-dd")
     elif f.kind == "datetime":
         s = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    elif f.kind == "float":
+        s = python_float_text(c)
     else:
         s = c.cast("string")
     if normalize_ws or f.normalize_whitespace:

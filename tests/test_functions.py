@@ -116,3 +116,12 @@ def test_checkpoint_root_when_unset():
     s = Session()
     root = checkpoint_root(s)
     assert root and s.sparkContext.dir == root and checkpoint_root(s) == root
+
+
+def test_json_number_text_like_python(spark):
+    import json
+
+    docs = [(json.dumps({"v": v}),) for v in (3.0, 100.0, 2.5e-08, 1e21, 12.3, 10, 123456789012345678901234567890)]
+    df = spark.createDataFrame(docs, "j string")
+    got = [r[0] for r in df.select(C.map_string(F.from_json("j", "map<string,variant>")["v"])).collect()]
+    assert got == ["3.0", "100.0", "2.5e-08", "1e+21", "12.3", "10", "123456789012345678901234567890"]
