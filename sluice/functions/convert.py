@@ -38,61 +38,53 @@ def _typed(v, fn, kind: Column | None = None) -> Column:
 
 
 def _shortest_text(d: Column) -> Column:
-    """Round-trip digits of a double. The JVM's own text can carry a digit too many (a known JDK 17
-    flaw), so the double is rendered with 15, 16 and 17 significant digits and the first that
-    parses back to the same double wins (trailing zeros are dropped later)."""
+    """``d.ddd...e±XX`` with the fewest of 15, 16 or 17 significant digits that parses back to the
+    same double (the JVM's own text can carry a digit too many, a known JDK 17 flaw)."""
     c15 = F.format_string("%.14e", d)
     c16 = F.format_string("%.15e", d)
-    c17 = F.format_string("%.16e", d)
     return (F.when(c15.cast("double") == d, c15)
             .when(c16.cast("double") == d, c16)
-            .when(c17.cast("double") == d, c17)
-            .otherwise(d.cast("string")))
+            .otherwise(F.format_string("%.16e", d)))
 
 
-def _float_parts(txt: Column) -> Column:
-    """``struct(neg, sig, sci)``: sign, significant digits and decimal exponent of a number text."""
-    body = F.regexp_replace(txt, "^-", "")
-    mant = F.regexp_extract(body, r"^([0-9.]+)", 1)
-    exp = F.coalesce(F.regexp_extract(body, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int"), F.lit(0))
-    ip = F.regexp_extract(mant, r"^([0-9]*)", 1)
-    digits = F.concat(ip, F.regexp_extract(mant, r"\.([0-9]*)$", 1))
-    lead = F.length(F.regexp_extract(digits, r"^(0*)", 1))
-    return F.struct(txt.startswith("-").alias("neg"),
-                    F.regexp_replace(F.regexp_replace(digits, r"^0+", ""), r"0+$", "").alias("sig"),
-                    (F.length(ip) + exp - lead - 1).alias("sci"))
+def python_float_text(d) -> Column:
+    """Text of a double the way Python prints a float: shortest round-trip digits, plain notation
+    for decimal exponents -4..15 (always with a fraction: ``3.0``), otherwise ``1.5e+16`` /
+    ``2.5e-08``; ``nan``, ``inf``, ``-inf``.
+
+    Built from plain string functions on the fixed ``%e`` layout (no regex, codegen friendly).
+    """
+    d = _col(d)
+    return (F.when(d.isNull(), F.lit(None))
+            .when(F.isnan(d), F.lit("nan"))
+            .when(d == float("inf"), F.lit("inf"))
+            .when(d == float("-inf"), F.lit("-inf"))
+            .otherwise(let(_shortest_text(d), _format_e_text)))
 
 
-def _python_format(p: Column) -> Column:
-    sig, sci = p["sig"], p["sci"]
+def _format_e_text(t: Column) -> Column:
+    """``d.ddde±XX`` (bound once) -> Python float text."""
+    neg = t.startswith("-")
+    body = F.when(neg, F.substring(t, 2, 64)).otherwise(t)
+    mant = F.substring_index(body, "e", 1)
+    sci = F.substring_index(body, "e", -1).cast("int")
+    digits = F.concat(F.substring(mant, 1, 1), F.substring_index(mant, ".", -1))
+    sig = F.rtrim(digits, F.lit("0"))
     n = F.length(sig)
     int_len = sci + 1
     frac = F.when(n > int_len, sig.substr(int_len + 1, n)).otherwise(F.lit("0"))
     plain_pos = F.concat(F.rpad(F.substring(sig, 1, int_len), int_len, "0"), F.lit("."), frac)
     plain_neg = F.concat(F.lit("0."), F.repeat(F.lit("0"), -sci - 1), sig)
+    exp_txt = F.when(F.abs(sci) < 10, F.concat(F.lit("0"), F.abs(sci).cast("string"))).otherwise(
+        F.abs(sci).cast("string"))
     scientific = F.concat(F.substring(sig, 1, 1),
                           F.when(n > 1, F.concat(F.lit("."), sig.substr(F.lit(2), n))).otherwise(F.lit("")),
-                          F.lit("e"), F.when(sci < 0, F.lit("-")).otherwise(F.lit("+")),
-                          F.when(F.abs(sci) < 10, F.concat(F.lit("0"), F.abs(sci).cast("string")))
-                          .otherwise(F.abs(sci).cast("string")))
-    body = (F.when(sig == "", F.lit("0.0"))
+                          F.lit("e"), F.when(sci < 0, F.lit("-")).otherwise(F.lit("+")), exp_txt)
+    text = (F.when(sig == "", F.lit("0.0"))
             .when((sci >= 0) & (sci < 16), plain_pos)
             .when((sci < 0) & (sci >= -4), plain_neg)
             .otherwise(scientific))
-    return F.concat(F.when(p["neg"], F.lit("-")).otherwise(F.lit("")), body)
-
-
-def python_float_text(d) -> Column:
-    """Text of a double the way Python prints a float: shortest round-trip digits, plain notation
-    for decimal exponents -4..15 (always with a fraction: ``3.0``), otherwise ``1.5e+16`` /
-    ``2.5e-08``; ``nan``, ``inf``, ``-inf``."""
-    d = _col(d)
-    formatted = let(_float_parts(_shortest_text(d)), _python_format)
-    return (F.when(d.isNull(), F.lit(None))
-            .when(F.isnan(d), F.lit("nan"))
-            .when(d == float("inf"), F.lit("inf"))
-            .when(d == float("-inf"), F.lit("-inf"))
-            .otherwise(formatted))
+    return F.concat(F.when(neg, F.lit("-")).otherwise(F.lit("")), text)
 
 
 def variant_kind(v) -> Column:
