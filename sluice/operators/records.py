@@ -59,6 +59,13 @@ def field_checks(f: Field, c: Column) -> Column:
     return _msgs(f.name, conds) if conds else F.lit(None)
 
 
+def raise_on_errors(df: DataFrame, errors_col: str = "errors", label: str = "record") -> DataFrame:
+    """Strict mode: fail the job on the first row with errors (the message names the fields)."""
+    msg = F.concat(F.lit(f"Unable to assign the values of this {label}: "), error_text(errors_col))
+    return df.withColumn(errors_col, F.when(F.size(errors_col) > 0, F.raise_error(msg))
+                         .otherwise(F.col(errors_col)))
+
+
 def record_validate(df: DataFrame, spec: RecordSpec, errors_col: str = "errors") -> DataFrame:
     """Add ``errors array<struct<field, message>>``; an empty array means a valid record."""
     return df.withColumn(errors_col, _collect([field_checks(f, F.col(f.name)) for f in spec.fields]))

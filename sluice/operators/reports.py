@@ -98,11 +98,12 @@ def report_body(rows: DataFrame, report_date, columns: list[str]) -> DataFrame:
 
 
 def control_total_check(rows: DataFrame, check_col: str, file_col: str = "file_path",
-                        files: DataFrame | None = None) -> DataFrame:
+                        files: DataFrame | None = None, strict: bool = False) -> DataFrame:
     """Per file: SB rows before the first SF row vs. the count in the footer's check column.
 
     No footer means 0 expected. ``files`` lists every report file (pass the
     numbered lines' files so that a report without body rows is checked too).
+    ``strict`` fails the job on the first mismatch (the reference raises).
     Returns ``(file, found, expected, ok, error)``.
     """
     ct = F.col(ROW_TYPE_COL)
@@ -121,7 +122,7 @@ def control_total_check(rows: DataFrame, check_col: str, file_col: str = "file_p
     expected = F.when(F.col("_first_sf").isNull(), F.lit(0)).otherwise(
         F.when(expected_txt.rlike(r"^[+-]?[0-9]+$"), expected_txt.cast("long")))
     found = F.coalesce(F.col("found"), F.lit(0)).cast("long")
-    return out.select(
+    result = out.select(
         F.col(file_col), found.alias("found"), expected.cast("long").alias("expected"),
         (found == expected).alias("ok"),
         F.when(expected.isNull(), F.concat(F.lit("Footer check value is not a number: "),
@@ -129,6 +130,9 @@ def control_total_check(rows: DataFrame, check_col: str, file_col: str = "file_p
         .when(found != expected, F.format_string(
             "Row counts do not match for %s! Rows found: %d, Rows expected: %d",
             F.col(file_col), found, expected)).alias("error"))
+    if strict:
+        result = result.withColumn("error", F.when(F.col("error").isNotNull(), F.raise_error(F.col("error"))))
+    return result
 
 
 # --- settlement records ---------------------------------------------------------------------

@@ -85,3 +85,12 @@ def test_flatten_by_mapping(spark):
     assert (out[0]["a"], out[0]["s"], out[0]["n"], out[0]["x"], out[0]["lst"]) == (3, "se...", 7, None, None)
     assert (out[1]["a"], out[1]["s"], out[1]["n"], out[1]["x"]) == (None, "y", 2, 1.5)  # last in document order
     assert (out[2]["a"], out[2]["n"]) == (5, None)  # keys are matched case-insensitively
+
+
+def test_raise_on_errors(spark):
+    df = spark.createDataFrame([('{"id":"x","name":"a","x":1,"ok":true,"t":"2020-01-01T00:00:00Z"}',)], "j string")
+    checked = rec.raise_on_errors(rec.conform_json(df, "j", SPEC))
+    with pytest.raises(Exception, match="id: The value is not an integer"):
+        checked.collect()
+    good = spark.createDataFrame([('{"id":1,"name":"a","x":1,"ok":true,"t":"2020-01-01T00:00:00Z"}',)], "j string")
+    assert rec.raise_on_errors(rec.conform_json(good, "j", SPEC)).count() == 1

@@ -112,3 +112,14 @@ def test_sitemaps(spark):
     assert {r["sitemap"] for r in rows} == {"sitemap-0"} and {r["scraped_at"] for r in rows} == {"2020-01-01"}
     broken = sitemap_urls(spark.createDataFrame([("<urlset><url>",)], "doc string"), "doc", "d").first()
     assert broken["error"] == "malformed XML document"
+
+
+def test_control_totals_strict(spark, tmp):
+    import pytest
+
+    head = ["a", "b", "c", "CH,id,Count"]
+    _write(tmp, "bad.csv", head + ["SB,1,", "SF,,5"])
+    lines = numbered_lines(spark, tmp)
+    rows = R.report_rows(lines, R.header_columns(R.report_header(spark, tmp)))
+    with pytest.raises(Exception, match="Rows found: 1, Rows expected: 5"):
+        R.control_total_check(rows, "Count", files=lines, strict=True).collect()
