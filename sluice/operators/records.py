@@ -253,7 +253,7 @@ def tsv_decode(df: DataFrame, spec: RecordSpec, col: str = "line", sep: str = "\
     pattern = "\\t" if sep == "\t" else re.escape(sep)
     split = df.select(*keep, F.split(F.regexp_replace(F.col(col), r"[\r\n]+$", ""), pattern, -1).alias("_cells"))
     cells = F.col("_cells")
-    arity_ok = F.size(cells) == len(spec.fields)
+    arity_ok = F.coalesce(F.size(cells) == len(spec.fields), F.lit(False))
     raws = split.select(*keep, arity_ok.alias("_ok"), *[
         F.when(arity_ok, F.nullif(cells[i], F.lit(null))).alias(f"_raw{i}") for i in range(len(spec.fields))])
     ok = F.col("_ok")

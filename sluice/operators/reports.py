@@ -142,7 +142,8 @@ def settlement(df: DataFrame, cells_col: str = "cells") -> DataFrame:
     cells = F.col(cells_col)
     named = [F.get(cells, i).alias(n) for i, n in enumerate(SETTLEMENT_FIELDS)]
     keep = [c for c in df.columns if c != cells_col and c not in SETTLEMENT_FIELDS]
-    out = df.select(*keep, *named, (F.size(cells) == len(SETTLEMENT_FIELDS)).alias("_arity"))
+    # NULL cells are an arity error too (size(NULL) differs between ANSI modes)
+    out = df.select(*keep, *named, F.coalesce(F.size(cells) == len(SETTLEMENT_FIELDS), F.lit(False)).alias("_arity"))
     return out.select(
         *keep, *SETTLEMENT_FIELDS,
         transaction_type("type").alias("transaction_type"),

@@ -166,7 +166,8 @@ def q_xml_pages_scan(spark, sf_dir):
     r = F.col("_r")
     base = R.response_ok(r)
     return d.select("page_no", base["response_code"].alias("response_code"),
-                    F.size(r["getDataResponse"]["reportDataRow"]).cast("long").alias("n_rows"),
+                    F.when(r["getDataResponse"]["reportDataRow"].isNotNull(),
+                           F.size(r["getDataResponse"]["reportDataRow"])).cast("long").alias("n_rows"),
                     base["ok"].alias("ok"))
 
 

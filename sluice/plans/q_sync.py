@@ -216,7 +216,8 @@ def q_delimited_list_cap(spark, sf_dir):
     items = F.when(k % 7 == 0, F.lit(None)).when(k % 5 == 0, F.lit("")).otherwise(F.col("_items"))
     per = per.withColumn("items", items)
     lst = delimited_list_cap("items", ";", 5, "line numbers", k)
-    return per.select("l_orderkey", F.size(lst).cast("long").alias("n_items"), F.get(lst, 0).alias("first_item"),
+    return per.select("l_orderkey", F.when(lst.isNotNull(), F.size(lst)).cast("long").alias("n_items"),
+                      F.get(lst, 0).alias("first_item"),
                       F.try_element_at(lst, F.lit(-1)).alias("last_item"),
                       list_cap_error("items", ";", 5, "line numbers", k).alias("error"))
 
