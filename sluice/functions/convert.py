@@ -52,7 +52,8 @@ def python_float_text(d) -> Column:
     for decimal exponents -4..15 (always with a fraction: ``3.0``), otherwise ``1.5e+16`` /
     ``2.5e-08``; ``nan``, ``inf``, ``-inf``.
 
-    Built from plain string functions on the fixed ``%e`` layout (no regex, codegen friendly).
+    The chosen ``%e`` text is bound once (``let``) and read with plain string functions on its
+    fixed layout (no regex).
     """
     d = _col(d)
     return (F.when(d.isNull(), F.lit(None))

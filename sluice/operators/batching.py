@@ -150,9 +150,11 @@ def batch_pack(df: DataFrame, size: int, order_by: list[str | Column] | None = N
     cols = df.columns
     numbered = batch_ids(df, size, order_by, batch_col)
     if order_by:
+        # order by rank only (rows may hold columns that are not orderable, e.g. VARIANT)
         packed = numbered.groupBy(batch_col).agg(
-            F.array_sort(F.collect_list(F.struct(F.col("batch_rank").alias("_r"),
-                                                 F.struct(*cols).alias("_row")))).alias("_items"))
+            F.array_sort(F.collect_list(F.struct(F.col("batch_rank").alias("_r"), F.struct(*cols).alias("_row"))),
+                         lambda a, b: F.when(a["_r"] < b["_r"], -1).when(a["_r"] > b["_r"], 1).otherwise(0))
+            .alias("_items"))
         return packed.select(batch_col, F.size("_items").cast("long").alias("n"),
                              F.transform("_items", lambda x: x["_row"]).alias("rows"))
     packed = numbered.groupBy(batch_col).agg(F.collect_list(F.struct(*cols)).alias("rows"))

@@ -57,3 +57,10 @@ def test_global_rank_string_and_composite_keys(spark):
     ts = spark.range(0, 500, 1, 3).select(F.timestamp_seconds(F.col("id") * 7 % 501).alias("t"), "id")
     ranked = global_rank(ts, ["t"], "rank", partitions=6).orderBy("t").collect()
     assert [r["rank"] for r in ranked] == list(range(1, 501))
+
+
+def test_batch_pack_rows_with_variant(spark):
+    df = spark.range(0, 30, 1, 3).select(F.col("id").alias("k"), F.parse_json(F.lit('{"a":1}')).alias("v"))
+    packed = batch_pack(df, 7, ["k"]).orderBy("batch_id").collect()
+    assert [r["n"] for r in packed] == [7, 7, 7, 7, 2]
+    assert [x["k"] for x in packed[0]["rows"]] == list(range(7))
