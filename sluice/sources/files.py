@@ -130,15 +130,17 @@ def object_inventory(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_once(files: DataFrame, ledger: DataFrame | None, force: bool = False,
-              key: str = "path") -> DataFrame:
+              key: str | list[str] = "path") -> DataFrame:
     """Files not yet recorded in the ledger (``force`` reloads everything).
 
     ``files`` and ``ledger`` are file lists (one row per file); the anti join
     is keyed on the file path, so re-running a load picks up only new files.
+    ``key=["path", "modified"]`` also reloads a file whose content changed.
     """
     if force or ledger is None:
         return files
-    return files.join(ledger.select(key).distinct(), key, "left_anti")
+    keys = [key] if isinstance(key, str) else list(key)
+    return files.join(ledger.select(*keys).distinct(), keys, "left_anti")
 
 
 def ledger_entries(loaded: DataFrame, table: str, path_col: str = "origin_file_name") -> DataFrame:

@@ -214,3 +214,10 @@ def test_record_replace_unknown_field(spark):
     spec = RecordSpec(IntegerField("id"))
     with pytest.raises(TypeError, match="Unknown fields specified: nope"):
         record_replace(spark.createDataFrame([(1,)], "id long"), spec, nope=F.lit(1))
+
+
+def test_load_once_reloads_changed_files(spark, tmp):
+    files = spark.createDataFrame([("a", 1), ("b", 2)], "path string, modified long")
+    ledger = spark.createDataFrame([("a", 1), ("b", 1)], "path string, modified long")
+    assert [r[0] for r in load_once(files, ledger, key=["path", "modified"]).collect()] == ["b"]
+    assert load_once(files, ledger).count() == 0
