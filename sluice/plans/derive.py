@@ -303,7 +303,13 @@ def sitemap_index_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders -> landed API pages of 50 results ``(url, body)`` chained by ``next``."""
+    """orders -> landed API pages of 50 results ``(url, body)`` chained by ``next`` (written once)."""
+    path = once(spark, sf_dir, "api_pages",
+                lambda p: _api_pages(spark, sf_dir).write.parquet(p))
+    return spark.read.parquet(path)
+
+
+def _api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = global_rank(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey"),
                     ["o_orderkey"], "rank")
     o = o.withColumn("page", (F.floor((F.col("rank") - 1) / PAGE_SIZE) + 1).cast("long"))

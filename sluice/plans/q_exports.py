@@ -9,7 +9,7 @@ from ..operators.sitemap import sitemap_index_urls, sitemap_urls
 from ..sinks import export as X
 from ..sinks.dated import dated_report_sink, sitemap_sink
 from ..session import scratch_path
-from ..sources.apipages import api_pages_flatten
+from ..sources.apipages import api_pages_flatten, page_positions
 from ..sources.delimited import delimited_load, manifest_load
 from ..streaming.incremental import load_new_files
 from . import derive
@@ -189,12 +189,14 @@ def q_url_file_stem(spark, sf_dir):
 @query("api_pages_flatten", """
 WITH r AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (ORDER BY o_orderkey) AS rank FROM orders),
 p AS (SELECT *, (rank - 1) // 50 + 1 AS page, (rank - 1) % 50 AS pos FROM r)
-SELECT 'https://api.example.com/orders?page=' || CAST(page AS VARCHAR) AS url, pos, o_orderkey, o_orderstatus,
-       page = (SELECT max(page) FROM p) AS is_last
+SELECT 'https://api.example.com/orders?page=' || CAST(page AS VARCHAR) AS url, page - 1 AS page_pos, pos, o_orderkey,
+       o_orderstatus, page = (SELECT max(page) FROM p) AS is_last
 FROM p""")
 def q_api_pages_flatten(spark, sf_dir):
     flat = api_pages_flatten(derive.api_pages(spark, sf_dir))
-    return flat.select("url", F.col("pos").cast("long").alias("pos"),
+    order = page_positions(flat.select("url", "next_url").distinct())
+    flat = flat.join(order.select("url", "page_pos"), "url")  # one row per page: small side
+    return flat.select("url", "page_pos", F.col("pos").cast("long").alias("pos"),
                        F.variant_get("item", "$.o_orderkey", "bigint").alias("o_orderkey"),
                        F.variant_get("item", "$.o_orderstatus", "string").alias("o_orderstatus"), "is_last")
 

@@ -43,3 +43,27 @@ def test_api_pages(spark):
     assert vals == [1, 2, 3, 4, 5, 6]
     assert {r["url"] for r in flat.where("is_last").collect()} == {"u3"}
     assert dangling_pages(flat.where("url != 'u2'")).collect()[0]["url"] == "u2"
+
+
+def test_page_positions(spark):
+    from sluice.sources.apipages import page_positions
+
+    chain = [("p3", "p4"), ("p1", "p2"), ("p4", None), ("p2", "p3"), ("q1", "q2"), ("q2", "gone")]
+    pos = {r["url"]: (r["chain"], r["page_pos"]) for r in page_positions(
+        spark.createDataFrame(chain, "url string, next_url string")).collect()}
+    assert pos == {"p1": ("p4", 0), "p2": ("p4", 1), "p3": ("p4", 2), "p4": ("p4", 3),
+                   "q1": ("q2", 0), "q2": ("q2", 1)}
+    n = 300
+    long_chain = [(f"u{i}", f"u{i + 1}" if i + 1 < n else None) for i in range(n)]
+    got = {r["url"]: r["page_pos"] for r in page_positions(
+        spark.createDataFrame(long_chain, "url string, next_url string")).collect()}
+    assert got == {f"u{i}": i for i in range(n)}
+
+
+def test_page_positions_cycle(spark):
+    import pytest
+
+    from sluice.sources.apipages import page_positions
+
+    with pytest.raises(RuntimeError, match="cycle"):
+        page_positions(spark.createDataFrame([("a", "b"), ("b", "a")], "url string, next_url string"))
