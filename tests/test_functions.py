@@ -125,3 +125,19 @@ def test_json_number_text_like_python(spark):
     df = spark.createDataFrame(docs, "j string")
     got = [r[0] for r in df.select(C.map_string(F.from_json("j", "map<string,variant>")["v"])).collect()]
     assert got == ["3.0", "100.0", "2.5e-08", "1e+21", "12.3", "10", "123456789012345678901234567890"]
+
+
+def test_api_surface():
+    import sluice.api as api
+
+    for name in ("guarded_slice_load", "variant_landing", "global_rank", "flatten_by_mapping", "control_total_check",
+                 "page_positions", "python_float_text", "RecordSpec"):
+        assert name in api.__all__
+
+
+def test_list_cap_raise_mode(spark):
+    import pytest
+
+    df = spark.createDataFrame([(";".join(["x"] * 26), "h1")], "v string, id string")
+    with pytest.raises(Exception, match="At most 25 items"):
+        df.select(X.delimited_list_cap("v", cap=25, row_id=F.col("id"), on_error="raise")).collect()

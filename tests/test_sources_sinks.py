@@ -221,3 +221,20 @@ def test_load_once_reloads_changed_files(spark, tmp):
     ledger = spark.createDataFrame([("a", 1), ("b", 1)], "path string, modified long")
     assert [r[0] for r in load_once(files, ledger, key=["path", "modified"]).collect()] == ["b"]
     assert load_once(files, ledger).count() == 0
+
+
+def test_session_slice_column_and_lookback(spark, tmp):
+    import datetime as dt
+
+    from sluice.operators.sync import high_water_filter
+    from sluice.sources.landing import session_landing
+
+    _write(tmp + "/s", "a.json", '{"date":"20200101","x":1}\n{"date":"20200102","x":2}\n')
+    d = session_landing(spark, tmp + "/s", "view-1", date_key="date")
+    assert sorted(r["slice_date"] for r in d.collect()) == ["20200101", "20200102"]
+    assert d.where(guard.slice_session("20200102", "view-1")).count() == 1
+    rows = spark.createDataFrame([(1, dt.datetime(2020, 1, 1, 10)), (2, dt.datetime(2020, 1, 1, 12))],
+                                 "id int, m timestamp")
+    assert [r["id"] for r in high_water_filter(rows, "m", "2020-01-01 11:00:00").collect()] == [2]
+    assert high_water_filter(rows, "m", "2020-01-01 11:00:00", lookback="2 hours").count() == 2
+    assert high_water_filter(rows, "m", None).count() == 2
