@@ -21,27 +21,29 @@ ROOT = "root"
 _ENTRY = "struct<ord:array<int>,label:string,text:string,v:variant,k:string>"
 
 
-def _level(text: Column, label: Column, ord_: Column, with_text: bool = True) -> Column:
+def _level(text: Column, label: Column, ord_: Column, relevant: list[str], with_text: bool = True) -> Column:
     """Entries of one JSON object: ``array<struct<ord, label, text, v, k>>`` in document order.
 
-    ``with_text=False`` (deepest level: nothing recurses from it) skips the raw-text parse.
+    The JSON kind is computed only for labels that are mapped or lead to a mapped path (``relevant``);
+    other entries get kind ``skip``. ``with_text=False`` (deepest level: nothing recurses from it)
+    skips the raw-text parse.
     """
+    def kind(lbl, v):
+        return F.when(lbl.isin(*relevant), variant_kind(v)).otherwise(F.lit("skip"))
+
     as_var = F.map_entries(F.from_json(text, "map<string,variant>"))
     if with_text:
         as_text = F.map_entries(F.from_json(text, "map<string,string>"))
         pairs = F.arrays_zip(as_text.alias("t"), as_var.alias("v"))
-        return F.transform(pairs, lambda p, i: F.struct(
-            F.concat(ord_, F.array(i.cast("int"))).alias("ord"),
-            F.concat(label, F.lit("."), F.lower(p["t"]["key"])).alias("label"),
-            p["t"]["value"].alias("text"),
-            p["v"]["value"].alias("v"),
-            variant_kind(p["v"]["value"]).alias("k")))
-    return F.transform(as_var, lambda e, i: F.struct(
-        F.concat(ord_, F.array(i.cast("int"))).alias("ord"),
-        F.concat(label, F.lit("."), F.lower(e["key"])).alias("label"),
-        F.lit(None).cast("string").alias("text"),
-        e["value"].alias("v"),
-        variant_kind(e["value"]).alias("k")))
+        return F.transform(pairs, lambda p, i: _entry(
+            ord_, i, F.concat(label, F.lit("."), F.lower(p["t"]["key"])), p["t"]["value"], p["v"]["value"], kind))
+    return F.transform(as_var, lambda e, i: _entry(
+        ord_, i, F.concat(label, F.lit("."), F.lower(e["key"])), F.lit(None).cast("string"), e["value"], kind))
+
+
+def _entry(ord_: Column, i: Column, lbl: Column, text: Column, v: Column, kind) -> Column:
+    return F.struct(F.concat(ord_, F.array(i.cast("int"))).alias("ord"), lbl.alias("label"), text.alias("text"),
+                    v.alias("v"), kind(lbl, v).alias("k"))
 
 
 def _convert(f: Field, v: Column, kind: Column | None = None) -> Column:
@@ -77,22 +79,24 @@ def flatten_by_mapping(df: DataFrame, json_col: str, mapping: dict[str, str], sp
         if not p.startswith(ROOT + "."):
             raise ValueError(f"mapping keys start with '{ROOT}.': {p}")
     prefixes = sorted({".".join(p.split(".")[:i]) for p in paths for i in range(2, len(p.split(".")))})
+    relevant = sorted(set(paths) | set(prefixes))
     depth = max(len(p.split(".")) for p in paths) - 1
 
     # each level is projected once and read by the next level (no re-evaluation of parents)
     cur = df.select(*keep, *[c.alias(f"_calc_{n}") for n, c in (calculated or {}).items()],
-                    _level(F.col(json_col), F.lit(ROOT), F.array().cast("array<int>"), depth > 1).alias("_l0"))
+                    _level(F.col(json_col), F.lit(ROOT), F.array().cast("array<int>"), relevant, depth > 1)
+                    .alias("_l0"))
     carried = [f"_calc_{n}" for n in (calculated or {})]
     for d in range(1, depth):
         prev = F.col(f"_l{d - 1}")
         objects = F.filter(prev, lambda e: (e["k"] == "object") & e["label"].isin(*prefixes)) if prefixes \
             else F.array().cast(f"array<{_ENTRY}>")
         last = d == depth - 1
-        nxt = F.flatten(F.transform(objects, lambda e: _level(e["text"], e["label"], e["ord"], not last)))
+        nxt = F.flatten(F.transform(objects, lambda e: _level(e["text"], e["label"], e["ord"], relevant, not last)))
         cur = cur.select("*", nxt.alias(f"_l{d}"))
     levels = [F.col(f"_l{d}") for d in range(depth)]
     leaves = F.filter(F.concat(*levels) if len(levels) > 1 else levels[0],
-                      lambda e: e["label"].isin(*paths.keys()) & ~e["k"].isin("object", "array", "null"))
+                      lambda e: e["label"].isin(*paths.keys()) & ~e["k"].isin("object", "array", "null", "skip"))
     calc = calculated or {}
     base = cur.select(*keep, *carried, leaves.alias("_leaves"))
     out = []
