@@ -174,11 +174,12 @@ def incremental_sync(spark: SparkSession, source: DataFrame, state_path: str, ou
     """
     prev = read_mark(spark, state_path, key)
     todo = high_water_filter(source, col, prev, lookback)
-    shaped = payload(todo) if payload else todo
     run = uuid.uuid4().hex[:12]
     obs = Observation(f"sync_{run}")
-    observed = shaped.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(col).alias("mark"))
-    observed.write.mode("errorifexists").parquet(f"{out_path.rstrip('/')}/run={run}")
+    # observed on the processed rows (the payload may batch them or drop the change column)
+    observed = todo.observe(obs, F.count(F.lit(1)).alias("rows"), F.max(col).alias("mark"))
+    shaped = payload(observed) if payload else observed
+    shaped.write.mode("errorifexists").parquet(f"{out_path.rstrip('/')}/run={run}")
     stats = obs.get
     rows, mark = int(stats.get("rows", 0)), stats.get("mark")
     new_mark = prev

@@ -238,3 +238,20 @@ def test_session_slice_column_and_lookback(spark, tmp):
     assert [r["id"] for r in high_water_filter(rows, "m", "2020-01-01 11:00:00").collect()] == [2]
     assert high_water_filter(rows, "m", "2020-01-01 11:00:00", lookback="2 hours").count() == 2
     assert high_water_filter(rows, "m", None).count() == 2
+
+
+def test_incremental_sync_with_batched_payload(spark, tmp):
+    import datetime as dt
+
+    from sluice.operators.sync import incremental_sync, unsubscribe_payload
+
+    src = spark.createDataFrame([(f"u{i}@x.org", dt.datetime(2020, 1, 1) + dt.timedelta(hours=i)) for i in range(120)],
+                                "email string, lastmodifieddate timestamp")
+    pay = lambda df: unsubscribe_payload(df, ["email"])
+    r1 = incremental_sync(spark, src.where("lastmodifieddate < '2020-01-03'"), tmp + "/state", tmp + "/out",
+                          "lastmodifieddate", "k", payload=pay).first()
+    assert (r1["rows"], r1["mark"]) == (48, "2020-01-02T23:00:00")
+    r2 = incremental_sync(spark, src, tmp + "/state", tmp + "/out", "lastmodifieddate", "k", payload=pay).first()
+    assert (r2["rows"], r2["previous_mark"], r2["mark"]) == (72, "2020-01-02T23:00:00", "2020-01-05T23:00:00")
+    batches = spark.read.parquet(tmp + "/out")
+    assert batches.agg(F.sum("n")).first()[0] == 120 and batches.agg(F.max("n")).first()[0] <= 50
