@@ -255,3 +255,12 @@ def test_incremental_sync_with_batched_payload(spark, tmp):
     assert (r2["rows"], r2["previous_mark"], r2["mark"]) == (72, "2020-01-02T23:00:00", "2020-01-05T23:00:00")
     batches = spark.read.parquet(tmp + "/out")
     assert batches.agg(F.sum("n")).first()[0] == 120 and batches.agg(F.max("n")).first()[0] <= 50
+
+
+def test_dated_sink_overwrite_replaces_only_written_dates(spark, tmp):
+    path = tmp + "/rep2"
+    a = spark.createDataFrame([("2020-01-01", 1), ("2020-01-02", 2)], "report_date string, v int")
+    dated_report_sink(a, path)
+    dated_report_sink(a.where("report_date = '2020-01-02'").withColumn("v", F.lit(99)), path, overwrite=True)
+    got = sorted((str(r["report_date"]), r["v"]) for r in spark.read.json(path).collect())
+    assert got == [("2020-01-01", 1), ("2020-01-02", 99)]
