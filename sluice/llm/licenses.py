@@ -65,10 +65,10 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def canonical(text: Column) -> Column:
-    """The canonical form of a text: A-Z folded, lines that begin with a copyright mark left out, equal spellings made
+    """The canonical form of a text: A-Z folded, lines that begin with a copyright mark and a year or holder left out, equal spellings made
     one, every run of ASCII punctuation and white space made one blank, none at the ends. Null stays null."""
     c = F.translate(text, _UPPER, _LOWER)
-    c = F.regexp_replace(c, "(^|\\n)[ \\t]*(copyright[ \\t:(]|\\(c\\)|©)[^\\n]*", "\n")
+    c = F.regexp_replace(c, "(^|\\n)[ \\t]*(copyright[ \\t]*(\\(c\\)|©|:|[0-9]{4}|by )|(\\(c\\)|©)[ \\t]*[0-9]{4})[^\\n]*", "\n")
     for written_form, form in EQUIVALENT:
         c = F.replace(c, F.lit(written_form), F.lit(form))
     return F.trim(F.regexp_replace(c, "[\\x09-\\x0D\\x20-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7E]+", " "))

@@ -75,34 +75,25 @@ def targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 
 
 def _cut(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    """``sources`` with ``cut`` (places up to it are in the part pass) and ``fill`` (the place of one more document).
+    """``sources`` with ``cut`` (places up to it are in the part pass), ``edge`` (the place after it, whose document is
+    taken in part), ``missing`` (so many words of it) and ``edge_size`` (its words; rows equal in id and text share them).
 
     Words are summed by block, blocks are run through in order to the one where the part pass ends, and only that
-    block's documents are ordered. The document at the end is left out; of the rest of the block, the one whose size
-    is nearest to what is missing is taken if that brings the pass nearer to its target."""
+    block's documents are ordered."""
     by_block = rows.join(sources.select("key", "blocks"), "key").withColumn("block", _block(F.col("place"), F.col("blocks")))
     sums = by_block.groupBy("key", "block").agg(F.sum("size").alias("words"))
     running = Window.partitionBy("key").orderBy("block")
     last = (sums.withColumn("upto", F.sum("words").over(running)).join(sources.select("key", "part"), "key")
             .where((F.col("upto") > F.col("part")) & (F.col("upto") - F.col("words") <= F.col("part")) & (F.col("words") > 0))
             .select("key", "block", (F.col("part") - (F.col("upto") - F.col("words"))).alias("need")))
-    ends = (by_block.join(last, ["key", "block"]).groupBy("key", "need", "place").agg(F.sum("size").alias("size")))
-    in_block = Window.partitionBy("key").orderBy("place")
-    ends = ends.withColumn("upto", F.sum("size").over(in_block))
-    ends = ends.withColumn("taken", F.coalesce(F.max(F.when(F.col("upto") <= F.col("need"), F.col("upto"))).over(
-        Window.partitionBy("key")), F.lit(0)))
-    missing = F.col("need") - F.col("taken")
-    gain = F.when((F.col("upto") > F.col("need")) & (F.abs(F.col("size") - missing) < missing), F.struct(
-        -F.abs(F.col("size") - missing), -F.col("place")))
-    found = ends.groupBy("key").agg(
-        F.max(F.when(F.col("upto") <= F.col("need"), F.col("place"))).alias("end"),
-        F.min(F.when(F.col("upto") > F.col("need"), F.col("place"))).alias("next"),
-        F.max(gain)["col2"].alias("fill"))
-    out = sources.join(found, "key", "left")
+    ends = by_block.join(last, ["key", "block"]).groupBy("key", "need", "place").agg(F.sum("size").alias("size"))
+    ends = ends.withColumn("upto", F.sum("size").over(Window.partitionBy("key").orderBy("place")))
+    over = F.when(F.col("upto") > F.col("need"), F.struct(
+        F.col("place").alias("edge"), F.col("size").alias("edge_size"), (F.col("need") - F.col("upto") + F.col("size")).alias("missing")))
+    found = ends.groupBy("key").agg(F.min(over).alias("e")).select("key", "e.*")
     # no block ends the pass: nothing (part 0 or no words) or, for rounding's sake, all of it
-    return (out.withColumn("cut", F.when(F.col("next").isNotNull(), F.coalesce("end", F.col("next") - 1))
-                           .when(F.col("part") <= 0, F.lit(-1).cast("long")).otherwise(F.lit(2 ** 63 - 1)))
-            .withColumn("fill", -F.col("fill")).drop("end", "next"))
+    return sources.join(found, "key", "left").withColumn("cut", F.when(F.col("edge").isNotNull(), F.col("edge") - 1).when(
+        F.col("part") <= 0, F.lit(-1).cast("long")).otherwise(F.lit(2 ** 63 - 1)))
 
 
 def _block(place: Column, blocks: Column) -> Column:
@@ -157,9 +148,9 @@ def plan(rows: DataFrame, shards: int = SHARDS, block_words: int = BLOCK_WORDS,
                .withColumn("part", F.round(F.col("target")).cast("long") - F.col("full") * size)
                .withColumn("blocks", F.least(F.greatest(F.ceil(size / block_words), F.lit(1)), F.lit(MOST_BLOCKS)).cast("long")))
     sources = written(_cut(rows, sources), "mix")
-    draws = sources.select("key", "blocks", "cut", "fill", "full", F.posexplode(
+    draws = sources.select("key", "blocks", "cut", "edge", "missing", "full", F.posexplode(
         F.array(*[F.lit(p) for p in range(most)])).alias("pass", "p")).drop("p")
-    last = F.greatest("cut", F.coalesce("fill", F.lit(-1).cast("long")))
+    last = F.when(F.col("missing") > 0, F.col("edge")).otherwise(F.col("cut"))
     draws = draws.withColumn("quota", F.when(F.col("pass") < F.col("full"), F.col("blocks")).when(
         (F.col("pass") == F.col("full")) & (last >= 0), _block(last, F.col("blocks")) + 1).otherwise(F.lit(0)).cast("long"))
     quotas = written(split_tree(draws.select("key", "pass", "quota"), shards, seed), "quotas")
@@ -168,36 +159,51 @@ def plan(rows: DataFrame, shards: int = SHARDS, block_words: int = BLOCK_WORDS,
     return Mix(sources, deal, quotas)
 
 
+def _in_part() -> Column:
+    return F.col("place") <= F.col("cut")
+
+
+def _on_edge() -> Column:
+    return F.coalesce((F.col("place") == F.col("edge")) & (F.col("missing") > 0), F.lit(False))
+
+
 def assigned(rows: DataFrame, mix: Mix) -> DataFrame:
-    """``rows`` with source_size, target, ``taken`` (words, repeats counted) and ``shards``: the shard of each of the row's
-    copies, in the order of passes; empty where the mix leaves the row out."""
-    r = rows.join(mix.sources.select("key", "source_size", "target", "full", "cut", "fill", "blocks"), "key")
-    in_part = F.coalesce((F.col("place") <= F.col("cut")) | (F.col("place") == F.col("fill")), F.lit(False))
-    r = r.withColumn("copies", (F.col("full") + in_part.cast("long")).cast("int")).withColumn(
+    """``rows`` with source_size, target, ``taken`` (words, repeats counted), ``edge_words`` (those of the part pass that
+    are only a part of the document, else null) and ``shards``: the shard of each of the row's copies, in the order of
+    passes; empty where the mix leaves the row out."""
+    r = rows.join(mix.sources.select("key", "source_size", "target", "full", "cut", "edge", "missing", "edge_size", "blocks"), "key")
+    r = r.withColumn("copies", (F.col("full") + (_in_part() | _on_edge()).cast("long")).cast("int")).withColumn(
         "block", _block(F.col("place"), F.col("blocks")))
+    r = r.withColumn("edge_words", F.when(_on_edge(), F.floor(F.col("missing") * F.col("size") / F.col("edge_size")).cast("long")))
     # a block is drawn once a pass: at most as many entries as passes
     by_block = mix.deal.groupBy("key", "block").agg(F.sort_array(F.collect_list(F.struct("pass", "shard"))).alias("dealt"))
     r = r.join(by_block, ["key", "block"], "left")
     shards = F.transform(F.slice(F.coalesce("dealt", F.array()), 1, F.greatest(F.col("copies"), F.lit(0))), lambda x: x["shard"])
-    return (r.withColumn("shards", F.when(F.col("copies") > 0, shards).otherwise(F.array().cast("array<int>")))
-            .withColumn("taken", F.col("size") * F.size("shards").cast("long"))
-            .drop("full", "cut", "fill", "blocks", "copies", "dealt", "block"))
+    r = r.withColumn("shards", F.when(F.col("copies") > 0, shards).otherwise(F.array().cast("array<int>")))
+    taken = F.col("size") * F.size("shards").cast("long")
+    return (r.withColumn("taken", F.when(F.col("edge_words").isNotNull(), taken - F.col("size") + F.col("edge_words")).otherwise(taken))
+            .drop("full", "cut", "edge", "missing", "edge_size", "blocks", "copies", "dealt", "block"))
 
 
 def drawn(rows: DataFrame, mix: Mix, seed: int = SEED) -> DataFrame:
-    """One row for every copy in the mix, with ``pass``, ``shard`` and ``shuffle_key`` (the order within the shard)."""
-    return (assigned(rows, mix).select("*", F.posexplode("shards").alias("pass", "shard")).drop("shards", "taken")
-            .withColumn("shuffle_key", F.xxhash64(F.lit(seed), F.lit(2), "shard", "pass", "place")))
+    """One row for every copy in the mix, with ``pass``, ``shard``, ``words`` (how many of the document's first words the
+    copy has: all, but for a source's last document) and ``shuffle_key`` (the order within the shard)."""
+    r = assigned(rows, mix).withColumn("copies", F.size("shards"))
+    r = r.select("*", F.posexplode("shards").alias("pass", "shard"))
+    r = r.withColumn("words", F.when(F.col("pass") == F.col("copies") - 1, F.coalesce("edge_words", "size")).otherwise(F.col("size")))
+    return (r.withColumn("shuffle_key", F.xxhash64(F.lit(seed), F.lit(2), "shard", "pass", "place"))
+            .drop("shards", "taken", "edge_words", "copies"))
 
 
 def mix_documents(docs: DataFrame, mix: Mix, text: str = "text", source: str = "source", doc_id: str = "doc_id",
                   seed: int = SEED) -> DataFrame:
-    """``docs`` with each row repeated as often as the mix takes it. Texts don't move: the choice is an expression over a
-    row and its source's row of the plan."""
-    key = null_first_key(F.col(source))
-    s = mix.sources.select(F.col("key").alias("__key"), F.col("full").alias("__full"), F.col("cut").alias("__cut"), F.col("fill").alias("__fill"))
-    r = docs.withColumn("__place", position(seed, 0, F.col(doc_id), F.col(text))).join(s, key == F.col("__key"))
-    in_part = (F.col("__place") <= F.col("__cut")) | (F.col("__place") == F.col("__fill"))
-    r = r.withColumn("__copies", (F.col("__full") + F.coalesce(in_part, F.lit(False)).cast("long")).cast("int"))
+    """``docs`` with each row repeated as often as the mix takes it. Documents stay whole: a source's last one is taken
+    if the mix takes half of it or more. Texts don't move: the choice is an expression over a row and its source's row
+    of the plan."""
+    s = mix.sources.select("full", "cut", "edge", "missing", "edge_size", "key")
+    s = s.toDF(*[f"__{c}" for c in s.columns])
+    r = docs.withColumn("__place", position(seed, 0, F.col(doc_id), F.col(text))).join(s, null_first_key(F.col(source)) == F.col("__key"))
+    edge = F.coalesce((F.col("__place") == F.col("__edge")) & (2 * F.col("__missing") >= F.col("__edge_size")), F.lit(False))
+    r = r.withColumn("__copies", (F.col("__full") + ((F.col("__place") <= F.col("__cut")) | edge).cast("long")).cast("int"))
     return (r.where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

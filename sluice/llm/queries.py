@@ -152,7 +152,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 def _sql_licenses() -> str:
     def form(x: str) -> str:
         x = f"translate({x}, '{licenses._UPPER}', '{licenses._LOWER}')"
-        x = rf"regexp_replace({x}, '(^|\n)[ \t]*(copyright[ \t:(]|\(c\)|©)[^\n]*', chr(10), 'g')"
+        x = rf"regexp_replace({x}, '(^|\n)[ \t]*(copyright[ \t]*(\(c\)|©|:|[0-9]{{4}}|by )|(\(c\)|©)[ \t]*[0-9]{{4}})[^\n]*', chr(10), 'g')"
         for a, b in licenses.EQUIVALENT:
             x = f"replace({x}, '{a}', '{b}')"
         return rf"sha256(trim(regexp_replace({x}, '[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+', ' ', 'g')))"

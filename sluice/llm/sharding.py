@@ -56,7 +56,7 @@ def rebalance(mapping: list[int], sizes: dict[int, int], shards: int) -> list[in
         for slot in sorted(h, key=lambda s: (-h[s], s)):
             if load[k] <= mean:
                 break
-            if 0 < h[slot] <= 2 * (load[k] - mean):
+            if 0 < h[slot] <= load[k] - mean:
                 load[k] -= h.pop(slot)
                 free.append(slot)
     heap = [(b, k) for k, b in enumerate(load)]
