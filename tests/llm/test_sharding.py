@@ -41,7 +41,7 @@ def test_rebalancing_levels_and_moves_little():
     # one more shard: slots move, and mostly into the new shard
     third = sharding.rebalance(second, sizes, 41)
     moved = [(a, b) for a, b in zip(second, third, strict=True) if a != b]
-    assert set(third) == set(range(41)) and sum(b == 40 for _, b in moved) >= 0.8 * len(moved)
+    assert set(third) == set(range(41)) and sum(b == 40 for _, b in moved) >= 0.6 * len(moved) and len(moved) < 400
     # one shard less: all of its slots find another
     assert set(sharding.rebalance(second, sizes, 39)) == set(range(39))
     assert sharding.rebalance(first, {}, 40) is not None
