@@ -10,10 +10,10 @@ from .operators.mapping import flatten_by_mapping
 from .operators.records import (conform, conform_json, error_text, raise_on_errors, record_diff, record_replace,
                                 record_validate, tsv_decode, tsv_encode)
 from .operators.reports import (control_total_check, header_columns, parse_once, parse_response, report_body,
-                                report_file_pick, report_header, report_metadata, report_page_rows, report_rows,
+                                report_file_pick, report_columns, report_layout, report_metadata, report_page_rows, report_rows,
                                 report_state, report_status, response_ok, settlement)
 from .operators.sitemap import sitemap_index_urls, sitemap_urls
-from .operators.sizing import broadcast_if_small
+from .operators.sizing import materialised
 from .operators.spines import date_spine, date_spine_from, missing_slices, month_spine, month_spine_from, param_product
 from .operators.sync import (high_water_filter, high_water_update, incremental_sync, lead_batches, lead_payload,
                              null_split, processed_count, read_mark, unsubscribe_payload, write_mark)

@@ -1,124 +1,43 @@
 """Deterministic global numbering and fixed-size batches without a single-partition window.
 
-A global ``row_number() over (order by key)`` sends every row to one task.
-Here the key space is cut into ranges whose boundaries are fixed before the
-job runs, so the range of a row is a pure function of its key and every
-evaluation (and every retry after a lost executor) agrees:
-
-* numeric / date / timestamp leading key: split points are approximate
-  quantiles of that key, and ``Bucketizer`` (a binary search in the JVM)
-  maps each row to its range, so there can be as many ranges as the data
-  needs (``ROWS_PER_RANGE``);
-* otherwise: split points from a bounded fixed-seed sample of the full key,
-  as literals in a binary-search ``CASE`` (at most ``MAX_LITERAL_RANGES``).
-
-Rows are counted per range (a partial + final aggregate), a running sum over
-the ranges (one row per range) gives each range its offset, and
-``row_number`` inside a range plus the offset is the global rank. Ranges only
-need to be monotone in the key: ties of the leading key share a range and are
-ordered by the full key inside it.
+A global ``row_number() over (order by key)`` sends every row to one task. Here rows are range-partitioned by
+the full key, sorted inside their partition and written once to the shared folder together with their partition and
+their place in it. A running sum over the partitions (one row each) gives every partition its offset, and offset plus
+place is the rank.
+
+Split points are Spark's own, from an unbiased sample of full keys, so any orderable key works, there are as many ranges
+as the data needs, and rows that tie in the leading key are split by the rest of it. They differ between two evaluations;
+as the written table is the only one that is read, every later evaluation and every retry agrees.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from .sizing import materialised
 
 _POS_BITS = 33  # monotonically_increasing_id = partition_index << 33 | row position
-SAMPLE_PER_RANGE = 60
 ROWS_PER_RANGE = 2_000_000
-MAX_LITERAL_RANGES = 64
-
-
-def _sort_key(row):
-    return tuple((0, None) if v is None else (1, v) for v in row)
-
-
-def _split_points(df: DataFrame, keys: list[str], ranges: int, total: int, seed: int = 17) -> list[tuple]:
-    """Up to ``ranges - 1`` ordered split points from a bounded sample of the keys."""
-    want = ranges * SAMPLE_PER_RANGE
-    if total == 0 or ranges <= 1:
-        return []
-    fraction = min(1.0, 2.0 * want / total)
-    sample = df.select(*keys).sample(False, fraction, seed).limit(2 * want).collect()  # bounded
-    rows = sorted((tuple(r) for r in sample), key=_sort_key)
-    if not rows:
-        return []
-    points = []
-    for i in range(1, ranges):
-        p = rows[min(len(rows) - 1, (i * len(rows)) // ranges)]
-        if not points or _sort_key(p) > _sort_key(points[-1]):
-            points.append(p)
-    return points
-
-
-def range_bucket(df: DataFrame, keys: list[str], points: list[tuple]) -> Column:
-    """Index of the key range of each row (binary search over literal split points)."""
-    types = [df.schema[k].dataType for k in keys]
-    key = F.struct(*[F.col(k) for k in keys])
-
-    def lit_point(p):
-        return F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(p, types, keys)])
-
-    def search(lo, hi):  # ranges lo..hi; point i separates range i and i + 1
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key <= lit_point(points[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
-
-    return search(0, len(points)) if points else F.lit(0)
-
-
-def _monotone_double(df: DataFrame, key: str) -> Column | None:
-    """A double that never decreases when ``key`` increases (nulls first), or None."""
-    t = df.schema[key].dataType
-    c = F.col(key)
-    if isinstance(t, T.NumericType):
-        v = c.cast("double")
-    elif isinstance(t, T.DateType):
-        v = F.unix_date(c).cast("double")
-    elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        v = F.unix_micros(c.cast("timestamp")).cast("double")
-    else:
-        return None
-    return F.coalesce(v, F.lit(float("-inf")))
-
-
-def _with_ranges(df: DataFrame, keys: list[str], partitions: int) -> DataFrame:
-    total = df.count()
-    lead = _monotone_double(df, keys[0])
-    if lead is not None:
-        ranges = max(partitions, -(-total // ROWS_PER_RANGE))
-        x = df.withColumn("_x", lead)
-        probs = [i / ranges for i in range(1, ranges)]
-        qs = x.approxQuantile("_x", probs, min(0.01, 0.25 / ranges)) if total and probs else []
-        inner = sorted({q for q in qs if q not in (float("inf"), float("-inf"))})
-        if not inner:  # empty input or one range
-            return df.withColumn("_range", F.lit(0))
-        splits = [float("-inf")] + inner + [float("inf")]
-        b = Bucketizer(splits=splits, inputCol="_x", outputCol="_rb", handleInvalid="keep")
-        return b.transform(x).withColumn("_range", F.col("_rb").cast("int")).drop("_x", "_rb")
-    points = _split_points(df, keys, min(partitions, MAX_LITERAL_RANGES), total)
-    return df.withColumn("_range", range_bucket(df, keys, points))
 
 
 def global_rank(df: DataFrame, order_by: list[str], rank_col: str = "rank",
                 partitions: int | None = None) -> DataFrame:
     """Add a dense 1-based rank in ``order_by`` order (keys must be unique for a total order)."""
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [k if isinstance(k, str) else k._jc.toString() for k in order_by]
-    b = _with_ranges(df, keys, n)
-    counts = b.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    once = materialised(df, "rank-input")  # the sample and the ranges read this, not what made it
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-once.count() // ROWS_PER_RANGE))
+    ranged = once.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    part = F.spark_partition_id().cast("long")
+    placed = materialised(ranged.select("*", part.alias("_range"), (
+        F.monotonically_increasing_id() - F.shiftleft(part, _POS_BITS)).alias("_pos")), "rank-ranges")
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per range: small by construction (rows / ROWS_PER_RANGE), broadcast
-    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy("_range").orderBy(*[F.col(k) for k in keys])
-    ranked = b.join(F.broadcast(offsets), "_range").withColumn(
-        rank_col, F.col("_off") + F.row_number().over(inside))
-    return ranked.drop("_range", "_off")
+    # one row per range: rows / ROWS_PER_RANGE
+    offsets = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    ranked = placed.join(offsets, "_range").withColumn(rank_col, F.col("_off") + F.col("_pos") + 1)
+    return ranked.select(*df.columns, rank_col)
 
 
 def batch_ids(df: DataFrame, size: int, order_by: list[str | Column] | None = None,

@@ -5,18 +5,17 @@ from __future__ import annotations
 import csv
 import io
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import cents_error, cents_to_decimal, transaction_type
-from .sizing import broadcast_if_small
+from .sizing import materialised
 
 # Report row types and layout
 ROW_TYPE_COL = "CH"
 BODY = "SB"
 FOOTER = "SF"
 PREAMBLE_LINES = 3
-FOOTER_BROADCAST_ROWS = 1_000_000
 # API response codes
 SUCCESS_CODE = 100
 STATUS_CREATED, STATUS_EXECUTING, STATUS_COMPLETE = 1, 2, 3
@@ -61,34 +60,77 @@ def report_file_pick(files: DataFrame, prefix: str, dates: DataFrame, name_col:
 
 # --- CSV report bodies and control totals ----------------------------------------------------
 
+_CSV = {"sep": ",", "quote": '"', "escape": '"'}
+
+
 def header_columns(header_line: str) -> list[str]:
     """Column names of one header line (one bounded line parsed on the driver)."""
     return next(csv.reader(io.StringIO(header_line)))
 
 
-def report_header(spark, path: str, preamble: int = PREAMBLE_LINES) -> str:
-    """The header line of one report (the first file of the listing; one bounded read)."""
-    files = sorted(spark.read.text(path).inputFiles())
-    if not files:
-        raise FileNotFoundError(f"no report files under {path}")
-    head = spark.read.text(files[0]).limit(preamble + 1).collect()
-    if len(head) <= preamble:
-        raise ValueError(f"{files[0]} has no header line")
-    return head[preamble]["value"]
+def report_layout(lines: DataFrame, preamble: int = PREAMBLE_LINES) -> DataFrame:
+    """``(file_path, header, broken)``, one row per file in one pass: its own header line (the one after the preamble), and
+    whether a line of it has an odd number of quotes, so that a quoted field goes on in the next line."""
+    body = F.col("line") > preamble + 1
+    return materialised(lines.groupBy("file_path").agg(
+        F.max(F.when(F.col("line") == preamble + 1, F.col("value"))).alias("header"),
+        F.coalesce(F.max(body & (_quotes() % 2 == 1)), F.lit(False)).alias("broken")), "report-layout")
+
+
+def _quotes() -> Column:
+    return F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+
 
+def report_columns(layout: DataFrame) -> list[str]:
+    """Names of all columns of all files, in order of first mention (one row per distinct header is read)."""
+    headers = layout.where("header is not null").groupBy("header").agg(F.min("file_path").alias("first"))
+    names: dict[str, None] = {}
+    for r in headers.orderBy("first").collect():
+        names.update(dict.fromkeys(header_columns(r["header"])))
+    return list(names)
 
-def report_rows(lines: DataFrame, columns: list[str], preamble: int = PREAMBLE_LINES) -> DataFrame:
+
+def _records(body: DataFrame) -> DataFrame:
+    """``(file_path, line, value, at.., broken)`` lines as CSV records: a record ends on a line that leaves an even number
+    of quotes behind. Only files with such a line are ordered, each in one window; elsewhere every line is a record."""
+    cols = [c for c in body.columns if c not in ("line", "value", "broken")]
+    whole = body.where("not broken").select(*cols, "line", "value", F.lit(False).alias("malformed"))
+    split = body.where("broken").withColumn("_odd", _quotes() % 2)
+    by_line = Window.partitionBy("file_path").orderBy("line")
+    before = F.coalesce(F.sum("_odd").over(by_line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    joined = (split.withColumn("_starts", (before % 2 == 0).cast("int"))
+              .withColumn("_record", F.sum("_starts").over(by_line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+              .groupBy(*cols, "_record").agg(F.sort_array(F.collect_list(F.struct("line", "value"))).alias("_lines"),
+                                             (F.sum("_odd") % 2 == 1).alias("malformed")))
+    return whole.unionByName(joined.select(*cols, F.col("_lines")[0]["line"].alias("line"), F.array_join(
+        F.transform("_lines", lambda x: x["value"]), "\n").alias("value"), "malformed"))
+
+
+def report_rows(lines: DataFrame, columns: list[str], layout: DataFrame | None = None, preamble: int = PREAMBLE_LINES) -> DataFrame:
     """Numbered report lines -> ``(file_path, line, <columns as strings>, malformed)``.
 
-    Lines up to the header (``preamble + 1``) are dropped. A line with an odd
-    number of quotes (a quoted line break) is flagged ``malformed``.
+    Each file is read by its own header (``layout``): a column is found by name, wherever the file has it, and is null in
+    a file that doesn't have it (of a name that stands twice, the last counts). Lines up to the header are dropped. Quoted
+    line breaks belong to their field; ``line`` is the record's first line. ``malformed`` marks a record whose quotes
+    never close.
     """
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    body = lines.where(F.col("line") > preamble + 1)
-    parsed = body.select("file_path", "line", F.from_csv("value", schema, {"sep": ",", "quote": '"'}).alias("r"),
-                         ((F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1)
-                         .alias("malformed"))
-    return parsed.select("file_path", "line", *[F.col("r")[c].alias(c) for c in columns], "malformed")
+    layout = report_layout(lines, preamble) if layout is None else layout
+    n = layout.select(F.max(F.length("header") - F.length(F.replace("header", F.lit(","), F.lit(""))) + 1)).first()[0] or 1
+    positions = ", ".join(f"_{i} string" for i in range(n))
+
+    def fields(c):
+        r = F.from_csv(c, positions, _CSV)
+        return F.array(*[r[f"_{i}"] for i in range(n)])
+
+    # one row per file: each file's places of the wanted columns, from 0, null if it lacks one
+    places = layout.select(F.col("file_path").alias("_file"), "broken", F.transform(
+        F.array(*[F.lit(c) for c in columns]), lambda c: F.array_max(F.transform(
+            fields(F.col("header")), lambda x, i: F.when(x == c, i)))).alias("_at"))
+    body = lines.where(F.col("line") > preamble + 1).select("file_path", "line", "value")
+    joined = body.join(places, F.col("file_path") == F.col("_file")).select("file_path", "line", "value", "broken", "_at")
+    parsed = _records(joined).withColumn("_r", fields(F.col("value")))
+    return parsed.select("file_path", "line", *[
+        F.get("_r", F.get("_at", F.lit(k))).alias(c) for k, c in enumerate(columns)], "malformed")
 
 
 def report_body(rows: DataFrame, report_date, columns: list[str]) -> DataFrame:
@@ -109,9 +151,9 @@ def control_total_check(rows: DataFrame, check_col: str, file_col: str = "file_p
     ct = F.col(ROW_TYPE_COL)
     footers = rows.where(ct == FOOTER).groupBy(file_col).agg(
         F.min("line").alias("_first_sf"), F.min_by(F.col(check_col), F.col("line")).alias("_check"))
-    # one row per file with a footer: materialised once, broadcast when its size is proven small,
-    # so body rows are never shuffled by file (a hot file cannot skew the join)
-    footers = broadcast_if_small(footers, FOOTER_BROADCAST_ROWS)
+    # one row per file with a footer, computed once: Spark broadcasts it if it is small, so that body
+    # rows need no shuffle by file, and else splits a hot file in the join
+    footers = materialised(footers, "footers")
     files = (files if files is not None else rows).select(file_col).distinct()
     bodies = rows.where(ct == BODY).select(file_col, "line")
     counted = bodies.join(footers, file_col, "left").where(

@@ -1,15 +1,15 @@
-"""Size-checked broadcasts: a side is broadcast only after its row count is known to be small."""
+"""Small sides of joins: computed once, their size known to the optimizer."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
+from ..session import scratch_path
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Materialise ``df`` once (reliable checkpoint in the shared folder), count it, and mark it for
-    broadcast only when it holds at most ``max_rows`` rows; otherwise the join shuffles."""
-    small = df.checkpoint(eager=True)
-    return F.broadcast(small) if small.count() <= max_rows else small
+def materialised(df: DataFrame, name: str = "side") -> DataFrame:
+    """``df`` computed once and written to the shared folder. Reading it back gives Spark its true size in bytes, so the
+    optimizer broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it above; nothing is forced."""
+    path = scratch_path(df.sparkSession, "sides", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

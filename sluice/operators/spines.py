@@ -5,27 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Above this many values a parameter list is refused (the product is a fan-out
-# of task parameters, not a data join).
-PARAM_LIST_LIMIT = 10_000
 
+def _bounds(spark: SparkSession, start: str | None, end: str | None) -> DataFrame:
+    """One row of bounds; without a start it is yesterday, without an end today (the session's day)."""
+    return spark.range(1).select(
+        F.coalesce(F.to_date(F.lit(start or None)), F.date_sub(F.current_date(), 1)).alias("s"),
+        F.coalesce(F.to_date(F.lit(end or None)), F.current_date()).alias("e"))
 
-def _date(v):
-    return F.to_date(F.lit(v)) if isinstance(v, str) else v
 
-
-def date_spine(spark: SparkSession | None, start, end, fmt: str = "yyyyMMdd",
+def date_spine(spark: SparkSession, start: str | None = None, end: str | None = None, fmt: str = "yyyyMMdd",
                col: str = "date") -> DataFrame:
-    """Dates in ``[start, end)`` as text in ``fmt``; ``start >= end`` gives no rows.
-
-    Generated distributed by ``range`` over the day count (no driver list).
-    """
-    if isinstance(start, str) and isinstance(end, str):
-        days = spark.sql(f"select datediff(date'{end}', date'{start}') d").first()["d"]
-        base = spark.range(0, max(int(days), 0), 1)
-        return base.select(F.date_format(F.date_add(F.to_date(F.lit(start)), F.col("id").cast("int")), fmt)
-                           .alias(col))
-    raise TypeError("start and end must be 'yyyy-MM-dd' strings; use date_spine_from for columns")
+    """Dates in ``[start, end)`` as text in ``fmt``; ``start >= end`` gives no rows. Defaults: yesterday, today."""
+    return date_spine_from(_bounds(spark, start, end), "s", "e", fmt, col)
 
 
 def date_spine_from(bounds: DataFrame, start_col: str, end_col: str, fmt: str = "yyyyMMdd",
@@ -48,10 +39,10 @@ def month_spine_from(bounds: DataFrame, start_col: str, end_col: str, fmt: str =
         *(keep or []), F.date_format("_d", fmt).alias(col))
 
 
-def month_spine(spark: SparkSession, start: str, end: str, fmt: str = "yyyy-MM-dd",
+def month_spine(spark: SparkSession, start: str | None = None, end: str | None = None, fmt: str = "yyyy-MM-dd",
                 col: str = "month_start") -> DataFrame:
-    bounds = spark.range(1).select(F.lit(start).alias("s"), F.lit(end).alias("e"))
-    return month_spine_from(bounds, "s", "e", fmt, col)
+    """First day of every month from start's month to end's month, inclusive. Defaults: yesterday, today."""
+    return month_spine_from(_bounds(spark, start, end), "s", "e", fmt, col)
 
 
 def missing_slices(spine: DataFrame, loaded: DataFrame, col: str | list[str] = "date") -> DataFrame:
@@ -60,22 +51,18 @@ def missing_slices(spine: DataFrame, loaded: DataFrame, col: str | list[str] = "
     return spine.join(loaded.select(*cols).distinct(), cols, "left_anti")
 
 
-def param_product(*lists: DataFrame, limit: int = PARAM_LIST_LIMIT) -> DataFrame:
+def param_product(*lists: DataFrame) -> DataFrame:
     """Row-major cartesian product of parameter lists; columns are the "unzipped" lists.
 
-    Each list is a small parameter frame (distinct values, checked against
-    ``limit``); order is kept by an ``ordinal`` per list and a final sort.
+    The product is the feature, so its size is that of the result; lists may have any length. Order is kept by an
+    ``ordinal`` per list and a final sort.
     """
     if len(lists) < 2:
         raise ValueError("param_product needs two or more lists")
     out = None
     order = []
     for i, lst in enumerate(lists):
-        n = lst.count()
-        if n > limit:
-            raise ValueError(f"parameter list {i} has {n} values (limit {limit})")
         part = lst.withColumn(f"_o{i}", F.monotonically_increasing_id())
         order.append(f"_o{i}")
-        # checked-size parameter list: broadcast fan-out of task parameters
-        out = part if out is None else out.crossJoin(F.broadcast(part))
+        out = part if out is None else out.crossJoin(part)
     return out.orderBy(*order).drop(*order)

@@ -124,12 +124,18 @@ def lead_payload(df: DataFrame, kind: str, on_error: str = "column") -> DataFram
                      lead_errors().alias("errors"))
 
 
-def lead_batches(df: DataFrame, kind: str, order_by: list[str], size: int = LEAD_BATCH_SIZE) -> DataFrame:
-    """Request bodies ``{"attributes": [...]}`` of at most ``size`` leads each."""
-    objs = df.select(*order_by, lead_payload_struct(kind).alias("attr"))
+def lead_batches(df: DataFrame, kind: str, order_by: list[str], size: int = LEAD_BATCH_SIZE,
+                 on_error: str = "raise") -> DataFrame:
+    """Request bodies ``{"attributes": [...]}`` of at most ``size`` leads each: ``(batch_id, n, body, errors)``.
+
+    A lead with a list over the cap fails the job, like the reference; with ``on_error="column"`` its list is null
+    and ``errors`` of its batch says so."""
+    objs = df.select(*order_by, F.struct(lead_payload_struct(kind, on_error).alias("attr"), lead_errors().alias("errs")).alias("lead"))
     packed = batch_pack(objs, size, order_by)
-    return packed.select("batch_id", "n", to_json_keep_nulls(
-        F.struct(F.transform("rows", lambda r: r["attr"]).alias("attributes"))).alias("body"))
+    return packed.select(
+        "batch_id", "n",
+        to_json_keep_nulls(F.struct(F.transform("rows", lambda r: r["lead"]["attr"]).alias("attributes"))).alias("body"),
+        F.flatten(F.transform("rows", lambda r: r["lead"]["errs"])).alias("errors"))
 
 
 def unsubscribe_payload(df: DataFrame, order_by: list[str], email_col: str = "email",
@@ -148,6 +154,9 @@ STATE_DDL = "key string, mark string"
 
 def read_mark(spark: SparkSession, state_path: str, key: str):
     """The saved mark for ``key`` (one row of a tiny state table) or None."""
+    from ..sinks.guard import recover
+
+    recover(spark, state_path)  # a driver lost while the marks were swapped must not lose them
     if not path_exists(spark, state_path):
         return None
     row = spark.read.parquet(state_path).where(F.col("key") == key).select("mark").first()

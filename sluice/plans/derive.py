@@ -14,22 +14,10 @@ from ..session import scratch_path
 LINEITEM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                   "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 PAGE_SIZE = 50
-# Derived file layouts grow with the data: event files hold at least EVENT_CHUNK ids and there are
-# at most ~EVENT_FILES_PER_TYPE id chunks; report files hold at most ~REPORT_FILE_ROWS rows per month.
-EVENT_CHUNK = 2000
-EVENT_FILES_PER_TYPE = 5000
-REPORT_FILE_ROWS = 400_000_000
-
-
-def event_chunk(spark: SparkSession, sf_dir: str) -> int:
-    """Ids per event file: ``greatest(2000, count(*) div 5000)`` (same rule in the oracle SQL)."""
-    n = table(spark, sf_dir, "events").count()  # Parquet footer count
-    return max(EVENT_CHUNK, n // EVENT_FILES_PER_TYPE)
-
-
-def report_parts(spark: SparkSession, sf_dir: str) -> int:
-    """Report files per month: ``1 + count(*) div 400M`` (same rule in the oracle SQL)."""
-    return 1 + table(spark, sf_dir, "lineitem").count() // REPORT_FILE_ROWS
+# Derived files hold fixed ranges of keys, so there are more of them as the tables grow, and a row's file doesn't
+# depend on how many others there are (the oracle SQL has the same rule).
+EVENT_CHUNK = 5000
+REPORT_KEYS = 1_000_000
 
 _written: dict[tuple[str, str], str] = {}
 
@@ -72,7 +60,7 @@ def events_ndjson(spark: SparkSession, sf_dir: str) -> str:
     in event_id order; every 10th record is broken (first character removed)."""
     def build(path):
         ev = table(spark, sf_dir, "events")
-        chunk = event_chunk(spark, sf_dir)
+        chunk = EVENT_CHUNK
         lines = ev.select("event_type", F.floor(F.col("event_id") / chunk).cast("long").alias("chunk"),
                           "event_id", event_json_line().alias("value"))
         (lines.repartition("event_type", "chunk").sortWithinPartitions("event_type", "chunk", "event_id")
@@ -196,37 +184,39 @@ def metadata_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- daily CSV reports built from lineitem ---------------------------------------------------------
 
-REPORT_HEADER = "CH,order_key,line_no,qty,amount_cents,flag,note,row_count"
 REPORT_COLUMNS = ["CH", "order_key", "line_no", "qty", "amount_cents", "flag", "note", "row_count"]
 
 
+def _csv(month: Column, first: Column, *rest: Column) -> Column:
+    return F.when(month % 2 == 0, F.concat_ws(",", first, *reversed(rest))).otherwise(F.concat_ws(",", first, *rest))
+
+
 def report_files(spark: SparkSession, sf_dir: str) -> str:
-    """CSV reports per ship month (``report_parts`` files a month, split by order key) under
-    ``report_date=<yyyy-MM-01>/part=<p>/``: 3 free lines, header, SB rows, SF footer (wrong in
-    January, missing in July, line-1 rows after it in November)."""
+    """CSV reports per ship month and range of order keys under ``report_date=<yyyy-MM-01>/part=<p>/``: 3 free lines,
+    header, SB rows, SF footer (wrong in January, missing in July, line-1 rows after it in November). Reports of even
+    months have their columns the other way round; some notes of March hold a line break."""
     def build(path):
         li = table(spark, sf_dir, "lineitem")
-        parts = report_parts(spark, sf_dir)
-        li = li.withColumn("part", F.pmod(F.col("l_orderkey"), F.lit(parts)).cast("long"))
+        li = li.withColumn("part", F.floor(F.col("l_orderkey") / REPORT_KEYS).cast("long"))
         d = F.date_format(F.trunc("l_shipdate", "MM"), "yyyy-MM-dd")
         mon = F.month("l_shipdate")
         body = li.select(
             d.alias("report_date"), "part",
             F.when((mon == 11) & (F.col("l_linenumber") == 1), F.lit(4)).otherwise(F.lit(2)).alias("section"),
             *[F.col(c) for c in LINEITEM_ORDER],
-            F.concat_ws(",", F.lit("SB"), s("l_orderkey"), s("l_linenumber"), s(F.col("l_quantity").cast("long")),
-                        s(F.round(F.col("l_extendedprice") * 100).cast("long")), F.col("l_returnflag"),
-                        F.concat(F.lit('"'), F.col("l_returnflag"), F.lit(", "), F.col("l_linestatus"), F.lit('"')),
-                        F.lit("")).alias("value"))
+            _csv(mon, F.lit("SB"), s("l_orderkey"), s("l_linenumber"), s(F.col("l_quantity").cast("long")),
+                 s(F.round(F.col("l_extendedprice") * 100).cast("long")), F.col("l_returnflag"),
+                 F.concat(F.lit('"'), F.col("l_returnflag"), F.when((mon == 3) & (F.col("l_linenumber") == 2), F.lit(",\n")).otherwise(
+                     F.lit(", ")), F.col("l_linestatus"), F.lit('"')), F.lit("")).alias("value"))
         per_month = li.groupBy(d.alias("report_date"), "part").agg(F.count(F.lit(1)).alias("n"))
         pmon = F.month(F.to_date("report_date"))
         footer = per_month.where(pmon != 7).select(
             "report_date", "part", F.lit(3).alias("section"),
-            F.concat(F.lit("SF,,,,,,,"), s(F.col("n") + F.when(pmon == 1, 1).otherwise(0))).alias("value"))
+            _csv(pmon, F.lit("SF"), *[F.lit("")] * 6, s(F.col("n") + F.when(pmon == 1, 1).otherwise(0))).alias("value"))
         head = per_month.select("report_date", "part", F.explode(F.array(
             *[F.struct(F.lit(i).alias("section"), v.alias("value")) for i, v in enumerate([
                 F.lit("Settlement report"), F.concat(F.lit("Generated for "), F.col("report_date")),
-                F.lit("Version 1"), F.lit(REPORT_HEADER)])])).alias("h")).select(
+                F.lit("Version 1"), _csv(pmon, *[F.lit(c) for c in REPORT_COLUMNS])])])).alias("h")).select(
             "report_date", "part", (F.col("h.section") - 4).alias("section"), "h.value")
         empty = [F.lit(None).cast(li.schema[c].dataType).alias(c) for c in LINEITEM_ORDER]
         allrows = body.unionByName(footer.select("report_date", "part", "section", *empty, "value")) \

@@ -18,7 +18,7 @@ FIRST_RUN_TYPES = ("click", "view")
 EVENT_LINES_SQL = """
 WITH src AS (
   SELECT event_id, event_type, ts, props, value, user_id,
-         event_id // greatest(2000, (SELECT count(*) FROM events) // 5000) AS chunk,
+         event_id // 5000 AS chunk,
          '{"date":"' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '","day":"' || strftime(ts, '%Y%m%d')
          || '","event_id":' || CAST(event_id AS VARCHAR) || ',"event_type":"' || event_type
          || '","props":' || coalesce(props, 'null') || '}' AS line
@@ -81,7 +81,7 @@ def q_file_select(spark, sf_dir):
 
 
 @query("object_inventory", """
-SELECT DISTINCT event_type, event_id // greatest(2000, (SELECT count(*) FROM events) // 5000) AS chunk,
+SELECT DISTINCT event_type, event_id // 5000 AS chunk,
        1::BIGINT AS n_files, true AS has_bytes FROM events""")
 def q_object_inventory(spark, sf_dir):
     root = derive.events_ndjson(spark, sf_dir)

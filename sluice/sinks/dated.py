@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators.sizing import broadcast_if_small
+from ..operators.sizing import materialised
 from ..session import path_exists
 
 
@@ -34,7 +34,7 @@ def dated_report_sink(df: DataFrame, path: str, date_col: str = "report_date",
     todo = df
     if not overwrite:
         # one row per partition folder already written: broadcast once its size is checked
-        present = broadcast_if_small(present_partitions(spark, path, date_col))
+        present = materialised(present_partitions(spark, path, date_col))
         todo = df.join(present, df[date_col].cast("string") == present[date_col], "left_anti")
     obs = Observation(f"dated_{uuid.uuid4().hex[:8]}")
     (todo.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")

@@ -1,16 +1,20 @@
 """The guarded slice-load protocol and its variants (truncate, append, swap, rollback).
 
-Targets are Parquet folders. A slice is described by a predicate; when the
-slice is a partition (``partition_col``) it is replaced with dynamic
-partition overwrite, otherwise the kept rows plus the new rows are staged at
-a fresh path and swapped in. A failing job never touches the target: Spark's
-commit protocol publishes files only after every task succeeded, and the swap
-happens only after the staged write committed.
+Targets are Parquet folders. A slice is described by a predicate and a load
+deletes the rows that match it, no others: the new rows, and the rows of the
+touched partitions (or of the whole table, if it has none) that stay, are
+written to a staging folder beside the target. Only when all of that is
+committed are folders renamed. A rename that fails is undone at once; if the
+driver is lost between two renames, the next load or ``read_target`` finds
+what was set aside and puts it back (``recover``), so a target is whole
+before or after a load, never in between.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +54,7 @@ def slice_date(prop: str, date: str, properties_col: str = "properties") -> Colu
 def slice_raw(where: str | None) -> Column:
     """An arbitrary ``WHERE ...`` clause (the keyword is optional); empty means the whole table."""
     text = (where or "").strip()
-    if text.lower().startswith("where"):
+    if text[:6].lower().strip() == "where":
         text = text[5:].strip()
     return F.expr(text) if text else F.lit(True)
 
@@ -66,38 +70,149 @@ def slice_exists_df(df: DataFrame, pred: Column, label: str = "slice") -> DataFr
 
 
 def read_target(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    recover(spark, path)
     if not path_exists(spark, path):
         return None
     return spark.read.format(fmt).load(path)
 
 
-def _write(df: DataFrame, path: str, mode: str, partition_col: str | None, fmt: str,
-           dynamic: bool = False) -> int:
+def _write(df: DataFrame, path: str, mode: str, partition_col: str | None, fmt: str) -> int:
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.format(fmt).mode(mode)
     if partition_col:
         w = w.partitionBy(partition_col)
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
     w.save(path)
     return int(obs.get.get("n", 0))
 
 
-def stage_and_swap(spark: SparkSession, result: DataFrame, path: str, partition_col: str | None = None,
-                   fmt: str = "parquet") -> int:
-    """Write ``result`` at a fresh sibling path, then swap it in (old copy removed last)."""
-    tag = uuid.uuid4().hex[:10]
-    staging, old = f"{path}.__staging_{tag}", f"{path}.__old_{tag}"
-    rows = _write(result, staging, "errorifexists", partition_col, fmt)
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder (partitions of a table or siblings of a target: metadata)."""
+    fs, p, _ = _fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _partitions(spark: SparkSession, path: str, partition_col: str) -> list[str]:
+    return [n for n in _children(spark, path) if n.startswith(f"{partition_col}=")]
+
+
+def _set_aside(path: str, tag: str) -> str:
+    return f"{path}.__old_{tag}"
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Undo what a lost driver left half done beside the target at ``path``: a table that was set aside while no new
+    one is in its place comes back, and so do the partitions that an unfinished journal lists."""
+    head, _, name = path.rstrip("/").rpartition("/")
+    for sibling in _children(spark, head) if head else []:
+        if not sibling.startswith(f"{name}.__old_"):
+            continue
+        old = f"{head}/{sibling}"
+        if path_exists(spark, f"{old}/_journal"):
+            _undo(spark, path, old, json.loads(spark.read.text(f"{old}/_journal", wholetext=True).first()[0]))
+        elif not path_exists(spark, path):
+            _rename(spark, old, path)
+        delete_path(spark, old)
+
+
+def _undo(spark: SparkSession, path: str, old: str, journal: list) -> None:
+    for part, had in journal:
+        if path_exists(spark, f"{old}/{part}"):
+            delete_path(spark, f"{path}/{part}")
+            _rename(spark, f"{old}/{part}", f"{path}/{part}")
+        elif not had:
+            delete_path(spark, f"{path}/{part}")
+
+
+def _swap(spark: SparkSession, staging: str, path: str) -> None:
+    """Put the staged table in the target's place; the target comes back if that fails."""
+    old = _set_aside(path, uuid.uuid4().hex[:10])
     had_old = path_exists(spark, path)
     if had_old:
         _rename(spark, path, old)
-    _rename(spark, staging, path)
+    try:
+        _rename(spark, staging, path)
+    except BaseException:
+        if had_old:
+            _rename(spark, old, path)
+        raise
     if had_old:
         delete_path(spark, old)
+
+
+def _swap_partitions(spark: SparkSession, staging: str, path: str, parts: list[str]) -> None:
+    """Put the staged partitions in place of the target's ``parts`` (those without a staged one are removed).
+
+    The journal of what is touched is written before the first rename and its deletion is the commit point: until
+    then a failure, or ``recover`` after a lost driver, puts every partition back."""
+    old = _set_aside(path, uuid.uuid4().hex[:10])
+    journal = [(p, path_exists(spark, f"{path}/{p}")) for p in parts]
+    _write_text(spark, f"{old}/_journal", json.dumps(journal))
+    try:
+        for part, had in journal:
+            if had:
+                _rename(spark, f"{path}/{part}", f"{old}/{part}")
+            if path_exists(spark, f"{staging}/{part}"):
+                _rename(spark, f"{staging}/{part}", f"{path}/{part}")
+    except BaseException:
+        _undo(spark, path, old, journal)
+        delete_path(spark, old)
+        raise
+    delete_path(spark, f"{old}/_journal")
+    delete_path(spark, old)
+
+
+def _aligned(df: DataFrame, like: DataFrame) -> DataFrame:
+    """``df`` with the columns of ``like`` that it lacks, as nulls."""
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in like.schema.fields if f.name not in df.columns})
+
+
+def stage_and_swap(spark: SparkSession, result: DataFrame, path: str, partition_col: str | None = None,
+                   fmt: str = "parquet") -> int:
+    """Write ``result`` at a fresh sibling path, then swap it in (old copy removed last)."""
+    recover(spark, path)
+    staging = f"{path}.__staging_{uuid.uuid4().hex[:10]}"
+    try:
+        rows = _write(result, staging, "errorifexists", partition_col, fmt)
+        _swap(spark, staging, path)
+    finally:
+        delete_path(spark, staging)
     return rows
 
 
+def _replace_slice(spark: SparkSession, path: str, target: DataFrame, new: DataFrame, pred: Column,
+                   partition_col: str | None, fmt: str) -> int:
+    """Delete the rows that match ``pred`` and add ``new``; rows outside the slice stay, also in partitions of ``new``."""
+    staging = f"{path}.__staging_{uuid.uuid4().hex[:10]}"
+    stays = ~F.coalesce(pred, F.lit(False))
+    try:
+        rows = _write(_aligned(new, target), staging, "errorifexists", partition_col, fmt)
+        if not partition_col:
+            _write(_aligned(target.where(stays), new), staging, "append", None, fmt)
+            _swap(spark, staging, path)
+            return rows
+        # folders that hold rows of the slice: at most the partitions of one slice
+        found = target.where(pred).select(F.regexp_extract(
+            F.col("_metadata.file_path"), f"/({partition_col}=[^/]*)/", 1)).distinct().collect()
+        touched = sorted({unquote(r[0]) for r in found} | set(_partitions(spark, staging, partition_col)))
+        present = [f"{path}/{p}" for p in touched if path_exists(spark, f"{path}/{p}")]
+        if present:
+            kept = spark.read.format(fmt).schema(target.schema).option("basePath", path).load(present).where(stays)
+            _write(_aligned(kept, new), staging, "append", partition_col, fmt)
+        _swap_partitions(spark, staging, path, touched)
+        return rows
+    finally:
+        delete_path(spark, staging)
+
+
 def guarded_slice_load(spark: SparkSession, path: str, new: DataFrame, pred: Column | None,
                        overwrite: bool = False, truncate: bool = False, check: bool = True,
                        partition_col: str | None = None, fmt: str = "parquet") -> DataFrame:
@@ -106,7 +221,7 @@ def guarded_slice_load(spark: SparkSession, path: str, new: DataFrame, pred: Col
     * ``truncate``: the target is emptied first, so the load always proceeds.
     * ``check=False``: always append (with ``overwrite`` nothing is deleted).
     * slice present and not ``overwrite``: skip, nothing is written.
-    * slice present and ``overwrite``: the slice is replaced by ``new``.
+    * slice present and ``overwrite``: the rows of the slice, and no others, are replaced by ``new``.
     * slice absent (or no target): append.
 
     Returns ``(action, rows)`` with action in skipped | replaced | appended | truncated.
@@ -123,25 +238,7 @@ def guarded_slice_load(spark: SparkSession, path: str, new: DataFrame, pred: Col
         return _status(spark, "skipped", 0)
     if not exists:
         return _status(spark, "appended", _write(new, path, "append", partition_col, fmt))
-    if partition_col:
-        # partitions of the slice: bounded by the partition count of one slice
-        as_text = F.col(partition_col).cast("string")
-        old_parts = {r[0] for r in target.where(pred).select(as_text).distinct().collect()}
-        rows = _write(new, path, "overwrite", partition_col, fmt, dynamic=True)
-        new_parts = {r[0] for r in new.select(as_text).distinct().collect()} if old_parts else set()
-        pending = old_parts - new_parts
-        if pending:
-            # slice rows outside the replaced partitions: rewrite only those partitions
-            keep = target.where(as_text.isin(list(pending)) & ~F.coalesce(pred, F.lit(False)))
-            keep = keep.checkpoint(eager=True)
-            for part in pending:
-                delete_path(spark, f"{path}/{partition_col}={part}")
-            _write(keep, path, "append", partition_col, fmt)
-        return _status(spark, "replaced", rows)
-    kept = target.where(~F.coalesce(pred, F.lit(False)))
-    result = kept.unionByName(new, allowMissingColumns=True)
-    stage_and_swap(spark, result, path, None, fmt)
-    return _status(spark, "replaced", new.count())
+    return _status(spark, "replaced", _replace_slice(spark, path, target, new, pred, partition_col, fmt))
 
 
 def swap_overwrite(spark: SparkSession, df: DataFrame, table: str, location: str,

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.sizing import broadcast_if_small
+from ..operators.sizing import materialised
 
 # Above this many splits the split-offset table is joined with a shuffle instead
 # of being broadcast. A row is 4 longs (~32 bytes): 4M splits (~500 TB of
 # 128 MB splits) stay near 128 MB.
-BLOCK_BROADCAST_ROWS = 4_000_000
 
 
 def file_predicate(file: str | None = None, pattern: str | None = None,
@@ -108,8 +107,8 @@ def numbered_lines(spark: SparkSession, path: str | list[str], file: str | None
     blocks = blocks.select(
         "_file", "_block", "_first",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    # materialised once (reliable checkpoint in the shared dir), broadcast when its size is checked
-    blocks = broadcast_if_small(blocks, BLOCK_BROADCAST_ROWS)
+    # computed once; Spark broadcasts it below the byte threshold
+    blocks = materialised(blocks, "blocks")
     out = tagged.join(blocks, ["_file", "_block"])
     return out.select(
         "file_path",

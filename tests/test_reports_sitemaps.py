@@ -84,7 +84,7 @@ def test_control_totals_and_body(spark, tmp):
     _write(tmp, "nofooter.csv", head)
     _write(tmp, "late.csv", head + ["SB,1,a,", "SF,,,1", "SB,2,b,", "SF,,,9"])
     lines = numbered_lines(spark, tmp)
-    cols = R.header_columns(R.report_header(spark, tmp))
+    cols = R.report_columns(R.report_layout(lines))
     rows = R.report_rows(lines, cols)
     res = {r["file_path"].rsplit("/", 1)[1]: r for r in R.control_total_check(rows, "Count", files=lines).collect()}
     assert (res["ok.csv"]["found"], res["ok.csv"]["expected"], res["ok.csv"]["ok"]) == (2, 2, True)
@@ -120,6 +120,23 @@ def test_control_totals_strict(spark, tmp):
     head = ["a", "b", "c", "CH,id,Count"]
     _write(tmp, "bad.csv", head + ["SB,1,", "SF,,5"])
     lines = numbered_lines(spark, tmp)
-    rows = R.report_rows(lines, R.header_columns(R.report_header(spark, tmp)))
+    rows = R.report_rows(lines, ["CH", "id", "Count"])
     with pytest.raises(Exception, match="Rows found: 1, Rows expected: 5"):
         R.control_total_check(rows, "Count", files=lines, strict=True).collect()
+
+
+def test_each_report_has_its_own_header_and_line_breaks(spark, tmp):
+    head = ["a", "b", "c"]
+    _write(tmp, "one.csv", head + ["CH,k,n,Count", 'SB,"two', 'lines",7,', 'SB,x,8,', 'SB,"a ""q"" b",9,', "SF,,,3"])
+    _write(tmp, "two.csv", head + ["CH,Count,n,k,more", "SB,,1,y,z", "SF,1,,,"])
+    _write(tmp, "open.csv", head + ["CH,k,n,Count", 'SB,"never', "closed"])
+    lines = numbered_lines(spark, tmp)
+    layout = R.report_layout(lines)
+    assert R.report_columns(layout) == ["CH", "k", "n", "Count", "more"]
+    rows = R.report_rows(lines, ["CH", "k", "n", "more", "Count"], layout)
+    got = sorted((r["file_path"].rsplit("/", 1)[1], r["line"], r["k"], r["n"], r["more"]) for r in rows.where("CH = 'SB' and not malformed").collect())
+    assert got == [("one.csv", 5, "two\nlines", "7", None), ("one.csv", 7, "x", "8", None), ("one.csv", 8, 'a "q" b', "9", None),
+                   ("two.csv", 5, "y", "1", "z")]
+    assert [(r["file_path"].rsplit("/", 1)[1], r["line"]) for r in rows.where("malformed").collect()] == [("open.csv", 5)]
+    ok = {r["file_path"].rsplit("/", 1)[1]: r["ok"] for r in R.control_total_check(rows, "Count", files=lines).collect()}
+    assert ok["one.csv"] and ok["two.csv"]
