@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,20 @@ DROPOUT = 0.1
 VARIANTS = 4
 SEED = 11
 #: Chunks up to this length are kept with their pieces, so many at most (in each of two generations).
-KEEP_LENGTH, KEPT = 48, 200_000
-_MASK = (1 << 64) - 1
+KEEP_LENGTH, KEPT = 32, 400_000
+#: Chunks above this length have a heap each; up to it, so many go side by side.
+LONG, SIDE_BY_SIDE = 32, 20_000
+_RANGE = 1 << 30
+_NONE = 1 << 40
+
+
+
+def _hash(key, place, piece):
+    """A number below 2^30 for a candidate, or an array of them; no step leaves 64 bits."""
+    x = (key + place * 40503 + piece * 625_010_129) & 0x3FFFFFFF
+    x = ((x ^ (x >> 15)) * 0x2C1B3C6D) & 0x3FFFFFFF
+    x = ((x ^ (x >> 12)) * 0x297A2D39) & 0x3FFFFFFF
+    return x ^ (x >> 15)
 
 
 class PieceEncoder:
@@ -53,6 +66,22 @@ class PieceEncoder:
                 self.text.append(piece.replace(BLANK, " ").encode())
         if min(self.byte) < 0:
             raise ValueError("the model has no byte fallback, so not every text can be decoded")
+        order = {x: i for i, x in enumerate(sorted({-x for x in self.scores}))}
+        #: The place of each piece's score among all scores, the best first; equal scores share it.
+        self.rank = {p: order[-self.scores[i]] for p, i in self.ids.items()}
+        self.n_pieces = n
+        #: Characters that stand in pieces without being one have symbols of their own.
+        self.others = sorted({c for p in self.ids for c in p if c not in self.ids})
+        self.symbol = np.full(0x110000, -1, np.int64)
+        for i, c in enumerate(self.others):
+            self.symbol[ord(c)] = n + i
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.symbol[ord(p)] = i
+        number = self.ids | {c: n + i for i, c in enumerate(self.others)}
+        pairs = sorted((number[p[:k]] * (1 << 32) + number[p[k:]], self.rank[p], i) for p, i in self.ids.items()
+                       for k in range(1, len(p)) if p[:k] in number and p[k:] in number)
+        self.pairs, self.pair_rank, self.pair_piece = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
         joined = {c for p in self.ids if len(p) > 1 for c in p}
         alone = "".join(c for c in "\n\t\r" if c not in joined) + _OWN_BLANK
         if any(re.search(f"[^{BLANK}]{BLANK}", p) for p in self.ids):
@@ -60,58 +89,131 @@ class PieceEncoder:
         #: No piece spans two chunks, so chunks are encoded one by one: words with the blanks before them.
         self.chunks = re.compile(f"[{re.escape(alone)}]|{BLANK}*[^{BLANK}{re.escape(alone)}]+|{BLANK}+")
 
-    def encode_chunk(self, chunk: str, key: int, dropout: float) -> list[int]:
-        """The ids of one chunk. Candidates are pairs of neighbours that join to a piece, kept on an agenda and taken by score,
-        then from the left. One that is taken is skipped for good if its keyed hash - of the key, its place and its
-        piece - lies under the dropout; merges around it make new candidates."""
-        ids, scores = self.ids, self.scores
+    def encode_chunks(self, chunks: list[str], keys: list[int], dropout: float) -> list[list[int]]:
+        """The ids of each chunk. Candidates are pairs of neighbours that join to a piece; they are taken by score, then from
+        the left. One that is taken is skipped for good if its keyed hash - of the chunk's key, its place and its piece -
+        lies under the dropout; merges around it make new candidates. Short chunks go side by side, one step of each
+        agenda at a time; long ones have an agenda on a heap each, to the same effect."""
+        out: list[list[int]] = [[]] * len(chunks)
+        bands: dict[int, list[int]] = {}
+        for i, c in enumerate(chunks):
+            if len(c) > LONG:
+                out[i] = self._by_heap(c, keys[i], dropout)
+            else:
+                bands.setdefault(max(8, 1 << (len(c) - 1).bit_length()), []).append(i)
+        for where in bands.values():
+            for at in range(0, len(where), SIDE_BY_SIDE):
+                part = where[at:at + SIDE_BY_SIDE]
+                for i, ids in zip(part, self._side_by_side([chunks[i] for i in part], [keys[i] for i in part], dropout), strict=True):
+                    out[i] = ids
+        return out
+
+    def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and piece of every pair of symbols (no candidate: the rank is _NONE)."""
+        key = left.astype(np.int64) * (1 << 32) + right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        hit = (self.pairs[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(hit, self.pair_rank[at], _NONE), np.where(hit, self.pair_piece[at], -1)
+
+    def _side_by_side(self, chunks: list[str], keys: list[int], dropout: float) -> list[list[int]]:
+        limit, lengths = int(dropout * _RANGE), np.array(list(map(len, chunks)))
+        code = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        width = int(lengths.max())
+        symbols = np.full((len(chunks), width), -1, np.int64)
+        known = self.symbol[code]
+        symbols[np.arange(width) < lengths[:, None]] = np.where(known >= 0, known, -2 - code)
+        key, result, row = np.array(keys, np.int64), symbols.copy(), np.arange(len(chunks))
+        place = np.broadcast_to(np.arange(width), symbols.shape).copy()
+        rank, piece = self._look_up(symbols[:, :-1], symbols[:, 1:]) if width > 1 else (np.full((len(chunks), 1), _NONE), symbols)
+        while len(row):
+            each = np.arange(len(row))
+            i = rank.argmin(axis=1)
+            going = rank[each, i] != _NONE
+            if not going.all():
+                result[row[~going]] = symbols[~going]
+                row, key, symbols, place, rank, piece, i = (x[going] for x in (row, key, symbols, place, rank, piece, i))
+                each = np.arange(len(row))
+                if not len(row):
+                    break
+            taken = piece[each, i]
+            if limit:
+                skipped = _hash(key, place[each, i], taken) < limit
+                rank[each[skipped], i[skipped]] = _NONE
+                m = np.flatnonzero(~skipped)
+            else:
+                m = each
+            if not len(m):
+                continue
+            i, n = i[m], np.arange(len(m))
+            # the symbol right of the merged one leaves its row, and so does the candidate that began with it
+            source = np.arange(width)[None, :] + (np.arange(width)[None, :] > i[:, None])
+            inside = np.minimum(source, width - 1)
+            after = np.take_along_axis(symbols[m], inside, 1)
+            after[source >= width] = -1
+            after[n, i] = taken[m]
+            symbols[m], place[m] = after, np.take_along_axis(place[m], inside, 1)
+            pairs = inside[:, :rank.shape[1]]
+            pairs = np.minimum(pairs, rank.shape[1] - 1)
+            moved_rank, moved_piece = np.take_along_axis(rank[m], pairs, 1), np.take_along_axis(piece[m], pairs, 1)
+            moved_rank[source[:, :rank.shape[1]] >= rank.shape[1]] = _NONE
+            for j in (i - 1, i):
+                ok = (j >= 0) & (j < rank.shape[1])
+                r, p = self._look_up(after[n[ok], j[ok]], after[n[ok], j[ok] + 1])
+                moved_rank[n[ok], j[ok]], moved_piece[n[ok], j[ok]] = r, p
+            rank[m], piece[m] = moved_rank, moved_piece
+        rows = result.tolist()
+        plain = (result < self.n_pieces).all(axis=1) & (result >= -1).all(axis=1)
+        return [[x for x in r if x >= 0] if ok else self._with_bytes(r) for r, ok in zip(rows, plain.tolist(), strict=True)]
+
+    def _with_bytes(self, symbols: list[int]) -> list[int]:
+        out = []
+        for x in symbols:
+            if 0 <= x < self.n_pieces:
+                out.append(x)
+            elif x != -1:
+                out += self._bytes_of(self.others[x - self.n_pieces] if x >= 0 else chr(-2 - x))
+        return out
+
+    def _bytes_of(self, char: str) -> list[int]:
+        return [self.byte[b] for b in (BLANK if char == _OWN_BLANK else char).encode()]
+
+    def _by_heap(self, chunk: str, key: int, dropout: float) -> list[int]:
+        ids, rank, limit = self.ids, self.rank, int(dropout * _RANGE)
         parts: list[str | None] = list(chunk)
         n = len(parts)
-        if n == 1:
-            return self._out(parts)
-        limit = int(dropout * (1 << 64))
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = []
-        for i in range(n - 1):
-            k = ids.get(parts[i] + parts[i + 1])
-            if k is not None:
-                agenda.append((-scores[k], i, i + 1, k, 2))
+        agenda = [(rank[a + b], i, i + 1, 2) for i, (a, b) in enumerate(pairwise(chunk)) if a + b in rank]
         heapify(agenda)
         while agenda:
-            _, i, j, k, length = heappop(agenda)
-            a, b = parts[i], parts[j] if j < n else None
+            _, i, j, length = heappop(agenda)
+            a, b = parts[i], parts[j]
             if a is None or b is None or after[i] != j or len(a) + len(b) != length:
                 continue
-            if limit:
-                h = (key ^ (i * 0x9E3779B97F4A7C15) ^ (k * 0xC2B2AE3D27D4EB4F)) & _MASK
-                h = ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & _MASK
-                if (((h ^ (h >> 32)) * 0x94D049BB133111EB) & _MASK) < limit:
-                    continue
             merged = a + b
+            if limit and _hash(key, i, ids[merged]) < limit:
+                continue
             parts[i], parts[j] = merged, None
             nxt = after[i] = after[j]
             if nxt < n:
                 before[nxt] = i
-                other = ids.get(merged + parts[nxt])
-                if other is not None:
-                    heappush(agenda, (-scores[other], i, nxt, other, len(merged) + len(parts[nxt])))
+                other = merged + parts[nxt]
+                if other in rank:
+                    heappush(agenda, (rank[other], i, nxt, len(other)))
             prev = before[i]
             if prev >= 0:
-                other = ids.get(parts[prev] + merged)
-                if other is not None:
-                    heappush(agenda, (-scores[other], prev, i, other, len(parts[prev]) + len(merged)))
-        return self._out(parts)
+                other = parts[prev] + merged
+                if other in rank:
+                    heappush(agenda, (rank[other], prev, i, len(other)))
+        return self._out([p for p in parts if p is not None])
 
-    def _out(self, parts: list[str | None]) -> list[int]:
+    def _out(self, parts: list[str]) -> list[int]:
         out = []
         for p in parts:
-            if p is None:
-                continue
             k = self.ids.get(p)
             if k is not None:
                 out.append(k)
             else:
-                out += [self.byte[b] for b in (BLANK if p == _OWN_BLANK else p).encode()]
+                out += self._bytes_of(p)
         return out
 
     def split(self, text: str) -> list[str]:
@@ -148,27 +250,41 @@ class Segmenter:
         self.size = 0
 
     def encode(self, text: str, name: bytes) -> list[int]:
-        chunks = self.encoder.split(text)
-        young, out = self.young, []
-        for chunk, v in zip(chunks, _draws(self.seed, name, len(chunks), self.variants), strict=True):
-            ids = young[v].get(chunk)
-            if ids is None:
-                ids = self._meet(chunk, v)
-                young = self.young
-            out += ids
+        return self.encode_many([text], [name])[0]
+
+    def encode_many(self, texts: list[str], names: list[bytes]) -> list[list[int]]:
+        """The ids of each text; chunks that aren't kept are encoded together."""
+        split = [self.encoder.split(t) for t in texts]
+        draws = [_draws(self.seed, name, len(c), self.variants) for name, c in zip(names, split, strict=True)]
+        known: list[dict[str, list[int]]] = [{} for _ in range(self.variants)]
+        missing: dict[tuple[str, int], None] = {}
+        for chunks, drawn in zip(split, draws, strict=True):
+            for chunk, v in zip(chunks, drawn, strict=True):
+                if chunk not in known[v]:
+                    ids = self.young[v].get(chunk)
+                    if ids is None and (ids := self.old[v].get(chunk)) is not None:
+                        self._keep(chunk, v, ids)
+                    known[v][chunk] = ids
+                    if ids is None:
+                        missing[chunk, v] = None
+        keys = [xxhash.xxh32_intdigest(c.encode("utf-8", "surrogatepass"), (self.seed * 1009 + v) & 0xFFFFFFFF) for c, v in missing]
+        for (chunk, v), ids in zip(missing, self.encoder.encode_chunks([c for c, _ in missing], keys, self.dropout), strict=True):
+            known[v][chunk] = ids
+            self._keep(chunk, v, ids)
+        out = []
+        for chunks, drawn in zip(split, draws, strict=True):
+            ids = []
+            for chunk, v in zip(chunks, drawn, strict=True):
+                ids += known[v][chunk]
+            out.append(ids)
         return out
 
-    def _meet(self, chunk: str, v: int) -> list[int]:
-        ids = self.old[v].get(chunk)
-        if ids is None:
-            key = xxhash.xxh64_intdigest(chunk.encode("utf-8", "surrogatepass"), (self.seed << 16) ^ v)
-            ids = self.encoder.encode_chunk(chunk, key, self.dropout)
+    def _keep(self, chunk: str, v: int, ids: list[int]) -> None:
         if len(chunk) <= KEEP_LENGTH:
             self.young[v][chunk] = ids
             self.size += 1
             if self.size > KEPT:
                 self.old, self.young, self.size = self.young, [{} for _ in range(self.variants)], 0
-        return ids
 
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text", name: str = "doc_id", keep: tuple[str, ...] = ("doc_id",),
@@ -185,16 +301,13 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", name: str =
         encoder = _encoder(path)
         segmenter = Segmenter(encoder, dropout, seed, variants)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                flat, n, same = [], [], []
-                for raw, who in zip(as_bytes(part.column(0)), as_bytes(part.column(1)), strict=True):
-                    if raw is None:
-                        n.append(0), same.append(None)
-                        continue
-                    ids = segmenter.encode(raw.decode(), who)
-                    same.append(encoder.decode(ids).encode() == raw)
-                    n.append(len(ids))
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                raws, names = as_bytes(part.column(0)), as_bytes(part.column(1))
+                texts = [(i, raw.decode()) for i, raw in enumerate(raws) if raw is not None]
+                n, same, flat = [0] * len(raws), [None] * len(raws), []
+                for (i, t), ids in zip(texts, segmenter.encode_many([t for _, t in texts], [names[i] for i, _ in texts]), strict=True):
+                    n[i], same[i] = len(ids), encoder.decode(ids) == t
                     flat.append(np.array(ids, np.int32))
                 values = np.concatenate(flat) if flat else np.empty(0, np.int32)
                 offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)

@@ -45,11 +45,27 @@ def test_dropout_varies_and_decodes(encoder):
 
 def test_share_of_skipped_merges(encoder):
     many = [f"{a}{b}" for a in ("inter", "over", "under", "trans") for b in ("national", "view", "stand", "form", "port", "lay")]
-    one = sum(len(encoder.encode_chunk("▁" + w, 0, 0.0)) for w in many)
-    ten = sum(len(encoder.encode_chunk("▁" + w, k * 7919, 0.1)) for w in many for k in range(50)) / 50
+    one = sum(map(len, encoder.encode_chunks(["▁" + w for w in many], [0] * len(many), 0.0)))
+    ten = sum(map(len, encoder.encode_chunks(["▁" + w for w in many for _ in range(50)], [k * 7919 for _ in many for k in range(50)], 0.1))) / 50
     assert one < ten < 2 * one
 
 
+def test_heap_and_side_by_side_agree(encoder):
+    r = random.Random(3)
+    for n in range(2, 60):
+        for _ in range(20):
+            chunk = "▁" + "".join(r.choice("etaoinshrdl,▁"[:12]) for _ in range(n))
+            for key, dropout in ((n, 0.0), (n * 31, 0.1), (n * 77, 0.5)):
+                if n < pieces.LONG:
+                    assert encoder._by_heap(chunk, key, dropout) == encoder.encode_chunks([chunk, "▁the"], [key, 1], dropout)[0]
+
+
+def test_hash_is_uniform():
+    got = [pieces._hash(k * 7919, p, i) for k in range(20) for p in range(10) for i in range(300, 400)]
+    share = sum(x < int(0.1 * pieces._RANGE) for x in got) / len(got)
+    assert abs(share - 0.1) < 0.01 and len(set(got)) > 0.99 * len(got)
+
+
 def test_cache_generations_change_nothing(encoder, documents, monkeypatch):
     texts = [d["text"] for d in documents.limit(20).collect()]
     want = [pieces.Segmenter(encoder).encode(t, b"k") for t in texts]
