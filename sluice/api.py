@@ -16,12 +16,12 @@ from .operators.sitemap import sitemap_index_urls, sitemap_urls
 from .operators.sizing import materialised
 from .operators.spines import date_spine, date_spine_from, missing_slices, month_spine, month_spine_from, param_product
 from .operators.sync import (high_water_filter, high_water_update, incremental_sync, lead_batches, lead_payload,
-                             null_split, processed_count, read_mark, unsubscribe_payload, write_mark)
+                             null_split, processed_count, processed_counts, read_mark, unsubscribe_payload, write_mark)
 from .sinks.dated import dated_report_sink, sitemap_sink
 from .sinks.export import delimited_export, export_dir, manifest_write, ndjson_gzip_export
 from .sinks.guard import (guarded_slice_load, slice_date, slice_exists, slice_raw, slice_session, stage_and_swap,
                           swap_overwrite)
-from .sources.apipages import api_pages_flatten, dangling_pages, page_positions
+from .sources.apipages import api_page_links, api_pages_flatten, dangling_pages, page_positions
 from .sources.delimited import delimited_load, manifest_entries, manifest_load
 from .sources.files import file_select, load_once, numbered_lines, object_inventory, selected_files
 from .sources.landing import session_landing, variant_landing

@@ -180,6 +180,8 @@ def _parse_iso_utc(s: Column) -> Column:
         F.try_to_timestamp(s, F.lit("yyyyMMdd'T'HHmmss[.SSSSSS]X")),
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mmXXX")),
         F.try_to_timestamp(s, F.lit("yyyy-MM-dd HH:mmXXX")),
+        F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm[:ss][.SSSSSS]XX")),
+        F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HHX")),
     )
     return let(ts, lambda t: F.when(s.rlike(OFFSET_SUFFIX) & (F.year(t) >= 1900), t))
 

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 # Fixed values (must equal the reference's behaviour):
 # - safe file-name characters are word characters (letters, numbers, underscore, as in
 #   Python's Unicode \w), period and hyphen
-# - the course key namespace that is dropped is "course-v1:"; a key has
-#   exactly three parts (org, course, run) made of word characters, "-", "~", ".", ":"
-COURSE_KEY_NAMESPACE = "course-v1:"
+# - the key namespaces that are dropped, and how many parts a key of each has (org, course, run; org, library),
+#   made of word characters, "-", "~", ".", ":"
+KEY_NAMESPACES = (("course-v1:", 3), ("library-v1:", 2))
 WORD = r"\p{L}\p{N}_"
 COURSE_KEY_PART = r"[" + WORD + r"\-~.:]+"
 UNSAFE_FILENAME_CHARS = r"[^" + WORD + r".\-]"
@@ -25,14 +25,14 @@ def _col(c) -> Column:
 def safe_course_id(c, repl: str = "_") -> Column:
     """Course id usable in a file path: drop the key namespace, replace unsafe characters.
 
-    ``course-v1:OrgX+DemoX+2015`` and ``OrgX/DemoX/2015`` both give ``OrgX_DemoX_2015``;
+    ``library-v1:OrgX+Lib`` gives ``OrgX_Lib``; ``course-v1:OrgX+DemoX+2015`` and ``OrgX/DemoX/2015`` both give ``OrgX_DemoX_2015``;
     an unparsable id keeps its text (only unsafe characters are replaced).
     """
     c = _col(c)
     part = COURSE_KEY_PART
-    # namespace dropped only when the rest is a valid three part key
-    new_style = "^" + re.escape(COURSE_KEY_NAMESPACE) + f"(?={part}\\+{part}\\+{part}$)"
-    body = F.regexp_replace(c, new_style, "")
+    # a namespace is dropped only when the rest is a valid key of it
+    keys = "|".join(re.escape(name) + "(?=" + "\\+".join([part] * n) + "$)" for name, n in KEY_NAMESPACES)
+    body = F.regexp_replace(c, f"^(?:{keys})", "")
     return F.regexp_replace(body, UNSAFE_FILENAME_CHARS, repl.replace("\\", "\\\\").replace("$", "\\$"))
 
 

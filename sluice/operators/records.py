@@ -105,9 +105,12 @@ def record_diff(a: DataFrame, b: DataFrame) -> DataFrame:
         return df.select(*[F.to_json(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "variant"
                            else F.col(f.name) for f in df.schema.fields])
 
-    ca, cb = comparable(a), comparable(b)
-    return ca.exceptAll(cb).withColumn("side", F.lit("left")).unionByName(
-        cb.exceptAll(ca).withColumn("side", F.lit("right")))
+    # one shuffle: a row counts +1 on the left and -1 on the right
+    names = a.columns
+    both = comparable(a).withColumn("_n", F.lit(1)).unionByName(comparable(b).withColumn("_n", F.lit(-1)))
+    extra = both.groupBy(*names).agg(F.sum("_n").alias("_n")).where("_n <> 0")
+    return extra.withColumn("side", F.when(F.col("_n") > 0, "left").otherwise("right")).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), F.abs("_n").cast("int")))).select(*names, "side")
 
 
 # --- JSON rows -> records (row-level conformance) -----------------------------------------------
@@ -132,9 +135,10 @@ def _json_field(f: Field, v: Column, k: Column) -> tuple[Column, list[tuple[Colu
         return F.when(ok, F.variant_get(v, "$", "boolean")), [(present & ~ok, MSG_NOT_BOOL)]
     if f.kind == "integer":
         ok = k.isin("int", "boolean")  # a boolean is an integer in the source language
-        val = F.when(k == "int", F.variant_get(v, "$", "bigint")).when(
+        val = F.when(k == "int", F.try_variant_get(v, "$", "bigint")).when(
             k == "boolean", F.variant_get(v, "$", "boolean").cast("bigint"))
-        return val, [(present & ~ok, MSG_NOT_INT)]
+        # an integer of more than 64 bits is no value of the column
+        return val, [(present & (~ok | val.isNull()), MSG_NOT_INT)]
     if f.kind == "float":
         ok = k.isin("int", "number", "boolean") | ((k == "string") & txt.rlike(FLOAT_TEXT))
         val = F.when(k.isin("int", "number"), F.variant_get(v, "$", "double")).when(
@@ -230,7 +234,8 @@ def decode_field(f: Field, s: Column) -> tuple[Column, list[tuple[Column, str]]]
         return s == "1", []
     if f.kind == "integer":
         ok = s.rlike(INT_TEXT)
-        return F.when(ok, strip_ws(s).try_cast("bigint")), [(s.isNotNull() & ~ok, MSG_NOT_INT)]
+        val = F.when(ok, strip_ws(s).try_cast("bigint"))
+        return val, [(s.isNotNull() & val.isNull(), MSG_NOT_INT)]
     if f.kind == "float":
         ok = s.rlike(FLOAT_TEXT)
         return F.when(ok, strip_ws(s).try_cast("double")), [(s.isNotNull() & ~ok, MSG_NOT_FLOAT)]

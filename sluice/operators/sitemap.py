@@ -7,29 +7,20 @@ from pyspark.sql import functions as F
 
 from ..functions.text import url_file_stem
 
-# any namespace: match on local names
-_CHILD = '/*/*[local-name()="{tag}"]'
-_LOC = _CHILD + '/*[local-name()="loc"]'
-
-
-def _well_formed(doc: Column) -> Column:
-    parsed = F.from_xml(doc, "_any string, _corrupt_record string",
-                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    return doc.isNotNull() & parsed.isNotNull() & parsed["_corrupt_record"].isNull()
+_XML = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "ignoreNamespace": "true"}
 
 
 def _locs(df: DataFrame, doc_col: str, tag: str, keep: list[str]) -> DataFrame:
-    doc = F.col(doc_col)
-    ok = _well_formed(doc)
-    locs = F.when(ok, F.xpath(doc, F.lit(_LOC.format(tag=tag) + "/text()")))
-    n_entries = F.when(ok, F.xpath_int(doc, F.lit(f"count({_CHILD.format(tag=tag)})")))
-    n_locs = F.when(ok, F.xpath_int(doc, F.lit(f"count({_LOC.format(tag=tag)})")))
-    err = (F.when(~ok, F.lit("malformed XML document"))
-           .when(n_entries != n_locs, F.format_string("%d <%s> entries without <loc>", n_entries - n_locs,
-                                                      F.lit(tag))))
-    return df.select(*keep, err.alias("error"), F.posexplode_outer(locs).alias("pos", "url")) \
-             .select(*keep, (F.col("pos") + 1).alias("pos"),
-                     F.regexp_replace("url", r"^\s+|\s+$", "").alias("url"), "error")
+    """One row per entry with the text of its first ``<loc>``; each document is parsed once, in any namespace. An entry
+    without a ``<loc>`` text keeps its row, with an error."""
+    parsed = df.select(*keep, F.col(doc_col).alias("_doc"), F.from_xml(
+        F.col(doc_col), f"{tag} array<struct<loc array<string>>>, _corrupt_record string", _XML).alias("_x"))
+    ok = F.col("_doc").isNotNull() & F.col("_x").isNotNull() & F.col("_x._corrupt_record").isNull()
+    rows = parsed.select(*keep, ok.alias("_ok"), F.posexplode_outer(F.when(ok, F.col(f"_x.{tag}"))).alias("pos", "_entry"))
+    url = F.regexp_replace(F.get(F.col("_entry.loc"), F.lit(0)), r"^\s+|\s+$", "")
+    return rows.select(*keep, (F.col("pos") + 1).alias("pos"), url.alias("url"), F.when(
+        ~F.col("_ok"), F.lit("malformed XML document")).when(
+        F.col("pos").isNotNull() & url.isNull(), F.lit(f"<{tag}> entry without <loc>")).alias("error"))
 
 
 def sitemap_index_urls(df: DataFrame, doc_col: str = "doc", keep: list[str] | None = None) -> DataFrame:

@@ -77,6 +77,12 @@ def processed_count(df: DataFrame, label: str, batch_size: int) -> DataFrame:
         F.lit(label).alias("split"), "rows", F.ceil(F.col("rows") / batch_size).cast("long").alias("batches"))
 
 
+def processed_counts(df: DataFrame, label: Column, batch_size: int) -> DataFrame:
+    """``processed_count`` of every value of ``label`` in one pass."""
+    return df.groupBy(label.alias("split")).agg(F.count(F.lit(1)).alias("rows")).withColumn(
+        "batches", F.ceil(F.col("rows") / batch_size).cast("long"))
+
+
 def lead_custom_attrs(on_error: str = "column") -> Column:
     fields = []
     for key, col in CUSTOM_ATTRS:

@@ -9,7 +9,7 @@ from ..operators.sitemap import sitemap_index_urls, sitemap_urls
 from ..sinks import export as X
 from ..sinks.dated import dated_report_sink, sitemap_sink
 from ..session import scratch_path
-from ..sources.apipages import api_pages_flatten, page_positions
+from ..sources.apipages import api_page_links, api_pages_flatten, page_positions
 from ..sources.delimited import delimited_load, manifest_load
 from ..streaming.incremental import load_new_files
 from . import derive
@@ -77,7 +77,7 @@ def q_export_no_clobber(spark, sf_dir):
         second = "written"
     except FileExistsError:
         second = "refused"
-    back = delimited_load(spark, path, PART_DDL, quote='"', escape='"')
+    back = delimited_load(spark, path, PART_DDL, quote='"', escape='"', multiline=True)
     return back.agg(F.count(F.lit(1)).alias("rows_present")).select(F.lit(second).alias("second_attempt"),
                                                                     "rows_present")
 
@@ -90,24 +90,51 @@ def _quoted_export(spark, sf_dir):
 
 @query("delimited_load", PART_SQL + "SELECT * FROM px")
 def q_delimited_load(spark, sf_dir):
-    return delimited_load(spark, _quoted_export(spark, sf_dir), PART_DDL, quote='"', escape='"')
-
-
-@query("manifest_write", "SELECT count(*) AS rows_loaded, true AS entries_mandatory FROM part")
+    return delimited_load(spark, _quoted_export(spark, sf_dir), PART_DDL, quote='"', escape='"', multiline=True)
+
+
+@query("delimited_round_trip", PART_SQL + """
+SELECT layout, px.* FROM px, (VALUES ('escaped'), ('quoted'), ('escaped, 2 lines ignored'), ('quoted, 1 line ignored')) v(layout)""")
+def q_delimited_round_trip(spark, sf_dir):
+    """Separators, escapes and line breaks come back, with and without quotes and lines to ignore."""
+    src, out = part_x(spark, sf_dir), None
+    for enclosed, ignore in ((None, 0), ('"', 0), (None, 2), ('"', 1)):
+        path = scratch_path(spark, "exports", "round")
+        X.delimited_export(src, path, enclosed_by=enclosed)
+        options = {"quote": '"', "escape": '"', "multiline": True} if enclosed else {}
+        if ignore:  # files that begin with lines of no record
+            raw = spark.read.text(path, wholetext=True, lineSep=None).select(F.concat(F.lit("about\n" * ignore), F.regexp_replace(
+                "value", "\n$", "")).alias("value"))
+            path = scratch_path(spark, "exports", "headed")
+            raw.write.text(path)
+        back = delimited_load(spark, path, PART_DDL, ignore_lines=ignore, **options)
+        label = ("quoted" if enclosed else "escaped") + {0: "", 1: ", 1 line ignored", 2: ", 2 lines ignored"}[ignore]
+        back = back.select(F.lit(label).alias("layout"), "*")
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+@query("manifest_write", """
+SELECT 'brand=' || p_brand || '/part.csv' AS url, true AS mandatory, count(*) AS rows_loaded FROM part GROUP BY p_brand""")
 def q_manifest_write(spark, sf_dir):
-    path = _quoted_export(spark, sf_dir)
-    entries = X.manifest_write(spark, path)
-    flag = entries.agg(F.min("mandatory").alias("entries_mandatory")).first()["entries_mandatory"]
-    rows = manifest_load(spark, path, PART_DDL, quote='"', escape='"')
-    return rows.agg(F.count(F.lit(1)).alias("rows_loaded")).select("rows_loaded",
-                                                                  F.lit(bool(flag)).alias("entries_mandatory"))
+    """One export folder a brand; the manifest's URLs, and what loading each brings back."""
+    root = scratch_path(spark, "exports", "brands")
+    part_x(spark, sf_dir).withColumn("brand", F.split("p_label", ",")[0]).repartition("brand").select(
+        "brand", "p_partkey", "p_size").write.partitionBy("brand").csv(root)
+    entries = X.manifest_write(spark, root)
+    rows = manifest_load(spark, root, "p_partkey bigint, p_size int").select(F.lit(1).alias("one"))
+    loaded = spark.read.text(root + "/*/part-*").groupBy(F.regexp_extract("_metadata.file_path", "(brand=[^/]*)/", 1).alias("folder")).count()
+    total = rows.count()
+    named = entries.select(F.regexp_extract("url", "(brand=[^/]*)/part-[^/]*[.]csv$", 1).alias("folder"), "mandatory")
+    return named.join(loaded, "folder").where(F.lit(total) == F.lit(part_x(spark, sf_dir).count())).select(
+        F.concat(F.url_decode("folder"), F.lit("/part.csv")).alias("url"), "mandatory", F.col("count").alias("rows_loaded"))
 
 
 @query("manifest_load", PART_SQL + "SELECT * FROM px")
 def q_manifest_load(spark, sf_dir):
     path = _quoted_export(spark, sf_dir)
     X.manifest_write(spark, path)
-    return manifest_load(spark, path, PART_DDL, quote='"', escape='"')
+    return manifest_load(spark, path, PART_DDL, quote='"', escape='"', multiline=True)
 
 
 @query("ndjson_gzip_export", """
@@ -193,8 +220,9 @@ SELECT 'https://api.example.com/orders?page=' || CAST(page AS VARCHAR) AS url, p
        o_orderstatus, page = (SELECT max(page) FROM p) AS is_last
 FROM p""")
 def q_api_pages_flatten(spark, sf_dir):
-    flat = api_pages_flatten(derive.api_pages(spark, sf_dir))
-    order = page_positions(flat.select("url", "next_url").distinct())
+    pages = derive.api_pages(spark, sf_dir)
+    order = page_positions(api_page_links(pages))
+    flat = api_pages_flatten(pages)
     flat = flat.join(order.select("url", "page_pos"), "url")  # one row per page: small side
     return flat.select("url", "page_pos", F.col("pos").cast("long").alias("pos"),
                        F.variant_get("item", "$.o_orderkey", "bigint").alias("o_orderkey"),

@@ -124,8 +124,7 @@ def q_slice_predicate_session(spark, sf_dir):
     root = derive.events_ndjson(spark, sf_dir)
     d = session_landing(spark, root, "view-42")
     v = F.col("session")
-    pred = (F.try_variant_get(v, "$.day", "string") == SLICE_DAY_COMPACT) & (F.col("ga_view_id") == "view-42")
-    return d.where(pred).select("ga_view_id", F.try_variant_get(v, "$.event_id", "bigint").alias("event_id"),
+    return d.where(guard.slice_session(SLICE_DAY_COMPACT, "view-42", key="day")).select("ga_view_id", F.try_variant_get(v, "$.event_id", "bigint").alias("event_id"),
                                 F.try_variant_get(v, "$.event_type", "string").alias("event_type"))
 
 

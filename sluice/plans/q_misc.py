@@ -62,10 +62,11 @@ WITH c AS (SELECT p_partkey, CASE p_partkey % 4
     WHEN 0 THEN 'course-v1:' || replace(p_brand, '#', '') || '+' || p_type || '+' || CAST(p_size AS VARCHAR)
     WHEN 1 THEN replace(p_brand, '#', '') || '/' || p_type || '/' || CAST(p_size AS VARCHAR)
     WHEN 2 THEN 'not a key ' || p_name
-    ELSE 'library-v1:' || replace(p_brand, '#', '') || '+' || p_type END AS course_id FROM part)
+    ELSE 'library-v1:' || replace(p_brand, '#', '') || '+' || CASE WHEN p_partkey % 8 = 3 THEN p_type ELSE replace(p_type, ' ', '.') END END AS course_id FROM part)
 SELECT p_partkey, course_id,
   regexp_replace(CASE WHEN regexp_matches(course_id, '^course-v1:[\w\-~.:]+\+[\w\-~.:]+\+[\w\-~.:]+$')
-                      THEN substr(course_id, 11) ELSE course_id END, '[^\w.\-]', '_', 'g') AS safe_id
+                      THEN substr(course_id, 11)
+                      WHEN regexp_matches(course_id, '^library-v1:[\w\-~.:]+\+[\w\-~.:]+$') THEN substr(course_id, 12) ELSE course_id END, '[^\w.\-]', '_', 'g') AS safe_id
 FROM c"""
 
 
@@ -77,5 +78,6 @@ def q_safe_course_id(spark, sf_dir):
     cid = F.when(k == 0, F.concat(F.lit("course-v1:"), org, F.lit("+"), "p_type", F.lit("+"), derive.s("p_size"))) \
            .when(k == 1, F.concat(org, F.lit("/"), "p_type", F.lit("/"), derive.s("p_size"))) \
            .when(k == 2, F.concat(F.lit("not a key "), "p_name")) \
-           .otherwise(F.concat(F.lit("library-v1:"), org, F.lit("+"), "p_type"))
+           .otherwise(F.concat(F.lit("library-v1:"), org, F.lit("+"), F.when(F.col("p_partkey") % 8 == 3, F.col("p_type")).otherwise(
+               F.replace("p_type", F.lit(" "), F.lit(".")))))
     return p.select("p_partkey", cid.alias("course_id")).withColumn("safe_id", safe_course_id("course_id"))

@@ -99,9 +99,8 @@ def q_high_water_filter(spark, sf_dir):
 SELECT strftime(max(lastmodifieddate), '%Y-%m-%dT%H:%M:%S') AS mark_iso, count(*) AS rows
 FROM leads WHERE lastmodifieddate > TIMESTAMP '{MARK}'""")
 def q_high_water_update(spark, sf_dir):
-    alias, registered = sync.null_split(_leads(spark, sf_dir))
-    processed = sync.high_water_filter(alias, "lastmodifieddate", MARK).unionByName(
-        sync.high_water_filter(registered, "lastmodifieddate", MARK))
+    # both splits together are all rows above the mark: one scan
+    processed = sync.high_water_filter(_leads(spark, sf_dir), "lastmodifieddate", MARK)
     return sync.high_water_update(processed, "lastmodifieddate", MARK).select("mark_iso", "rows")
 
 
@@ -110,9 +109,9 @@ SELECT CASE WHEN lms_user_id IS NULL THEN 'alias' ELSE 'registered' END AS split
        CAST(ceil(count(*) / 75) AS BIGINT) AS batches
 FROM leads WHERE lastmodifieddate > TIMESTAMP '{MARK}' GROUP BY 1""")
 def q_processed_count(spark, sf_dir):
-    alias, registered = sync.null_split(_leads(spark, sf_dir))
-    return sync.processed_count(sync.high_water_filter(alias, "lastmodifieddate", MARK), "alias", 75).unionByName(
-        sync.processed_count(sync.high_water_filter(registered, "lastmodifieddate", MARK), "registered", 75))
+    processed = sync.high_water_filter(_leads(spark, sf_dir), "lastmodifieddate", MARK)
+    split = F.when(F.col("lms_user_id").isNull(), "alias").otherwise("registered")
+    return sync.processed_counts(processed, split, 75)
 
 
 @query("lead_custom_attrs", LEADS_SQL + "SELECT hs_object_id, custom_json, error FROM payload")
@@ -147,15 +146,16 @@ def q_lead_payload_alias(spark, sf_dir):
 
 
 @query("lead_batches", LEADS_SQL + f"""
-, r AS (SELECT c_custkey, (row_number() OVER (ORDER BY c_custkey) - 1) // 75 AS batch_id
-        FROM leads WHERE lms_user_id IS NOT NULL AND lastmodifieddate > TIMESTAMP '{MARK}')
-SELECT batch_id, count(*) AS n FROM r GROUP BY batch_id""")
+, r AS (SELECT c_custkey, (row_number() OVER (ORDER BY c_custkey) - 1) // 75 AS batch_id, error,
+               '{{"external_id":' || CAST(lms_user_id AS VARCHAR) || ',' || substr(custom_json, 2) AS payload
+        FROM payload WHERE lms_user_id IS NOT NULL AND lastmodifieddate > TIMESTAMP '{MARK}')
+SELECT batch_id, count(*) AS n, '{{"attributes":[' || string_agg(payload, ',' ORDER BY c_custkey) || ']}}' AS body,
+       coalesce(string_agg(nullif(error, ''), '; ' ORDER BY c_custkey), '') AS errors FROM r GROUP BY batch_id""")
 def q_lead_batches(spark, sf_dir):
     _, registered = sync.null_split(_leads(spark, sf_dir))
     todo = sync.high_water_filter(registered, "lastmodifieddate", MARK)
-    b = sync.lead_batches(todo, "registered", ["c_custkey"])
-    # every body parses back to its attribute count
-    return b.select("batch_id", F.json_array_length(F.get_json_object("body", "$.attributes")).cast("long").alias("n"))
+    b = sync.lead_batches(todo, "registered", ["c_custkey"], on_error="column")
+    return b.select("batch_id", "n", "body", F.array_join("errors", "; ").alias("errors"))
 
 
 @query("unsubscribe_payload", LEADS_SQL + f"""

@@ -29,25 +29,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-_LOCAL_ROOTS: dict[int, str] = {}
-
-
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder the cluster names in ``spark.checkpoint.dir``, or else the context's checkpoint folder.
 
-    When the session does not name one (local tests), a private folder is
-    created and registered as the context's checkpoint dir, so every later
-    call sees the same root.
+    A local session that names neither (tests) gets a private folder, registered as the context's, so every later call
+    sees the same root. On a cluster that would be the driver's own disk, so there it is an error.
     """
     sc = spark.sparkContext
-    root = spark.conf.get(CHECKPOINT_CONF, None) or _LOCAL_ROOTS.get(id(sc))
+    root = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="sluice-ckpt-")
-        _LOCAL_ROOTS[id(sc)] = root
-        try:
-            spark.conf.set(CHECKPOINT_CONF, root)
-        except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
-            pass
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")

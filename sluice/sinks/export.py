@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import path_exists
+from ..session import delete_path, list_files, path_exists, scratch_path
 
 # Fixed value: target size of one exported file (bytes)
 EXPORT_MAX_FILE_BYTES = 104_857_600
@@ -53,10 +53,22 @@ def escaped_lines(df: DataFrame, sep: str = ",", escape: str | None = "\\", null
     return df.select(F.concat_ws(sep, *cols).alias("value"))
 
 
-def _records_per_file(df: DataFrame, max_bytes: int) -> int:
-    # bounded sample (first 1000 rows) to estimate bytes per row
-    probe = escaped_lines(df.limit(1000)).agg(F.avg(F.length("value") + 1).alias("b")).first()["b"]
-    return max(1, int(max_bytes // max(probe or 1.0, 1.0)))
+def enclosed_lines(df: DataFrame, sep: str, quote: str, null_marker: str = "\\N", binary_format: str | None = None) -> DataFrame:
+    """One record per row: text fields in quotes, a quote inside doubled; other fields and the null marker bare, so that a text
+    that reads like the marker is told from NULL."""
+    q = F.lit(quote)
+    cols = []
+    for f, c in zip(df.schema.fields, _text_cols(df, binary_format), strict=True):
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            c = F.concat(q, F.replace(c, q, F.lit(quote * 2)), q)
+        cols.append(F.coalesce(c, F.lit(null_marker)))
+    return df.select(F.concat_ws(sep, *cols).alias("value"))
+
+
+def _records_per_file(lines: DataFrame, max_bytes: int) -> int:
+    """So many rows a file that none exceeds the cap: the cap over the bytes of the longest of all rows (one aggregate)."""
+    longest = lines.agg(F.max(F.octet_length("value"))).first()[0] or 0
+    return max(1, max_bytes // (longest + 1))
 
 
 def delimited_export(df: DataFrame, path: str, sep: str = ",", enclosed_by: str | None = None,
@@ -66,43 +78,49 @@ def delimited_export(df: DataFrame, path: str, sep: str = ",", enclosed_by: str
     """Table -> delimited text files under ``path`` (no compression; empty string is not null).
 
     ``enclosed_by``: None / "NONE" -> fields never enclosed (escaped instead), else the quote
-    character. ``overwrite=False`` with files present fails; ``overwrite=True`` clears the
-    prefix first (same order as the reference: delete, then write). ``single`` writes one file.
+    character of text fields. ``escape`` of files without a quote: unset -> backslash, "NONE" -> never.
+    ``overwrite=False`` with files present fails; ``overwrite=True`` clears the
+    prefix first (same order as the reference: delete, then write). Files stay below
+    ``max_file_bytes``; ``single`` writes one file, whatever its size.
     Returns ``(action, rows)``.
     """
     spark = df.sparkSession
-    enclosed, esc = _none(enclosed_by), _none(escape)
+    enclosed, esc = _none(enclosed_by), _none("\\" if escape is None else escape)
     marker = "\\N" if null_marker is None else null_marker
     if not overwrite and path_exists(spark, path):
         raise FileExistsError(f"Files already exist at {path}. Use overwrite option to force unloading.")
-    per_file = _records_per_file(df, max_file_bytes)
     out = df.coalesce(1) if single else df
+    lines = enclosed_lines(out, sep, enclosed, marker, binary_format) if enclosed else escaped_lines(out, sep, esc, marker, binary_format)
+    per_file = 0 if single else _records_per_file(lines, max_file_bytes)
     obs = Observation(f"export_{uuid.uuid4().hex[:8]}")
-    mode = "overwrite" if overwrite else "errorifexists"
-    if enclosed:
-        writer = out.select(*_text_cols(out, binary_format)).observe(obs, F.count(F.lit(1)).alias("n")).write
-        writer.mode(mode).option("maxRecordsPerFile", per_file).csv(
-            path, sep=sep, quote=enclosed, escape=esc or enclosed, nullValue=marker, emptyValue=enclosed * 2,
-            header=False, compression="none")
-    else:
-        lines = escaped_lines(out, sep, esc, marker, binary_format).observe(obs, F.count(F.lit(1)).alias("n"))
-        lines.write.mode(mode).option("maxRecordsPerFile", per_file).option("compression", "none").text(path)
+    (lines.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite" if overwrite else "errorifexists")
+     .option("maxRecordsPerFile", per_file).option("compression", "none").text(path))
     return spark.createDataFrame([("exported", int(obs.get.get("n", 0)))], "action string, rows bigint")
 
 
 def manifest_write(spark: SparkSession, path: str, name: str = MANIFEST_NAME) -> DataFrame:
-    """Write ``<path>/manifest.json`` listing every data file of the export, all mandatory.
+    """Write ``<path>/manifest.json``, one file with one JSON object that lists every data file of the export, all mandatory.
 
-    The file list comes from a distributed listing of the export folder; the
-    manifest holds one entry per file (small by nature).
+    The entries come from a distributed listing and are written one a line by one task, then the file is renamed into
+    place; no list of them is held anywhere. Returns ``(url, mandatory)``.
     """
+    from ..sources.delimited import manifest_entries
     from ..sources.files import object_inventory
-
-    files = object_inventory(spark, path).where(~F.col("path").contains("/" + name))
-    manifest = files.agg(F.sort_array(F.collect_list(
-        F.struct(F.col("path").alias("url"), F.lit(True).alias("mandatory")))).alias("entries"))
-    manifest.coalesce(1).write.mode("overwrite").json(path.rstrip("/") + "/" + name)
-    return manifest.select(F.explode("entries").alias("e")).select("e.url", "e.mandatory")
+    from .guard import _rename
+
+    base = path.rstrip("/")
+    files = object_inventory(spark, base).where(~F.col("path").endswith("/" + name)).select(F.col("path").alias("url"))
+    entry = F.to_json(F.struct("url", F.lit(True).alias("mandatory")))
+    first = F.lag("url").over(Window.orderBy("url")).isNull()  # one row a file
+    lines = files.select(F.lit(1).alias("_part"), "url", F.concat(F.when(first, " ").otherwise(","), entry).alias("value"))
+    ends = spark.range(1).select(F.explode(F.array(
+        F.struct(F.lit(0).alias("_part"), F.lit("").alias("url"), F.lit('{"entries": [').alias("value")),
+        F.struct(F.lit(2).alias("_part"), F.lit("").alias("url"), F.lit("]}").alias("value")))).alias("e")).select("e.*")
+    staging = scratch_path(spark, "manifest")
+    lines.unionByName(ends).coalesce(1).sortWithinPartitions("_part", "url").select("value").write.text(staging)
+    delete_path(spark, f"{base}/{name}")  # also a folder of that name
+    _rename(spark, list_files(spark, staging)[0], f"{base}/{name}")
+    return manifest_entries(spark, f"{base}/{name}")
 
 
 def ndjson_gzip_export(df: DataFrame, root: str, dataset: str, date: str | None = None,

@@ -40,9 +40,9 @@ def _rename(spark: SparkSession, src: str, dst: str) -> None:
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
-def slice_session(date: str, view: str, session_col: str = "session", view_col: str = "ga_view_id") -> Column:
-    """``session:date = '<date>' AND ga_view_id = '<view>'`` (string equality, no date cast)."""
-    return (F.try_variant_get(F.col(session_col), "$.date", "string") == F.lit(date)) & \
+def slice_session(date: str, view: str, session_col: str = "session", view_col: str = "ga_view_id", key: str = "date") -> Column:
+    """``session:date = '<date>' AND ga_view_id = '<view>'`` (string equality, no date cast; ``key`` names the date)."""
+    return (F.try_variant_get(F.col(session_col), f"$.{key}", "string") == F.lit(date)) & \
         (F.col(view_col) == F.lit(view))
 
 
@@ -116,8 +116,8 @@ def recover(spark: SparkSession, path: str) -> None:
         if not sibling.startswith(f"{name}.__old_"):
             continue
         old = f"{head}/{sibling}"
-        if path_exists(spark, f"{old}/_journal"):
-            _undo(spark, path, old, json.loads(spark.read.text(f"{old}/_journal", wholetext=True).first()[0]))
+        if path_exists(spark, f"{old}/journal.json"):
+            _undo(spark, path, old, json.loads(spark.read.text(f"{old}/journal.json", wholetext=True).first()[0]))
         elif not path_exists(spark, path):
             _rename(spark, old, path)
         delete_path(spark, old)
@@ -130,6 +130,7 @@ def _undo(spark: SparkSession, path: str, old: str, journal: list) -> None:
             _rename(spark, f"{old}/{part}", f"{path}/{part}")
         elif not had:
             delete_path(spark, f"{path}/{part}")
+    delete_path(spark, old)
 
 
 def _swap(spark: SparkSession, staging: str, path: str) -> None:
@@ -155,7 +156,7 @@ def _swap_partitions(spark: SparkSession, staging: str, path: str, parts: list[s
     then a failure, or ``recover`` after a lost driver, puts every partition back."""
     old = _set_aside(path, uuid.uuid4().hex[:10])
     journal = [(p, path_exists(spark, f"{path}/{p}")) for p in parts]
-    _write_text(spark, f"{old}/_journal", json.dumps(journal))
+    _write_text(spark, f"{old}/journal.json", json.dumps(journal))
     try:
         for part, had in journal:
             if had:
@@ -164,9 +165,8 @@ def _swap_partitions(spark: SparkSession, staging: str, path: str, parts: list[s
                 _rename(spark, f"{staging}/{part}", f"{path}/{part}")
     except BaseException:
         _undo(spark, path, old, journal)
-        delete_path(spark, old)
         raise
-    delete_path(spark, f"{old}/_journal")
+    delete_path(spark, f"{old}/journal.json")
     delete_path(spark, old)
 
 

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import math
 
-JUMPS_PER_JOB = 3
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.sizing import materialised
+
+
+def api_page_links(df: DataFrame, body_col: str = "body", url_col: str = "url", next_path: str = "$.next") -> DataFrame:
+    """``(url, next_url)``, one row per landed page."""
+    return df.select(F.col(url_col).alias("url"), F.try_variant_get(F.try_parse_json(F.col(body_col)), next_path, "string").alias("next_url"))
+
 
 def api_pages_flatten(df: DataFrame, body_col: str = "body", url_col: str = "url",
                       results_path: str = "$.results", next_path: str = "$.next") -> DataFrame:
@@ -35,38 +40,28 @@ def page_positions(pages: DataFrame, url_col: str = "url", next_col: str = "next
     """Position of every landed page in its ``next`` chain: ``(url, chain, page_pos)``.
 
     List ranking by pointer jumping: every page knows its successor and the
-    distance to it; each round joins the page table with itself on the
-    successor and doubles the jump, so a chain of n pages needs about
-    log2(n) rounds (each a distributed join of one row per page, lineage cut
-    by a reliable checkpoint). The chain is named by its last page, and a
-    page's position is the head's distance to the end minus its own.
-    A pointer to a page that was never landed ends the chain there.
+    distance to it; each round joins the pages that have not reached their
+    chain's end with all pages on the successor and doubles the jump, so a
+    chain of n pages needs about log2(n) rounds. A round is written to the
+    shared folder; pages that are done are only looked up. The chain is named
+    by its last page, and a page's position is the head's distance to the end
+    minus its own. A pointer to a page that was never landed ends the chain there.
     """
     nodes = pages.select(F.col(url_col).alias("url"), F.col(next_col).alias("nxt")).distinct()
-    landed = nodes.select(F.col("url").alias("nxt"), F.lit(True).alias("_known"))
-    cur = nodes.join(landed, "nxt", "left").select(
-        "url", F.when(F.col("_known"), F.col("nxt")).alias("succ"),
-        F.when(F.col("_known"), F.lit(1)).otherwise(F.lit(0)).cast("long").alias("dist"),
-        F.when(F.col("_known"), F.lit(None)).otherwise(F.col("url")).alias("tail"))
-    cur = cur.checkpoint(eager=True)
-
-    def jump(c: DataFrame) -> DataFrame:  # every page jumps to its successor's successor
-        nxt = c.select(F.col("url").alias("succ"), F.col("succ").alias("succ2"), F.col("dist").alias("dist2"),
-                       F.col("tail").alias("tail2"))
-        return c.join(nxt, "succ", "left").select(
-            "url", F.when(F.col("succ").isNull(), F.lit(None)).otherwise(F.col("succ2")).alias("succ"),
-            (F.col("dist") + F.coalesce(F.col("dist2"), F.lit(0))).alias("dist"),
-            F.coalesce(F.col("tail"), F.col("tail2")).alias("tail"))
-
-    # a jump doubles the distance: ceil(log2(pages)) + 1 doublings resolve every chain; three per
-    # job (the checkpointed table appears 8 times in one plan), lineage cut after each job
-    doublings = min(max_rounds, max(1, math.ceil(math.log2(max(cur.count(), 2)))) + 1)
-    for _ in range(math.ceil(doublings / JUMPS_PER_JOB)):
-        for _ in range(JUMPS_PER_JOB):
-            cur = jump(cur)
-        cur = cur.checkpoint(eager=True)
-    if not cur.where(F.col("succ").isNotNull()).limit(1).isEmpty():
+    landed = nodes.select(F.col("url").alias("_landed"))
+    cur = materialised(nodes.join(landed, F.col("nxt") == F.col("_landed"), "left").select(
+        "url", F.col("_landed").alias("succ"), F.col("_landed").isNotNull().cast("long").alias("dist"),
+        F.when(F.col("_landed").isNull(), F.col("url")).alias("tail")), "pages")
+    rounds = min(max_rounds, math.ceil(math.log2(max(cur.count(), 2))) + 1)
+    for _ in range(rounds):
+        going = cur.where("succ is not null")
+        if going.isEmpty():
+            break
+        ahead = cur.select(F.col("url").alias("_at"), F.col("succ").alias("_succ"), F.col("dist").alias("_dist"), F.col("tail").alias("_tail"))
+        jumped = going.join(ahead, F.col("succ") == F.col("_at")).select(
+            "url", F.col("_succ").alias("succ"), (F.col("dist") + F.col("_dist")).alias("dist"), F.col("_tail").alias("tail"))
+        cur = materialised(jumped.unionByName(cur.where("succ is null")), "pages")
+    if not cur.where("succ is not null").isEmpty():
         raise RuntimeError("page chains did not resolve (a cycle in next pointers?)")
-    heads = cur.groupBy("tail").agg(F.max("dist").alias("_len"))
-    return cur.join(heads, "tail").select("url", F.col("tail").alias("chain"),
-                                         (F.col("_len") - F.col("dist")).alias("page_pos"))
+    heads = materialised(cur.groupBy("tail").agg(F.max("dist").alias("_len")), "chains")
+    return cur.join(heads, "tail").select("url", F.col("tail").alias("chain"), (F.col("_len") - F.col("dist")).alias("page_pos"))

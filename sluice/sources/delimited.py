@@ -2,39 +2,138 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.sizing import materialised
+from .files import numbered_lines, object_inventory, read_text
+
+# What a letter after the escape character stands for; any other character stands for itself
+ESCAPES = (("n", "\n"), ("t", "\t"), ("r", "\r"), ("0", "\x00"), ("b", "\b"), ("Z", "\x1a"))
+NULL_TEXT = "\\N"
+
+
+def _none(v: str | None) -> str | None:
+    return None if v in (None, "", "NONE") else v
+
+
+def _unescaped(text: Column, escape: str) -> Column:
+    """Text with its escapes resolved. Pairs of escape characters cut it into parts, so that in a part every escape
+    character begins an escape."""
+    e = re.escape(escape)
+
+    def part(x: Column) -> Column:
+        for letter, value in ESCAPES:
+            x = F.replace(x, F.lit(escape + letter), F.lit(value))
+        return F.regexp_replace(x, f"(?s){e}(.)", "$1")
+
+    return F.when(F.contains(text, F.lit(escape)), F.array_join(F.transform(F.split(text, e + e), part), escape)).otherwise(text)
+
 
-from .files import numbered_lines
+def split_fields(line: Column, sep: str, quote: str | None, escape: str | None) -> Column:
+    """The raw fields of a record, with their quotes and escapes."""
+    s, q = re.escape(sep), re.escape(quote or "")
+    e = re.escape(escape) if escape and escape != quote else None
+    skipped = f"|{e}." if e else ""
+    bare = f"(?:[^{s}{e or ''}]++{skipped})*+" if e else f"[^{s}]*+"
+    if quote:
+        enclosed = f"{q}(?:[^{q}{e or ''}]++{skipped}|{q}{q})*+{q}"
+        field = f"{enclosed}(?={s})|{bare}"
+    else:
+        field = bare
+    return F.regexp_extract_all(F.concat(line, F.lit(sep)), F.lit(f"(?s)({field}){s}"), F.lit(1))
+
+
+def _value(raw: Column, quote: str | None, escape: str | None, null_value: str) -> Column:
+    own = escape if escape and escape != quote else None
+    plain = _unescaped(raw, own) if own else raw
+    plain = F.when(raw == F.lit(null_value), F.lit(None)).otherwise(plain)
+    if not quote:
+        return plain
+    inner = F.replace(F.substr(raw, F.lit(2), F.length(raw) - 2), F.lit(quote * 2), F.lit(quote))
+    enclosed = raw.startswith(quote) & raw.endswith(quote) & (F.length(raw) >= 2)
+    return F.when(enclosed, _unescaped(inner, own) if own else inner).otherwise(plain)
+
+
+def _open(line: Column, quote: str | None, escape: str | None) -> Column:
+    """1 if the line leaves a quoted field open, or, outside quotes, ends in an escape; toggles like a parity bit."""
+    own = escape if escape and escape != quote else None
+    bare = F.regexp_replace(line, f"(?s){re.escape(own)}.", "") if own else line
+    if quote:
+        return (F.length(bare) - F.length(F.replace(bare, F.lit(quote), F.lit("")))) % 2
+    return bare.endswith(own).cast("int") if own else F.lit(0)
+
+
+def _records(lines: DataFrame, quote: str | None, escape: str | None) -> DataFrame:
+    """Lines as records: a line goes on in the next while a quoted field is open (with quotes), or if it ends in an
+    escape (without). Only files that have such a line are ordered, each in one window."""
+    marked = lines.withColumn("_open", _open(F.col("value"), quote, escape))
+    broken = materialised(marked.where("_open = 1").select(F.col("file_path").alias("_broken")).distinct(), "broken-files")
+    on = F.col("file_path") == F.col("_broken")
+    whole = marked.join(broken, on, "left_anti").select("value")
+    by_line = Window.partitionBy("file_path").orderBy("line")
+    earlier = by_line.rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("_open").over(earlier), F.lit(0)) % 2 if quote else F.coalesce(F.lag("_open").over(by_line), F.lit(0))
+    joined = (marked.join(broken, on, "left_semi").withColumn("_starts", (inside == 0).cast("int"))
+              .withColumn("_record", F.sum("_starts").over(by_line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+              .groupBy("file_path", "_record").agg(F.sort_array(F.collect_list(F.struct("line", "value"))).alias("_lines")))
+    return whole.unionByName(joined.select(F.array_join(F.transform("_lines", lambda x: x["value"]), "\n").alias("value")))
 
 
 def delimited_load(spark: SparkSession, path: str | list[str], schema_ddl: str, sep: str = ",",
-                   quote: str = "", escape: str = "\\", ignore_lines: int = 0,
-                   null_value: str = "\\N") -> DataFrame:
-    """Delimited files -> typed rows. ``ignore_lines`` lines are skipped at the start of each file.
+                   quote: str | None = "", escape: str | None = "\\", ignore_lines: int = 0, null_value: str = NULL_TEXT,
+                   multiline: bool = False, on_error: str = "raise") -> DataFrame:
+    """Delimited files -> typed rows, as MySQL reads them. ``ignore_lines`` lines are skipped at the start of each file.
+
+    ``escape`` (not if it is None or ``"NONE"``, or the quote itself) makes the next character text, also a separator or
+    a line break, but for the letters of :data:`ESCAPES`; ``\\N`` alone is NULL, an empty field an empty string (NULL if
+    the column is no text). Fields may be enclosed by ``quote``; a doubled quote inside is one. Files are read in
+    splits. Line breaks inside fields need ``multiline``: then lines that belong together are joined first.
 
-    ``quote=""`` means no enclosing character. ``\\N`` is read as NULL (the
-    MySQL / Hive convention), an empty field as an empty string.
+    A value that its column can't hold, and too few or too many fields, fail the job; with ``on_error="column"`` such
+    values are NULL and ``_errors`` (array of text) says what was wrong.
     """
-    # quoted fields may hold line breaks: read files whole (export files are size capped)
-    opts = {"sep": sep, "escape": escape, "nullValue": null_value, "emptyValue": "",
-            "mode": "PERMISSIVE", "multiLine": "true" if quote else "false"}
-    opts["quote"] = quote if quote else "\u0000"
-    if ignore_lines <= 1:
-        reader = spark.read.options(**opts).schema(schema_ddl)
-        if ignore_lines == 1:
-            reader = reader.option("header", "true")
-        return reader.csv(path)
-    # skip N lines per file: number lines per file in parallel, then parse the rest
-    lines = numbered_lines(spark, path).where(F.col("line") > ignore_lines)
-    parse_opts = {k: v for k, v in opts.items() if k not in ("multiLine",)}
-    parsed = lines.select(F.from_csv("value", schema_ddl, parse_opts).alias("r"))
-    return parsed.select("r.*")
+    quote, escape = _none(quote), _none(escape)
+    schema = T._parse_datatype_string(schema_ddl)
+    if ignore_lines or multiline:
+        lines = numbered_lines(spark, path).where(F.col("line") > ignore_lines)
+        records = _records(lines, quote, escape) if multiline else lines.select("value")
+    else:
+        records = read_text(spark, path).select("value")
+    if len(schema.fields) > 1:
+        records = records.where(F.col("value") != "")
+    raw = records.select("value", split_fields(F.col("value"), sep, quote, escape).alias("_raw"))
+    n = len(schema.fields)
+    values, errors = [], [
+        F.when(F.size("_raw") != n, F.format_string(f"%d fields instead of {n}", F.size("_raw"))),
+        F.when(F.aggregate("_raw", F.lit(0), lambda a, x: a + F.length(x) + 1) != F.length("value") + 1, F.lit("a field is not closed"))]
+    for i, f in enumerate(schema.fields):
+        v = _value(F.get("_raw", F.lit(i)), quote, escape, null_value)
+        if isinstance(f.dataType, T.StringType):
+            values.append(v.alias(f.name))
+            continue
+        typed = F.when(v != "", v).try_cast(f.dataType)
+        values.append(typed.alias(f.name))
+        errors.append(F.when((v != "") & typed.isNull(), F.concat(F.lit(f"{f.name} can't hold: "), v)))
+    parsed = raw.select(*values, F.array_compact(F.array(*errors)).alias("_errors"))
+    if on_error == "column":
+        return parsed
+    # the id keeps the check where it stands: moved below a join or filter, it would see lines that are no records
+    fail = F.when((F.size("_errors") > 0) & (F.monotonically_increasing_id() >= 0), F.raise_error(F.array_join("_errors", "; ")).cast("boolean")).otherwise(F.lit(True))
+    return parsed.where(fail).drop("_errors")
+
+
+def _same_file(path: Column) -> Column:
+    """A local path in one form, whatever the number of slashes after its scheme."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
 
 
 def manifest_entries(spark: SparkSession, manifest_path: str) -> DataFrame:
-    """``{"entries":[{"url":..., "mandatory":...}]}`` -> ``(url, mandatory)`` rows."""
-    m = spark.read.schema("entries array<struct<url string, mandatory boolean>>").json(manifest_path)
+    """``{"entries":[{"url":..., "mandatory":...}]}``, on one line or many -> ``(url, mandatory)`` rows."""
+    m = spark.read.schema("entries array<struct<url string, mandatory boolean>>").option("multiLine", "true").json(manifest_path)
     return m.select(F.explode("entries").alias("e")).select("e.url", "e.mandatory")
 
 
@@ -42,18 +141,19 @@ def manifest_load(spark: SparkSession, url: str, schema_ddl: str, manifest_name:
                   **delimited_options) -> DataFrame:
     """Load the files listed in ``<url>/manifest.json``; a missing mandatory file is an error.
 
-    The manifest has one entry per file (small by nature); the list of paths
-    is read on the driver to hand it to the file scan.
+    Entries are held against a listing of their folders by joins; what is collected is the names of the files to read,
+    which a scan needs.
     """
-    from ..session import path_exists
-
-    entries = manifest_entries(spark, url.rstrip("/") + "/" + manifest_name).collect()
-    paths = []
-    for e in entries:
-        if path_exists(spark, e["url"]):
-            paths.append(e["url"])
-        elif e["mandatory"]:
-            raise FileNotFoundError(f"mandatory manifest entry is missing: {e['url']}")
+    entries = manifest_entries(spark, url.rstrip("/") + "/" + manifest_name).withColumn("_url", _same_file(F.col("url")))
+    folders = [r[0] for r in entries.select(F.regexp_replace("url", "/[^/]*$", "")).distinct().collect()]
+    there = spark.createDataFrame([], "_url string")
+    for folder in folders:
+        there = there.unionByName(object_inventory(spark, folder).select(_same_file(F.col("path")).alias("_url")))
+    there = there.distinct()
+    missing = entries.where(F.coalesce("mandatory", F.lit(False))).join(there, "_url", "left_anti").select("url").limit(5).collect()
+    if missing:
+        raise FileNotFoundError(f"mandatory manifest entries are missing: {', '.join(r['url'] for r in missing)}")
+    paths = [r["url"] for r in entries.join(there, "_url", "left_semi").select("url").distinct().collect()]
     if not paths:
         return spark.createDataFrame([], schema_ddl)
-    return delimited_load(spark, paths, schema_ddl, **delimited_options)
+    return delimited_load(spark, sorted(paths), schema_ddl, **delimited_options)

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from ..operators.sizing import materialised
 
-# Above this many splits the split-offset table is joined with a shuffle instead
-# of being broadcast. A row is 4 longs (~32 bytes): 4M splits (~500 TB of
-# 128 MB splits) stay near 128 MB.
 
 
 def file_predicate(file: str | None = None, pattern: str | None = None,
@@ -39,14 +36,14 @@ def file_select(df: DataFrame, file: str | None = None, pattern: str | None = No
 
 
 def read_text(spark: SparkSession, path: str | list[str], recursive: bool = False,
-              base_path: str | None = None) -> DataFrame:
+              base_path: str | None = None, wholetext: bool = False) -> DataFrame:
     reader = spark.read
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if base_path:
         reader = reader.option("basePath", base_path)
     paths = [path] if isinstance(path, str) else list(path)
-    return reader.text(paths)
+    return reader.text(paths, wholetext=wholetext)
 
 
 def selected_files(spark: SparkSession, path: str, file: str | None = None,
@@ -57,10 +54,25 @@ def selected_files(spark: SparkSession, path: str, file: str | None = None,
     return [r["path"] for r in inv.where(file_predicate(file, pattern, "path")).select("path").collect()]
 
 
+def selected_text(spark: SparkSession, path: str | list[str], file: str | None = None, pattern: str | None = None,
+                  recursive: bool = False, where: Column | None = None, wholetext: bool = False) -> DataFrame:
+    """The text of the selected files; ``where`` is a condition on partition columns and prunes folders."""
+    if file or pattern:
+        # resolve the selection on the listing, so unselected files are never opened
+        if not isinstance(path, str):
+            raise ValueError("file / pattern selection needs one root path")
+        paths = selected_files(spark, path, file, pattern)
+        raw = read_text(spark, paths, base_path=None if recursive else path, wholetext=wholetext) if paths else \
+            read_text(spark, path, recursive, wholetext=wholetext).where(F.lit(False))
+    else:
+        raw = read_text(spark, path, recursive, wholetext=wholetext)
+    return raw if where is None else raw.where(where)
+
+
 def numbered_lines(spark: SparkSession, path: str | list[str], file: str | None = None,
                    pattern: str | None = None, recursive: bool = False,
                    keep: list[str] | None = None, skip_blank: bool = False,
-                   line_filter: Column | None = None) -> DataFrame:
+                   line_filter: Column | None = None, where: Column | None = None) -> DataFrame:
     """Every line of every file with its 1-based line number inside its own file.
 
     Files are read split by split in parallel; no file is funnelled through a
@@ -73,20 +85,11 @@ def numbered_lines(spark: SparkSession, path: str | list[str], file: str | None
     With ``skip_blank`` blank lines (and with ``line_filter`` the lines it
     rejects) are dropped before numbering, so ``line`` is the record number.
 
+    ``where`` (on partition columns) is applied before numbering, so it reaches the scan.
     Returns ``file_path, line, value`` (+ ``keep`` columns such as partition columns).
     """
     keep = list(keep or [])
-    if file or pattern:
-        # resolve the selection on the listing, so unselected files are never opened
-        if not isinstance(path, str):
-            raise ValueError("file / pattern selection needs one root path")
-        paths = selected_files(spark, path, file, pattern)
-        if not paths:
-            schema = "file_path string, line bigint, value string" + "".join(f", {k} string" for k in keep)
-            return spark.createDataFrame([], schema)
-        raw = read_text(spark, paths, base_path=None if recursive else path)
-    else:
-        raw = read_text(spark, path, recursive)
+    raw = selected_text(spark, path, file, pattern, recursive, where)
     if skip_blank:
         # before the position id: positions stay contiguous among the kept lines of a split
         raw = raw.where(~F.col("value").rlike(r"^\s*$"))

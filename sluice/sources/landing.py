@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .files import numbered_lines
+from .files import numbered_lines, selected_text
 
 LANDING_DDL = ("id bigint, load_time timestamp, origin_file_name string, origin_file_line bigint, "
                "origin_str string, properties variant")
@@ -22,39 +22,63 @@ def strict_json(text) -> "F.Column":
     return F.when(F.size(arr) == 1, F.element_at(arr, 1))
 
 
-def _records(spark, path, file, pattern, strip_outer_array, recursive, keep):
-    if not strip_outer_array:
-        # blank lines are not records: numbering counts records
-        return numbered_lines(spark, path, file=file, pattern=pattern, recursive=recursive, keep=keep,
-                              skip_blank=True)
-    # arrays laid out one element per line: strip the leading "[", trailing "]" and the
-    # separating commas; bracket-only lines are dropped before numbering
-    bracket_only = F.trim("value").rlike(r"^[\[\],\s]*$")
-    lines = numbered_lines(spark, path, file=file, pattern=pattern, recursive=recursive, keep=keep,
-                           skip_blank=True, line_filter=~bracket_only)
-    text = F.regexp_replace(F.regexp_replace(F.trim("value"), r"^\[\s*", ""), r"\s*(\]\s*)?,?\s*$", "")
-    return lines.withColumn("value", text).where(F.col("value") != "")
+def _records(spark, path, file, pattern, strip_outer_array, recursive, keep, where, line_numbers):
+    """``(file_path, line, value, parsed, *keep)`` of every record."""
+    if strip_outer_array:
+        return _array_records(spark, path, file, pattern, recursive, keep, where)
+    # blank lines are not records: numbering counts records
+    if line_numbers:
+        lines = numbered_lines(spark, path, file=file, pattern=pattern, recursive=recursive, keep=keep, skip_blank=True, where=where)
+    else:
+        raw = selected_text(spark, path, file, pattern, recursive, where)
+        lines = raw.where(~F.col("value").rlike(r"^\s*$")).select(
+            F.col("_metadata.file_path").alias("file_path"), F.lit(None).cast("long").alias("line"), "value", *(keep or []))
+    return lines.withColumn("parsed", strict_json("value"))
+
+
+def _array_records(spark, path, file, pattern, recursive, keep, where):
+    """The elements of the arrays of each file, numbered through the file, and values that are no arrays as they are. A
+    file is one JSON value on any number of lines, or one value a line; its elements come out as equal JSON text either way.
+    A JSON value has no place to be cut, so a file is parsed whole by one task."""
+    raw = selected_text(spark, path, file, pattern, recursive, where, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file_path"), "value", *(keep or []))
+    one = raw.withColumn("_one", strict_json("value"))
+    lines = F.filter(F.split("value", "\n"), lambda x: ~x.rlike(r"^\s*$"))
+    texts = one.withColumn("_texts", F.when(F.col("_one").isNotNull(), F.array("value")).otherwise(lines))
+    values = texts.select("file_path", *(keep or []), F.posexplode("_texts").alias("_at", "_text"))
+    values = values.withColumn("_v", strict_json("_text")).withColumn("_items", F.try_variant_get("_v", "$", "array<variant>"))
+    is_array = F.substring(F.schema_of_variant("_v"), 1, 5) == "ARRAY"
+    items = F.when(is_array, F.transform("_items", lambda v: F.struct(F.to_json(v).alias("value"), v.alias("parsed")))).otherwise(
+        F.array(F.struct(F.coalesce(F.to_json("_v"), F.col("_text")).alias("value"), F.col("_v").alias("parsed"))))
+    rows = values.select("file_path", *(keep or []), "_at", F.posexplode(items).alias("_i", "_r"))
+    # the text's elements are numbered within the file: a file is one group here as it is one task above
+    order = Window.partitionBy("file_path").orderBy("_at", "_i")
+    return rows.select("file_path", F.row_number().over(order).cast("long").alias("line"), "_r.value", "_r.parsed", *(keep or []))
 
 
 def variant_landing(spark: SparkSession, path: str, file: str | None = None, pattern: str | None = None,
                     strip_outer_array: bool = False, recursive: bool = False, id_offset: int = 0,
-                    keep: list[str] | None = None, date_property: str | None = None) -> DataFrame:
+                    keep: list[str] | None = None, date_property: str | None = None, where: Column | None = None,
+                    line_numbers: bool = True) -> DataFrame:
     """Load JSON records as ``(id, load_time, origin_file_name, origin_file_line, origin_str, properties)``.
 
+    ``strip_outer_array``: the elements of top-level arrays are the records, on one line or many.
+    ``where`` is a condition on partition columns of the source; it reaches the scan.
+    Without ``line_numbers`` the line is NULL, and the pass that counts lines isn't made.
     Invalid JSON keeps its ``origin_str`` and gets a NULL ``properties``.
     ``id`` is unique (not dense) above ``id_offset`` (pass the target's max id).
     ``date_property`` promotes ``date(properties:<prop>)`` to a real ``slice_date``
     column (``yyyy-MM-dd``), so a target can be partitioned by its slices and a
     guarded reload replaces one partition instead of rewriting the table.
     """
-    rec = _records(spark, path, file, pattern, strip_outer_array, recursive, keep)
+    rec = _records(spark, path, file, pattern, strip_outer_array, recursive, keep, where, line_numbers)
     return rec.select(
         (F.lit(id_offset).cast("long") + F.monotonically_increasing_id() + 1).alias("id"),
         F.current_timestamp().alias("load_time"),
         F.col("file_path").alias("origin_file_name"),
         F.col("line").alias("origin_file_line"),
         F.col("value").alias("origin_str"),
-        strict_json("value").alias("properties"),
+        F.col("parsed").alias("properties"),
         *(keep or []),
     ).transform(lambda d: _with_slice_date(d, "properties", date_property, cast_date=True))
 
@@ -68,19 +92,20 @@ def _with_slice_date(df: DataFrame, col: str, prop: str | None, cast_date: bool)
 
 def session_landing(spark: SparkSession, path: str, ga_view_id: str, pattern: str = ".*",
                     file: str | None = None, recursive: bool = False, id_offset: int = 0,
-                    keep: list[str] | None = None, date_key: str | None = None) -> DataFrame:
+                    keep: list[str] | None = None, date_key: str | None = None, where: Column | None = None,
+                    line_numbers: bool = True) -> DataFrame:
     """Load one date of session records, tagged with the source dataset ``ga_view_id``.
 
     ``date_key`` promotes the session's date text (string, as the slice predicate
     compares it) to a ``slice_date`` column for partitioning the target.
     """
-    rec = _records(spark, path, file, pattern, False, recursive, keep)
+    rec = _records(spark, path, file, pattern, False, recursive, keep, where, line_numbers)
     return rec.select(
         (F.lit(id_offset).cast("long") + F.monotonically_increasing_id() + 1).alias("id"),
         F.current_timestamp().alias("load_time"),
         F.col("file_path").alias("origin_file_name"),
         F.col("line").alias("origin_file_line"),
         F.lit(ga_view_id).alias("ga_view_id"),
-        strict_json("value").alias("session"),
+        F.col("parsed").alias("session"),
         *(keep or []),
     ).transform(lambda d: _with_slice_date(d, "session", date_key, cast_date=False))

@@ -39,8 +39,9 @@ def load_new_files(spark: SparkSession, path: str, sink: str, checkpoint: str, f
 
 
 def high_water_stream(spark: SparkSession, path: str, sink: str, checkpoint: str, col: str, schema: str,
-                      fmt: str = "parquet", watermark: str | None = None) -> int:
-    """Rows of newly arrived files; the checkpoint is the high-water mark (at least once per row)."""
+                      fmt: str = "parquet", mark=None) -> int:
+    """Rows above ``mark`` in newly arrived files. The checkpoint knows the files that were read; the mark keeps old rows in
+    a new file from being delivered again (without a mark, all rows of a new file count)."""
     def shape(df):
-        return df.withWatermark(col, watermark) if watermark else df
+        return df if mark is None else df.where(F.col(col) > F.lit(mark).cast(df.schema[col].dataType))
     return load_new_files(spark, path, sink, checkpoint, fmt, schema, shape)

@@ -1,5 +1,6 @@
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from sluice.functions import convert as C
@@ -17,7 +18,8 @@ def test_safe_course_id(spark):
     assert one(spark, X.safe_course_id("v"), "not a key") == "not_a_key"
     assert one(spark, X.safe_course_id("v", "-"), "not a key") == "not-a-key"
     assert one(spark, X.safe_course_id("v"), "course-v1:Ünï+DemoX+2015") == "Ünï_DemoX_2015"
-    assert one(spark, X.safe_course_id("v"), "library-v1:OrgX+lib") == "library-v1_OrgX_lib"
+    assert one(spark, X.safe_course_id("v"), "library-v1:OrgX+lib") == "OrgX_lib"
+    assert one(spark, X.safe_course_id("v"), "library-v1:Org X+lib") == "library-v1_Org_X_lib"
 
 
 def test_url_file_stem(spark):
@@ -102,7 +104,7 @@ def test_checkpoint_root_when_unset():
             raise RuntimeError("read-only")
 
     class Ctx:
-        dir = None
+        dir, master = None, "local[2]"
 
         def getCheckpointDir(self):
             return self.dir
@@ -118,6 +120,20 @@ def test_checkpoint_root_when_unset():
     assert root and s.sparkContext.dir == root and checkpoint_root(s) == root
 
 
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[2,1,1024]"])
+def test_checkpoint_root_on_a_cluster(master):
+    from types import SimpleNamespace as N
+
+    from sluice.session import checkpoint_root
+
+    ctx = N(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None)
+    with pytest.raises(RuntimeError):
+        checkpoint_root(N(conf=N(get=lambda k, d=None: d), sparkContext=ctx))
+    ctx.getCheckpointDir = lambda: "s3://shared/ckpt/"
+    assert checkpoint_root(N(conf=N(get=lambda k, d=None: d), sparkContext=ctx)) == "s3://shared/ckpt"
+    assert checkpoint_root(N(conf=N(get=lambda k, d=None: "hdfs://named"), sparkContext=ctx)) == "hdfs://named"
+
+
 def test_json_number_text_like_python(spark):
     import json
 

@@ -107,7 +107,7 @@ def test_exports_and_manifest(spark, tmp):
         X.delimited_export(df, out, overwrite=False)
     q = tmp + "/q"
     X.delimited_export(df, q, enclosed_by='"')
-    back = delimited_load(spark, q, "id int, s string, t string", quote='"', escape='"').orderBy("id").collect()
+    back = delimited_load(spark, q, "id int, s string, t string", quote='"', escape='"', multiline=True).orderBy("id").collect()
     assert [tuple(r) for r in back] == [(1, "a,b", None), (2, "", "x\\y")]
     entries = X.manifest_write(spark, q).collect()
     assert entries and all(e["mandatory"] for e in entries)
@@ -119,6 +119,111 @@ def test_exports_and_manifest(spark, tmp):
     assert delimited_load(spark, skip, "id int, s string", ignore_lines=2).count() == 4
 
 
+def test_delimited_text_as_mysql_reads_it(spark, tmp):
+    ddl = "id int, s string, t string"
+    rows = [(1, "a,b", "x"), (2, "c\\,d\\\\", None), (3, "two\nlines", ""), (4, '"q" ""', "\t\\n"), (5, "\\N", "end\\")]
+    df = spark.createDataFrame(rows, ddl)
+    for k, options in enumerate(({}, {"enclosed_by": '"'})):
+        out = f"{tmp}/trip{k}"
+        X.delimited_export(df, out, **options)
+        load = {"quote": '"', "escape": '"', "multiline": True} if options else {}
+        back = delimited_load(spark, out, ddl, **load).orderBy("id").collect()
+        assert [tuple(r) for r in back] == rows
+    _write(tmp + "/mysql", "a.txt", "1,a\\,b,\\N\n2,line\\\nbreak,\\\\\n3,\\tab\\0,\n")
+    back = delimited_load(spark, tmp + "/mysql", ddl, multiline=True).orderBy("id").collect()
+    assert [tuple(r) for r in back] == [(1, "a,b", None), (2, "line\nbreak", "\\"), (3, "\tab\x00", "")]
+    _write(tmp + "/quoted", "a.txt", 'h1\nh2\n1,"a\nb",x\n2,"say ""hi""",\n')
+    back = delimited_load(spark, tmp + "/quoted", ddl, quote='"', escape='"', ignore_lines=2, multiline=True).orderBy("id").collect()
+    assert [tuple(r) for r in back] == [(1, "a\nb", "x"), (2, 'say "hi"', "")]
+    X.delimited_export(df.where("id = 1"), tmp + "/never", escape="NONE")
+    assert spark.read.text(tmp + "/never").first()[0] == "1,a,b,x"
+
+
+def test_delimited_errors_are_reported(spark, tmp):
+    _write(tmp + "/bad", "a.csv", "1,x\nno,y\n3,z,more\n4\n99999999999,w\n,empty\n")
+    with pytest.raises(Exception, match="id can't hold|fields instead of"):
+        delimited_load(spark, tmp + "/bad", "id int, s string").collect()
+    got = {r["s"]: (r["id"], r["_errors"]) for r in delimited_load(spark, tmp + "/bad", "id int, s string", on_error="column").collect()}
+    assert got["x"] == (1, []) and got["y"] == (None, ["id can't hold: no"]) and got["z"] == (3, ["3 fields instead of 2"])
+    assert got[None] == (4, ["1 fields instead of 2"]) and got["w"] == (None, ["id can't hold: 99999999999"]) and got["empty"] == (None, [])
+
+
+def test_manifest_is_one_object(spark, tmp):
+    import json
+
+    df = spark.range(20).selectExpr("id", "cast(id as string) s")
+    out = tmp + "/m"
+    X.delimited_export(df.repartition(3), out)
+    X.manifest_write(spark, out)
+    X.manifest_write(spark, out)  # again: the manifest itself is no entry
+    with open(out + "/manifest.json") as f:
+        entries = json.load(f)["entries"]
+    assert len(entries) == 3 and all(e["mandatory"] for e in entries)
+    assert manifest_load(spark, out, "id int, s string").count() == 20
+    os.remove(out + "/.manifest.json.crc")
+    with open(out + "/manifest.json", "w") as f:  # pretty-printed, with files that are not there
+        json.dump({"entries": entries + [{"url": entries[0]["url"] + "x", "mandatory": False}]}, f, indent=2)
+    assert manifest_load(spark, out, "id int, s string").count() == 20
+    with open(out + "/manifest.json", "w") as f:
+        json.dump({"entries": entries + [{"url": entries[0]["url"] + "x", "mandatory": True}]}, f, indent=2)
+    with pytest.raises(FileNotFoundError):
+        manifest_load(spark, out, "id int, s string")
+
+
+def _slices(spark, path):
+    return sorted((r["day"], r["view"], r["v"]) for r in spark.read.parquet(path).collect())
+
+
+def test_slice_load_leaves_all_other_rows(spark, tmp):
+    ddl = "day string, view string, v int"
+    path = tmp + "/t"
+    old = [("d1", "v1", 1), ("d1", "v2", 2), ("d2", "v1", 3), ("d3", "v1", 4)]
+    spark.createDataFrame(old, ddl).write.partitionBy("day").parquet(path)
+    pred = (F.col("day") == "d1") & (F.col("view") == "v1")
+    new = spark.createDataFrame([("d1", "v1", 10), ("d2", "v9", 11), ("d4", "v1", 12)], ddl)
+    guard.guarded_slice_load(spark, path, new, pred, overwrite=True, partition_col="day")
+    want = sorted(old[1:] + [("d1", "v1", 10), ("d2", "v9", 11), ("d4", "v1", 12)])
+    assert _slices(spark, path) == want
+
+
+@pytest.mark.parametrize("partition_col", ["day", None])
+@pytest.mark.parametrize("survives", [True, False])
+def test_every_failed_rename_leaves_the_target_whole(spark, tmp, monkeypatch, partition_col, survives):
+    """The n-th rename fails, for every n; or, if the driver doesn't survive it, nothing is undone until the next load."""
+    ddl = "day string, view string, v int"
+    old = [("d1", "v1", 1), ("d1", "v2", 2), ("d2", "v1", 3)]
+    new = spark.createDataFrame([("d1", "v1", 10), ("d2", "v1", 11), ("d4", "v1", 12)], ddl)
+    pred, rename = F.col("view") == "v1", guard._rename
+    done = False
+    for n in range(8):
+        path = f"{tmp}/{partition_col}{survives}{n}"
+        w = spark.createDataFrame(old, ddl).write
+        (w.partitionBy("day") if partition_col else w).parquet(path)
+        calls = []
+
+        def failing(*args, n=n, calls=calls):
+            calls.append(args)
+            if len(calls) == n + 1 or (not survives and len(calls) > n + 1):
+                raise OSError("rename failed")
+            rename(*args)
+
+        monkeypatch.setattr(guard, "_rename", failing)
+        if not survives:
+            monkeypatch.setattr(guard, "_undo", lambda *a: None)
+        try:
+            guard.guarded_slice_load(spark, path, new, pred, overwrite=True, partition_col=partition_col)
+            done = True
+        except OSError:
+            pass
+        monkeypatch.undo()
+        target = guard.read_target(spark, path)
+        got = sorted((r["day"], r["view"], r["v"]) for r in target.collect())
+        assert got == (sorted([("d1", "v2", 2), ("d1", "v1", 10), ("d2", "v1", 11), ("d4", "v1", 12)]) if done else sorted(old))
+        if done:
+            break
+    assert done
+
+
 def test_dated_sink_skips_existing(spark, tmp):
     path = tmp + "/rep"
     a = spark.createDataFrame([("2020-01-01", 1), ("2020-01-02", 2)], "report_date string, v int")
