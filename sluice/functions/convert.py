@@ -56,7 +56,11 @@ def python_float_text(d) -> Column:
     fixed layout (no regex).
     """
     d = _col(d)
+    # a decimal of at most 15 digits that reads back as the same double is its shortest text
+    short = d.try_cast("decimal(15,4)")
     return (F.when(d.isNull(), F.lit(None))
+            .when((F.abs(d) >= 1e-3) & (short.cast("double") == d), F.regexp_replace(
+                F.rtrim(short.cast("string"), F.lit("0")), r"\.$", ".0"))
             .when(F.isnan(d), F.lit("nan"))
             .when(d == float("inf"), F.lit("inf"))
             .when(d == float("-inf"), F.lit("-inf"))
@@ -193,8 +197,11 @@ def map_datetime(v, kind: Column | None = None) -> Column:
 def datetime_digits(s) -> Column:
     """All digit runs -> year, month, day[, hour, minute, second, fraction]; fraction read as an
     integer number of microseconds (``.5`` is 5 µs). Fewer than 3 or more than 7 runs -> null."""
-    parts = F.filter(F.split(F.regexp_replace(_col(s), r"\D+", " "), " "), lambda x: x != "")
-    return let(parts, _digits_to_ts)
+    s = _col(s)
+    parts = F.filter(F.split(F.regexp_replace(s, r"\D+", " "), " "), lambda x: x != "")
+    # the codec's own layout, with six digits of fraction, reads the same as a plain timestamp
+    own = s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{6}$")
+    return F.when(own, s.try_cast("timestamp_ntz")).otherwise(let(parts, _digits_to_ts))
 
 
 def _digits_to_ts(parts: Column) -> Column:

@@ -30,23 +30,23 @@ ERROR_TYPE = "array<struct<field:string,message:string>>"
 
 
 def _msgs(field: str, conds: list[tuple[Column, str]]) -> Column:
-    """``struct(field, "msg1, msg2")`` of the failing checks of one field, or null."""
-    parts = F.filter(F.array(*[F.when(c, m if isinstance(m, Column) else F.lit(m)) for c, m in conds]),
-                     lambda x: x.isNotNull())
-    return F.when(F.size(parts) > 0, F.struct(F.lit(field).alias("field"),
-                                              F.array_join(parts, ", ").alias("message")))
+    """``struct(field, "msg1, msg2")`` of the failing checks of one field, or null (plain columns, no lambdas)."""
+    text = F.concat_ws(", ", *[F.when(c, m if isinstance(m, Column) else F.lit(m)) for c, m in conds])
+    return F.when(text != "", F.struct(F.lit(field).alias("field"), text.alias("message")))
 
 
 def _collect(errs: list[Column]) -> Column:
     if not errs:
         return F.array().cast(ERROR_TYPE)
-    return F.filter(F.array(*errs), lambda e: e.isNotNull())
+    # rows without an error, nearly all, skip the filter
+    return F.when(F.coalesce(*errs).isNull(), F.array().cast(ERROR_TYPE)).otherwise(F.filter(F.array(*errs), lambda e: e.isNotNull()))
 
 
 def error_text(errors) -> Column:
     """``field: msg; field: msg`` (empty string when there is no error)."""
     e = F.col(errors) if isinstance(errors, str) else errors
-    return F.array_join(F.transform(e, lambda x: F.concat(x["field"], F.lit(": "), x["message"])), "; ")
+    return F.when(F.size(e) == 0, "").otherwise(
+        F.array_join(F.transform(e, lambda x: F.concat(x["field"], F.lit(": "), x["message"])), "; "))
 
 
 def field_checks(f: Field, c: Column) -> Column:

@@ -118,17 +118,16 @@ def report_rows(lines: DataFrame, columns: list[str], layout: DataFrame | None =
     n = layout.select(F.max(F.length("header") - F.length(F.replace("header", F.lit(","), F.lit(""))) + 1)).first()[0] or 1
     positions = ", ".join(f"_{i} string" for i in range(n))
 
-    def fields(c):
-        r = F.from_csv(c, positions, _CSV)
-        return F.array(*[r[f"_{i}"] for i in range(n)])
+    def fields(df, c):
+        """``df`` with the fields of text column ``c`` in ``_r``, parsed once."""
+        return df.withColumn("_csv", F.from_csv(F.col(c), positions, _CSV)).withColumn("_r", F.array(*[F.col(f"_csv._{i}") for i in range(n)]))
 
     # one row per file: each file's places of the wanted columns, from 0, null if it lacks one
-    places = layout.select(F.col("file_path").alias("_file"), "broken", F.transform(
-        F.array(*[F.lit(c) for c in columns]), lambda c: F.array_max(F.transform(
-            fields(F.col("header")), lambda x, i: F.when(x == c, i)))).alias("_at"))
+    places = fields(layout, "header").select(F.col("file_path").alias("_file"), "broken", F.transform(
+        F.array(*[F.lit(c) for c in columns]), lambda c: F.array_max(F.transform("_r", lambda x, i: F.when(x == c, i)))).alias("_at"))
     body = lines.where(F.col("line") > preamble + 1).select("file_path", "line", "value")
     joined = body.join(places, F.col("file_path") == F.col("_file")).select("file_path", "line", "value", "broken", "_at")
-    parsed = _records(joined).withColumn("_r", fields(F.col("value")))
+    parsed = fields(_records(joined), "value")
     return parsed.select("file_path", "line", *[
         F.get("_r", F.get("_at", F.lit(k))).alias(c) for k, c in enumerate(columns)], "malformed")
 

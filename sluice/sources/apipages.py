@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from ..operators.sizing import materialised
 
+#: Joins in one round.
+JUMPS = 3
+
 
 def api_page_links(df: DataFrame, body_col: str = "body", url_col: str = "url", next_path: str = "$.next") -> DataFrame:
     """``(url, next_url)``, one row per landed page."""
@@ -41,8 +44,8 @@ def page_positions(pages: DataFrame, url_col: str = "url", next_col: str = "next
 
     List ranking by pointer jumping: every page knows its successor and the
     distance to it; each round joins the pages that have not reached their
-    chain's end with all pages on the successor and doubles the jump, so a
-    chain of n pages needs about log2(n) rounds. A round is written to the
+    chain's end with all pages on the successor, so that jumps grow by a
+    factor and a chain of n pages needs about log(n) rounds. A round is written to the
     shared folder; pages that are done are only looked up. The chain is named
     by its last page, and a page's position is the head's distance to the end
     minus its own. A pointer to a page that was never landed ends the chain there.
@@ -52,15 +55,19 @@ def page_positions(pages: DataFrame, url_col: str = "url", next_col: str = "next
     cur = materialised(nodes.join(landed, F.col("nxt") == F.col("_landed"), "left").select(
         "url", F.col("_landed").alias("succ"), F.col("_landed").isNotNull().cast("long").alias("dist"),
         F.when(F.col("_landed").isNull(), F.col("url")).alias("tail")), "pages")
-    rounds = min(max_rounds, math.ceil(math.log2(max(cur.count(), 2))) + 1)
+    # JUMPS joins on one written table make a round's reach 1 + JUMPS times the last one's
+    rounds = min(max_rounds, math.ceil(math.log(max(cur.count(), 2), 1 + JUMPS)) + 1)
     for _ in range(rounds):
         going = cur.where("succ is not null")
         if going.isEmpty():
             break
-        ahead = cur.select(F.col("url").alias("_at"), F.col("succ").alias("_succ"), F.col("dist").alias("_dist"), F.col("tail").alias("_tail"))
-        jumped = going.join(ahead, F.col("succ") == F.col("_at")).select(
-            "url", F.col("_succ").alias("succ"), (F.col("dist") + F.col("_dist")).alias("dist"), F.col("_tail").alias("tail"))
-        cur = materialised(jumped.unionByName(cur.where("succ is null")), "pages")
+        for _ in range(JUMPS):
+            ahead = cur.select(F.col("url").alias("_at"), F.col("succ").alias("_succ"), F.col("dist").alias("_dist"), F.col("tail").alias("_tail"))
+            # a page that has arrived joins nothing: a key of its own keeps them out of one task
+            going = going.join(ahead, F.coalesce("succ", F.concat(F.lit("\0"), "url")) == F.col("_at"), "left").select(
+                "url", F.col("_succ").alias("succ"), (F.col("dist") + F.coalesce("_dist", F.lit(0))).alias("dist"),
+                F.coalesce("tail", "_tail").alias("tail"))
+        cur = materialised(going.unionByName(cur.where("succ is null")), "pages")
     if not cur.where("succ is not null").isEmpty():
         raise RuntimeError("page chains did not resolve (a cycle in next pointers?)")
     heads = materialised(cur.groupBy("tail").agg(F.max("dist").alias("_len")), "chains")

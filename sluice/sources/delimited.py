@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.sizing import materialised
 from .files import numbered_lines, object_inventory, read_text
 
 # What a letter after the escape character stands for; any other character stands for itself
@@ -68,19 +67,21 @@ def _open(line: Column, quote: str | None, escape: str | None) -> Column:
 
 
 def _records(lines: DataFrame, quote: str | None, escape: str | None) -> DataFrame:
-    """Lines as records: a line goes on in the next while a quoted field is open (with quotes), or if it ends in an
-    escape (without). Only files that have such a line are ordered, each in one window."""
+    """``lines(file_path, _at, value)``, with ``_at`` in file order, as records: a line goes on in the next while a quoted
+    field is open (with quotes), or if it ends in an escape (without). Only files that have such a line are ordered, each
+    in one window; elsewhere every line is a record."""
     marked = lines.withColumn("_open", _open(F.col("value"), quote, escape))
-    broken = materialised(marked.where("_open = 1").select(F.col("file_path").alias("_broken")).distinct(), "broken-files")
-    on = F.col("file_path") == F.col("_broken")
-    whole = marked.join(broken, on, "left_anti").select("value")
-    by_line = Window.partitionBy("file_path").orderBy("line")
+    # one row a file
+    broken = marked.where("_open = 1").select(F.col("file_path").alias("_broken")).distinct()
+    joined = marked.join(broken, F.col("file_path") == F.col("_broken"), "left")
+    whole = joined.where("_broken is null").select("value")
+    by_line = Window.partitionBy("file_path").orderBy("_at")
     earlier = by_line.rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("_open").over(earlier), F.lit(0)) % 2 if quote else F.coalesce(F.lag("_open").over(by_line), F.lit(0))
-    joined = (marked.join(broken, on, "left_semi").withColumn("_starts", (inside == 0).cast("int"))
-              .withColumn("_record", F.sum("_starts").over(by_line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-              .groupBy("file_path", "_record").agg(F.sort_array(F.collect_list(F.struct("line", "value"))).alias("_lines")))
-    return whole.unionByName(joined.select(F.array_join(F.transform("_lines", lambda x: x["value"]), "\n").alias("value")))
+    grouped = (joined.where("_broken is not null").withColumn("_starts", (inside == 0).cast("int"))
+               .withColumn("_record", F.sum("_starts").over(by_line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+               .groupBy("file_path", "_record").agg(F.sort_array(F.collect_list(F.struct("_at", "value"))).alias("_lines")))
+    return whole.unionByName(grouped.select(F.array_join(F.transform("_lines", lambda x: x["value"]), "\n").alias("value")))
 
 
 def delimited_load(spark: SparkSession, path: str | list[str], schema_ddl: str, sep: str = ",",
@@ -98,11 +99,12 @@ def delimited_load(spark: SparkSession, path: str | list[str], schema_ddl: str,
     """
     quote, escape = _none(quote), _none(escape)
     schema = T._parse_datatype_string(schema_ddl)
-    if ignore_lines or multiline:
-        lines = numbered_lines(spark, path).where(F.col("line") > ignore_lines)
-        records = _records(lines, quote, escape) if multiline else lines.select("value")
-    else:
-        records = read_text(spark, path).select("value")
+    if ignore_lines:
+        lines = numbered_lines(spark, path).where(F.col("line") > ignore_lines).withColumn("_at", F.struct("line"))
+    else:  # file order is enough: the split, and the place in it
+        lines = read_text(spark, path).select(F.col("_metadata.file_path").alias("file_path"), F.struct(
+            "_metadata.file_block_start", F.monotonically_increasing_id()).alias("_at"), "value") if multiline else read_text(spark, path)
+    records = _records(lines, quote, escape) if multiline else lines.select("value")
     if len(schema.fields) > 1:
         records = records.where(F.col("value") != "")
     raw = records.select("value", split_fields(F.col("value"), sep, quote, escape).alias("_raw"))
