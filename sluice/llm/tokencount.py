@@ -94,8 +94,9 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", keep: tuple[str
             for raw in as_bytes(batch.column(0)):
                 tokens, added = counter.pre_tokens((raw or b"").decode())
                 frequency = Counter(tokens)
-                for token in frequency.keys() - pieces.keys():
-                    pieces[token] = counter.pieces(token)
+                for token in frequency:
+                    if token not in pieces:
+                        pieces[token] = counter.pieces(token)
                 n_bytes.append(len(raw or b""))
                 n_tokens.append(added + sum(n * pieces[token] for token, n in frequency.items()))
                 if len(pieces) > KEPT:
