@@ -21,6 +21,7 @@ from .sinks.dated import dated_report_sink, sitemap_sink
 from .sinks.export import delimited_export, export_dir, manifest_write, ndjson_gzip_export
 from .sinks.guard import (guarded_slice_load, slice_date, slice_exists, slice_raw, slice_session, stage_and_swap,
                           swap_overwrite)
+from .sinks.load import landed_load, read_ledger
 from .sources.apipages import api_page_links, api_pages_flatten, dangling_pages, page_positions
 from .sources.delimited import delimited_load, manifest_entries, manifest_load
 from .sources.files import file_select, load_once, numbered_lines, object_inventory, selected_files

@@ -27,7 +27,7 @@ GROUP BY event_type"""
 @query("flagship_landing_sync", FLAGSHIP_SQL)
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = derive.events_ndjson(spark, sf_dir)
-    landed = variant_landing(spark, root)
+    landed = variant_landing(spark, root, line_numbers=False)
     p = F.col("properties")
     day = landed.where(slice_date("date", FLAGSHIP_DAY)).select(
         F.try_variant_get(p, "$.event_type", "string").alias("event_type"),

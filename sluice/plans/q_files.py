@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sinks import guard
+from ..sinks.load import landed_load, read_ledger
 from ..sources.files import load_once, object_inventory
 from ..sources.landing import session_landing, variant_landing
 from ..session import scratch_path
@@ -31,9 +32,9 @@ landed AS (
 """
 
 
-def _landed(spark, sf_dir, pattern=None, file=None):
+def _landed(spark, sf_dir, pattern=None, file=None, line_numbers=True):
     root = derive.events_ndjson(spark, sf_dir)
-    return variant_landing(spark, root, file=file, pattern=pattern, keep=["event_type"])
+    return variant_landing(spark, root, file=file, pattern=pattern, keep=["event_type"], line_numbers=line_numbers)
 
 
 def _chunk():
@@ -107,11 +108,55 @@ def q_load_once(spark, sf_dir):
         F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("landed_load", EVENT_LINES_SQL + """
+SELECT event_type, count(*) AS n_rows, count(DISTINCT chunk) AS n_files, event_type IN ('click', 'view') AS first_run,
+       true AS ids_unique
+FROM landed GROUP BY event_type""")
+def q_landed_load(spark, sf_dir):
+    """Two loads: the second finds only the files that the first did not read, and a third nothing."""
+    root = derive.events_ndjson(spark, sf_dir)
+    target, ledger = scratch_path(spark, "targets", "landed"), scratch_path(spark, "ledgers")
+    options = {"check": False, "line_numbers": False}
+    landed_load(spark, root, target, ledger, "events", pattern=".*/event_type=(click|view)/.*", **options)
+    first = spark.read.parquet(target).agg(F.max("id")).first()[0]
+    landed_load(spark, root, target, ledger, "events", **options)
+    third = landed_load(spark, root, target, ledger, "events", **options).first()["action"]
+    rows = spark.read.parquet(target)
+    unique = rows.select("id").distinct().count() == rows.count() and third == "nothing_new"
+    kind = F.regexp_extract("origin_file_name", r"/event_type=([^/]+)/", 1).alias("event_type")
+    read = read_ledger(spark, ledger, "events").groupBy(F.regexp_extract("path", r"/event_type=([^/]+)/", 1).alias("event_type")).agg(
+        F.count(F.lit(1)).alias("n_files"))
+    return rows.groupBy(kind).agg(F.count(F.lit(1)).alias("n_rows"), (F.min("id") <= first).alias("first_run")).join(
+        read, "event_type").withColumn("ids_unique", F.lit(unique))
+
+
+@query("array_landing", EVENT_LINES_SQL + """
+SELECT layout, event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS prop_date
+FROM src, (VALUES ('one line'), ('pretty'), ('line per element')) v(layout)""")
+def q_array_landing(spark, sf_dir):
+    """The same records as arrays in three layouts: on one line, pretty-printed, and one element a line."""
+    e = derive.table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 500).alias("part"), "event_id", derive.event_json_line(broken=False).alias("x"))
+    arrays = e.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("event_id", "x"))).alias("e")).withColumn("e", F.transform("e", lambda r: r["x"]))
+    out = None
+    for layout, left, between, right in (("one line", "[", ",", "]"), ("pretty", "[\n  ", ",\n  ", "\n]"), ("line per element", "[\n", ",\n", "\n]")):
+        path = scratch_path(spark, "arrays")
+        text = F.concat(F.lit(left), F.array_join("e", between), F.lit(right))
+        if layout == "pretty":  # line breaks inside the elements too
+            text = F.replace(F.replace(text, F.lit('{"'), F.lit('{\n    "')), F.lit(',"'), F.lit(',\n    "'))
+        arrays.select("part", text.alias("value")).write.partitionBy("part").text(path)  # one document a file
+        d = variant_landing(spark, path, strip_outer_array=True)
+        p = F.col("properties")
+        d = d.select(F.lit(layout).alias("layout"), F.try_variant_get(p, "$.event_id", "bigint").alias("event_id"),
+                     F.try_variant_get(p, "$.event_type", "string").alias("event_type"), F.try_variant_get(p, "$.date", "string").alias("prop_date"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
 @query("slice_predicate_date", EVENT_LINES_SQL + f"""
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS prop_date
 FROM landed WHERE is_valid AND CAST(ts AS DATE) = DATE '{SLICE_DAY}'""")
 def q_slice_predicate_date(spark, sf_dir):
-    d = _landed(spark, sf_dir).where(guard.slice_date("date", SLICE_DAY))
+    d = _landed(spark, sf_dir, line_numbers=False).where(guard.slice_date("date", SLICE_DAY))
     p = F.col("properties")
     return d.select(F.try_variant_get(p, "$.event_id", "bigint").alias("event_id"),
                     F.try_variant_get(p, "$.date", "string").alias("prop_date"))
@@ -122,7 +167,7 @@ SELECT 'view-42' AS ga_view_id, event_id, event_type
 FROM landed WHERE is_valid AND strftime(ts, '%Y%m%d') = '{SLICE_DAY_COMPACT}'""")
 def q_slice_predicate_session(spark, sf_dir):
     root = derive.events_ndjson(spark, sf_dir)
-    d = session_landing(spark, root, "view-42")
+    d = session_landing(spark, root, "view-42", line_numbers=False)
     v = F.col("session")
     return d.where(guard.slice_session(SLICE_DAY_COMPACT, "view-42", key="day")).select("ga_view_id", F.try_variant_get(v, "$.event_id", "bigint").alias("event_id"),
                                 F.try_variant_get(v, "$.event_type", "string").alias("event_type"))
@@ -135,7 +180,7 @@ UNION ALL
 SELECT '2025-01-01' AS slice, EXISTS (SELECT 1 FROM landed WHERE is_valid AND CAST(ts AS DATE) = DATE '2025-01-01')
        AS slice_exists""")
 def q_slice_exists(spark, sf_dir):
-    d = _landed(spark, sf_dir)
+    d = _landed(spark, sf_dir, line_numbers=False)
     rows = [(day, guard.slice_exists(d, guard.slice_date("date", day))) for day in (SLICE_DAY, "2025-01-01")]
     return spark.createDataFrame(rows, "slice string, slice_exists boolean")
 

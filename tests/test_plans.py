@@ -67,3 +67,26 @@ def test_page_positions_cycle(spark):
 
     with pytest.raises(RuntimeError, match="cycle"):
         page_positions(spark.createDataFrame([("a", "b"), ("b", "a")], "url string, next_url string"))
+
+
+def test_landing_prunes_folders_and_counts_lines_only_when_asked(spark, tmp):
+    from sluice.sources.landing import variant_landing
+
+    spark.createDataFrame([("a", '{"k":1}'), ("b", '{"k":2}')], "kind string, value string").write.partitionBy("kind").text(tmp + "/in")
+    some = variant_landing(spark, tmp + "/in", keep=["kind"], where=F.col("kind") == "a", line_numbers=False)
+    plan = _plan(some)
+    assert "PartitionFilters: [isnotnull(kind#" in plan and plan.count("FileScan") == 1 and "Join" not in plan
+    assert [r["origin_str"] for r in some.collect()] == ['{"k":1}']
+    numbered = variant_landing(spark, tmp + "/in", keep=["kind"], where=F.col("kind") == "b")
+    assert "PartitionFilters: [isnotnull(kind#" in _plan(numbered)
+    assert [(r["kind"], r["origin_file_line"]) for r in numbered.collect()] == [("b", 1)]
+
+
+def test_equal_leading_keys_are_split_between_tasks(spark):
+    from sluice.operators.batching import global_rank
+
+    rows = spark.range(20_000).select(F.lit(1).alias("k"), F.col("id").alias("j"))
+    ranked = global_rank(rows, ["k", "j"], "rank", partitions=8)
+    per_file = [spark.read.parquet(f).count() for f in set(ranked.inputFiles())]
+    assert sum(per_file) == 20_000 and max(per_file) <= 2 * 20_000 / 8
+    assert ranked.where(F.col("rank") != F.col("j") + 1).isEmpty() and ranked.count() == 20_000

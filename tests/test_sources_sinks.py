@@ -44,6 +44,38 @@ def test_strip_outer_array(spark, tmp):
                    ("b.json", 1, '{"k":4}'), ("b.json", 2, '{"k":5}')]
 
 
+def test_arrays_in_any_layout(spark, tmp):
+    for name, text in (("one", '[{"k":1},{"k":"a,]"}]'), ("pretty", '[\n {"k": 1},\n {\n"k": "a,]"\n}\n]\n'), ("lines", '[\n{"k":1},\n{"k":"a,]"}\n]'),
+                       ("rows", '[{"k":1}]\n\n[{"k":"a,]"}]\n')):
+        _write(f"{tmp}/{name}", "f.json", text)
+        rows = variant_landing(spark, f"{tmp}/{name}", strip_outer_array=True).orderBy("origin_file_line").collect()
+        assert [(r["origin_file_line"], r["origin_str"]) for r in rows] == [(1, '{"k":1}'), (2, '{"k":"a,]"}')], name
+    _write(tmp + "/bad", "f.json", '[{"k":1},\n{"k":\n')
+    bad = variant_landing(spark, tmp + "/bad", strip_outer_array=True).collect()
+    assert all(r["properties"] is None for r in bad) and len(bad) == 2
+
+
+def test_landed_load_history(spark, tmp):
+    from sluice.sinks.load import landed_load, read_ledger
+
+    src, target, ledger = tmp + "/in", tmp + "/t", tmp + "/ledger"
+    run = lambda **k: landed_load(spark, src, target, ledger, "tab", date_property="d", partition_col="slice_date", **k).first()
+    _write(src, "a.json", '{"d":"2024-01-01","v":1}\n')
+    day = lambda d: F.col("slice_date") == d
+    assert tuple(run(pred=day("2024-01-01"))) == ("appended", 1)
+    assert run(pred=day("2024-01-01"))["action"] == "skipped"
+    assert run(pred=day("2024-01-02"))["action"] == "nothing_new"
+    _write(src, "b.json", '{"d":"2024-01-02","v":2}\n')
+    assert tuple(run(pred=day("2024-01-02"))) == ("appended", 1)
+    assert read_ledger(spark, ledger, "tab").count() == 2 and read_ledger(spark, ledger, "other").count() == 0
+    ids = [r["id"] for r in spark.read.parquet(target).collect()]
+    assert len(set(ids)) == 2
+    assert tuple(run(pred=day("2024-01-01"), overwrite=True, pattern=".*/a\\.json")) == ("replaced", 1)  # files of the history are read again
+    assert spark.read.parquet(target).count() == 2 and read_ledger(spark, ledger, "tab").count() == 2
+    assert tuple(run(truncate=True)) == ("truncated", 2)
+    assert read_ledger(spark, ledger, "tab").count() == 2
+
+
 def test_load_once(spark, tmp):
     _write(tmp + "/in", "a.json", "{}\n")
     _write(tmp + "/in", "b.json", "{}\n")
