@@ -40,7 +40,7 @@ RULES = (
     Rule("mean_word_length", "word_chars", "n_words", 2.0, 12.0),
     Rule("symbol_ratio", "n_symbols", "n_words", None, 0.10),
     Rule("stop_word_ratio", "n_stop_words", "n_words", 0.06, None),
-    Rule("duplicate_line_ratio", "n_dup_lines", "n_lines", None, 0.30),
+    Rule("duplicate_line_ratio", "n_dup_lines", "n_lines", None, 0.50),
 )
 LEAST_WORDS = 50
 #: Percent of words that may lie in repeated three-word windows.
