@@ -95,8 +95,8 @@ def _format_e_text(t: Column) -> Column:
 def variant_kind(v) -> Column:
     """Coarse JSON type of a variant: null, boolean, int, number, string, object, array.
 
-    Objects and arrays are recognised by a shallow cast (a full ``schema_of_variant``
-    would render the whole nested schema); scalars by their schema name.
+    The first character of the JSON text tells all but numbers, which their schema name does (a cast that
+    fails, even a tried one, costs far more).
     """
     v = _col(v)
 
@@ -110,9 +110,11 @@ def variant_kind(v) -> Column:
                 .when(s.startswith("DECIMAL") | s.isin("DOUBLE", "FLOAT"), F.lit("number"))
                 .when(s == "STRING", F.lit("string"))
                 .otherwise(F.lit("other")))
-    return (F.when(F.try_variant_get(v, "$", "map<string,variant>").isNotNull(), F.lit("object"))
-             .when(F.try_variant_get(v, "$", "array<variant>").isNotNull(), F.lit("array"))
-             .otherwise(let(F.schema_of_variant(v), scalar)))
+
+    def by_first(c):
+        return (F.when(c == "{", F.lit("object")).when(c == "[", F.lit("array")).when(c == '"', F.lit("string"))
+                .when(c.isin("t", "f"), F.lit("boolean")).when(c == "n", F.lit("null")).otherwise(let(F.schema_of_variant(v), scalar)))
+    return F.when(v.isNull(), F.lit("null")).otherwise(let(F.substring(F.to_json(v), 1, 1), by_first))
 
 
 def variant_text(v, kind: Column | None = None) -> Column:
