@@ -15,8 +15,8 @@ from .common import as_bytes, written
 
 #: Features are byte trigrams hashed to 16 bits: the model has 65,536 values a language.
 N_FEATURES = 1 << 16
-#: Bound of the broadcast model: more learned languages than this raise an error (256 MB).
-MAX_LANGUAGES = 1024
+#: Bound of the broadcast model: more learned languages than this raise an error (64 MB).
+MAX_LANGUAGES = 256
 UNDETERMINED = "und"
 
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -81,14 +81,16 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", learn: Column |
     counts = written(rows.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
                      .mapInArrow(_count, "lang string, feature int, n bigint")
                      .groupBy("lang", "feature").agg(F.sum("n").alias("n")), "language-counts")
-    langs = sorted((r[0] for r in counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()),
-                   key=lambda x: x.encode())
-    if len(langs) > MAX_LANGUAGES:
+    if counts.select("lang").distinct().count() > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
+    table = counts.toArrow()  # at most MAX_LANGUAGES x N_FEATURES rows
+    named = table.column("lang").combine_chunks().dictionary_encode()
+    found = named.dictionary.to_pylist()
+    langs = sorted(found, key=lambda x: x.encode())
     n = np.zeros((N_FEATURES, len(langs)))
-    at = {x: i for i, x in enumerate(langs)}
-    for lang_, feature, k in counts.collect():
-        n[feature, at[lang_]] = k
+    column = np.array([langs.index(x) for x in found], np.int64)
+    if langs:
+        n[table.column("feature").to_numpy(), column[named.indices.to_numpy()]] = table.column("n").to_numpy()
     n += 0.5
     return LanguageModel(langs, np.log(n / n.sum(axis=0, keepdims=True)).astype(np.float32))
 
