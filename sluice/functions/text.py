@@ -78,8 +78,7 @@ def list_cap_error(c, sep: str = ";", cap: int = 25, label: str = "items", row_i
     """Error text for an over-long list, null when the list is within the cap."""
     n = F.size(delimited_list(c, sep))
     who = F.coalesce(_col(row_id).cast("string"), F.lit("?")) if row_id is not None else F.lit("?")
-    msg = F.concat(F.lit(f"At most {cap} {label} at a time can be set, but we have "),
-                   n.cast("string"), F.lit(" for row "), who)
+    msg = F.concat(F.lit("row "), who, F.lit(": "), n.cast("string"), F.lit(f" {label}, the cap is {cap}"))
     return F.when(n > cap, msg)
 
 

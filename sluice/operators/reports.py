@@ -169,7 +169,7 @@ def control_total_check(rows: DataFrame, check_col: str, file_col: str = "file_p
         F.when(expected.isNull(), F.concat(F.lit("Footer check value is not a number: "),
                                            F.coalesce(F.col("_check"), F.lit("None"))))
         .when(found != expected, F.format_string(
-            "Row counts do not match for %s! Rows found: %d, Rows expected: %d",
+            "%s holds %d body rows before its footer, which says %d",
             F.col(file_col), found, expected)).alias("error"))
     if strict:
         result = result.withColumn("error", F.when(F.col("error").isNotNull(), F.raise_error(F.col("error"))))

@@ -66,10 +66,8 @@ payload AS (
     json_object('country', country_iso_code, 'email', email, 'first_name', firstname, 'home_city', city,
       'last_name', lastname, 'phone', phone)::VARCHAR AS standard_json,
     concat_ws('; ',
-      CASE WHEN len(m_list) > 25 THEN 'At most 25 masters leads at a time can be set, but we have '
-           || CAST(len(m_list) AS VARCHAR) || ' for row ' || hs_object_id END,
-      CASE WHEN len(p_list) > 25 THEN 'At most 25 program interests at a time can be set, but we have '
-           || CAST(len(p_list) AS VARCHAR) || ' for row ' || hs_object_id END) AS error
+      CASE WHEN len(m_list) > 25 THEN 'row ' || hs_object_id || ': ' || CAST(len(m_list) AS VARCHAR) || ' masters leads, the cap is 25' END,
+      CASE WHEN len(p_list) > 25 THEN 'row ' || hs_object_id || ': ' || CAST(len(p_list) AS VARCHAR) || ' program interests, the cap is 25' END) AS error
   FROM lists)
 """
 
@@ -205,8 +203,7 @@ s AS (SELECT l_orderkey, CASE WHEN coalesce(items, '') = '' THEN []::VARCHAR[] E
 SELECT l_orderkey, CASE WHEN len(lst) > 5 THEN NULL ELSE CAST(len(lst) AS BIGINT) END AS n_items,
        CASE WHEN len(lst) > 5 THEN NULL ELSE lst[1] END AS first_item,
        CASE WHEN len(lst) > 5 THEN NULL ELSE lst[-1] END AS last_item,
-       CASE WHEN len(lst) > 5 THEN 'At most 5 line numbers at a time can be set, but we have '
-            || CAST(len(lst) AS VARCHAR) || ' for row ' || CAST(l_orderkey AS VARCHAR) END AS error
+       CASE WHEN len(lst) > 5 THEN 'row ' || CAST(l_orderkey AS VARCHAR) || ': ' || CAST(len(lst) AS VARCHAR) || ' line numbers, the cap is 5' END AS error
 FROM s""")
 def q_delimited_list_cap(spark, sf_dir):
     li = derive.table(spark, sf_dir, "lineitem")

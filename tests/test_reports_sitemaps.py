@@ -88,7 +88,7 @@ def test_control_totals_and_body(spark, tmp):
     rows = R.report_rows(lines, cols)
     res = {r["file_path"].rsplit("/", 1)[1]: r for r in R.control_total_check(rows, "Count", files=lines).collect()}
     assert (res["ok.csv"]["found"], res["ok.csv"]["expected"], res["ok.csv"]["ok"]) == (2, 2, True)
-    assert res["few.csv"]["ok"] is False and "Rows found: 1, Rows expected: 2" in res["few.csv"]["error"]
+    assert res["few.csv"]["ok"] is False and "holds 1 body rows before its footer, which says 2" in res["few.csv"]["error"]
     assert (res["nofooter.csv"]["expected"], res["nofooter.csv"]["ok"]) == (0, True)
     assert (res["late.csv"]["found"], res["late.csv"]["expected"]) == (1, 1)
     body = R.report_body(rows, F.lit("2020-12-09"), cols).where(F.col("file_path").endswith("ok.csv"))
@@ -121,7 +121,7 @@ def test_control_totals_strict(spark, tmp):
     _write(tmp, "bad.csv", head + ["SB,1,", "SF,,5"])
     lines = numbered_lines(spark, tmp)
     rows = R.report_rows(lines, ["CH", "id", "Count"])
-    with pytest.raises(Exception, match="Rows found: 1, Rows expected: 5"):
+    with pytest.raises(Exception, match="holds 1 body rows before its footer, which says 5"):
         R.control_total_check(rows, "Count", files=lines, strict=True).collect()
 
 
