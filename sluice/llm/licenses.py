@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from itertools import product
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,18 +52,125 @@ Unless required by applicable law or agreed to in writing, software distributed
 "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
 language governing permissions and limitations under the License."""
 
-#: Known texts: licence, kind of text, text. Public licence texts and one-line notices.
+#: Whole texts as published, one file a text; what follows "~" in a file's name tells editions of one licence apart.
+TEXTS = Path(__file__).with_name("license_texts")
+#: Addresses of the Free Software Foundation that editions of its older licences give.
+_ADDRESS = r"51 Franklin St(reet)?, Fifth Floor,\s+Boston,\s+MA\s+02110-1301,?\s+USA"
+_ADDRESSES = ("59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", "59 Temple Place - Suite 330, Boston, MA 02111-1307, USA",
+              "675 Mass Ave, Cambridge, MA 02139, USA", "51 Franklin St, Fifth Floor, Boston, MA 02110-1301 USA")
+#: Usual titles of texts that are published without one, or with one that is often left out.
+_TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"), "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "0BSD"),
+    "Zlib": ("zlib License", "The zlib License", "zlib/libpng license"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License", "FreeBSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License",
+                     "Modified BSD License", "BSD License"),
+    "Unlicense": ("The Unlicense", "Unlicense"), "BSL-1.0": ("Boost Software License 1.0",),
+}
+
+
+def _short(name: str, body: str) -> list[str]:
+    """A text under each of its usual titles and under none, and with the line that often ends its copyright notice."""
+    return [f"{title}\n{reserved}{body}" for title in ("", *_TITLES[name]) for reserved in ("", "All rights reserved.\n")]
+
+
+def _bsd(body: str) -> list[str]:
+    """Usual wordings of a BSD text: conditions with numbers or marks, and who disclaims."""
+    out = []
+    for mark, (many, one), name in product(
+            (r"\1. ", "* "),
+            (("COPYRIGHT HOLDERS AND", "COPYRIGHT HOLDER OR"), ("COPYRIGHT HOLDERS AND", "COPYRIGHT HOLDERS OR"), ("AUTHOR AND", "AUTHOR OR"),
+             ("REGENTS AND", "REGENTS OR")),
+            ("the copyright holder", "the University", "the author")):
+        text = re.sub(r"(?m)^([123])\. ", mark, body)
+        text = re.sub(r"COPYRIGHT\s+HOLDERS\s+AND", many, re.sub(r"COPYRIGHT\s+HOLDER\s+OR", one, text))
+        out.append(re.sub(r"name\s+of\s+the\s+copyright\s+holder", f"name of {name}", text))
+    return list(dict.fromkeys(out))
+
+
+def _editions(name: str, text: str) -> list[str]:
+    """Usual forms of one published text."""
+    if name.startswith("BSD-"):
+        body = text[text.index("Redistribution and use"):]
+        return [x for b in _bsd(body) for x in _short(name, b)]
+    if name in _TITLES:
+        return _short(name, text)
+    whole = [text] + ([re.sub(_ADDRESS, x, text) for x in _ADDRESSES] if re.search(_ADDRESS, text) else [])
+    out = list(whole)
+    for x in whole:
+        # the terms alone: without the advice on applying them, with or without the line that ends them
+        end = re.search(r"(?i)END OF TERMS AND CONDITIONS", x)
+        if end:
+            out += [x[:end.end()], x[:end.start()]]
+        # a copyright line that was filled in goes in the canonical form; the published one stays there
+        if name == "Apache-2.0":
+            out.append(re.sub(r"(?m)^[ \t]*Copyright \[yyyy\][^\n]*", "", x))
+        if name.startswith("CC-"):
+            out += [x[x.index("Creative Commons Attribution"):], re.sub(r"(?s)^.*?=+\s*Creative Commons Attribution", "Creative Commons Attribution", x)]
+    head = {"CC0-1.0": "Creative Commons Legal Code"}.get(name)
+    if head:
+        out += [x.replace(head, "", 1) for x in out]
+    return out
+
+
+def _whole_texts() -> list[tuple[str, str, str]]:
+    rows = [(name, "text", x) for name, body in (("MIT", _MIT), ("ISC", _ISC), ("0BSD", _ZERO_BSD), ("Zlib", _ZLIB)) for x in _short(name, body)]
+    for path in sorted(TEXTS.glob("*.txt")):
+        name = path.stem.split("~")[0]
+        rows += [(name, "text", x) for x in dict.fromkeys(_editions(name, path.read_text(encoding="utf-8")))]
+    return rows
+
+
+_GNU = {"GPL": ("General Public License", ("1.0", "2.0", "3.0")), "LGPL": ("Lesser General Public License", ("2.1", "3.0")),
+        "AGPL": ("Affero General Public License", ("3.0",)), "GFDL": ("Free Documentation License", ("1.1", "1.2", "1.3"))}
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives",
+       "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+_NAMED = {"MIT": ("MIT",), "ISC": ("ISC",), "0BSD": ("Zero-Clause BSD", "BSD Zero Clause"), "Zlib": ("zlib",), "Unlicense": ("Unlicense",),
+          "BSD-2-Clause": ("BSD 2-Clause", "2-Clause BSD", "Simplified BSD"), "BSD-3-Clause": ("BSD 3-Clause", "3-Clause BSD", "New BSD", "Modified BSD")}
+_VERSIONED = {"Apache": ("Apache", ("1.1", "2.0")), "MPL": ("Mozilla Public", ("1.0", "1.1", "2.0")), "EPL": ("Eclipse Public", ("1.0", "2.0")),
+              "BSL": ("Boost Software", ("1.0",)), "EUPL": ("European Union Public", ("1.1", "1.2")), "OFL": ("SIL Open Font", ("1.1",)),
+              "CDDL": ("Common Development and Distribution", ("1.0", "1.1")), "Artistic": ("Artistic", ("1.0", "2.0"))}
+#: Ways in which a line names its licence.
+_WAYS = [f"{what}{verb} under {the}{{}}" for what, verb, the in product(
+    ("", "This work is ", "This software is ", "This project is "),
+    ("licensed", "released"), ("the ", "the terms of the ", ""))] + ["Distributed under the {}", "This work is licensed under a {}", "License: {}", "SPDX-License-Identifier: {}"]
+
+
+def _names() -> dict[str, list[str]]:
+    """Each licence with the names that notices give it, over its versions."""
+    out = {k: [k, *[form for x in names for form in (x, f"{x} License")]] for k, names in _NAMED.items()}
+
+    def versions(v: str) -> list[str]:
+        return [v, v.removesuffix(".0")] if v.endswith(".0") else [v]
+
+    for short, (name, all_versions) in _VERSIONED.items():
+        for v in all_versions:
+            out[f"{short}-{v}"] = [f"{short}-{v}", f"{short} {v}", *[x for w in versions(v) for x in (
+                f"{name} License, Version {w}", f"{name} License {w}", f"{name} License v{w}", f"{name} {w} License")]]
+    for short, (name, all_versions) in _GNU.items():
+        for v in all_versions:
+            for end, later in (("", ""), ("-or-later", " or later"), ("-only", " only")):
+                names = [x + later for w in versions(v) for x in (
+                    f"GNU {name}, version {w}", f"GNU {name} v{w}", f"GNU {short} v{w}", f"GNU {short}v{w}", f"{short} version {w}", f"{short} v{w}",
+                    f"{short}v{w}", f"{short} {w}")]
+                out.setdefault(f"{short}-{v}{end}", [f"{short}-{v}{end}"]).extend(names)
+    for short, name in _CC.items():
+        for v in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+            kind = {"4.0": "International"}.get(v, "Unported")
+            out[f"CC-{short}-{v}"] = [f"CC {short} {v}", f"Creative Commons {name} {v}", f"Creative Commons {name} {v} License",
+                                      f"Creative Commons {name} {v} {kind}", f"Creative Commons {name} {v} {kind} License"]
+    out["CC0-1.0"] = ["CC0 1.0", "CC0", "CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal"]
+    return out
+
+
+def _line_notices() -> list[tuple[str, str, str]]:
+    return [(k, "notice", way.format(name)) for k, names in _names().items() for name in dict.fromkeys(names) for way in _WAYS]
+
+
+#: Known texts: licence, kind of text, text. Public licence texts, and one-line notices over names and versions.
 KNOWN = (
-    ("MIT", "text", _MIT), ("MIT", "text", "MIT License\n" + _MIT), ("MIT", "text", "The MIT License\n" + _MIT),
-    ("ISC", "text", _ISC), ("ISC", "text", "ISC License\n" + _ISC), ("0BSD", "text", _ZERO_BSD),
-    ("Zlib", "text", _ZLIB), ("Zlib", "text", "zlib License\n" + _ZLIB), ("Apache-2.0", "notice", _APACHE_NOTICE),
-    ("MIT", "notice", "Released under the MIT License."),
-    ("MIT", "notice", "Licensed under the MIT License."),
-    ("Apache-2.0", "notice", "Licensed under the Apache License, Version 2.0."),
-    ("GPL-3.0", "notice", "This work is licensed under the GNU General Public License, version 3."),
-    ("CC-BY-NC-4.0", "notice", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "notice", "Licensed under CC BY 4.0."),
-    ("LicenseRef-reserved", "notice", "All rights reserved."),
+    *_whole_texts(), ("Apache-2.0", "notice", _APACHE_NOTICE), ("LicenseRef-reserved", "notice", "All rights reserved."), *_line_notices(),
 )
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -80,8 +192,8 @@ def digest(text: Column) -> Column:
 
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str, str], ...] = KNOWN) -> DataFrame:
     """(digest, license, kind), one row a digest: as many rows as ``known`` at most."""
-    rows = F.explode(F.array(*[F.struct(F.lit(a).alias("license"), F.lit(b).alias("kind"), F.lit(t).alias("text")) for a, b, t in known]))
-    return (spark.range(1).select(rows.alias("k")).select(digest(F.col("k.text")).alias("digest"), "k.license", "k.kind")
+    rows = spark.createDataFrame(pa.table(dict(zip(("license", "kind", "text"), map(list, zip(*known, strict=True)), strict=True))))
+    return (rows.select(digest(F.col("text")).alias("digest"), "license", "kind")
             .groupBy("digest").agg(F.min(F.struct("license", "kind")).alias("k")).select("digest", "k.license", "k.kind"))
 
 
