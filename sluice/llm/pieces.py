@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +22,8 @@ BLANK = "▁"
 _OWN_BLANK = "\udc81"
 #: Share of candidate merges that are skipped.
 DROPOUT = 0.1
-#: A chunk's segmentations: an occurrence draws one of so many, by keyed hash.
-VARIANTS = 4
 SEED = 11
-#: Chunks up to this length are kept with their pieces, so many at most (in each of two generations).
+#: Chunks up to this length are kept with the merges that they take without dropout, so many at most.
 KEEP_LENGTH, KEPT = 32, 400_000
 #: Chunks above this length have a heap each; up to it, so many go side by side.
 LONG, SIDE_BY_SIDE = 32, 20_000
@@ -33,10 +31,18 @@ _RANGE = 1 << 30
 _NONE = 1 << 40
 
 
+def _candidate(place, piece):
+    """What a candidate adds to its occurrence's key."""
+    return place * 40503 + piece * 625_010_129
+
 
 def _hash(key, place, piece):
     """A number below 2^30 for a candidate, or an array of them; no step leaves 64 bits."""
-    x = (key + place * 40503 + piece * 625_010_129) & 0x3FFFFFFF
+    return _mixed(key + _candidate(place, piece))
+
+
+def _mixed(x):
+    x = x & 0x3FFFFFFF
     x = ((x ^ (x >> 15)) * 0x2C1B3C6D) & 0x3FFFFFFF
     x = ((x ^ (x >> 12)) * 0x297A2D39) & 0x3FFFFFFF
     return x ^ (x >> 15)
@@ -94,7 +100,13 @@ class PieceEncoder:
         the left. One that is taken is skipped for good if its keyed hash - of the chunk's key, its place and its piece -
         lies under the dropout; merges around it make new candidates. Short chunks go side by side, one step of each
         agenda at a time; long ones have an agenda on a heap each, to the same effect."""
+        return self.encode_with_merges(chunks, keys, dropout)[0]
+
+    def encode_with_merges(self, chunks: list[str], keys: list[int], dropout: float) -> tuple[list[list[int]], np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of each chunk; the candidates that were taken, for chunks that skipped none, with where each chunk's begin
+        and how many they are (-1: one was skipped, or the chunk is long)."""
         out: list[list[int]] = [[]] * len(chunks)
+        merges, starts, counts, n_merges = [np.empty(0, np.int64)], np.zeros(len(chunks), np.int64), np.full(len(chunks), -1, np.int64), 0
         bands: dict[int, list[int]] = {}
         for i, c in enumerate(chunks):
             if len(c) > LONG:
@@ -104,9 +116,14 @@ class PieceEncoder:
         for where in bands.values():
             for at in range(0, len(where), SIDE_BY_SIDE):
                 part = where[at:at + SIDE_BY_SIDE]
-                for i, ids in zip(part, self._side_by_side([chunks[i] for i in part], [keys[i] for i in part], dropout), strict=True):
-                    out[i] = ids
-        return out
+                ids, own, n = self._side_by_side([chunks[i] for i in part], [keys[i] for i in part], dropout)
+                for i, x in zip(part, ids, strict=True):
+                    out[i] = x
+                held = np.maximum(n, 0)
+                starts[part], counts[part] = n_merges + np.cumsum(held) - held, n
+                merges.append(own)
+                n_merges += len(own)
+        return out, np.concatenate(merges), starts, counts
 
     def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and piece of every pair of symbols (no candidate: the rank is _NONE)."""
@@ -115,7 +132,7 @@ class PieceEncoder:
         hit = (self.pairs[at] == key) & (left >= 0) & (right >= 0)
         return np.where(hit, self.pair_rank[at], _NONE), np.where(hit, self.pair_piece[at], -1)
 
-    def _side_by_side(self, chunks: list[str], keys: list[int], dropout: float) -> list[list[int]]:
+    def _side_by_side(self, chunks: list[str], keys: list[int], dropout: float) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
         limit, lengths = int(dropout * _RANGE), np.array(list(map(len, chunks)))
         code = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         width = int(lengths.max())
@@ -124,6 +141,7 @@ class PieceEncoder:
         symbols[np.arange(width) < lengths[:, None]] = np.where(known >= 0, known, -2 - code)
         key, result, row = np.array(keys, np.int64), symbols.copy(), np.arange(len(chunks))
         place = np.broadcast_to(np.arange(width), symbols.shape).copy()
+        whole, steps = np.ones(len(chunks), bool), []
         rank, piece = self._look_up(symbols[:, :-1], symbols[:, 1:]) if width > 1 else (np.full((len(chunks), 1), _NONE), symbols)
         while len(row):
             each = np.arange(len(row))
@@ -139,11 +157,13 @@ class PieceEncoder:
             if limit:
                 skipped = _hash(key, place[each, i], taken) < limit
                 rank[each[skipped], i[skipped]] = _NONE
+                whole[row[skipped]] = False
                 m = np.flatnonzero(~skipped)
             else:
                 m = each
             if not len(m):
                 continue
+            steps.append((row[m], _candidate(place[m, i[m]], taken[m])))
             i, n = i[m], np.arange(len(m))
             # the symbol right of the merged one leaves its row, and so does the candidate that began with it
             source = np.arange(width)[None, :] + (np.arange(width)[None, :] > i[:, None])
@@ -161,9 +181,15 @@ class PieceEncoder:
                 r, p = self._look_up(after[n[ok], j[ok]], after[n[ok], j[ok] + 1])
                 moved_rank[n[ok], j[ok]], moved_piece[n[ok], j[ok]] = r, p
             rank[m], piece[m] = moved_rank, moved_piece
-        rows = result.tolist()
-        plain = (result < self.n_pieces).all(axis=1) & (result >= -1).all(axis=1)
-        return [[x for x in r if x >= 0] if ok else self._with_bytes(r) for r, ok in zip(rows, plain.tolist(), strict=True)]
+        there = result >= 0
+        values, to = result[there].tolist(), np.cumsum(there.sum(axis=1)).tolist()
+        ids = [values[a:b] for a, b in zip([0, *to], to)]
+        for r in np.flatnonzero(((result >= self.n_pieces) | (result < -1)).any(axis=1)).tolist():
+            ids[r] = self._with_bytes(result[r].tolist())
+        who, what = (np.concatenate(x) for x in zip(*steps, strict=True)) if steps else (np.empty(0, np.int64),) * 2
+        n = np.bincount(who, minlength=len(chunks))
+        taken = whole[who]
+        return ids, what[taken][np.argsort(who[taken], kind="stable")], np.where(whole, n, -1)
 
     def _with_bytes(self, symbols: list[int]) -> list[int]:
         out = []
@@ -231,75 +257,128 @@ def _encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
-def _draws(seed: int, name: bytes, n: int, variants: int) -> list[int]:
-    """Which segmentation each of the n chunks of a document draws."""
+def _keys(seed: int, name: bytes, n: int) -> np.ndarray:
+    """Keys of the n chunks of a document: each occurrence has its own, of seed, document and place."""
     x = np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(xxhash.xxh64_intdigest(name, seed))
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return ((x >> np.uint64(33)) % np.uint64(variants)).tolist()
+    return (x >> np.uint64(34)).astype(np.int64)
 
 
 class Segmenter:
-    """Encodes texts; keeps the pieces of common chunks in two generations of bounded size."""
+    """Encodes texts, each occurrence of a chunk by its own draws. Of common chunks it keeps what needs no draw: the merges
+    that are taken if none is skipped, and their pieces. An occurrence that skips none of them has those pieces; any other
+    is encoded by itself. So what is kept changes no result."""
 
-    def __init__(self, encoder: PieceEncoder, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS):
+    def __init__(self, encoder: PieceEncoder, dropout: float = DROPOUT, seed: int = SEED):
         self.encoder, self.dropout, self.seed = encoder, dropout, seed
-        self.variants = variants if dropout else 1
-        self.young: list[dict[str, list[int]]] = [{} for _ in range(self.variants)]
-        self.old: list[dict[str, list[int]]] = [{} for _ in range(self.variants)]
-        self.size = 0
+        self._clear()
+
+    def _clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.pieces: list[list[int]] = []
+        self.starts, self.counts, self.merges = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64), np.zeros(1 << 12, np.int64)
+        self.used = np.zeros(1 << 10, bool)
+        self.n_merges = 0
 
     def encode(self, text: str, name: bytes) -> list[int]:
         return self.encode_many([text], [name])[0]
 
     def encode_many(self, texts: list[str], names: list[bytes]) -> list[list[int]]:
-        """The ids of each text; chunks that aren't kept are encoded together."""
+        """The ids of each text; occurrences that need it are encoded together."""
         split = [self.encoder.split(t) for t in texts]
-        draws = [_draws(self.seed, name, len(c), self.variants) for name, c in zip(names, split, strict=True)]
-        known: list[dict[str, list[int]]] = [{} for _ in range(self.variants)]
-        missing: dict[tuple[str, int], None] = {}
-        for chunks, drawn in zip(split, draws, strict=True):
-            for chunk, v in zip(chunks, drawn, strict=True):
-                if chunk not in known[v]:
-                    ids = self.young[v].get(chunk)
-                    if ids is None and (ids := self.old[v].get(chunk)) is not None:
-                        self._keep(chunk, v, ids)
-                    known[v][chunk] = ids
-                    if ids is None:
-                        missing[chunk, v] = None
-        keys = [xxhash.xxh32_intdigest(c.encode("utf-8", "surrogatepass"), (self.seed * 1009 + v) & 0xFFFFFFFF) for c, v in missing]
-        for (chunk, v), ids in zip(missing, self.encoder.encode_chunks([c for c, _ in missing], keys, self.dropout), strict=True):
-            known[v][chunk] = ids
-            self._keep(chunk, v, ids)
-        out = []
-        for chunks, drawn in zip(split, draws, strict=True):
-            ids = []
-            for chunk, v in zip(chunks, drawn, strict=True):
-                ids += known[v][chunk]
-            out.append(ids)
-        return out
-
-    def _keep(self, chunk: str, v: int, ids: list[int]) -> None:
-        if len(chunk) <= KEEP_LENGTH:
-            self.young[v][chunk] = ids
-            self.size += 1
-            if self.size > KEPT:
-                self.old, self.young, self.size = self.young, [{} for _ in range(self.variants)], 0
+        flat = [c for chunks in split for c in chunks]
+        keys = np.concatenate([np.empty(0, np.int64), *[_keys(self.seed, name, len(c)) for name, c in zip(names, split, strict=True)]])
+        out: list[list[int]] = [[]] * len(flat)
+        first: dict[str, int] = {}
+        later = []
+        now = self._from_kept(flat, keys, np.arange(len(flat)), out)
+        alone = []
+        for i in now:
+            chunk = flat[i]
+            if chunk not in self.place and len(chunk) <= KEEP_LENGTH and first.setdefault(chunk, i) != i:
+                later.append(i)
+            else:
+                alone.append(i)
+        # one occurrence of each new chunk goes first: unless it skips a merge, the others can use what it took
+        self._by_itself(flat, keys, alone, out)
+        self._by_itself(flat, keys, self._from_kept(flat, keys, np.array(later, np.int64), out), out)
+        if len(self.pieces) > KEPT:
+            self._forget()
+        ends = np.cumsum([len(c) for c in split]).tolist()
+        return [list(chain.from_iterable(out[a:b])) for a, b in zip([0, *ends], ends)]
+
+    def _from_kept(self, flat: list[str], keys: np.ndarray, which: np.ndarray, out: list[list[int]]) -> list[int]:
+        """Sets the ids of the occurrences that skip none of their chunk's kept merges; returns the others."""
+        get = self.place.get
+        at = np.fromiter((get(flat[i], -1) for i in which.tolist()), np.int64, len(which))
+        known = np.flatnonzero(at >= 0)
+        own = at[known]
+        self.used[own] = True
+        n = self.counts[own]
+        ends = np.cumsum(n)
+        holder = np.repeat(np.arange(len(known)), n)
+        merges = self.merges[np.repeat(self.starts[own] - (ends - n), n) + np.arange(len(holder))]
+        skips = _mixed(keys[which[known]][holder] + merges) < int(self.dropout * _RANGE)
+        holds = np.ones(len(known), bool)
+        holds[holder[skips]] = False
+        for i, k in zip(which[known[holds]].tolist(), own[holds].tolist(), strict=True):
+            out[i] = self.pieces[k]
+        left = np.ones(len(which), bool)
+        left[known[holds]] = False
+        return which[left].tolist()
+
+    def _by_itself(self, flat: list[str], keys: np.ndarray, which: list[int], out: list[list[int]]) -> None:
+        if not which:
+            return
+        ids, merges, starts, counts = self.encoder.encode_with_merges([flat[i] for i in which], keys[which].tolist(), self.dropout)
+        kept, place = [], self.place
+        for j, (i, own, n) in enumerate(zip(which, ids, counts.tolist(), strict=True)):
+            out[i] = own
+            if n >= 0 and flat[i] not in place and len(flat[i]) <= KEEP_LENGTH:
+                place[flat[i]] = len(self.pieces)
+                self.pieces.append(own)
+                kept.append(j)
+        self._keep_merges(merges, starts[kept], counts[kept])
+
+    def _keep_merges(self, merges: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> None:
+        """Takes over the merges of the chunks that were just placed."""
+        ends = np.cumsum(counts)
+        total = int(ends[-1]) if len(ends) else 0
+        k, end = len(self.pieces) - len(counts), self.n_merges + total
+        while len(self.pieces) > len(self.starts):
+            self.starts, self.counts, self.used = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.counts, self.used))
+        while end > len(self.merges):
+            self.merges = np.concatenate([self.merges, np.zeros_like(self.merges)])
+        self.merges[self.n_merges:end] = merges[np.repeat(starts - (ends - counts), counts) + np.arange(total)]
+        self.starts[k:k + len(counts)], self.counts[k:k + len(counts)] = self.n_merges + ends - counts, counts
+        self.n_merges = end
+
+    def _forget(self) -> None:
+        """Starts anew with the chunks that were met again, or with none if they are most."""
+        old = [(c, self.pieces[k], k) for c, k in self.place.items() if self.used[k]]
+        merges, starts, counts = self.merges, self.starts, self.counts
+        self._clear()
+        if len(old) <= KEPT // 2:
+            self.place = {c: k for k, (c, _, _) in enumerate(old)}
+            self.pieces = [ids for _, ids, _ in old]
+            at = np.array([k for _, _, k in old], np.int64)
+            self._keep_merges(merges, starts[at], counts[at])
 
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text", name: str = "doc_id", keep: tuple[str, ...] = ("doc_id",),
-                     dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+                     dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """``keep`` columns of every row with ``ids`` (array of int), ``n_pieces`` and ``lossless`` (the ids decode to the text).
 
-    The draw depends on seed, ``name`` (null: empty) and the place in the text, so reruns agree and another seed segments
-    anew; equal rows are segmented alike. A null text has null ids, 0 pieces and null ``lossless``; an empty text has no
+    Every occurrence of a chunk draws by itself, by seed, ``name`` (null: empty) and the place in the text, so reruns agree and
+    another seed segments anew; equal rows are segmented alike. A null text has null ids, 0 pieces and null ``lossless``; an empty text has no
     ids and is lossless. Any text decodes to itself: characters without a piece, and blank marks of the text's own, are
     encoded as bytes. Texts are encoded whole; a long run without blanks is one chunk. An empty table gives an empty result."""
     kept = docs.select(F.col(text).alias("__text"), F.coalesce(F.col(name).cast("string"), F.lit("")).alias("__name"), *[F.col(c) for c in keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
-        segmenter = Segmenter(encoder, dropout, seed, variants)
+        segmenter = Segmenter(encoder, dropout, seed)
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
