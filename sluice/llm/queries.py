@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, lmscore, mixing, pieces, quality, sharding, simhash, tokencount, topk
+from . import codes, langid, licenses, lmscore, mixing, negatives, pieces, pii, quality, sharding, simhash, tokencount, topk
 from .common import only, written
 
 SHARDS = 40
@@ -100,6 +100,26 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(docs, _tokenizer("byte_bpe_50k.json")).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector."""
+    return codes.compress(only(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), ["vec_id", "embedding", "label"]))
+
+
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of what stands plainly, and all places."""
+    found = pii.detect(_documents(spark, sf_dir, "doc_id", "text"))
+    plain = F.filter("spans", lambda s: s["plain"])
+    counts = [F.size(F.filter(plain, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.said(plain), 256).alias("base_sha256"), pii.said(F.col("spans")).alias("spans"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor; some labels are shifted, as wrong labels of a real set would be."""
+    vectors = only(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), ["vec_id", "embedding", "label"])
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline from documents to pieces."""
     import corpus_pipeline
@@ -109,7 +129,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_language_id, op2_simhash, op3_topk, op4_quality_rules, op5_piece_dropout, op6_shards, op7_mix, op8_lm_score,
-    op9_license_scan, op10_token_counts, pipeline)}
+    op9_license_scan, op10_token_counts, op11_vector_codes, op12_pii, op13_hard_negatives, pipeline)}
 
 _SQL_TOPK = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
@@ -169,4 +189,46 @@ UNION ALL
 SELECT doc_id, CAST(line AS INTEGER), CAST(NULL AS VARCHAR), k[1], k[2] FROM hit JOIN known ON hit.digest = known.digest"""
 
 
-ORACLE: dict[str, str] = {"op3_topk": _SQL_TOPK.strip(), "op4_quality_rules": _sql_quality().strip(), "op9_license_scan": _sql_licenses().strip()}
+_USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _sql_codes() -> str:
+    steps = [f"""
+v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor({codes.FACTOR} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+     FROM embeddings WHERE {_USABLE} AND len(embedding) > 0 AND len(embedding) % {codes.PARTS} = 0),
+x AS MATERIALIZED (SELECT r, vec_id, p, v[p * (len(v) // {codes.PARTS}) + 1 : (p + 1) * (len(v) // {codes.PARTS})] AS x FROM v, range({codes.PARTS}) t(p)),
+b0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM x
+      WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT {codes.ENTRIES}))"""]
+    for i in range(codes.ROUNDS + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (SELECT r, p, min({{'d': CAST(list_sum(list_transform(list_zip(x, c), lambda q: (q[1] - q[2]) * (q[1] - q[2]))) AS BIGINT), 'e': e}}) AS m
+      FROM x JOIN b{i} USING (p) GROUP BY r, p)""")
+        if i < codes.ROUNDS:
+            steps.append(f"""
+s{i} AS (SELECT p, m.e AS e, j, CAST(sum(x[j]) AS BIGINT) AS s, count(*) AS n FROM a{i} JOIN x USING (r, p), (SELECT unnest(range(1, len(x) + 1)) AS j, r, p FROM x) k
+      WHERE k.r = x.r AND k.p = x.p GROUP BY p, m.e, j),
+b{i + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(t.c, b.c) AS c FROM b{i} b LEFT JOIN (
+      SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY j) AS c FROM s{i} GROUP BY p, e) t ON t.p = b.p AND t.e = b.e)""")
+    last = codes.ROUNDS
+    return "WITH" + ",".join(steps) + f""",
+book AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS sha FROM b{last}),
+code AS (SELECT r, string_agg(lpad(lower(hex(m.e)), 2, '0'), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error FROM a{last} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, sha AS codebooks_sha256 FROM v JOIN code USING (r), book"""
+
+
+_SQL_NEGATIVES = f"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_USABLE}),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same,
+             CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+             vec_id AS negative_id, positive_score, score AS negative_score
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT * FROM n WHERE rank <= 10"""
+
+
+ORACLE: dict[str, str] = {"op11_vector_codes": _sql_codes(), "op13_hard_negatives": _SQL_NEGATIVES.strip(), "op3_topk": _SQL_TOPK.strip(), "op4_quality_rules": _sql_quality().strip(), "op9_license_scan": _sql_licenses().strip()}
