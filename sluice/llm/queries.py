@@ -109,8 +109,8 @@ def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: counts and digest of what stands plainly, and all places."""
     found = pii.detect(_documents(spark, sf_dir, "doc_id", "text"))
     plain = F.filter("spans", lambda s: s["plain"])
-    counts = [F.size(F.filter(plain, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
-    return found.select("doc_id", *counts, F.sha2(pii.said(plain), 256).alias("base_sha256"), pii.said(F.col("spans")).alias("spans"))
+    count = lambda kind: F.size(F.filter(plain, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2(pii.said(plain), 256).alias("base_sha256"), pii.said(F.col("spans")).alias("spans"))
 
 
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
