@@ -5,10 +5,11 @@ from __future__ import annotations
 import csv
 import io
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import cents_error, cents_to_decimal, transaction_type
+from ..sources.records import classified, csv_fields, records
 from .sizing import materialised
 
 # Report row types and layout
@@ -60,25 +61,28 @@ def report_file_pick(files: DataFrame, prefix: str, dates: DataFrame, name_col:
 
 # --- CSV report bodies and control totals ----------------------------------------------------
 
-_CSV = {"sep": ",", "quote": '"', "escape": '"'}
-
-
 def header_columns(header_line: str) -> list[str]:
     """Column names of one header line (one bounded line parsed on the driver)."""
     return next(csv.reader(io.StringIO(header_line)))
 
 
-def report_layout(lines: DataFrame, preamble: int = PREAMBLE_LINES) -> DataFrame:
-    """``(file_path, header, broken)``, one row per file in one pass: its own header line (the one after the preamble), and
-    whether a line of it has an odd number of quotes, so that a quoted field goes on in the next line."""
-    body = F.col("line") > preamble + 1
-    return materialised(lines.groupBy("file_path").agg(
-        F.max(F.when(F.col("line") == preamble + 1, F.col("value"))).alias("header"),
-        F.coalesce(F.max(body & (_quotes() % 2 == 1)), F.lit(False)).alias("broken")), "report-layout")
+def report_records(lines: DataFrame, preamble: int = PREAMBLE_LINES, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Numbered report lines -> ``(file_path, line, value, malformed)`` and ``keep`` columns (equal on all lines of a file): the
+    records behind the preamble as Python's csv reader cuts them, so a quote counts only where a field begins. The header is
+    the first of them. ``line`` is a record's first line; ``malformed`` marks one whose quote never closes."""
+    body = lines.where(F.col("line") > preamble).select("file_path", "line", "value", *keep)
+    return records(classified(body), keep)
+
+
+def _as_records(frame: DataFrame, preamble: int) -> DataFrame:
+    return frame if "malformed" in frame.columns else report_records(frame, preamble)
 
 
-def _quotes() -> Column:
-    return F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+def report_layout(lines: DataFrame, preamble: int = PREAMBLE_LINES, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(file_path, header)`` and ``keep`` columns, one row per file of :func:`report_records` (or numbered lines): its own
+    header, the record behind the preamble."""
+    return materialised(_as_records(lines, preamble).groupBy("file_path", *keep).agg(
+        F.max(F.when(F.col("line") == preamble + 1, F.col("value"))).alias("header")), "report-layout")
 
 
 def report_columns(layout: DataFrame) -> list[str]:
@@ -90,46 +94,24 @@ def report_columns(layout: DataFrame) -> list[str]:
     return list(names)
 
 
-def _records(body: DataFrame) -> DataFrame:
-    """``(file_path, line, value, at.., broken)`` lines as CSV records: a record ends on a line that leaves an even number
-    of quotes behind. Only files with such a line are ordered, each in one window; elsewhere every line is a record."""
-    cols = [c for c in body.columns if c not in ("line", "value", "broken")]
-    whole = body.where("not broken").select(*cols, "line", "value", F.lit(False).alias("malformed"))
-    split = body.where("broken").withColumn("_odd", _quotes() % 2)
-    by_line = Window.partitionBy("file_path").orderBy("line")
-    before = F.coalesce(F.sum("_odd").over(by_line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    joined = (split.withColumn("_starts", (before % 2 == 0).cast("int"))
-              .withColumn("_record", F.sum("_starts").over(by_line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-              .groupBy(*cols, "_record").agg(F.sort_array(F.collect_list(F.struct("line", "value"))).alias("_lines"),
-                                             (F.sum("_odd") % 2 == 1).alias("malformed")))
-    return whole.unionByName(joined.select(*cols, F.col("_lines")[0]["line"].alias("line"), F.array_join(
-        F.transform("_lines", lambda x: x["value"]), "\n").alias("value"), "malformed"))
-
-
-def report_rows(lines: DataFrame, columns: list[str], layout: DataFrame | None = None, preamble: int = PREAMBLE_LINES) -> DataFrame:
-    """Numbered report lines -> ``(file_path, line, <columns as strings>, malformed)``.
+def report_rows(lines: DataFrame, columns: list[str], layout: DataFrame | None = None, preamble: int = PREAMBLE_LINES,
+                keep: tuple[str, ...] = ()) -> DataFrame:
+    """:func:`report_records` (or numbered lines) -> ``(file_path, line, <columns as strings>, <keep>, malformed)``.
 
     Each file is read by its own header (``layout``): a column is found by name, wherever the file has it, and is null in
-    a file that doesn't have it (of a name that stands twice, the last counts). Lines up to the header are dropped. Quoted
-    line breaks belong to their field; ``line`` is the record's first line. ``malformed`` marks a record whose quotes
-    never close.
+    a file that doesn't have it (of a name that stands twice, the last counts). The header and what stands before it are
+    dropped. Quoted line breaks belong to their field; ``line`` is the record's first line. ``malformed`` marks a record whose
+    quotes never close.
     """
+    lines = _as_records(lines, preamble)
     layout = report_layout(lines, preamble) if layout is None else layout
-    n = layout.select(F.max(F.length("header") - F.length(F.replace("header", F.lit(","), F.lit(""))) + 1)).first()[0] or 1
-    positions = ", ".join(f"_{i} string" for i in range(n))
-
-    def fields(df, c):
-        """``df`` with the fields of text column ``c`` in ``_r``, parsed once."""
-        return df.withColumn("_csv", F.from_csv(F.col(c), positions, _CSV)).withColumn("_r", F.array(*[F.col(f"_csv._{i}") for i in range(n)]))
-
     # one row per file: each file's places of the wanted columns, from 0, null if it lacks one
-    places = fields(layout, "header").select(F.col("file_path").alias("_file"), "broken", F.transform(
-        F.array(*[F.lit(c) for c in columns]), lambda c: F.array_max(F.transform("_r", lambda x, i: F.when(x == c, i)))).alias("_at"))
-    body = lines.where(F.col("line") > preamble + 1).select("file_path", "line", "value")
-    joined = body.join(places, F.col("file_path") == F.col("_file")).select("file_path", "line", "value", "broken", "_at")
-    parsed = fields(_records(joined), "value")
+    places = layout.withColumn("_names", csv_fields(F.col("header"))).select(F.col("file_path").alias("_file"), F.transform(
+        F.array(*[F.lit(c) for c in columns]), lambda c: F.array_max(F.transform("_names", lambda x, i: F.when(x == c, i)))).alias("_at"))
+    body = lines.where(F.col("line") > preamble + 1).join(places, F.col("file_path") == F.col("_file"))
+    parsed = body.withColumn("_r", csv_fields(F.col("value"), F.col("malformed")))
     return parsed.select("file_path", "line", *[
-        F.get("_r", F.get("_at", F.lit(k))).alias(c) for k, c in enumerate(columns)], "malformed")
+        F.get("_r", F.get("_at", F.lit(k))).alias(c) for k, c in enumerate(columns)], *keep, "malformed")
 
 
 def report_body(rows: DataFrame, report_date, columns: list[str]) -> DataFrame:

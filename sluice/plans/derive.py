@@ -194,7 +194,7 @@ def _csv(month: Column, first: Column, *rest: Column) -> Column:
 def report_files(spark: SparkSession, sf_dir: str) -> str:
     """CSV reports per ship month and range of order keys under ``report_date=<yyyy-MM-01>/part=<p>/``: 3 free lines,
     header, SB rows, SF footer (wrong in January, missing in July, line-1 rows after it in November). Reports of even
-    months have their columns the other way round; some notes of March hold a line break."""
+    months have their columns the other way round; some notes of March hold a line break, some of May stray quotes."""
     def build(path):
         li = table(spark, sf_dir, "lineitem")
         li = li.withColumn("part", F.floor(F.col("l_orderkey") / REPORT_KEYS).cast("long"))
@@ -206,8 +206,10 @@ def report_files(spark: SparkSession, sf_dir: str) -> str:
             *[F.col(c) for c in LINEITEM_ORDER],
             _csv(mon, F.lit("SB"), s("l_orderkey"), s("l_linenumber"), s(F.col("l_quantity").cast("long")),
                  s(F.round(F.col("l_extendedprice") * 100).cast("long")), F.col("l_returnflag"),
-                 F.concat(F.lit('"'), F.col("l_returnflag"), F.when((mon == 3) & (F.col("l_linenumber") == 2), F.lit(",\n")).otherwise(
-                     F.lit(", ")), F.col("l_linestatus"), F.lit('"')), F.lit("")).alias("value"))
+                 F.when((mon == 5) & (F.col("l_linenumber") == 1), F.lit('5" pipe')).when(
+                     (mon == 5) & (F.col("l_linenumber") == 2), F.concat(F.lit('"'), F.col("l_returnflag"), F.lit('""" and "more"'))).otherwise(
+                     F.concat(F.lit('"'), F.col("l_returnflag"), F.when((mon == 3) & (F.col("l_linenumber") == 2), F.lit(",\n")).otherwise(
+                         F.lit(", ")), F.col("l_linestatus"), F.lit('"'))), F.lit("")).alias("value"))
         per_month = li.groupBy(d.alias("report_date"), "part").agg(F.count(F.lit(1)).alias("n"))
         pmon = F.month(F.to_date("report_date"))
         footer = per_month.where(pmon != 7).select(

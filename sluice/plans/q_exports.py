@@ -88,9 +88,24 @@ def _quoted_export(spark, sf_dir):
     return path
 
 
-@query("delimited_load", PART_SQL + "SELECT * FROM px")
+def delimited_files(spark, sf_dir):
+    """Quoted files of all parts, and files of other make: bare fields that hold quotes, quotes within quotes, line breaks."""
+    def build(path):
+        X.delimited_export(part_x(spark, sf_dir), path + "/own", enclosed_by='"')
+        k = F.col("p_partkey")
+        fields = [derive.s("p_partkey"), F.when(k % 3 == 0, F.lit('5" pipe')).when(k % 3 == 1, F.lit('"the "big" one"')).otherwise(F.lit('"two\n""lines"""')),
+                  F.lit('"a,b"'), derive.s("p_size"), F.lit(""), F.when(k % 2 == 0, F.lit('6" pipe')).otherwise(F.lit("\\N"))]
+        derive.table(spark, sf_dir, "part").select(F.concat_ws(",", *fields).alias("value")).write.text(path + "/other")
+    return derive.once(spark, sf_dir, "delimited_files", build)
+
+
+@query("delimited_load", PART_SQL + """
+SELECT * FROM px UNION ALL
+SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN '5" pipe' WHEN 1 THEN 'the "big" one' ELSE 'two' || chr(10) || '"lines"' END, 'a,b', p_size, NULL,
+       CASE WHEN p_partkey % 2 = 0 THEN '6" pipe' END FROM part""")
 def q_delimited_load(spark, sf_dir):
-    return delimited_load(spark, _quoted_export(spark, sf_dir), PART_DDL, quote='"', escape='"', multiline=True)
+    root = delimited_files(spark, sf_dir)
+    return delimited_load(spark, [root + "/own", root + "/other"], PART_DDL, quote='"', escape='"', multiline=True)
 
 
 @query("delimited_round_trip", PART_SQL + """

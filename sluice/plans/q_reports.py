@@ -39,27 +39,29 @@ def q_report_file_pick(spark, sf_dir):
     return picked.select(F.date_format("report_date", "yyyy-MM-dd").alias("report_date"), "name")
 
 
+_FILE = ("report_date", "part")
+
+
 def _report_rows(spark, sf_dir):
-    """Numbered lines of every derived report, each parsed by its own header."""
+    """The records of every derived report, each parsed by its own header, and one row per file."""
     root = derive.report_files(spark, sf_dir)
-    lines = numbered_lines(spark, root, keep=["report_date", "part"])
-    layout = R.report_layout(lines)
+    found = R.report_records(numbered_lines(spark, root, keep=list(_FILE)), keep=_FILE)
+    layout = R.report_layout(found, keep=_FILE)
     cols = R.report_columns(layout)
-    rows = R.report_rows(lines, cols, layout)
-    dates = materialised(lines.select("file_path", F.col("report_date").cast("string").alias("rd"),
-                                            F.col("part").cast("long").alias("part")).distinct())
-    return rows, dates, cols
+    return R.report_rows(found, cols, layout, keep=_FILE), layout, cols
 
 
 @query("report_body", """
 SELECT strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS report_date, CAST(l_orderkey AS VARCHAR) AS order_key,
        CAST(l_linenumber AS VARCHAR) AS line_no, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS qty,
        CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) AS amount_cents, l_returnflag AS flag,
-       l_returnflag || CASE WHEN month(l_shipdate) = 3 AND l_linenumber = 2 THEN ',' || chr(10) ELSE ', ' END || l_linestatus AS note
+       CASE WHEN month(l_shipdate) = 5 AND l_linenumber = 1 THEN '5" pipe'
+            WHEN month(l_shipdate) = 5 AND l_linenumber = 2 THEN l_returnflag || '" and "more"'
+            ELSE l_returnflag || CASE WHEN month(l_shipdate) = 3 AND l_linenumber = 2 THEN ',' || chr(10) ELSE ', ' END || l_linestatus END AS note
 FROM lineitem""")
 def q_report_body(spark, sf_dir):
-    rows, dates, cols = _report_rows(spark, sf_dir)
-    body = R.report_body(rows.join(dates, "file_path"), F.col("rd"), cols)
+    rows, _, cols = _report_rows(spark, sf_dir)
+    body = R.report_body(rows.drop("part").withColumnRenamed("report_date", "rd"), F.col("rd").cast("string"), cols)
     return body.select("report_date", "order_key", "line_no", "qty", "amount_cents", "flag", "note")
 
 
@@ -75,10 +77,10 @@ SELECT strftime(mo, '%Y-%m-%d') AS report_date, part, found, CAST(expected AS BI
        found = expected AS ok
 FROM e""")
 def q_control_total_check(spark, sf_dir):
-    rows, dates, _ = _report_rows(spark, sf_dir)
-    checked = R.control_total_check(rows, "row_count", files=dates)
-    return checked.join(dates, "file_path").select(F.col("rd").alias("report_date"), "part", "found",
-                                                                "expected", "ok")
+    rows, layout, _ = _report_rows(spark, sf_dir)
+    checked = R.control_total_check(rows, "row_count", files=layout)
+    return checked.join(layout, "file_path").select(F.col("report_date").cast("string").alias("report_date"), F.col("part").cast("long").alias("part"),
+                                                    "found", "expected", "ok")
 
 
 SETTLEMENT_SQL = """

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .files import numbered_lines, object_inventory, read_text
+from .records import Dialect, classified, records
 
 # What a letter after the escape character stands for; any other character stands for itself
 ESCAPES = (("n", "\n"), ("t", "\t"), ("r", "\r"), ("0", "\x00"), ("b", "\b"), ("Z", "\x1a"))
@@ -32,18 +33,13 @@ def _unescaped(text: Column, escape: str) -> Column:
     return F.when(F.contains(text, F.lit(escape)), F.array_join(F.transform(F.split(text, e + e), part), escape)).otherwise(text)
 
 
+def _dialect(sep: str, quote: str | None, escape: str | None) -> Dialect:
+    return Dialect(sep, quote, escape if escape != quote else None, lenient_end=False)
+
+
 def split_fields(line: Column, sep: str, quote: str | None, escape: str | None) -> Column:
     """The raw fields of a record, with their quotes and escapes."""
-    s, q = re.escape(sep), re.escape(quote or "")
-    e = re.escape(escape) if escape and escape != quote else None
-    skipped = f"|{e}." if e else ""
-    bare = f"(?:[^{s}{e or ''}]++{skipped})*+" if e else f"[^{s}]*+"
-    if quote:
-        enclosed = f"{q}(?:[^{q}{e or ''}]++{skipped}|{q}{q})*+{q}"
-        field = f"{enclosed}(?={s})|{bare}"
-    else:
-        field = bare
-    return F.regexp_extract_all(F.concat(line, F.lit(sep)), F.lit(f"(?s)({field}){s}"), F.lit(1))
+    return _dialect(sep, quote, escape).raw_fields(line)
 
 
 def _value(raw: Column, quote: str | None, escape: str | None, null_value: str) -> Column:
@@ -57,33 +53,6 @@ def _value(raw: Column, quote: str | None, escape: str | None, null_value: str)
     return F.when(enclosed, _unescaped(inner, own) if own else inner).otherwise(plain)
 
 
-def _open(line: Column, quote: str | None, escape: str | None) -> Column:
-    """1 if the line leaves a quoted field open, or, outside quotes, ends in an escape; toggles like a parity bit."""
-    own = escape if escape and escape != quote else None
-    bare = F.regexp_replace(line, f"(?s){re.escape(own)}.", "") if own else line
-    if quote:
-        return (F.length(bare) - F.length(F.replace(bare, F.lit(quote), F.lit("")))) % 2
-    return bare.endswith(own).cast("int") if own else F.lit(0)
-
-
-def _records(lines: DataFrame, quote: str | None, escape: str | None) -> DataFrame:
-    """``lines(file_path, _at, value)``, with ``_at`` in file order, as records: a line goes on in the next while a quoted
-    field is open (with quotes), or if it ends in an escape (without). Only files that have such a line are ordered, each
-    in one window; elsewhere every line is a record."""
-    marked = lines.withColumn("_open", _open(F.col("value"), quote, escape))
-    # one row a file
-    broken = marked.where("_open = 1").select(F.col("file_path").alias("_broken")).distinct()
-    joined = marked.join(broken, F.col("file_path") == F.col("_broken"), "left")
-    whole = joined.where("_broken is null").select("value")
-    by_line = Window.partitionBy("file_path").orderBy("_at")
-    earlier = by_line.rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.coalesce(F.sum("_open").over(earlier), F.lit(0)) % 2 if quote else F.coalesce(F.lag("_open").over(by_line), F.lit(0))
-    grouped = (joined.where("_broken is not null").withColumn("_starts", (inside == 0).cast("int"))
-               .withColumn("_record", F.sum("_starts").over(by_line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-               .groupBy("file_path", "_record").agg(F.sort_array(F.collect_list(F.struct("_at", "value"))).alias("_lines")))
-    return whole.unionByName(grouped.select(F.array_join(F.transform("_lines", lambda x: x["value"]), "\n").alias("value")))
-
-
 def delimited_load(spark: SparkSession, path: str | list[str], schema_ddl: str, sep: str = ",",
                    quote: str | None = "", escape: str | None = "\\", ignore_lines: int = 0, null_value: str = NULL_TEXT,
                    multiline: bool = False, on_error: str = "raise") -> DataFrame:
@@ -91,27 +60,30 @@ def delimited_load(spark: SparkSession, path: str | list[str], schema_ddl: str,
 
     ``escape`` (not if it is None or ``"NONE"``, or the quote itself) makes the next character text, also a separator or
     a line break, but for the letters of :data:`ESCAPES`; ``\\N`` alone is NULL, an empty field an empty string (NULL if
-    the column is no text). Fields may be enclosed by ``quote``; a doubled quote inside is one. Files are read in
-    splits. Line breaks inside fields need ``multiline``: then lines that belong together are joined first.
+    the column is no text). Fields may be enclosed by ``quote``: it counts where a field begins and ends, a doubled one
+    inside is one, any other is text. Files are read in splits. Line breaks inside fields need ``multiline``: then lines
+    that belong together are joined first.
 
     A value that its column can't hold, and too few or too many fields, fail the job; with ``on_error="column"`` such
     values are NULL and ``_errors`` (array of text) says what was wrong.
     """
     quote, escape = _none(quote), _none(escape)
     schema = T._parse_datatype_string(schema_ddl)
-    if ignore_lines:
-        lines = numbered_lines(spark, path).where(F.col("line") > ignore_lines).withColumn("_at", F.struct("line"))
-    else:  # file order is enough: the split, and the place in it
-        lines = read_text(spark, path).select(F.col("_metadata.file_path").alias("file_path"), F.struct(
-            "_metadata.file_block_start", F.monotonically_increasing_id()).alias("_at"), "value") if multiline else read_text(spark, path)
-    records = _records(lines, quote, escape) if multiline else lines.select("value")
+    if ignore_lines or multiline:
+        lines = numbered_lines(spark, path).where(F.col("line") > ignore_lines)
+    else:
+        lines = read_text(spark, path)
+    if multiline:
+        found = records(classified(lines, _dialect(sep, quote, escape))).select("value", "malformed")
+    else:
+        found = lines.select("value", F.lit(False).alias("malformed"))
     if len(schema.fields) > 1:
-        records = records.where(F.col("value") != "")
-    raw = records.select("value", split_fields(F.col("value"), sep, quote, escape).alias("_raw"))
+        found = found.where(F.col("value") != "")
+    raw = found.select("value", "malformed", split_fields(F.col("value"), sep, quote, escape).alias("_raw"))
     n = len(schema.fields)
     values, errors = [], [
         F.when(F.size("_raw") != n, F.format_string(f"%d fields instead of {n}", F.size("_raw"))),
-        F.when(F.aggregate("_raw", F.lit(0), lambda a, x: a + F.length(x) + 1) != F.length("value") + 1, F.lit("a field is not closed"))]
+        F.when(F.col("malformed") | (F.aggregate("_raw", F.lit(0), lambda a, x: a + F.length(x) + 1) != F.length("value") + 1), F.lit("a field is not closed"))]
     for i, f in enumerate(schema.fields):
         v = _value(F.get("_raw", F.lit(i)), quote, escape, null_value)
         if isinstance(f.dataType, T.StringType):

@@ -155,5 +155,5 @@ def test_list_cap_raise_mode(spark):
     import pytest
 
     df = spark.createDataFrame([(";".join(["x"] * 26), "h1")], "v string, id string")
-    with pytest.raises(Exception, match="At most 25 items"):
+    with pytest.raises(Exception, match="26 items, the cap is 25"):
         df.select(X.delimited_list_cap("v", cap=25, row_id=F.col("id"), on_error="raise")).collect()
