@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import delimited_list_cap, iso_format, list_cap_error
-from ..session import path_exists
 from .batching import batch_pack
 
 # Payload batch sizes and the list attribute cap
@@ -160,23 +159,22 @@ STATE_DDL = "key string, mark string"
 
 def read_mark(spark: SparkSession, state_path: str, key: str):
     """The saved mark for ``key`` (one row of a tiny state table) or None."""
-    from ..sinks.guard import recover
+    from ..sinks.guard import read_target
 
-    recover(spark, state_path)  # a driver lost while the marks were swapped must not lose them
-    if not path_exists(spark, state_path):
-        return None
-    row = spark.read.parquet(state_path).where(F.col("key") == key).select("mark").first()
+    marks = read_target(spark, state_path)
+    row = marks.where(F.col("key") == key).select("mark").first() if marks is not None else None
     return row["mark"] if row else None
 
 
 def write_mark(spark: SparkSession, state_path: str, key: str, mark: str) -> None:
+    """Save the mark of ``key``; marks of other keys stay, also those that another run saves at the same time."""
     from ..sinks.guard import stage_and_swap
 
-    new = spark.createDataFrame([(key, mark)], STATE_DDL)
-    if path_exists(spark, state_path):
-        others = spark.read.parquet(state_path).where(F.col("key") != key)
-        new = others.unionByName(new).checkpoint(eager=True)
-    stage_and_swap(spark, new.coalesce(1), state_path)
+    def marks(saved: DataFrame | None) -> DataFrame:
+        new = spark.createDataFrame([(key, mark)], STATE_DDL)
+        return (new if saved is None else saved.where(F.col("key") != key).unionByName(new)).coalesce(1)
+
+    stage_and_swap(spark, marks, state_path)
 
 
 def incremental_sync(spark: SparkSession, source: DataFrame, state_path: str, out_path: str, col: str,

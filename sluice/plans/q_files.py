@@ -118,10 +118,10 @@ def q_landed_load(spark, sf_dir):
     target, ledger = scratch_path(spark, "targets", "landed"), scratch_path(spark, "ledgers")
     options = {"check": False, "line_numbers": False}
     landed_load(spark, root, target, ledger, "events", pattern=".*/event_type=(click|view)/.*", **options)
-    first = spark.read.parquet(target).agg(F.max("id")).first()[0]
+    first = guard.read_target(spark, target).agg(F.max("id")).first()[0]
     landed_load(spark, root, target, ledger, "events", **options)
     third = landed_load(spark, root, target, ledger, "events", **options).first()["action"]
-    rows = spark.read.parquet(target)
+    rows = guard.read_target(spark, target)
     unique = rows.select("id").distinct().count() == rows.count() and third == "nothing_new"
     kind = F.regexp_extract("origin_file_name", r"/event_type=([^/]+)/", 1).alias("event_type")
     read = read_ledger(spark, ledger, "events").groupBy(F.regexp_extract("path", r"/event_type=([^/]+)/", 1).alias("event_type")).agg(
@@ -196,7 +196,7 @@ def _target(spark, sf_dir, partitioned=True):
 
 
 def _read_back(spark, path):
-    t = spark.read.parquet(path)
+    t = guard.read_target(spark, path)
     return t.select("event_id", "event_type", F.col("slice_date").cast("string").alias("slice_date"), "value")
 
 

@@ -1,26 +1,26 @@
 """The guarded slice-load protocol and its variants (truncate, append, swap, rollback).
 
-Targets are Parquet folders. A slice is described by a predicate and a load
-deletes the rows that match it, no others: the new rows, and the rows of the
-touched partitions (or of the whole table, if it has none) that stay, are
-written to a staging folder beside the target. Only when all of that is
-committed are folders renamed. A rename that fails is undone at once; if the
-driver is lost between two renames, the next load or ``read_target`` finds
-what was set aside and puts it back (``recover``), so a target is whole
-before or after a load, never in between.
+Targets are folders under snapshots (``sinks/snapshots.py``): a slice is described by a predicate and a load deletes the
+rows that match it, no others. The new rows, and the rows of the touched partitions (or of the whole table, if it has none) that
+stay, are written to a folder of their own; publishing the next version is the only step that readers see. A load that finds
+its version taken by another one starts again from that one.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
-from urllib.parse import unquote
+from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import delete_path, path_exists
+from ..session import delete_path
+from . import snapshots
+from .snapshots import Conflict, Snapshot
 
+#: Times that a load starts again after another one took its version.
+ATTEMPTS = 20
 STATUS_DDL = "action string, rows bigint"
 
 
@@ -70,152 +70,103 @@ def slice_exists_df(df: DataFrame, pred: Column, label: str = "slice") -> DataFr
 
 
 def read_target(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    recover(spark, path)
-    if not path_exists(spark, path):
-        return None
-    return spark.read.format(fmt).load(path)
+    """The newest version of the table at ``path``, or None if there is none. Reads only."""
+    snapshot = snapshots.current(spark, path, fmt)
+    return None if snapshot is None else snapshots.read(spark, path, snapshot)
 
 
-def _write(df: DataFrame, path: str, mode: str, partition_col: str | None, fmt: str) -> int:
+def _write(df: DataFrame, path: str, mode: str, fmt: str) -> int:
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.format(fmt).mode(mode)
-    if partition_col:
-        w = w.partitionBy(partition_col)
-    w.save(path)
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.format(fmt).mode(mode).save(path)
     return int(obs.get.get("n", 0))
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    """Names directly below a folder (partitions of a table or siblings of a target: metadata)."""
-    fs, p, _ = _fs(spark, path)
-    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
-
-
-def _partitions(spark: SparkSession, path: str, partition_col: str) -> list[str]:
-    return [n for n in _children(spark, path) if n.startswith(f"{partition_col}=")]
-
-
-def _set_aside(path: str, tag: str) -> str:
-    return f"{path}.__old_{tag}"
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p, _ = _fs(spark, path)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(text.encode()))
-    finally:
-        out.close()
-
-
-def recover(spark: SparkSession, path: str) -> None:
-    """Undo what a lost driver left half done beside the target at ``path``: a table that was set aside while no new
-    one is in its place comes back, and so do the partitions that an unfinished journal lists."""
-    head, _, name = path.rstrip("/").rpartition("/")
-    for sibling in _children(spark, head) if head else []:
-        if not sibling.startswith(f"{name}.__old_"):
-            continue
-        old = f"{head}/{sibling}"
-        if path_exists(spark, f"{old}/journal.json"):
-            _undo(spark, path, old, json.loads(spark.read.text(f"{old}/journal.json", wholetext=True).first()[0]))
-        elif not path_exists(spark, path):
-            _rename(spark, old, path)
-        delete_path(spark, old)
-
-
-def _undo(spark: SparkSession, path: str, old: str, journal: list) -> None:
-    for part, had in journal:
-        if path_exists(spark, f"{old}/{part}"):
-            delete_path(spark, f"{path}/{part}")
-            _rename(spark, f"{old}/{part}", f"{path}/{part}")
-        elif not had:
-            delete_path(spark, f"{path}/{part}")
-    delete_path(spark, old)
-
-
-def _swap(spark: SparkSession, staging: str, path: str) -> None:
-    """Put the staged table in the target's place; the target comes back if that fails."""
-    old = _set_aside(path, uuid.uuid4().hex[:10])
-    had_old = path_exists(spark, path)
-    if had_old:
-        _rename(spark, path, old)
-    try:
-        _rename(spark, staging, path)
-    except BaseException:
-        if had_old:
-            _rename(spark, old, path)
-        raise
-    if had_old:
-        delete_path(spark, old)
-
-
-def _swap_partitions(spark: SparkSession, staging: str, path: str, parts: list[str]) -> None:
-    """Put the staged partitions in place of the target's ``parts`` (those without a staged one are removed).
-
-    The journal of what is touched is written before the first rename and its deletion is the commit point: until
-    then a failure, or ``recover`` after a lost driver, puts every partition back."""
-    old = _set_aside(path, uuid.uuid4().hex[:10])
-    journal = [(p, path_exists(spark, f"{path}/{p}")) for p in parts]
-    _write_text(spark, f"{old}/journal.json", json.dumps(journal))
-    try:
-        for part, had in journal:
-            if had:
-                _rename(spark, f"{path}/{part}", f"{old}/{part}")
-            if path_exists(spark, f"{staging}/{part}"):
-                _rename(spark, f"{staging}/{part}", f"{path}/{part}")
-    except BaseException:
-        _undo(spark, path, old, journal)
-        raise
-    delete_path(spark, f"{old}/journal.json")
-    delete_path(spark, old)
-
-
-def _aligned(df: DataFrame, like: DataFrame) -> DataFrame:
-    """``df`` with the columns of ``like`` that it lacks, as nulls."""
-    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in like.schema.fields if f.name not in df.columns})
-
-
-def stage_and_swap(spark: SparkSession, result: DataFrame, path: str, partition_col: str | None = None,
-                   fmt: str = "parquet") -> int:
-    """Write ``result`` at a fresh sibling path, then swap it in (old copy removed last)."""
-    recover(spark, path)
-    staging = f"{path}.__staging_{uuid.uuid4().hex[:10]}"
-    try:
-        rows = _write(result, staging, "errorifexists", partition_col, fmt)
-        _swap(spark, staging, path)
-    finally:
-        delete_path(spark, staging)
+class _New:
+    """The rows of a load, written once, whatever the number of attempts to publish them."""
+
+    def __init__(self, spark: SparkSession, path: str, rows: DataFrame, partition_col: str | None, fmt: str):
+        self.spark, self.path, self.frame, self.partition_col, self.fmt = spark, path, rows, partition_col, fmt
+        self.load, self.rows = None, 0
+
+    def schema(self, base: Snapshot | None):
+        return snapshots.merged(base.schema if base else None, self.frame.schema)
+
+    def staged(self, base: Snapshot | None) -> str:
+        if self.load is None:
+            self.partition_col = self.partition_col or (base.partition_col if base else None)
+            self.load, self.rows = snapshots.stage(
+                self.spark, self.path, snapshots.conformed(self.frame, self.schema(base)), self.partition_col, self.fmt)
+        return self.load
+
+
+def version_of(snapshot: Snapshot | None) -> int:
+    return snapshot.version if snapshot else 0
+
+
+def _load(spark: SparkSession, path: str, fmt: str, step: Callable[[Snapshot | None], tuple[Snapshot | None, str]], made_from: int | None) -> str:
+    """Publish what ``step`` makes of the newest version, again from the start if another load comes first. ``step`` returns the
+    next version (None: nothing to publish) and the name of what it did. Rows that were made from a version (``made_from``) are of
+    no use on another one."""
+    for _ in range(ATTEMPTS):
+        base = snapshots.current(spark, path, fmt)
+        if made_from is not None and version_of(base) != made_from:
+            raise Conflict(f"{path} is at version {version_of(base)}, the rows were made from version {made_from}")
+        after, action = step(base)
+        if after is None or snapshots.commit(spark, path, base, after):
+            return action
+    raise Conflict(f"{path}: {ATTEMPTS} times another load published first")
+
+
+def stage_and_swap(spark: SparkSession, result: DataFrame | Callable[[DataFrame | None], DataFrame], path: str,
+                   partition_col: str | None = None, fmt: str = "parquet", history: tuple[str, ...] = (),
+                   made_from: int | None = None) -> int:
+    """Replace the whole table by ``result``: a frame, or a function that makes one of the newest version (called anew if
+    another load comes first)."""
+    rows = 0
+    fixed = None if callable(result) else _New(spark, path, result, partition_col, fmt)
+
+    def step(base):
+        nonlocal rows
+        made = fixed or _New(spark, path, result(None if base is None else snapshots.read(spark, path, base)), partition_col, fmt)
+        load, rows = made.staged(None), made.rows
+        return Snapshot(0, fmt, made.schema(None), partition_col, {load: frozenset()}, history), "replaced"
+
+    _load(spark, path, fmt, step, made_from)
     return rows
 
 
-def _replace_slice(spark: SparkSession, path: str, target: DataFrame, new: DataFrame, pred: Column,
-                   partition_col: str | None, fmt: str) -> int:
-    """Delete the rows that match ``pred`` and add ``new``; rows outside the slice stay, also in partitions of ``new``."""
-    staging = f"{path}.__staging_{uuid.uuid4().hex[:10]}"
-    stays = ~F.coalesce(pred, F.lit(False))
-    try:
-        rows = _write(_aligned(new, target), staging, "errorifexists", partition_col, fmt)
-        if not partition_col:
-            _write(_aligned(target.where(stays), new), staging, "append", None, fmt)
-            _swap(spark, staging, path)
-            return rows
-        # folders that hold rows of the slice: at most the partitions of one slice
-        found = target.where(pred).select(F.regexp_extract(
-            F.col("_metadata.file_path"), f"/({partition_col}=[^/]*)/", 1)).distinct().collect()
-        touched = sorted({unquote(r[0]) for r in found} | set(_partitions(spark, staging, partition_col)))
-        present = [f"{path}/{p}" for p in touched if path_exists(spark, f"{path}/{p}")]
-        if present:
-            kept = spark.read.format(fmt).schema(target.schema).option("basePath", path).load(present).where(stays)
-            _write(_aligned(kept, new), staging, "append", partition_col, fmt)
-        _swap_partitions(spark, staging, path, touched)
-        return rows
-    finally:
-        delete_path(spark, staging)
+def _appended(base: Snapshot | None, new: _New, history: tuple[str, ...]) -> Snapshot:
+    load = new.staged(base)
+    if base is None:
+        return Snapshot(0, new.fmt, new.schema(None), new.partition_col, {load: frozenset()}, history)
+    return replace(base, schema=new.schema(base), partition_col=new.partition_col,
+                   loads=base.loads | {load: frozenset()}, history=base.history + history)
+
+
+def _replaced(spark: SparkSession, path: str, base: Snapshot, new: _New, pred: Column, history: tuple[str, ...]) -> Snapshot:
+    """The version without the rows that match ``pred``, and with the new ones; rows outside the slice stay, also in
+    partitions of the new rows."""
+    schema, stays = new.schema(base), ~F.coalesce(pred, F.lit(False))
+    load = new.staged(base)
+    base = replace(base, partition_col=new.partition_col)
+    # folders of partitions: as many as hold rows of one slice
+    found = snapshots.read(spark, path, base, folder="__folder").where(pred).select("__folder").distinct().collect() if new.partition_col else []
+    touched = snapshots.partition_names([r[0] for r in found])
+    if new.partition_col and len(touched) == len(found):
+        kept = snapshots.read(spark, path, base, only=touched).where(stays) if touched else None
+        loads = snapshots.without(spark, path, base, touched)
+    else:  # no partitions, or files outside them
+        kept, loads = snapshots.read(spark, path, base).where(stays), {}
+    if kept is not None:
+        own, _ = snapshots.stage(spark, path, snapshots.conformed(kept, schema), new.partition_col, new.fmt)
+        loads = loads | {own: frozenset()}
+    return replace(base, schema=schema, loads=loads | {load: frozenset()}, history=base.history + history)
 
 
 def guarded_slice_load(spark: SparkSession, path: str, new: DataFrame, pred: Column | None,
                        overwrite: bool = False, truncate: bool = False, check: bool = True,
-                       partition_col: str | None = None, fmt: str = "parquet") -> DataFrame:
+                       partition_col: str | None = None, fmt: str = "parquet", history: tuple[str, ...] = (),
+                       made_from: int | None = None) -> DataFrame:
     """Load ``new`` into the target at ``path`` under the slice protocol.
 
     * ``truncate``: the target is emptied first, so the load always proceeds.
@@ -224,21 +175,23 @@ def guarded_slice_load(spark: SparkSession, path: str, new: DataFrame, pred: Col
     * slice present and ``overwrite``: the rows of the slice, and no others, are replaced by ``new``.
     * slice absent (or no target): append.
 
-    Returns ``(action, rows)`` with action in skipped | replaced | appended | truncated.
+    ``history``: ids that the version takes in with the rows. ``made_from``: the version that ``new`` was made from; if the
+    target is at another one, Conflict is raised and nothing is loaded. Returns ``(action, rows)`` with action in skipped | replaced |
+    appended | truncated.
     """
     if truncate:
-        return _status(spark, "truncated", stage_and_swap(spark, new, path, partition_col, fmt))
-    target = read_target(spark, path, fmt)
-    if target is None:
-        return _status(spark, "appended", _write(new, path, "append", partition_col, fmt))
-    if not check or pred is None:
-        return _status(spark, "appended", _write(new, path, "append", partition_col, fmt))
-    exists = slice_exists(target, pred)
-    if exists and not overwrite:
-        return _status(spark, "skipped", 0)
-    if not exists:
-        return _status(spark, "appended", _write(new, path, "append", partition_col, fmt))
-    return _status(spark, "replaced", _replace_slice(spark, path, target, new, pred, partition_col, fmt))
+        return _status(spark, "truncated", stage_and_swap(spark, new, path, partition_col, fmt, history, made_from))
+    rows = _New(spark, path, new, partition_col, fmt)
+
+    def step(base):
+        if base is None or not check or pred is None or not slice_exists(snapshots.read(spark, path, base), pred):
+            return _appended(base, rows, history), "appended"
+        if not overwrite:
+            return None, "skipped"
+        return _replaced(spark, path, base, rows, pred, history), "replaced"
+
+    action = _load(spark, path, fmt, step, made_from)
+    return _status(spark, action, 0 if action == "skipped" else rows.rows)
 
 
 def swap_overwrite(spark: SparkSession, df: DataFrame, table: str, location: str,
@@ -247,14 +200,17 @@ def swap_overwrite(spark: SparkSession, df: DataFrame, table: str, location: str
 
     Tables are external (data at ``location``), so the renames are catalog
     metadata only; a schema change is allowed. The two renames are not one
-    transaction: a reader may miss the table for an instant.
+    transaction: a reader may miss the table for an instant. If a driver was lost
+    between them, the table stands under its old name and gets it back first.
     """
     tag = uuid.uuid4().hex[:10]
     temp, old = f"{table}_temp", f"{table}_old"
+    if spark.catalog.tableExists(old) and not spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
     spark.sql(f"DROP TABLE IF EXISTS {temp}")
     spark.sql(f"DROP TABLE IF EXISTS {old}")
     data_path = f"{location.rstrip('/')}/{table}__{tag}"
-    rows = _write(df, data_path, "errorifexists", None, fmt)
+    rows = _write(df, data_path, "errorifexists", fmt)
     spark.catalog.createTable(temp, path=data_path, source=fmt)
     old_path = None
     if spark.catalog.tableExists(table):

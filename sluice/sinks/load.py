@@ -2,20 +2,33 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import path_exists
 from ..sources.files import file_predicate, ledger_entries, load_once, object_inventory
 from ..sources.landing import variant_landing
-from .guard import guarded_slice_load, read_target, slice_exists
+from . import snapshots
+from .guard import ATTEMPTS, guarded_slice_load, slice_exists, version_of
+from .snapshots import Conflict
 
-LEDGER_DDL = "table string, path string, loaded_at timestamp"
+LEDGER_DDL = "table string, path string, loaded_at timestamp, target string, load string"
 
 
 def read_ledger(spark: SparkSession, ledger_path: str, table: str) -> DataFrame | None:
-    """Files that earlier loads of ``table`` have read, or None before the first."""
-    ledger = read_target(spark, ledger_path)
-    return None if ledger is None else ledger.where(F.col("table") == table)
+    """Files that earlier loads of ``table`` have read: ``(table, path, loaded_at)``; None if there is no history at all.
+
+    An entry counts if the target's current version names its load, so rows and history change in the same step."""
+    if not path_exists(spark, ledger_path):
+        return None
+    entries = spark.read.schema(LEDGER_DDL).parquet(ledger_path).where(F.col("table") == table)
+    committed = []
+    for (target,) in entries.select("target").distinct().collect():  # the folders that a table has been loaded into
+        snapshot = snapshots.current(spark, target)
+        committed += [(target, load) for load in (snapshot.history if snapshot else ())]
+    return entries.join(spark.createDataFrame(committed, "target string, load string"), ["target", "load"], "left_semi").select("table", "path", "loaded_at")
 
 
 def landed_load(spark: SparkSession, source: str, target: str, ledger_path: str, table: str, pred: Column | None = None,
@@ -28,10 +41,22 @@ def landed_load(spark: SparkSession, source: str, target: str, ledger_path: str,
     * ``truncate`` empties target and history first;
     * ids go on above the target's largest.
 
-    The history is written after the rows are in place, so files of a failed load are read again. Returns
-    ``(action, rows)`` with action nothing_new if no file is left to read.
+    The entries of the history are written first and count from the moment that the rows do, as one pointer names both:
+    a load that is lost anywhere before leaves neither, and one lost after has both. If another load of the target comes
+    first, this one starts again from what that one left. Returns ``(action, rows)`` with action nothing_new if no file is
+    left to read.
     """
-    existing = read_target(spark, target)
+    for _ in range(ATTEMPTS):
+        try:
+            return _landed(spark, source, target, ledger_path, table, pred, file, pattern, overwrite, truncate, check, partition_col, landing)
+        except Conflict:
+            continue
+    raise Conflict(f"{target}: {ATTEMPTS} times another load published first")
+
+
+def _landed(spark, source, target, ledger_path, table, pred, file, pattern, overwrite, truncate, check, partition_col, landing) -> DataFrame:
+    base = snapshots.current(spark, target)
+    existing = None if base is None else snapshots.read(spark, target, base)
     guarded = check and pred is not None and existing is not None and not truncate
     if guarded and not overwrite and slice_exists(existing, pred):
         return spark.createDataFrame([("skipped", 0)], "action string, rows bigint")
@@ -45,10 +70,11 @@ def landed_load(spark: SparkSession, source: str, target: str, ledger_path: str,
         return spark.createDataFrame([("nothing_new", 0)], "action string, rows bigint")
     last = 0 if existing is None or truncate else existing.agg(F.max("id")).first()[0] or 0
     rows = variant_landing(spark, paths, id_offset=last, **landing)
-    status = guarded_slice_load(spark, target, rows, pred, overwrite=overwrite, truncate=truncate, check=check, partition_col=partition_col)
-    history = spark.createDataFrame([(p,) for p in paths], "origin_file_name string")
-    entries = ledger_entries(history, table).withColumn("loaded_at", F.current_timestamp())
+    load = uuid.uuid4().hex
+    entries = ledger_entries(spark.createDataFrame([(p,) for p in paths], "origin_file_name string"), table)
     if ledger is not None:
-        entries = entries.join(ledger.select("path"), "path", "left_anti").select("table", "path", "loaded_at")
-    guarded_slice_load(spark, ledger_path, entries, F.col("table") == table if truncate else None, overwrite=truncate, check=truncate)
-    return status
+        entries = entries.join(ledger.select("path"), "path", "left_anti")
+    entries.select("table", "path", F.current_timestamp().alias("loaded_at"), F.lit(target).alias("target"), F.lit(load).alias("load")) \
+        .write.mode("append").parquet(ledger_path)
+    return guarded_slice_load(spark, target, rows, pred, overwrite=overwrite, truncate=truncate, check=check, partition_col=partition_col,
+                              history=(load,), made_from=version_of(base))
