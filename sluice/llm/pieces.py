@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, fields
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain, pairwise
+from itertools import chain, pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +24,15 @@ _OWN_BLANK = "\udc81"
 #: Share of candidate merges that are skipped.
 DROPOUT = 0.1
 SEED = 11
-#: Chunks up to this length are kept with the merges that they take without dropout, so many at most.
-KEEP_LENGTH, KEPT = 32, 400_000
+#: Chunks up to this length are kept with their decision trees, so many at most, with so many nodes.
+KEEP_LENGTH, KEPT, NODES = 32, 400_000, 6_000_000
+#: A branch of a decision tree that no occurrence took yet.
+_MISSING = -1
 #: Chunks above this length have a heap each; up to it, so many go side by side.
 LONG, SIDE_BY_SIDE = 32, 20_000
 _RANGE = 1 << 30
 _NONE = 1 << 40
+_MASK = _RANGE - 1
 
 
 def _candidate(place, piece):
@@ -42,12 +46,43 @@ def _hash(key, place, piece):
 
 
 def _mixed(x):
-    x = x & 0x3FFFFFFF
+    x = x & _MASK
     x = ((x ^ (x >> 15)) * 0x2C1B3C6D) & 0x3FFFFFFF
     x = ((x ^ (x >> 12)) * 0x297A2D39) & 0x3FFFFFFF
     return x ^ (x >> 15)
 
 
+def _slices(starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places starts[k], starts[k] + 1, .. (n[k] of them) of all k in a row."""
+    ends = np.cumsum(n)
+    return np.repeat(starts - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+@dataclass
+class Runs:
+    """Agendas that were run: the ids of each chunk, and the candidates that it tested, in order, with what became of them."""
+
+    ids: np.ndarray
+    n_ids: np.ndarray
+    tested: np.ndarray
+    skipped: np.ndarray
+    n_tested: np.ndarray
+
+    @staticmethod
+    def none() -> Runs:
+        return Runs(np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, bool), np.empty(0, np.int64))
+
+    @staticmethod
+    def joined(parts: list[Runs]) -> Runs:
+        return Runs(*[np.concatenate([getattr(p, f.name) for p in parts]) for f in fields(Runs)])
+
+    def taken(self, which: np.ndarray) -> Runs:
+        """The runs at the given places, in that order."""
+        at = _slices((np.cumsum(self.n_ids) - self.n_ids)[which], self.n_ids[which])
+        tests = _slices((np.cumsum(self.n_tested) - self.n_tested)[which], self.n_tested[which])
+        return Runs(self.ids[at], self.n_ids[which], self.tested[tests], self.skipped[tests], self.n_tested[which])
+
+
 class PieceEncoder:
     """Merges and decoding tables of a BPE model of the ``sentencepiece`` library with byte fallback."""
 
@@ -70,6 +105,9 @@ class PieceEncoder:
             else:
                 self.ids[piece] = i
                 self.text.append(piece.replace(BLANK, " ").encode())
+        self.text_size = np.fromiter(map(len, self.text), np.int64, n)
+        self.text_start = np.cumsum(self.text_size) - self.text_size
+        self.text_bytes = np.frombuffer(b"".join(self.text), np.uint8)
         if min(self.byte) < 0:
             raise ValueError("the model has no byte fallback, so not every text can be decoded")
         order = {x: i for i, x in enumerate(sorted({-x for x in self.scores}))}
@@ -100,30 +138,28 @@ class PieceEncoder:
         the left. One that is taken is skipped for good if its keyed hash - of the chunk's key, its place and its piece -
         lies under the dropout; merges around it make new candidates. Short chunks go side by side, one step of each
         agenda at a time; long ones have an agenda on a heap each, to the same effect."""
-        return self.encode_with_merges(chunks, keys, dropout)[0]
-
-    def encode_with_merges(self, chunks: list[str], keys: list[int], dropout: float) -> tuple[list[list[int]], np.ndarray, np.ndarray, np.ndarray]:
-        """The ids of each chunk; the candidates that were taken, for chunks that skipped none, with where each chunk's begin
-        and how many they are (-1: one was skipped, or the chunk is long)."""
         out: list[list[int]] = [[]] * len(chunks)
-        merges, starts, counts, n_merges = [np.empty(0, np.int64)], np.zeros(len(chunks), np.int64), np.full(len(chunks), -1, np.int64), 0
-        bands: dict[int, list[int]] = {}
-        for i, c in enumerate(chunks):
-            if len(c) > LONG:
-                out[i] = self._by_heap(c, keys[i], dropout)
-            else:
-                bands.setdefault(max(8, 1 << (len(c) - 1).bit_length()), []).append(i)
-        for where in bands.values():
-            for at in range(0, len(where), SIDE_BY_SIDE):
-                part = where[at:at + SIDE_BY_SIDE]
-                ids, own, n = self._side_by_side([chunks[i] for i in part], [keys[i] for i in part], dropout)
-                for i, x in zip(part, ids, strict=True):
-                    out[i] = x
-                held = np.maximum(n, 0)
-                starts[part], counts[part] = n_merges + np.cumsum(held) - held, n
-                merges.append(own)
-                n_merges += len(own)
-        return out, np.concatenate(merges), starts, counts
+        short = [i for i, c in enumerate(chunks) if len(c) <= LONG]
+        for i in sorted(set(range(len(chunks))) - set(short)):
+            out[i] = self._by_heap(chunks[i], keys[i], dropout)
+        runs = self.encode_short([chunks[i] for i in short], np.array([keys[i] for i in short], np.int64), dropout)
+        for i, ids in zip(short, np.split(runs.ids, np.cumsum(runs.n_ids)[:-1]), strict=True) if short else ():
+            out[i] = ids.tolist()
+        return out
+
+    def encode_short(self, chunks: list[str], keys: np.ndarray, dropout: float) -> Runs:
+        """The runs of chunks of up to LONG characters, in order; chunks of like length go side by side."""
+        if not chunks:
+            return Runs.none()
+        lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
+        band = np.maximum(lengths, 4) if len(chunks) > 1000 else np.maximum(8, 1 << np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64))
+        order, parts = np.argsort(band, kind="stable"), []
+        edges = np.flatnonzero(np.diff(band[order], prepend=-1))
+        for lo, hi in zip(edges, np.append(edges[1:], len(order)), strict=True):
+            for at in range(lo, hi, SIDE_BY_SIDE):
+                rows = order[at:min(hi, at + SIDE_BY_SIDE)]
+                parts.append(self._side_by_side([chunks[i] for i in rows.tolist()], lengths[rows], keys[rows], dropout))
+        return Runs.joined(parts).taken(np.argsort(order, kind="stable"))
 
     def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and piece of every pair of symbols (no candidate: the rank is _NONE)."""
@@ -132,17 +168,21 @@ class PieceEncoder:
         hit = (self.pairs[at] == key) & (left >= 0) & (right >= 0)
         return np.where(hit, self.pair_rank[at], _NONE), np.where(hit, self.pair_piece[at], -1)
 
-    def _side_by_side(self, chunks: list[str], keys: list[int], dropout: float) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
-        limit, lengths = int(dropout * _RANGE), np.array(list(map(len, chunks)))
+    def _side_by_side(self, chunks: list[str], lengths: np.ndarray, keys: np.ndarray, dropout: float) -> Runs:
+        limit = int(dropout * _RANGE)
         code = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         width = int(lengths.max())
+        columns = np.arange(width)
         symbols = np.full((len(chunks), width), -1, np.int64)
         known = self.symbol[code]
-        symbols[np.arange(width) < lengths[:, None]] = np.where(known >= 0, known, -2 - code)
-        key, result, row = np.array(keys, np.int64), symbols.copy(), np.arange(len(chunks))
-        place = np.broadcast_to(np.arange(width), symbols.shape).copy()
-        whole, steps = np.ones(len(chunks), bool), []
-        rank, piece = self._look_up(symbols[:, :-1], symbols[:, 1:]) if width > 1 else (np.full((len(chunks), 1), _NONE), symbols)
+        symbols[columns < lengths[:, None]] = np.where(known >= 0, known, -2 - code)
+        key, result, row = keys, symbols.copy(), np.arange(len(chunks))
+        place = np.broadcast_to(columns, symbols.shape).copy()
+        steps = []
+        # a column more than there are pairs: no candidate ever stands in it
+        rank, piece = np.full(symbols.shape, _NONE), np.full(symbols.shape, -1)
+        if width > 1:
+            rank[:, :-1], piece[:, :-1] = self._look_up(symbols[:, :-1], symbols[:, 1:])
         while len(row):
             each = np.arange(len(row))
             i = rank.argmin(axis=1)
@@ -154,42 +194,38 @@ class PieceEncoder:
                 if not len(row):
                     break
             taken = piece[each, i]
-            if limit:
-                skipped = _hash(key, place[each, i], taken) < limit
-                rank[each[skipped], i[skipped]] = _NONE
-                whole[row[skipped]] = False
-                m = np.flatnonzero(~skipped)
-            else:
-                m = each
+            tested = _candidate(place[each, i], taken) & _MASK
+            skipped = _mixed(key + tested) < limit
+            steps.append((row, tested, skipped))
+            rank[each[skipped], i[skipped]] = _NONE
+            m = np.flatnonzero(~skipped)
             if not len(m):
                 continue
-            steps.append((row[m], _candidate(place[m, i[m]], taken[m])))
-            i, n = i[m], np.arange(len(m))
+            i, n, merged = i[m], np.arange(len(m)), taken[m]
             # the symbol right of the merged one leaves its row, and so does the candidate that began with it
-            source = np.arange(width)[None, :] + (np.arange(width)[None, :] > i[:, None])
-            inside = np.minimum(source, width - 1)
-            after = np.take_along_axis(symbols[m], inside, 1)
-            after[source >= width] = -1
-            after[n, i] = taken[m]
-            symbols[m], place[m] = after, np.take_along_axis(place[m], inside, 1)
-            pairs = inside[:, :rank.shape[1]]
-            pairs = np.minimum(pairs, rank.shape[1] - 1)
-            moved_rank, moved_piece = np.take_along_axis(rank[m], pairs, 1), np.take_along_axis(piece[m], pairs, 1)
-            moved_rank[source[:, :rank.shape[1]] >= rank.shape[1]] = _NONE
+            source = columns + (columns > i[:, None])
+            flat = np.minimum(source, width - 1) + (m * width)[:, None]
+            after = symbols.ravel()[flat]
+            after[:, -1] = -1
+            after[n, i] = merged
+            symbols[m], place[m] = after, place.ravel()[flat]
+            moved_rank, moved_piece = rank.ravel()[flat], piece.ravel()[flat]
+            moved_rank[:, -1] = _NONE
             for j in (i - 1, i):
-                ok = (j >= 0) & (j < rank.shape[1])
-                r, p = self._look_up(after[n[ok], j[ok]], after[n[ok], j[ok] + 1])
-                moved_rank[n[ok], j[ok]], moved_piece[n[ok], j[ok]] = r, p
+                ok = np.flatnonzero((j >= 0) & (j < width - 1))
+                moved_rank[ok, j[ok]], moved_piece[ok, j[ok]] = self._look_up(after[ok, j[ok]], after[ok, j[ok] + 1])
             rank[m], piece[m] = moved_rank, moved_piece
         there = result >= 0
-        values, to = result[there].tolist(), np.cumsum(there.sum(axis=1)).tolist()
-        ids = [values[a:b] for a, b in zip([0, *to], to)]
-        for r in np.flatnonzero(((result >= self.n_pieces) | (result < -1)).any(axis=1)).tolist():
-            ids[r] = self._with_bytes(result[r].tolist())
-        who, what = (np.concatenate(x) for x in zip(*steps, strict=True)) if steps else (np.empty(0, np.int64),) * 2
-        n = np.bincount(who, minlength=len(chunks))
-        taken = whole[who]
-        return ids, what[taken][np.argsort(who[taken], kind="stable")], np.where(whole, n, -1)
+        ids, n_ids = result[there], there.sum(axis=1)
+        odd = np.flatnonzero(((result >= self.n_pieces) | (result < -1)).any(axis=1))
+        if len(odd):
+            lists = np.split(ids, np.cumsum(n_ids)[:-1])
+            for r in odd.tolist():
+                lists[r] = np.array(self._with_bytes(result[r].tolist()), np.int64)
+            ids, n_ids = np.concatenate(lists), np.fromiter(map(len, lists), np.int64, len(lists))
+        who, what, skipped = (np.concatenate(x) for x in zip(*steps, strict=True)) if steps else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool))
+        order = np.argsort(who, kind="stable")
+        return Runs(ids.astype(np.int32), n_ids, what[order].astype(np.int32), skipped[order], np.bincount(who, minlength=len(chunks)))
 
     def _with_bytes(self, symbols: list[int]) -> list[int]:
         out = []
@@ -251,6 +287,13 @@ class PieceEncoder:
         """The text that was encoded: pieces joined, without the blank that encoding puts first."""
         return b"".join(map(self.text.__getitem__, ids))[1:].decode()
 
+    def decode_flat(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The UTF-8 texts of ids in a row, ``counts`` of them a text."""
+        size = self.text_size[ids]
+        raw = self.text_bytes[_slices(self.text_start[ids], size)].tobytes()
+        ends = np.cumsum(np.append(0, size))[np.cumsum(np.append(0, counts))].tolist()
+        return [raw[a + 1:b] for a, b in pairwise(ends)]
+
 
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> PieceEncoder:
@@ -266,104 +309,140 @@ def _keys(seed: int, name: bytes, n: int) -> np.ndarray:
 
 
 class Segmenter:
-    """Encodes texts, each occurrence of a chunk by its own draws. Of common chunks it keeps what needs no draw: the merges
-    that are taken if none is skipped, and their pieces. An occurrence that skips none of them has those pieces; any other
-    is encoded by itself. So what is kept changes no result."""
+    """Encodes texts, each occurrence of a chunk by its own draws.
+
+    Of short chunks it keeps a decision tree: a node is a candidate that the chunk's agenda tests, its branches lead on from
+    taking and from skipping it, a leaf holds the ids. An occurrence walks the tree with its own hashes; where a branch is missing
+    its agenda is run and the rest of its way added, once for all later occurrences. What is kept changes no draw. Above KEPT
+    chunks or NODES nodes it starts anew."""
 
     def __init__(self, encoder: PieceEncoder, dropout: float = DROPOUT, seed: int = SEED):
         self.encoder, self.dropout, self.seed = encoder, dropout, seed
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[str, int] = {}
-        self.pieces: list[list[int]] = []
-        self.starts, self.counts, self.merges = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64), np.zeros(1 << 12, np.int64)
-        self.used = np.zeros(1 << 10, bool)
-        self.n_merges = 0
+        self.roots: dict[str, int] = {}
+        # references: a node from 0 on, a leaf as -2 - leaf, or _MISSING
+        self.tested, self.next = Grown(np.int32), Grown(np.int32, 2)
+        self.starts, self.lengths, self.ids = Grown(np.int64), Grown(np.int32), Grown(np.int32)
 
     def encode(self, text: str, name: bytes) -> list[int]:
         return self.encode_many([text], [name])[0]
 
     def encode_many(self, texts: list[str], names: list[bytes]) -> list[list[int]]:
-        """The ids of each text; occurrences that need it are encoded together."""
+        """The ids of each text."""
+        ids, n = self.encode_flat(texts, names)
+        return [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] if texts else []
+
+    def encode_flat(self, texts: list[str], names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and the number of each text's."""
         split = [self.encoder.split(t) for t in texts]
-        flat = [c for chunks in split for c in chunks]
+        chunks = list(chain.from_iterable(split))
         keys = np.concatenate([np.empty(0, np.int64), *[_keys(self.seed, name, len(c)) for name, c in zip(names, split, strict=True)]])
-        out: list[list[int]] = [[]] * len(flat)
-        first: dict[str, int] = {}
-        later = []
-        now = self._from_kept(flat, keys, np.arange(len(flat)), out)
-        alone = []
-        for i in now:
-            chunk = flat[i]
-            if chunk not in self.place and len(chunk) <= KEEP_LENGTH and first.setdefault(chunk, i) != i:
-                later.append(i)
+        leaf, own = np.full(len(chunks), -1, np.int64), {}
+        at = np.fromiter(map(self.roots.get, chunks, repeat(_MISSING)), np.int64, len(chunks))
+        new: dict[str, int] = {}
+        first, again = [], []
+        for i in np.flatnonzero(at == _MISSING).tolist():
+            chunk = chunks[i]
+            if len(chunk) > KEEP_LENGTH:
+                own[i] = self.encoder._by_heap(chunk, int(keys[i]), self.dropout)
+            elif new.setdefault(chunk, i) == i:
+                first.append(i)
             else:
-                alone.append(i)
-        # one occurrence of each new chunk goes first: unless it skips a merge, the others can use what it took
-        self._by_itself(flat, keys, alone, out)
-        self._by_itself(flat, keys, self._from_kept(flat, keys, np.array(later, np.int64), out), out)
-        if len(self.pieces) > KEPT:
-            self._forget()
-        ends = np.cumsum([len(c) for c in split]).tolist()
-        return [list(chain.from_iterable(out[a:b])) for a, b in zip([0, *ends], ends)]
-
-    def _from_kept(self, flat: list[str], keys: np.ndarray, which: np.ndarray, out: list[list[int]]) -> list[int]:
-        """Sets the ids of the occurrences that skip none of their chunk's kept merges; returns the others."""
-        get = self.place.get
-        at = np.fromiter((get(flat[i], -1) for i in which.tolist()), np.int64, len(which))
-        known = np.flatnonzero(at >= 0)
-        own = at[known]
-        self.used[own] = True
-        n = self.counts[own]
+                again.append(i)
+        leaf[first] = self._add([chunks[i] for i in first], keys[first], np.full(len(first), _MISSING), np.zeros(len(first), np.int64))
+        at[again] = np.fromiter((self.roots[chunks[i]] for i in again), np.int64, len(again))
+        which = np.flatnonzero((leaf == -1) & (at != _MISSING))
+        self._walk(chunks, keys, which, at[which], leaf)
+        n = np.zeros(len(chunks), np.int64)
+        known = leaf >= 0
+        n[known] = self.lengths.all[leaf[known]]
+        for i, ids in own.items():
+            n[i] = len(ids)
+        places = np.cumsum(n) - n
+        flat = np.empty(int(n.sum()), np.int32)
+        if own:
+            flat[_slices(places[known], n[known])] = self.ids.all[_slices(self.starts.all[leaf[known]], n[known])]
+            for i, ids in own.items():
+                flat[places[i]:places[i] + len(ids)] = ids
+        else:
+            flat[:] = self.ids.all[_slices(self.starts.all[leaf], n)]
+        ends = np.cumsum([0, *map(len, split)])
+        total = np.append(places, len(flat))
+        if len(self.roots) > KEPT or self.tested.n > NODES:
+            self._clear()
+        return flat, np.diff(total[ends])
+
+    def _walk(self, chunks: list[str], keys: np.ndarray, which: np.ndarray, at: np.ndarray, leaf: np.ndarray) -> None:
+        """Sets the leaves of the occurrences ``which``, which stand at the references ``at``."""
+        limit, depth = int(self.dropout * _RANGE), np.zeros(len(which), np.int64)
+        while len(which):
+            missing = []
+            while len(which):
+                done = at < 0
+                if done.any():
+                    leaf[which[done]] = -2 - at[done]
+                    which, at, depth = which[~done], at[~done], depth[~done]
+                branch = at * 2 + (_mixed(keys[which] + self.tested.all[at]) < limit)
+                at, depth = self.next.all.ravel()[branch].astype(np.int64), depth + 1
+                gone = at == _MISSING
+                if gone.any():
+                    missing.append((which[gone], branch[gone], depth[gone]))
+                    which, at, depth = which[~gone], at[~gone], depth[~gone]
+            if not missing:
+                return
+            which, branch, depth = (np.concatenate(x) for x in zip(*missing, strict=True))
+            _, first = np.unique(branch, return_index=True)
+            leaf[which[first]] = self._add([chunks[i] for i in which[first].tolist()], keys[which[first]], branch[first], depth[first])
+            rest = np.ones(len(which), bool)
+            rest[first] = False
+            which, depth = which[rest], depth[rest]
+            at = self.next.all.ravel()[branch[rest]].astype(np.int64)
+
+    def _add(self, chunks: list[str], keys: np.ndarray, branch: np.ndarray, depth: np.ndarray) -> np.ndarray:
+        """Runs chunks and adds their ways to the tree, behind ``branch`` (_MISSING: as a new root), from their test ``depth`` on."""
+        runs = self.encoder.encode_short(chunks, keys, self.dropout)
+        leaves = self.lengths.n + np.arange(len(chunks))
+        self.starts.add(self.ids.n + np.cumsum(runs.n_ids) - runs.n_ids)
+        self.lengths.add(runs.n_ids)
+        self.ids.add(runs.ids)
+        n = runs.n_tested - depth
+        tests = _slices(np.cumsum(runs.n_tested) - runs.n_tested + depth, n)
+        nodes = self.tested.n + np.arange(len(tests))
         ends = np.cumsum(n)
-        holder = np.repeat(np.arange(len(known)), n)
-        merges = self.merges[np.repeat(self.starts[own] - (ends - n), n) + np.arange(len(holder))]
-        skips = _mixed(keys[which[known]][holder] + merges) < int(self.dropout * _RANGE)
-        holds = np.ones(len(known), bool)
-        holds[holder[skips]] = False
-        for i, k in zip(which[known[holds]].tolist(), own[holds].tolist(), strict=True):
-            out[i] = self.pieces[k]
-        left = np.ones(len(which), bool)
-        left[known[holds]] = False
-        return which[left].tolist()
-
-    def _by_itself(self, flat: list[str], keys: np.ndarray, which: list[int], out: list[list[int]]) -> None:
-        if not which:
-            return
-        ids, merges, starts, counts = self.encoder.encode_with_merges([flat[i] for i in which], keys[which].tolist(), self.dropout)
-        kept, place = [], self.place
-        for j, (i, own, n) in enumerate(zip(which, ids, counts.tolist(), strict=True)):
-            out[i] = own
-            if n >= 0 and flat[i] not in place and len(flat[i]) <= KEEP_LENGTH:
-                place[flat[i]] = len(self.pieces)
-                self.pieces.append(own)
-                kept.append(j)
-        self._keep_merges(merges, starts[kept], counts[kept])
-
-    def _keep_merges(self, merges: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> None:
-        """Takes over the merges of the chunks that were just placed."""
-        ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        k, end = len(self.pieces) - len(counts), self.n_merges + total
-        while len(self.pieces) > len(self.starts):
-            self.starts, self.counts, self.used = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.counts, self.used))
-        while end > len(self.merges):
-            self.merges = np.concatenate([self.merges, np.zeros_like(self.merges)])
-        self.merges[self.n_merges:end] = merges[np.repeat(starts - (ends - counts), counts) + np.arange(total)]
-        self.starts[k:k + len(counts)], self.counts[k:k + len(counts)] = self.n_merges + ends - counts, counts
-        self.n_merges = end
-
-    def _forget(self) -> None:
-        """Starts anew with the chunks that were met again, or with none if they are most."""
-        old = [(c, self.pieces[k], k) for c, k in self.place.items() if self.used[k]]
-        merges, starts, counts = self.merges, self.starts, self.counts
-        self._clear()
-        if len(old) <= KEPT // 2:
-            self.place = {c: k for k, (c, _, _) in enumerate(old)}
-            self.pieces = [ids for _, ids, _ in old]
-            at = np.array([k for _, _, k in old], np.int64)
-            self._keep_merges(merges, starts[at], counts[at])
+        onward = nodes + 1
+        onward[ends[n > 0] - 1] = -2 - leaves[n > 0]
+        after = np.full((len(tests), 2), _MISSING, np.int32)
+        after[np.arange(len(tests)), runs.skipped[tests].astype(np.int8)] = onward
+        entry = np.where(n > 0, self.tested.n + ends - n, -2 - leaves)
+        self.tested.add(runs.tested[tests])
+        self.next.add(after)
+        inner = branch != _MISSING
+        self.next.all.reshape(-1)[branch[inner]] = entry[inner]
+        for k in np.flatnonzero(~inner).tolist():
+            self.roots[chunks[k]] = int(entry[k])
+        return leaves
+
+
+class Grown:
+    """An array that rows are added to; ``all`` is a view of them."""
+
+    def __init__(self, dtype, columns: int | None = None):
+        self.n, self.held = 0, np.zeros((1 << 12,) if columns is None else (1 << 12, columns), dtype)
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.held[:self.n]
+
+    def add(self, rows: np.ndarray) -> None:
+        end = self.n + len(rows)
+        if end > len(self.held):
+            held = np.zeros((max(end, 2 * len(self.held)), *self.held.shape[1:]), self.held.dtype)
+            held[:self.n] = self.all
+            self.held = held
+        self.held[self.n:end] = rows
+        self.n = end
 
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text", name: str = "doc_id", keep: tuple[str, ...] = ("doc_id",),
@@ -383,12 +462,11 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", name: str =
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 raws, names = as_bytes(part.column(0)), as_bytes(part.column(1))
-                texts = [(i, raw.decode()) for i, raw in enumerate(raws) if raw is not None]
-                n, same, flat = [0] * len(raws), [None] * len(raws), []
-                for (i, t), ids in zip(texts, segmenter.encode_many([t for _, t in texts], [names[i] for i, _ in texts]), strict=True):
-                    n[i], same[i] = len(ids), encoder.decode(ids) == t
-                    flat.append(np.array(ids, np.int32))
-                values = np.concatenate(flat) if flat else np.empty(0, np.int32)
+                there = [i for i, raw in enumerate(raws) if raw is not None]
+                values, counts = segmenter.encode_flat([raws[i].decode() for i in there], [names[i] for i in there])
+                n, same = [0] * len(raws), [None] * len(raws)
+                for i, k, back in zip(there, counts.tolist(), encoder.decode_flat(values, counts), strict=True):
+                    n[i], same[i] = k, back == raws[i]
                 offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets, mask=np.array([*[s is None for s in same], False])), pa.array(values))
                 yield pa.record_batch([*[part.column(i + 2) for i in range(len(keep))], lists, pa.array(n, pa.int64()), pa.array(same, pa.bool_())],
