@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, null_first_key, written
+from .common import n_words, null_first_key, numbered_copies, row_places, written
 
 WEIGHTS = (5, 2, 1)
 #: Words of the mix over words of the input, and how often a document may be taken at most.
@@ -42,11 +42,20 @@ def position(seed: int, which: int, *columns: Column) -> Column:
 
 
 def records(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", seed: int = SEED) -> DataFrame:
-    """(doc_id, key, source, size, place): what mixing needs of a row, without its text. ``place`` hashes id and text,
-    so rows of a repeated or null id have places of their own; rows equal in both are taken together."""
-    return docs.select(F.col(doc_id).alias("doc_id"), null_first_key(F.col(source)).alias("key"),
+    """(doc_id, key, source, size, place), written as a table: what mixing needs of a row, without its text. ``place`` hashes id and
+    text, so rows of a repeated or null id have places of their own, and from the second copy on the copy's number, so rows
+    equal in both have too."""
+    rows = docs.select(F.col(doc_id).alias("doc_id"), null_first_key(F.col(source)).alias("key"),
                        F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
-                       position(seed, 0, F.col(doc_id), F.col(text)).alias("place"))
+                       position(seed, 0, F.col(doc_id), F.col(text)).alias("place"), row_places().alias("__at"))
+    rows = written(rows.withColumn("__same", F.xxhash64("place", "key")), "mix-records")
+    return _own_places(numbered_copies(rows, "__same", "__at", "__copy"), "place", seed).drop("__same")
+
+
+def _own_places(rows: DataFrame, place: str, seed: int) -> DataFrame:
+    """Places of their own for copies: rows that are equal in id, text and source are numbered."""
+    moved = F.when(F.col("__copy") == 0, F.col(place)).otherwise(position(seed, 3, F.col(place), F.col("__copy")))
+    return rows.withColumn(place, moved).drop("__copy")
 
 
 def targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST_PASSES) -> DataFrame:
@@ -76,7 +85,7 @@ def targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 
 def _cut(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """``sources`` with ``cut`` (places up to it are in the part pass), ``edge`` (the place after it, whose document is
-    taken in part), ``missing`` (so many words of it) and ``edge_size`` (its words; rows equal in id and text share them).
+    taken in part), ``missing`` (so many words of it) and ``edge_size`` (its words).
 
     Words are summed by block, blocks are run through in order to the one where the part pass ends, and only that
     block's documents are ordered."""
@@ -167,10 +176,15 @@ def _on_edge() -> Column:
     return F.coalesce((F.col("place") == F.col("edge")) & (F.col("missing") > 0), F.lit(False))
 
 
-def assigned(rows: DataFrame, mix: Mix) -> DataFrame:
+def _shuffle_key(seed: int, shard: Column, which: Column, place: Column) -> Column:
+    """The place of a copy in the permuted order of its shard."""
+    return F.xxhash64(F.lit(seed), F.lit(2), shard, which.cast("int"), place)
+
+
+def assigned(rows: DataFrame, mix: Mix, seed: int = SEED) -> DataFrame:
     """``rows`` with source_size, target, ``taken`` (words, repeats counted), ``edge_words`` (those of the part pass that
-    are only a part of the document, else null) and ``shards``: the shard of each of the row's copies, in the order of
-    passes; empty where the mix leaves the row out."""
+    are only a part of the document, else null), ``shards``: the shard of each of the row's copies, in the order of
+    passes, empty where the mix leaves the row out; and ``shuffle_keys``: the copies' places in the order of their shards."""
     r = rows.join(mix.sources.select("key", "source_size", "target", "full", "cut", "edge", "missing", "edge_size", "blocks"), "key")
     r = r.withColumn("copies", (F.col("full") + (_in_part() | _on_edge()).cast("long")).cast("int")).withColumn(
         "block", _block(F.col("place"), F.col("blocks")))
@@ -180,6 +194,7 @@ def assigned(rows: DataFrame, mix: Mix) -> DataFrame:
     r = r.join(by_block, ["key", "block"], "left")
     shards = F.transform(F.slice(F.coalesce("dealt", F.array()), 1, F.greatest(F.col("copies"), F.lit(0))), lambda x: x["shard"])
     r = r.withColumn("shards", F.when(F.col("copies") > 0, shards).otherwise(F.array().cast("array<int>")))
+    r = r.withColumn("shuffle_keys", F.transform("shards", lambda s, i: _shuffle_key(seed, s, i, F.col("place"))))
     taken = F.col("size") * F.size("shards").cast("long")
     return (r.withColumn("taken", F.when(F.col("edge_words").isNotNull(), taken - F.col("size") + F.col("edge_words")).otherwise(taken))
             .drop("full", "cut", "edge", "missing", "edge_size", "blocks", "copies", "dealt", "block"))
@@ -188,22 +203,35 @@ def assigned(rows: DataFrame, mix: Mix) -> DataFrame:
 def drawn(rows: DataFrame, mix: Mix, seed: int = SEED) -> DataFrame:
     """One row for every copy in the mix, with ``pass``, ``shard``, ``words`` (how many of the document's first words the
     copy has: all, but for a source's last document) and ``shuffle_key`` (the order within the shard)."""
-    r = assigned(rows, mix).withColumn("copies", F.size("shards"))
+    r = assigned(rows, mix, seed).withColumn("copies", F.size("shards"))
     r = r.select("*", F.posexplode("shards").alias("pass", "shard"))
     r = r.withColumn("words", F.when(F.col("pass") == F.col("copies") - 1, F.coalesce("edge_words", "size")).otherwise(F.col("size")))
-    return (r.withColumn("shuffle_key", F.xxhash64(F.lit(seed), F.lit(2), "shard", "pass", "place"))
-            .drop("shards", "taken", "edge_words", "copies"))
+    return (r.withColumn("shuffle_key", F.element_at("shuffle_keys", F.col("pass") + 1))
+            .drop("shards", "shuffle_keys", "taken", "edge_words", "copies"))
 
 
 def mix_documents(docs: DataFrame, mix: Mix, text: str = "text", source: str = "source", doc_id: str = "doc_id",
                   seed: int = SEED) -> DataFrame:
-    """``docs`` with each row repeated as often as the mix takes it. Documents stay whole: a source's last one is taken
-    if the mix takes half of it or more. Texts don't move: the choice is an expression over a row and its source's row
-    of the plan."""
-    s = mix.sources.select("full", "cut", "edge", "missing", "edge_size", "key")
+    """``docs`` with each row repeated as often as the mix takes it, in the order of the mix: shard by shard, and in each
+    shard by the copies' shuffle keys. Documents stay whole: a source's last one is taken if the mix takes half of it or
+    more. Which copies a row has and where they go is an expression over the row and its source's row of the plan; then
+    texts are shuffled once, by range of shard and key, so that no range depends on the size of a shard."""
+    quotas = mix.quotas.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("pass", "start", "shard"))).alias("dealt"))  # shards times passes
+    s = mix.sources.select("full", "cut", "edge", "missing", "edge_size", "blocks", "key").join(quotas, "key", "left")
     s = s.toDF(*[f"__{c}" for c in s.columns])
-    r = docs.withColumn("__place", position(seed, 0, F.col(doc_id), F.col(text))).join(s, null_first_key(F.col(source)) == F.col("__key"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    place = position(seed, 0, F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias("__place")
+    r = docs.select(whole, place, null_first_key(F.col(f"`{source}`")).alias("__source")).withColumn("__same", F.xxhash64("__place", "__source"))
+    repeated = written(r.groupBy("__same").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__same"), "repeated-rows")
+    if not repeated.isEmpty():  # only rows that stand more than once are written and numbered
+        several = written(r.join(repeated, "__same", "left_semi").withColumn("__at", row_places()), "repeated-documents")
+        several = _own_places(numbered_copies(several, "__same", "__at", "__copy"), "__place", seed)
+        r = r.join(repeated, "__same", "left_anti").select(*several.columns).unionByName(several)
+    r = r.join(s, F.col("__source") == F.col("__key"))
     edge = F.coalesce((F.col("__place") == F.col("__edge")) & (2 * F.col("__missing") >= F.col("__edge_size")), F.lit(False))
-    r = r.withColumn("__copies", (F.col("__full") + ((F.col("__place") <= F.col("__cut")) | edge).cast("long")).cast("int"))
-    return (r.where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    r = r.withColumn("__copies", (F.col("__full") + ((F.col("__place") <= F.col("__cut")) | edge).cast("long")).cast("int")).where("__copies > 0")
+    r = r.withColumn("__block", _block(F.col("__place"), F.col("__blocks"))).withColumn("__pass", F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)))
+    runs = F.filter("__dealt", lambda x: (x["pass"] == F.col("__pass")) & (x["start"] <= F.col("__block")))
+    r = r.withColumn("__shard", F.element_at(runs, -1)["shard"])
+    r = r.withColumn("__shuffle", _shuffle_key(seed, F.col("__shard"), F.col("__pass"), F.col("__place")))
+    return r.orderBy("__shard", "__shuffle").select("__row.*")

@@ -60,10 +60,8 @@ def op5_piece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and place of every document; sizes of shards nearly equal."""
-    t = F.col("text")
-    rows = written(_documents(spark, sf_dir, "doc_id", "text").select(
-        "doc_id", sharding.record_size(t).alias("size"), F.crc32(F.coalesce(t, F.lit("")).cast("binary")).alias("text_crc32"),
-        sharding.virtual_slot(F.col("doc_id"), t).alias("virtual_slot")), "records")
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32")
+    rows = sharding.slotted(_documents(spark, sf_dir, "doc_id", "text"), [F.col("doc_id"), crc])
     versions = sharding.balanced_map(rows, SHARDS)
     stored = sharding.store_map(spark, sharding.map_path(spark), versions)
     placed = sharding.place(rows, stored.where(F.col("version") == len(versions) - 1).drop("version"), ["doc_id", "text_crc32", "size"])
@@ -72,10 +70,10 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes from every document, and the shards that its copies go to."""
-    rows = written(mixing.records(_documents(spark, sf_dir, "doc_id", "text", "source")), "mix-records")
+    """Words that the mix takes from every document, the shards that its copies go to, and their order within."""
+    rows = mixing.records(_documents(spark, sf_dir, "doc_id", "text", "source"))
     return mixing.assigned(rows, mixing.plan(rows, SHARDS)).select(
-        "doc_id", "size", "source_size", "target", "taken", "source", "shards")
+        "doc_id", "size", "source_size", "target", "taken", "source", "shards", "shuffle_keys")
 
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:

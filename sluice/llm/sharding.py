@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .common import numbered_copies, row_places, written
 
 #: Fixed for the life of a data set: a record's slot never changes, only the slot's shard does.
 SLOTS = 8192
@@ -25,6 +26,16 @@ def virtual_slot(*columns: Column, slots: int = SLOTS) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(slots)).cast("int")
 
 
+def slotted(docs: DataFrame, keep: list[Column], doc_id: str = "doc_id", text: str = "text", slots: int = SLOTS) -> DataFrame:
+    """``keep`` columns of every row, with ``size`` and ``virtual_slot``, written as a table. Rows equal in id and text have
+    slots of their own: the number of the copy enters the hash from the second one on."""
+    t = F.col(text)
+    rows = written(docs.select(*keep, record_size(t).alias("size"), F.xxhash64(F.col(doc_id), t).alias("__hash"), row_places().alias("__at")), "records")
+    rows = numbered_copies(rows, "__hash", "__at", "__copy")
+    hashed = F.when(F.col("__copy") == 0, F.col("__hash")).otherwise(F.xxhash64("__hash", "__copy"))
+    return rows.withColumn("virtual_slot", F.pmod(hashed, F.lit(slots)).cast("int")).drop("__hash", "__copy")
+
+
 def slot_sizes(records: DataFrame) -> DataFrame:
     """(virtual_slot, bytes, rows): what the map is made from, at most one row a slot."""
     return records.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"))

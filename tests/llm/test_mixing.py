@@ -97,7 +97,7 @@ def test_tree_draws_are_hypergeometric(spark):
 
 
 def test_edges(edge, empty):
-    rows = mixing.written(mixing.records(edge), "t")
+    rows = mixing.records(edge)
     plan = mixing.plan(rows, 3, block_words=1000)
     out = mixing.assigned(rows, plan).collect()
     assert len(out) == len(edge_rows())
@@ -105,6 +105,35 @@ def test_edges(edge, empty):
     mixed = mixing.mix_documents(edge, plan)
     assert mixed.columns == edge.columns
     assert 0 <= sum(len(r["shards"]) for r in out) - mixed.count() <= 6
-    none = mixing.written(mixing.records(empty), "t")
+    none = mixing.records(empty)
     plan = mixing.plan(none, 3)
     assert mixing.assigned(none, plan).collect() == [] and mixing.mix_documents(empty, plan).collect() == []
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """A third of 20,000 rows is one row of six words."""
+    i = F.col("id")
+    return spark.range(20_000).select(F.when(i % 3 == 0, 7).otherwise(i).alias("doc_id"),
+                                      F.when(i % 3 == 0, "one text of only six words").otherwise(F.concat_ws(" ", F.array_repeat(i.cast("string"), (i % 9 + 1).cast("int")))).alias("text"),
+                                      F.when(i % 3 == 0, "s0").otherwise(F.concat(F.lit("s"), i % 4)).alias("source"), F.lit(1).alias("shard"))
+
+
+def test_equal_rows_meet_their_target_to_the_word(hot):
+    rows = mixing.records(hot)
+    check(mixing.assigned(rows, mixing.plan(rows, 8, block_words=2000)).collect(), 0)
+
+
+def test_documents_stand_by_shard_and_shuffle_key(hot):
+    rows = mixing.records(hot)
+    plan = mixing.plan(rows, 8, block_words=2000)
+    copies = mixing.drawn(rows, plan)
+    # the stage keeps documents whole: a part copy counts as whole if it has half of the words or more
+    want = Counter(r["doc_id"] for r in copies.where("2 * words >= size").collect())
+    mixed = mixing.mix_documents(hot, plan)
+    assert mixed.columns == hot.columns
+    got = mixed.collect()
+    assert Counter(r["doc_id"] for r in got) == want
+    order = [r["doc_id"] for r in copies.where("2 * words >= size").orderBy("shard", "shuffle_key").collect()]
+    assert [r["doc_id"] for r in got] == order  # shards one after the other, each in its own order
+    assert order != sorted(order)

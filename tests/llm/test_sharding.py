@@ -69,3 +69,34 @@ def test_one_id_in_a_third_of_rows_spreads(spark):
     rows = spark.range(3000).select(F.when(F.col("id") < 1000, 5).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
     n = rows.groupBy(sharding.virtual_slot(F.col("doc_id"), F.col("text"), slots=64).alias("s")).count().agg(F.max("count")).first()[0]
     assert n < 100
+
+
+def test_equal_rows_spread_over_shards(spark):
+    """A third of 20,000 rows is one row: the largest shard stays near the mean, and places have no gaps."""
+    i = F.col("id")
+    docs = spark.range(20_000).select(F.when(i % 3 == 0, 7).otherwise(i).alias("doc_id"),
+                                      F.when(i % 3 == 0, "one text").otherwise(F.concat(F.lit("text "), i)).alias("text"), F.lit("x").alias("size"))
+    rows = sharding.slotted(docs, [F.col("doc_id")])
+    mapping = sharding.map_table(spark, sharding.balanced_map(rows, 40)[1:]).drop("version")
+    placed = sharding.place(rows, mapping, ["doc_id", "size"]).collect()
+    load, places = Counter(), defaultdict(list)
+    for r in placed:
+        load[r["shard"]] += r["size"]
+        places[r["shard"]].append(r["slot"])
+    assert len(placed) == 20_000 and max(load.values()) <= 1.05 * sum(load.values()) / 40
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert max(Counter(r["virtual_slot"] for r in placed).values()) < 30
+
+
+def test_copies_are_numbered_without_large_windows(spark, monkeypatch):
+    from sluice.llm import common
+
+    monkeypatch.setattr(common, "STRETCH", 50)
+    i = F.col("id")
+    rows = common.written(spark.range(0, 3000, 1, 7).select(F.when(i % 3 == 0, 0).when(i % 5 == 0, 1).otherwise(i + 10).alias("k"), common.row_places().alias("at")), "t")
+    got = defaultdict(list)
+    for r in common.numbered_copies(rows, "k", "at", "copy").collect():
+        got[r["k"]].append(r["copy"])
+    assert sum(map(len, got.values())) == 3000 and len(got[0]) == 1000 and all(sorted(c) == list(range(len(c))) for c in got.values())
+    alone = common.written(rows.select("k", "at").where("k > 10"), "u")
+    assert {r["copy"] for r in common.numbered_copies(alone, "k", "at", "copy").collect()} == {0}
