@@ -49,9 +49,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix to the target weights takes it (not at all, once or twice)."""
-    rows = written(mixing.records(docs), "pipeline-mix")
-    return mixing.mix_documents(docs, mixing.plan(rows, SHARDS))
+    """Each document as often as the mix to the target weights takes it (not at all, once or twice), dealt to shards and
+    shuffled within them: rows stand shard by shard, in each by shuffle key."""
+    return mixing.mix_documents(docs, mixing.plan(mixing.records(docs), SHARDS))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
