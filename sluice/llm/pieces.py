@@ -25,13 +25,15 @@ _OWN_BLANK = "\udc81"
 DROPOUT = 0.1
 SEED = 11
 #: Chunks up to this length are kept with their decision trees, so many at most, with so many nodes.
-KEEP_LENGTH, KEPT, NODES = 32, 400_000, 6_000_000
+KEEP_LENGTH, KEPT, NODES = 32, 300_000, 3_000_000
+#: Chunks that are encoded at a time.
+AT_ONCE = 100_000
 #: A branch of a decision tree that no occurrence took yet.
 _MISSING = -1
 #: Chunks above this length have a heap each; up to it, so many go side by side.
-LONG, SIDE_BY_SIDE = 32, 20_000
+LONG, SIDE_BY_SIDE = 32, 10_000
 _RANGE = 1 << 30
-_NONE = 1 << 40
+_NONE = 1 << 30
 _MASK = _RANGE - 1
 
 
@@ -173,14 +175,14 @@ class PieceEncoder:
         code = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         width = int(lengths.max())
         columns = np.arange(width)
-        symbols = np.full((len(chunks), width), -1, np.int64)
+        symbols = np.full((len(chunks), width), -1, np.int32)
         known = self.symbol[code]
         symbols[columns < lengths[:, None]] = np.where(known >= 0, known, -2 - code)
         key, result, row = keys, symbols.copy(), np.arange(len(chunks))
-        place = np.broadcast_to(columns, symbols.shape).copy()
+        place = np.broadcast_to(columns.astype(np.int32), symbols.shape).copy()
         steps = []
         # a column more than there are pairs: no candidate ever stands in it
-        rank, piece = np.full(symbols.shape, _NONE), np.full(symbols.shape, -1)
+        rank, piece = np.full(symbols.shape, _NONE, np.int32), np.full(symbols.shape, -1, np.int32)
         if width > 1:
             rank[:, :-1], piece[:, :-1] = self._look_up(symbols[:, :-1], symbols[:, 1:])
         while len(row):
@@ -194,7 +196,7 @@ class PieceEncoder:
                 if not len(row):
                     break
             taken = piece[each, i]
-            tested = _candidate(place[each, i], taken) & _MASK
+            tested = _candidate(place[each, i].astype(np.int64), taken.astype(np.int64)) & _MASK
             skipped = _mixed(key + tested) < limit
             steps.append((row, tested, skipped))
             rank[each[skipped], i[skipped]] = _NONE
@@ -290,7 +292,8 @@ class PieceEncoder:
     def decode_flat(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The UTF-8 texts of ids in a row, ``counts`` of them a text."""
         size = self.text_size[ids]
-        raw = self.text_bytes[_slices(self.text_start[ids], size)].tobytes()
+        steps = [slice(at, at + AT_ONCE) for at in range(0, len(ids), AT_ONCE)]
+        raw = b"".join(self.text_bytes[_slices(self.text_start[ids[x]], size[x])].tobytes() for x in steps)
         ends = np.cumsum(np.append(0, size))[np.cumsum(np.append(0, counts))].tolist()
         return [raw[a + 1:b] for a, b in pairwise(ends)]
 
@@ -335,10 +338,31 @@ class Segmenter:
         return [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] if texts else []
 
     def encode_flat(self, texts: list[str], names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts in a row, and the number of each text's."""
-        split = [self.encoder.split(t) for t in texts]
-        chunks = list(chain.from_iterable(split))
-        keys = np.concatenate([np.empty(0, np.int64), *[_keys(self.seed, name, len(c)) for name, c in zip(names, split, strict=True)]])
+        """The ids of all texts in a row, and the number of each text's. Chunks are encoded AT_ONCE at a time."""
+        parts, n, chunks, keys, owner = [], np.zeros(len(texts), np.int64), [], [], []
+
+        def flush() -> None:
+            ids, sizes = self._encode(chunks, np.concatenate(keys))
+            parts.append(ids)
+            n[:] += np.bincount(np.repeat([k for k, _ in owner], [m for _, m in owner]), sizes, len(texts)).astype(np.int64)
+            for held in (chunks, keys, owner):
+                held.clear()
+
+        for k, (text, name) in enumerate(zip(texts, names, strict=True)):
+            split = self.encoder.split(text)
+            own = _keys(self.seed, name, len(split))
+            for at in range(0, len(split), AT_ONCE):
+                chunks += split[at:at + AT_ONCE]
+                keys.append(own[at:at + AT_ONCE])
+                owner.append((k, len(keys[-1])))
+                if len(chunks) >= AT_ONCE:
+                    flush()
+        if chunks:
+            flush()
+        return np.concatenate(parts) if parts else np.empty(0, np.int32), n
+
+    def _encode(self, chunks: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks in a row, and the number of each chunk's."""
         leaf, own = np.full(len(chunks), -1, np.int64), {}
         at = np.fromiter(map(self.roots.get, chunks, repeat(_MISSING)), np.int64, len(chunks))
         new: dict[str, int] = {}
@@ -368,11 +392,9 @@ class Segmenter:
                 flat[places[i]:places[i] + len(ids)] = ids
         else:
             flat[:] = self.ids.all[_slices(self.starts.all[leaf], n)]
-        ends = np.cumsum([0, *map(len, split)])
-        total = np.append(places, len(flat))
         if len(self.roots) > KEPT or self.tested.n > NODES:
             self._clear()
-        return flat, np.diff(total[ends])
+        return flat, n
 
     def _walk(self, chunks: list[str], keys: np.ndarray, which: np.ndarray, at: np.ndarray, leaf: np.ndarray) -> None:
         """Sets the leaves of the occurrences ``which``, which stand at the references ``at``."""
