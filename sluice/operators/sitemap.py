@@ -12,15 +12,18 @@ _XML = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "i
 
 def _locs(df: DataFrame, doc_col: str, tag: str, keep: list[str]) -> DataFrame:
     """One row per entry with the text of its first ``<loc>``; each document is parsed once, in any namespace. An entry
-    without a ``<loc>`` text keeps its row, with an error."""
+    without a ``<loc>`` text keeps its row, with an error, and so does a document that is no XML (without a ``pos``). A
+    document without entries, whatever its root, has no rows."""
     parsed = df.select(*keep, F.col(doc_col).alias("_doc"), F.from_xml(
         F.col(doc_col), f"{tag} array<struct<loc array<string>>>, _corrupt_record string", _XML).alias("_x"))
     ok = F.col("_doc").isNotNull() & F.col("_x").isNotNull() & F.col("_x._corrupt_record").isNull()
-    rows = parsed.select(*keep, ok.alias("_ok"), F.posexplode_outer(F.when(ok, F.col(f"_x.{tag}"))).alias("pos", "_entry"))
-    url = F.regexp_replace(F.get(F.col("_entry.loc"), F.lit(0)), r"^\s+|\s+$", "")
-    return rows.select(*keep, (F.col("pos") + 1).alias("pos"), url.alias("url"), F.when(
-        ~F.col("_ok"), F.lit("malformed XML document")).when(
-        F.col("pos").isNotNull() & url.isNull(), F.lit(f"<{tag}> entry without <loc>")).alias("error"))
+    entry = lambda at, url: F.struct(at.cast("int").alias("pos"), url.alias("url"))
+    url = lambda x: F.regexp_replace(F.get(x["loc"], F.lit(0)), r"^\s+|\s+$", "")
+    entries = F.transform(F.col(f"_x.{tag}"), lambda x, i: entry(i + 1, F.when(url(x) != "", url(x))))
+    none = F.array(entry(F.lit(None), F.lit(None).cast("string")))
+    rows = parsed.select(*keep, F.explode(F.when(ok, entries).otherwise(none)).alias("_entry"))
+    return rows.select(*keep, "_entry.pos", "_entry.url", F.when(F.col("_entry.pos").isNull(), F.lit("malformed XML document")).when(
+        F.col("_entry.url").isNull(), F.lit(f"<{tag}> entry without text in <loc>")).alias("error"))
 
 
 def sitemap_index_urls(df: DataFrame, doc_col: str = "doc", keep: list[str] | None = None) -> DataFrame:

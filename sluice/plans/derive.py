@@ -283,6 +283,14 @@ def sitemap_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
                                              F.lit(".xml")).alias("sitemap_url"), doc.alias("doc"))
 
 
+def odd_sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document for every sitemap that isn't one, or has entries without a URL: ``(sitemap_url, doc)``."""
+    no = F.col("sitemap_no")
+    doc = (F.when(no % 4 == 0, F.lit("<urlset/>")).when(no % 4 == 1, F.lit("<html><body><p>not found</p></body></html>"))
+           .when(no % 4 == 2, F.lit("<urlset><url><loc/></url><url><lastmod>2024-01-31</lastmod></url></urlset>")).otherwise(F.lit("<urlset><url><loc>https")))
+    return sitemap_docs(spark, sf_dir).select(F.concat(F.lit("https://www.example.com/odd-"), s("sitemap_no"), F.lit(".xml")).alias("sitemap_url"), doc.alias("doc"))
+
+
 def sitemap_index_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index documents listing 50 sitemaps each: ``(index_no, doc)``."""
     maps = sitemap_docs(spark, sf_dir).select("sitemap_no", "sitemap_url")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.text import url_file_stem
@@ -56,6 +57,26 @@ def q_delimited_export(spark, sf_dir):
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
+@query("export_file_sizes", PART_SQL + """, l AS (SELECT strlen(line) + 1 AS n FROM (SELECT """ + LINE_SQL + """ AS line FROM px))
+SELECT cap, true AS within_cap, true AS filled, (SELECT CAST(sum(n) AS BIGINT) FROM l) + (SELECT count(*) FROM l) // 500 * 3000 AS bytes
+FROM (VALUES (20000), (100000)) v(cap)""")
+def q_export_file_sizes(spark, sf_dir):
+    """Exports under two caps, with a row of 3,000 more bytes in every 500: no file is above its cap, and files are
+    filled: two files of a task that follow each other never fit into one."""
+    src = part_x(spark, sf_dir).repartitionByRange(4, "p_partkey").sortWithinPartitions("p_partkey")
+    wide = src.withColumn("p_note", F.when(F.col("p_partkey") % 500 == 0, F.concat("p_note", F.repeat(F.lit("w"), 3000))).otherwise(F.col("p_note")))
+    out = None
+    for cap in (20_000, 100_000):
+        path = scratch_path(spark, "exports", "capped")
+        X.delimited_export(wide, path, enclosed_by="NONE", escape="\\", max_file_bytes=cap)
+        files = spark.read.format("binaryFile").load(path).select("path", "length").withColumn("task", F.regexp_extract("path", "part-([0-9]+)-", 1))
+        pair = F.col("length") + F.lead("length").over(Window.partitionBy("task").orderBy("path"))
+        one = files.withColumn("pair", pair).agg((F.max("length") <= cap).alias("within_cap"), (F.coalesce(F.min("pair"), F.lit(cap + 1)) > cap).alias("filled"),
+                                                 F.sum("length").alias("bytes")).select(F.lit(cap).alias("cap"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("export_clean_prefix", PART_SQL.replace("ELSE p_name END", "ELSE upper(p_name) END")
        + "SELECT " + LINE_SQL + " AS line FROM px")
 def q_export_clean_prefix(spark, sf_dir):
@@ -193,9 +214,16 @@ def _sitemap_rows(spark, sf_dir):
 
 @query("sitemap_urls", PAGES_SQL + """
 SELECT 'sitemap-' || CAST(sitemap_no AS VARCHAR) AS sitemap, pos, url, '2024-01-31' AS scraped_at,
-       CAST(NULL AS VARCHAR) AS error FROM m""")
+       CAST(NULL AS VARCHAR) AS error FROM m
+UNION ALL
+SELECT 'odd-' || CAST(sitemap_no AS VARCHAR), pos, NULL, '2024-01-31', e
+FROM (SELECT DISTINCT sitemap_no FROM m), (VALUES (2, 1, '<url> entry without text in <loc>'), (2, 2, '<url> entry without text in <loc>'),
+      (3, NULL, 'malformed XML document')) v(kind, pos, e)
+WHERE sitemap_no % 4 = kind""")
 def q_sitemap_urls(spark, sf_dir):
-    return _sitemap_rows(spark, sf_dir).select("sitemap", F.col("pos").cast("long").alias("pos"), "url",
+    """URLs of all sitemaps, and of as many odd ones: without entries, of another root, with entries without text, cut off."""
+    odd = sitemap_urls(derive.odd_sitemaps(spark, sf_dir), "doc", "2024-01-31", source_url_col="sitemap_url")
+    return _sitemap_rows(spark, sf_dir).unionByName(odd).select("sitemap", F.col("pos").cast("long").alias("pos"), "url",
                                                "scraped_at", "error")
 
 

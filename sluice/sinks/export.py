@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,10 +69,36 @@ def enclosed_lines(df: DataFrame, sep: str, quote: str, null_marker: str = "\\N"
     return df.select(F.concat_ws(sep, *cols).alias("value"))
 
 
-def _records_per_file(lines: DataFrame, max_bytes: int) -> int:
-    """So many rows a file that none exceeds the cap: the cap over the bytes of the longest of all rows (one aggregate)."""
-    longest = lines.agg(F.max(F.octet_length("value"))).first()[0] or 0
-    return max(1, max_bytes // (longest + 1))
+def packed(lines: DataFrame, max_bytes: int) -> DataFrame:
+    """``lines(value)`` as texts of several lines, each as many lines as fit into ``max_bytes`` with their line breaks; a longer
+    line stands alone. A task packs its rows as they come, in one pass and without a shuffle; it holds one text at a time, so
+    its memory goes with ``max_bytes``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def text() -> pa.RecordBatch:
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, sum(map(len, held))], pa.int32()), pa.concat_arrays(held)), "\n")
+            return pa.record_batch([joined], names=["value"])
+
+        for batch in batches:
+            column = batch.column(0)
+            ends = np.cumsum(pc.add(pc.binary_length(column), 1).to_numpy(zero_copy_only=False))
+            at = 0
+            while at < len(column):
+                base = int(ends[at - 1]) if at else 0
+                upto = max(at, int(np.searchsorted(ends, base + max_bytes - size, side="right")))
+                if upto == at and held:
+                    yield text()
+                    held, size = [], 0
+                    continue
+                upto = max(upto, at + 1) if not held else upto
+                held.append(column.slice(at, upto - at))
+                size += int(ends[upto - 1]) - base
+                at = upto
+        if held:
+            yield text()
+
+    return lines.mapInArrow(run, "value string")
 
 
 def delimited_export(df: DataFrame, path: str, sep: str = ",", enclosed_by: str | None = None,
@@ -80,8 +110,9 @@ def delimited_export(df: DataFrame, path: str, sep: str = ",", enclosed_by: str
     ``enclosed_by``: None / "NONE" -> fields never enclosed (escaped instead), else the quote
     character of text fields. ``escape`` of files without a quote: unset -> backslash, "NONE" -> never.
     ``overwrite=False`` with files present fails; ``overwrite=True`` clears the
-    prefix first (same order as the reference: delete, then write). Files stay below
-    ``max_file_bytes``; ``single`` writes one file, whatever its size.
+    prefix first (same order as the reference: delete, then write). Files are filled up to
+    ``max_file_bytes`` (a longer row has a file of its own, a task's last file may be smaller);
+    ``single`` writes one file, whatever its size.
     Returns ``(action, rows)``.
     """
     spark = df.sparkSession
@@ -91,10 +122,10 @@ def delimited_export(df: DataFrame, path: str, sep: str = ",", enclosed_by: str
         raise FileExistsError(f"Files already exist at {path}. Use overwrite option to force unloading.")
     out = df.coalesce(1) if single else df
     lines = enclosed_lines(out, sep, enclosed, marker, binary_format) if enclosed else escaped_lines(out, sep, esc, marker, binary_format)
-    per_file = 0 if single else _records_per_file(lines, max_file_bytes)
     obs = Observation(f"export_{uuid.uuid4().hex[:8]}")
-    (lines.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite" if overwrite else "errorifexists")
-     .option("maxRecordsPerFile", per_file).option("compression", "none").text(path))
+    lines = lines.observe(obs, F.count(F.lit(1)).alias("n"))
+    (lines if single else packed(lines, max_file_bytes)).write.mode("overwrite" if overwrite else "errorifexists") \
+        .option("maxRecordsPerFile", 0 if single else 1).option("compression", "none").text(path)
     return spark.createDataFrame([("exported", int(obs.get.get("n", 0)))], "action string, rows bigint")
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import delete_path
+from ..sources.scan import raw_condition
 from . import snapshots
 from .snapshots import Conflict, Snapshot
 
@@ -53,10 +54,8 @@ def slice_date(prop: str, date: str, properties_col: str = "properties") -> Colu
 
 def slice_raw(where: str | None) -> Column:
     """An arbitrary ``WHERE ...`` clause (the keyword is optional); empty means the whole table."""
-    text = (where or "").strip()
-    if text[:6].lower().strip() == "where":
-        text = text[5:].strip()
-    return F.expr(text) if text else F.lit(True)
+    condition = raw_condition(where)
+    return F.lit(True) if condition is None else condition
 
 
 def slice_exists(df: DataFrame, pred: Column) -> bool:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,6 +113,25 @@ def manifest_entries(spark: SparkSession, manifest_path: str) -> DataFrame:
     return m.select(F.explode("entries").alias("e")).select("e.url", "e.mandatory")
 
 
+def _listed(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """``_url`` of every file of the folders, in one listing; folders that don't exist hold none."""
+    none = spark.createDataFrame([], "_url string")
+    if not folders:
+        return none
+    literal = lambda x: re.sub(r"([\\{}\[\]*?,])", r"\\\1", x)
+    parent = os.path.commonprefix([f + "/" for f in folders])
+    parent = parent[:parent.rindex("/") + 1]
+    names = sorted({literal((f + "/")[len(parent):].rstrip("/")) for f in folders})
+    # a pattern need not match everywhere, so a folder that is missing is no error
+    pattern = literal(parent) + ("{" + ",".join(names) + "}" if any(names) else "*")
+    try:
+        return object_inventory(spark, pattern).select(_same_file(F.col("path")).alias("_url")).distinct()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return none
+
+
 def manifest_load(spark: SparkSession, url: str, schema_ddl: str, manifest_name: str = "manifest.json",
                   **delimited_options) -> DataFrame:
     """Load the files listed in ``<url>/manifest.json``; a missing mandatory file is an error.
@@ -119,11 +140,7 @@ def manifest_load(spark: SparkSession, url: str, schema_ddl: str, manifest_name:
     which a scan needs.
     """
     entries = manifest_entries(spark, url.rstrip("/") + "/" + manifest_name).withColumn("_url", _same_file(F.col("url")))
-    folders = [r[0] for r in entries.select(F.regexp_replace("url", "/[^/]*$", "")).distinct().collect()]
-    there = spark.createDataFrame([], "_url string")
-    for folder in folders:
-        there = there.unionByName(object_inventory(spark, folder).select(_same_file(F.col("path")).alias("_url")))
-    there = there.distinct()
+    there = _listed(spark, [r[0] for r in entries.select(F.regexp_replace("url", "/[^/]*$", "")).distinct().collect()])
     missing = entries.where(F.coalesce("mandatory", F.lit(False))).join(there, "_url", "left_anti").select("url").limit(5).collect()
     if missing:
         raise FileNotFoundError(f"mandatory manifest entries are missing: {', '.join(r['url'] for r in missing)}")

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def raw_condition(where: str | None) -> Column | None:
+    """A raw SQL condition; the keyword ``WHERE`` in front is optional. None if there is no text."""
+    text = re.sub(r"(?is)^\s*where(?![\w.`])", "", where or "").strip()
+    return F.expr(text) if text else None
+
+
 def projected_scan(df: DataFrame, columns: list[str], where: str | None = None) -> DataFrame:
     """Columns of a table, optionally filtered by a raw SQL condition (``WHERE`` keyword optional).
 
     The condition and the column list reach the file scan (Parquet pushdown
     and column pruning); no ordering is implied.
     """
-    out = df
-    if where and where.strip():
-        cond = where.strip()
-        if cond.lower().startswith("where"):
-            cond = cond[5:].strip()
-        out = out.where(F.expr(cond))
+    condition = raw_condition(where)
+    out = df if condition is None else df.where(condition)
     return out.select(*columns)

@@ -140,3 +140,11 @@ def test_each_report_has_its_own_header_and_line_breaks(spark, tmp):
     assert [(r["file_path"].rsplit("/", 1)[1], r["line"]) for r in rows.where("malformed").collect()] == [("open.csv", 5)]
     ok = {r["file_path"].rsplit("/", 1)[1]: r["ok"] for r in R.control_total_check(rows, "Count", files=lines).collect()}
     assert ok["one.csv"] and ok["two.csv"]
+
+
+def test_sitemaps_without_entries_have_no_rows(spark):
+    docs = spark.createDataFrame([(1, "<urlset/>"), (2, "<html><p>x</p></html>"), (3, "<urlset><url><loc/></url><url/></urlset>"), (4, None), (5, "<urlset><url><loc> u </loc></url></urlset>")],
+                                 "k int, doc string")
+    got = sorted((r["k"], r["pos"] or 0, r["url"], r["error"]) for r in sitemap_urls(docs, "doc", "d", keep=["k"]).collect())
+    missing = "<url> entry without text in <loc>"
+    assert got == [(3, 1, None, missing), (3, 2, None, missing), (4, 0, None, "malformed XML document"), (5, 1, "u", None)]

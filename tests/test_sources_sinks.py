@@ -286,6 +286,49 @@ def test_export_options(spark, tmp):
     assert len(files) > 4 and sum(1 for f in files for _ in open(f)) == 400
 
 
+def test_one_wide_row_leaves_files_near_the_cap(spark, tmp):
+    import glob
+
+    rows = spark.range(0, 20_000, 1, 2).select("id", F.when(F.col("id") == 7, F.repeat(F.lit("w"), 200_000)).otherwise(F.lit("x")).alias("s"))
+    for cap, most in ((100_000, 6), (1_000_000, 2)):
+        out = f"{tmp}/{cap}"
+        X.delimited_export(rows, out, max_file_bytes=cap)
+        sizes = [os.path.getsize(f) for f in glob.glob(out + "/part-*")]
+        assert len(sizes) <= most and sorted(sizes)[:-1] == [n for n in sorted(sizes)[:-1] if n <= cap]
+        assert max(sizes) <= max(cap, 200_010)
+    got = sorted(int(line.split(",")[0]) for f in glob.glob(tmp + "/100000/part-*") for line in open(f))
+    assert got == list(range(20_000))
+
+
+def test_manifest_lists_all_folders_at_once(spark, tmp):
+    import json
+
+    for folder in ("a", "b,c", "b{d"):
+        os.makedirs(f"{tmp}/m/{folder}")
+        with open(f"{tmp}/m/{folder}/x.csv", "w") as f:
+            f.write("1\n")
+    entry = lambda url, mandatory: {"url": f"{tmp}/m/{url}", "mandatory": mandatory}
+    entries = [entry("a/x.csv", True), entry("b,c/x.csv", True), entry("b{d/x.csv", True), entry("none/x.csv", False)]
+    with open(f"{tmp}/m/manifest.json", "w") as f:
+        json.dump({"entries": entries}, f)
+    from sluice.sources.delimited import _listed
+
+    assert _listed(spark, [f"{tmp}/m/{x}" for x in ("a", "b,c", "b{d", "none")]).count() == 3
+    assert _listed(spark, [f"{tmp}/m/a"]).count() == 1 and _listed(spark, [f"{tmp}/m/none"]).count() == 0
+    with open(f"{tmp}/m/manifest.json", "w") as f:
+        json.dump({"entries": [*entries[:1], entry("none/x.csv", False)]}, f)
+    assert manifest_load(spark, tmp + "/m", "a int").count() == 1
+
+
+def test_raw_conditions(spark):
+    from sluice.sources.scan import projected_scan
+
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "id int, whereabouts string")
+    for text, n in (("whereabouts = 'x'", 1), ("WHERE whereabouts = 'x'", 1), (" where(id > 1)", 1), ("where", 2), ("", 2), (None, 2)):
+        assert projected_scan(df, ["id"], text).count() == n
+        assert df.where(guard.slice_raw(text)).count() == n
+
+
 def test_manifest_missing_mandatory(spark, tmp):
     import json
 
