@@ -27,11 +27,14 @@ SEED = 11
 #: Chunks up to this length are kept with their decision trees, so many at most, with so many nodes.
 KEEP_LENGTH, KEPT, NODES = 32, 300_000, 3_000_000
 #: Chunks that are encoded at a time.
-AT_ONCE = 100_000
+AT_ONCE = 250_000
+_BANDS = np.array([4, 6, 8, 10, 13, 18, 24, 32])
+_SLOT_BITS = 20
+_SLOTS = 1 << _SLOT_BITS
 #: A branch of a decision tree that no occurrence took yet.
 _MISSING = -1
-#: Chunks above this length have a heap each; up to it, so many go side by side.
-LONG, SIDE_BY_SIDE = 32, 10_000
+#: Chunks above this length have a heap each; up to it, so many symbols go side by side, in bands of like length.
+LONG, SIDE_BY_SIDE = 32, 400_000
 _RANGE = 1 << 30
 _NONE = 1 << 30
 _MASK = _RANGE - 1
@@ -85,6 +88,10 @@ class Runs:
         return Runs(self.ids[at], self.n_ids[which], self.tested[tests], self.skipped[tests], self.n_tested[which])
 
 
+def _slot(key: np.ndarray) -> np.ndarray:
+    return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
+
+
 class PieceEncoder:
     """Merges and decoding tables of a BPE model of the ``sentencepiece`` library with byte fallback."""
 
@@ -127,7 +134,16 @@ class PieceEncoder:
         number = self.ids | {c: n + i for i, c in enumerate(self.others)}
         pairs = sorted((number[p[:k]] * (1 << 32) + number[p[k:]], self.rank[p], i) for p, i in self.ids.items()
                        for k in range(1, len(p)) if p[:k] in number and p[k:] in number)
-        self.pairs, self.pair_rank, self.pair_piece = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
+        keys, rank, piece = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
+        by_slot = np.argsort(_slot(keys), kind="stable")
+        self.pairs, self.pair_rank = keys[by_slot], rank[by_slot].astype(np.int32)
+        self.in_slot = np.bincount(_slot(keys), minlength=_SLOTS).astype(np.int8)
+        self.slots = np.minimum(np.cumsum(self.in_slot, dtype=np.int64) - self.in_slot, len(keys) - 1).astype(np.int32)
+        self.pair_piece = piece[by_slot].astype(np.int32)
+        #: The piece of a rank, -1 where several share it.
+        self.piece_of_rank = np.full(len(order), -1, np.int32)
+        self.piece_of_rank[rank] = piece
+        self.piece_of_rank[rank[self.piece_of_rank[rank] != piece]] = -1
         joined = {c for p in self.ids if len(p) > 1 for c in p}
         alone = "".join(c for c in "\n\t\r" if c not in joined) + _OWN_BLANK
         if any(re.search(f"[^{BLANK}]{BLANK}", p) for p in self.ids):
@@ -154,21 +170,46 @@ class PieceEncoder:
         if not chunks:
             return Runs.none()
         lengths = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        band = np.maximum(lengths, 4) if len(chunks) > 1000 else np.maximum(8, 1 << np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64))
+        band = np.searchsorted(_BANDS if len(chunks) > 2000 else _BANDS[-2:], lengths)
         order, parts = np.argsort(band, kind="stable"), []
         edges = np.flatnonzero(np.diff(band[order], prepend=-1))
         for lo, hi in zip(edges, np.append(edges[1:], len(order)), strict=True):
-            for at in range(lo, hi, SIDE_BY_SIDE):
-                rows = order[at:min(hi, at + SIDE_BY_SIDE)]
+            step = max(1, SIDE_BY_SIDE // int(lengths[order[lo:hi]].max()))
+            for at in range(lo, hi, step):
+                rows = order[at:min(hi, at + step)]
                 parts.append(self._side_by_side([chunks[i] for i in rows.tolist()], lengths[rows], keys[rows], dropout))
         return Runs.joined(parts).taken(np.argsort(order, kind="stable"))
 
-    def _look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and piece of every pair of symbols (no candidate: the rank is _NONE)."""
+    def _look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the piece that each pair of symbols joins to (no candidate: _NONE)."""
+        at, hit = self._find(left, right)
+        return np.where(hit, self.pair_rank[at], _NONE)
+
+    def _find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of pairs of symbols in the hash table of the pairs, and whether they are there."""
         key = left.astype(np.int64) * (1 << 32) + right
-        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-        hit = (self.pairs[at] == key) & (left >= 0) & (right >= 0)
-        return np.where(hit, self.pair_rank[at], _NONE), np.where(hit, self.pair_piece[at], -1)
+        slot = _slot(key)
+        at = self.slots[slot]
+        hit = self.pairs[at] == key
+        more = np.flatnonzero(~hit.ravel() & (self.in_slot[slot].ravel() > 1))
+        if len(more):
+            at, hit = at.ravel(), hit.ravel()
+            for k in range(1, int(self.in_slot.max())):
+                own = key.ravel()[more]
+                found = self.pairs[np.minimum(at[more] + k, len(self.pairs) - 1)] == own
+                hit[more[found]] = True
+                at[more[found]] += k
+                more = more[~found]
+            at, hit = at.reshape(key.shape), hit.reshape(key.shape)
+        return at, hit
+
+    def _joined(self, rank: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The pieces of candidates of these ranks; where several pieces share a rank, that of the pair."""
+        piece = self.piece_of_rank[rank]
+        shared = np.flatnonzero(piece < 0)
+        if len(shared):
+            piece[shared] = self.pair_piece[self._find(left[shared], right[shared])[0]]
+        return piece
 
     def _side_by_side(self, chunks: list[str], lengths: np.ndarray, keys: np.ndarray, dropout: float) -> Runs:
         limit = int(dropout * _RANGE)
@@ -182,20 +223,21 @@ class PieceEncoder:
         place = np.broadcast_to(columns.astype(np.int32), symbols.shape).copy()
         steps = []
         # a column more than there are pairs: no candidate ever stands in it
-        rank, piece = np.full(symbols.shape, _NONE, np.int32), np.full(symbols.shape, -1, np.int32)
+        rank = np.full(symbols.shape, _NONE, np.int32)
         if width > 1:
-            rank[:, :-1], piece[:, :-1] = self._look_up(symbols[:, :-1], symbols[:, 1:])
+            rank[:, :-1] = self._look_up(symbols[:, :-1], symbols[:, 1:])
         while len(row):
             each = np.arange(len(row))
             i = rank.argmin(axis=1)
-            going = rank[each, i] != _NONE
+            least = rank[each, i]
+            going = least != _NONE
             if not going.all():
                 result[row[~going]] = symbols[~going]
-                row, key, symbols, place, rank, piece, i = (x[going] for x in (row, key, symbols, place, rank, piece, i))
+                row, key, symbols, place, rank, i, least = (x[going] for x in (row, key, symbols, place, rank, i, least))
                 each = np.arange(len(row))
                 if not len(row):
                     break
-            taken = piece[each, i]
+            taken = self._joined(least, symbols[each, i], symbols[each, i + 1])
             tested = _candidate(place[each, i].astype(np.int64), taken.astype(np.int64)) & _MASK
             skipped = _mixed(key + tested) < limit
             steps.append((row, tested, skipped))
@@ -211,12 +253,12 @@ class PieceEncoder:
             after[:, -1] = -1
             after[n, i] = merged
             symbols[m], place[m] = after, place.ravel()[flat]
-            moved_rank, moved_piece = rank.ravel()[flat], piece.ravel()[flat]
-            moved_rank[:, -1] = _NONE
+            moved = rank.ravel()[flat]
+            moved[:, -1] = _NONE
             for j in (i - 1, i):
                 ok = np.flatnonzero((j >= 0) & (j < width - 1))
-                moved_rank[ok, j[ok]], moved_piece[ok, j[ok]] = self._look_up(after[ok, j[ok]], after[ok, j[ok] + 1])
-            rank[m], piece[m] = moved_rank, moved_piece
+                moved[ok, j[ok]] = self._look_up(after[ok, j[ok]], after[ok, j[ok] + 1])
+            rank[m] = moved
         there = result >= 0
         ids, n_ids = result[there], there.sum(axis=1)
         odd = np.flatnonzero(((result >= self.n_pieces) | (result < -1)).any(axis=1))
