@@ -69,3 +69,28 @@ def test_edges(spark, edge, empty):
     nothing = langid.fit(empty)
     assert nothing.langs == [] and langid.identify(empty, nothing).collect() == []
     assert {r["lang_pred"] for r in langid.identify(edge, nothing).collect()} == {"und"}
+
+
+def test_more_languages_than_a_block_holds(spark, documents, model, monkeypatch):
+    docs = documents.where("length(text) > 50").limit(60)
+    want = {r["doc_id"]: (r["lang_pred"], r["score"], r["mixture"]) for r in langid.identify(docs, model).collect()}
+    monkeypatch.setattr(langid, "BLOCK_LANGUAGES", 3)
+    blocked = langid.fit(documents, learn=~langid.held_out(F.col("doc_id")))
+    assert [b.shape[1] for b in blocked.blocks] == [3, 1] and blocked.langs == model.langs
+    assert {r["doc_id"]: (r["lang_pred"], r["score"], r["mixture"]) for r in langid.identify(docs, blocked).collect()} == want
+
+
+def test_three_hundred_languages(spark):
+    import random
+
+    r = random.Random(3)
+    rows = []
+    for k in range(300):
+        letters = r.sample("abcdefghijklmnopqrstuvwxyzäöüßñç", 7)
+        word = lambda: "".join(r.choice(letters) for _ in range(r.randint(3, 8)))
+        rows += [(k * 2 + i, " ".join(word() for _ in range(150)), f"l{k:03d}") for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert len(model.langs) == 300 and len(model.blocks) == 2
+    got = {x["doc_id"]: x["lang_pred"] for x in langid.identify(df, model).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows) == 600
