@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 from itertools import product
+from operator import or_
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Spellings that license matching treats as equal: written form, canonical form. Applied in this order.
+#: Spellings that license matching treats as equal: written form, canonical form, in canonical text (no punctuation, single blanks). Applied in
+#: this order.
 EQUIVALENT = (
-    ("licence", "license"), ("sub-license", "sublicense"), ("sub license", "sublicense"),
-    ("organisation", "organization"), ("favour", "favor"), ("judgement", "judgment"),
-    ("merchantibility", "merchantability"), ("non-infringement", "noninfringement"), ("non infringement", "noninfringement"),
-    ("copyright owner", "copyright holder"), ("https://", "http://"), ("&", " and "),
+    ("licence", "license"), ("sub license", "sublicense"), ("organisation", "organization"), ("favour", "favor"), ("judgement", "judgment"),
+    ("merchantibility", "merchantability"), ("non infringement", "noninfringement"), ("copyright owner", "copyright holder"), ("https ", "http "),
 )
 
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -176,14 +177,32 @@ KNOWN = (
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form of a text: A-Z folded, lines that begin with a copyright mark and a year or holder left out, equal spellings made
-    one, every run of ASCII punctuation and white space made one blank, none at the ends. Null stays null."""
-    c = F.translate(text, _UPPER, _LOWER)
-    c = F.regexp_replace(c, "(^|\\n)[ \\t]*(copyright[ \\t]*(\\(c\\)|©|:|[0-9]{4}|by )|(\\(c\\)|©)[ \\t]*[0-9]{4})[^\\n]*", "\n")
+#: What stands before a line's words: white space and the signs that comments begin with.
+_LEADER = r"(^|\n)[\x09\x0B-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]*"
+#: Words with which "Copyright" begins a phrase of a licence rather than a notice.
+_PHRASE = "(Holder|Owner|Notice|License|Licence|Law|Act|Statement|Permission)"
+#: Copyright notices, a line each: a mark, a year, "by" or a name follows the word; or a year follows the mark.
+_NOTICE = (_LEADER + r"(?:(?:Portions|portions|PORTIONS)[ \t]+(?:of [a-z ]{1,40} )?)?(?:[Cc]opyright|COPYRIGHT)[ \t]*(?:\([Cc]\)|©|:|[0-9]{4}|[Bb]y |[A-Z][a-z])[^\n]*",
+           _LEADER + r"(?:\([Cc]\)|©)[ \t]*[0-9]{4}[^\n]*")
+#: What becomes a blank: ASCII white space and punctuation, typographic quotes, dashes, dots and blanks.
+_GAP = r"[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E\x{A0}\x{AB}\x{B7}\x{BB}\x{2010}-\x{2015}\x{2018}-\x{201F}\x{2022}\x{2026}\x{FEFF}]+"
+
+
+def canonical(text: Column | str) -> Column:
+    """The canonical form of a text: copyright notices left out, line by line and also behind a comment's signs; A-Z folded; every run of
+    punctuation and white space, and with it comment signs, made one blank, none at the ends; then equal spellings made one, so
+    that a line break inside one doesn't matter. Null stays null."""
+    text = F.col(text) if isinstance(text, str) else text
+    marks = [F.contains(text, F.lit(x)) for x in ("opyright", "OPYRIGHT", "©", "(c)", "(C)")]
+    c = F.regexp_replace(text, f"Copyright {_PHRASE}", "copyright-$1")
+    for notice in _NOTICE:
+        c = F.regexp_replace(c, notice, "\n")
+    c = F.when(reduce(or_, marks), c).otherwise(text)
+    c = F.translate(F.replace(c, F.lit("&"), F.lit(" and ")), _UPPER, _LOWER)
+    c = F.trim(F.regexp_replace(c, _GAP, " "))
     for written_form, form in EQUIVALENT:
         c = F.replace(c, F.lit(written_form), F.lit(form))
-    return F.trim(F.regexp_replace(c, "[\\x09-\\x0D\\x20-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7E]+", " "))
+    return c
 
 
 def digest(text: Column) -> Column:

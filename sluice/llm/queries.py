@@ -169,11 +169,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 def _sql_licenses() -> str:
     def form(x: str) -> str:
-        x = f"translate({x}, '{licenses._UPPER}', '{licenses._LOWER}')"
-        x = rf"regexp_replace({x}, '(^|\n)[ \t]*(copyright[ \t]*(\(c\)|©|:|[0-9]{{4}}|by )|(\(c\)|©)[ \t]*[0-9]{{4}})[^\n]*', chr(10), 'g')"
+        x = f"regexp_replace({x}, 'Copyright {licenses._PHRASE}', 'copyright-\\1', 'g')"
+        for notice in licenses._NOTICE:
+            x = f"regexp_replace({x}, '{notice}', chr(10), 'g')"
+        x = f"translate(replace({x}, '&', ' and '), '{licenses._UPPER}', '{licenses._LOWER}')"
+        x = f"trim(regexp_replace({x}, '{licenses._GAP}', ' ', 'g'))"
         for a, b in licenses.EQUIVALENT:
             x = f"replace({x}, '{a}', '{b}')"
-        return rf"sha256(trim(regexp_replace({x}, '[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+', ' ', 'g')))"
+        return f"sha256({x})"
 
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
     known = ", ".join(f"({', '.join(map(quoted, row))})" for row in licenses.KNOWN)

@@ -39,3 +39,21 @@ def test_edges(edge, empty):
 def test_no_python_in_the_plan(spark, tables):
     plan = queries.op9_license_scan(spark, tables)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|ArrowEval", plan) and F is not None
+
+
+def test_licences_as_source_files_carry_them(spark):
+    mit = licenses._MIT
+    commented = lambda lead, first="", last="": first + "".join(f"{lead}{x}\n" for x in ("Copyright (c) 2020 A. Person", "", *mit.split("\n"))) + last
+    texts = ["Copyright Jane Doe\n" + mit, commented("# "), commented(" * ", "/*\n", " */\n"), commented("// "), commented(";; "), commented("-- "),
+             "Copyright (c) 2001 X\nPortions Copyright (c) 2003 Y\nPortions Copyright Some Body\n" + mit, mit.replace('"Software"', "“Software”").replace('"AS IS"', "“AS IS”"),
+             mit.replace("NONINFRINGEMENT", "NON-\nINFRINGEMENT"), mit.replace("sublicense", "sub  \n license"), mit.replace("and/or", "and&or").replace("and&or", "and/or"),
+             "/* COPYRIGHT: The Authors */\n" + mit, commented("# ").replace("NONINFRINGEMENT", "NON-\n# INFRINGEMENT")]
+    assert scanned(spark, texts) == ["MIT"] * len(texts)
+
+
+def test_wrapped_words_of_a_licence_stay(spark):
+    # lines of a licence that begin with its own words about copyright are no notices
+    mit = licenses._MIT.replace("The above copyright notice", "The above\ncopyright notice").replace("AUTHORS OR\nCOPYRIGHT HOLDERS", "AUTHORS OR\n\nCOPYRIGHT HOLDERS")
+    assert scanned(spark, [mit, mit.replace("copyright notice and", "")]) == ["MIT", None]
+    rows = spark.createDataFrame([("Copyright Holder means you\nx",), ("Copyright Act 1999\nx",), ("copyright 1999\nx",)], "t string")
+    assert [r[0] for r in rows.select(licenses.canonical(F.col("t"))).collect()] == ["copyright holder means you x", "copyright act 1999 x", "x"]
