@@ -27,7 +27,7 @@ SEED = 11
 #: Chunks up to this length are kept with their decision trees, so many at most, with so many nodes.
 KEEP_LENGTH, KEPT, NODES = 32, 300_000, 3_000_000
 #: Chunks that are encoded at a time.
-AT_ONCE = 250_000
+AT_ONCE = 60_000
 _BANDS = np.array([4, 6, 8, 10, 13, 18, 24, 32])
 _SLOT_BITS = 20
 _SLOTS = 1 << _SLOT_BITS
