@@ -10,7 +10,7 @@ from .operators.mapping import flatten_by_mapping
 from .operators.records import (conform, conform_json, error_text, raise_on_errors, record_diff, record_replace,
                                 record_validate, tsv_decode, tsv_encode)
 from .operators.reports import (control_total_check, header_columns, parse_once, parse_response, report_body,
-                                report_file_pick, report_columns, report_layout, report_metadata, report_page_rows, report_rows,
+                                report_file_pick, report_columns, report_layout, report_metadata, report_page_rows, report_records, report_rows,
                                 report_state, report_status, response_ok, settlement)
 from .operators.sitemap import sitemap_index_urls, sitemap_urls
 from .operators.sizing import materialised
@@ -19,9 +19,10 @@ from .operators.sync import (high_water_filter, high_water_update, incremental_s
                              null_split, processed_count, processed_counts, read_mark, unsubscribe_payload, write_mark)
 from .sinks.dated import dated_report_sink, sitemap_sink
 from .sinks.export import delimited_export, export_dir, manifest_write, ndjson_gzip_export
-from .sinks.guard import (guarded_slice_load, slice_date, slice_exists, slice_raw, slice_session, stage_and_swap,
+from .sinks.guard import (guarded_slice_load, read_target, slice_date, slice_exists, slice_present, slice_raw, slice_session, stage_and_swap,
                           swap_overwrite)
 from .sinks.load import landed_load, read_ledger
+from .sinks.snapshots import vacuum
 from .sources.apipages import api_page_links, api_pages_flatten, dangling_pages, page_positions
 from .sources.delimited import delimited_load, manifest_entries, manifest_load
 from .sources.files import file_select, load_once, numbered_lines, object_inventory, selected_files
@@ -29,6 +30,6 @@ from .sources.landing import session_landing, variant_landing
 from .sources.scan import projected_scan
 from .spec import (BooleanField, DateField, DateTimeField, DelimitedStringField, Field, FloatField, IntegerField,
                    RecordSpec, StringField)
-from .streaming.incremental import high_water_stream, load_new_files
+from .streaming.incremental import batch_pack_stream, high_water_stream, load_new_files
 
 __all__ = [n for n in dir() if not n.startswith("_")]

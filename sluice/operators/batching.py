@@ -7,7 +7,8 @@ place is the rank.
 
 Split points are Spark's own, from an unbiased sample of full keys, so any orderable key works, there are as many ranges
 as the data needs, and rows that tie in the leading key are split by the rest of it. They differ between two evaluations;
-as the written table is the only one that is read, every later evaluation and every retry agrees.
+as the written table is the only one that is read, every later evaluation and every retry agrees. The place of a row in the
+input ends the key, so rows that are equal in it are split as well.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizing import materialised
+from .sizing import counted, is_scan, materialised
 
 _POS_BITS = 33  # monotonically_increasing_id = partition_index << 33 | row position
 ROWS_PER_RANGE = 2_000_000
@@ -23,12 +24,20 @@ ROWS_PER_RANGE = 2_000_000
 
 def global_rank(df: DataFrame, order_by: list[str], rank_col: str = "rank",
                 partitions: int | None = None) -> DataFrame:
-    """Add a dense 1-based rank in ``order_by`` order (keys must be unique for a total order)."""
+    """Add a dense 1-based rank in ``order_by`` order (keys should be unique for a total order; a row's place in the input
+    comes last in the key, so equal keys are split too)."""
     spark = df.sparkSession
     keys = [k if isinstance(k, str) else k._jc.toString() for k in order_by]
-    once = materialised(df, "rank-input")  # the sample and the ranges read this, not what made it
-    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-once.count() // ROWS_PER_RANGE))
-    ranged = once.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    if is_scan(df):  # the sample and the ranges read the files
+        once, rows = df, None
+    else:  # they read this, not what made it
+        once, rows = counted(df, "rank-input")
+    n = partitions
+    if n is None:
+        rows = once.count() if rows is None else rows
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_RANGE))
+    once = once.withColumn("_place", F.monotonically_increasing_id())
+    ranged = once.repartitionByRange(n, *keys, "_place").sortWithinPartitions(*keys, "_place").drop("_place")
     part = F.spark_partition_id().cast("long")
     placed = materialised(ranged.select("*", part.alias("_range"), (
         F.monotonically_increasing_id() - F.shiftleft(part, _POS_BITS)).alias("_pos")), "rank-ranges")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.convert import FLOAT_TEXT, INT_TEXT, datetime_digits, python_float_text, strip_ws, variant_kind
 from ..spec import Field, RecordSpec
+from .sizing import materialised
 
 # Validation messages
 MSG_NULL = "The field cannot accept null values"
@@ -92,22 +93,55 @@ def record_replace(df: DataFrame, spec: RecordSpec, errors_col: str = "errors",
     return record_validate(df.withColumns(cols), spec, errors_col)
 
 
+#: Bits of a row's hash that name its node, level by level of the hash tree.
+TREE_BITS = (12, 24)
+
+
+def _node_sums(rows: DataFrame, bits: int) -> DataFrame:
+    """``(_node, _rows, _low, _high)``: per node the number of rows and the sum of their hashes in two halves, whatever their
+    order. Partial sums, so a task sends a row per node."""
+    return rows.groupBy(F.shiftrightunsigned("_h", 64 - bits).alias("_node")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum(F.col("_g").bitwiseAND(F.lit(0xFFFFFFFF))).alias("_low"), F.sum(F.shiftrightunsigned("_g", 32)).alias("_high"))
+
+
+def differing_nodes(a: DataFrame, b: DataFrame, bits: int) -> DataFrame:
+    """The nodes whose rows differ between two sides (``_h``, ``_g``: two hashes of a row), written as a table."""
+    sums = ("_rows", "_low", "_high")
+    both = _node_sums(a, bits).unionByName(_node_sums(b, bits).select("_node", *[(-F.col(c)).alias(c) for c in sums]))
+    total = both.groupBy("_node").agg(*[F.sum(c).alias(c) for c in sums])
+    return materialised(total.where(" or ".join(f"{c} <> 0" for c in sums)).select("_node"), "nodes")
+
+
 def record_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows present on one side only (multiset difference both ways) with a ``side`` column.
 
     Records are equal when field names, order and values are equal; schemas
     are compared first. VARIANT columns are compared through their JSON text.
+
+    Both sides are compared by a hash tree first: sums of row hashes per node, then per finer node below the nodes that
+    differ. Only rows of nodes that differ are shuffled, so two equal tables compare by sums alone. (Two different sets of
+    rows in one node would have to agree in their number and in a 64-bit sum to be missed.)
     """
     if [f.name for f in a.schema.fields] != [f.name for f in b.schema.fields]:
         raise ValueError("records differ in their fields")
+    names = a.columns
 
     def comparable(df):
-        return df.select(*[F.to_json(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "variant"
+        rows = df.select(*[F.to_json(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "variant"
                            else F.col(f.name) for f in df.schema.fields])
-
+        # a hash passes over nulls, so where they stand is hashed too
+        cells = [*[F.col(f"`{c}`") for c in names], *[F.col(f"`{c}`").isNull() for c in names]]
+        return rows.withColumns({"_h": F.xxhash64(F.lit(1), *cells), "_g": F.xxhash64(F.lit(2), *cells)})
+
+    left, right = comparable(a), comparable(b)
+    for bits in TREE_BITS:
+        nodes = differing_nodes(left, right, bits)
+        if nodes.isEmpty():
+            return left.drop("_h", "_g").limit(0).withColumn("side", F.lit("left"))
+        at = F.shiftrightunsigned("_h", 64 - bits) == F.col("_node")
+        left, right = (x.join(nodes, at, "left_semi") for x in (left, right))
     # one shuffle: a row counts +1 on the left and -1 on the right
-    names = a.columns
-    both = comparable(a).withColumn("_n", F.lit(1)).unionByName(comparable(b).withColumn("_n", F.lit(-1)))
+    both = left.select(*names, F.lit(1).alias("_n")).unionByName(right.select(*names, F.lit(-1).alias("_n")))
     extra = both.groupBy(*names).agg(F.sum("_n").alias("_n")).where("_n <> 0")
     return extra.withColumn("side", F.when(F.col("_n") > 0, "left").otherwise("right")).withColumn(
         "_copy", F.explode(F.sequence(F.lit(1), F.abs("_n").cast("int")))).select(*names, "side")

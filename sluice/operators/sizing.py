@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+import uuid
+
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
@@ -13,3 +17,16 @@ def materialised(df: DataFrame, name: str = "side") -> DataFrame:
     path = scratch_path(df.sparkSession, "sides", name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def counted(df: DataFrame, name: str = "side") -> tuple[DataFrame, int]:
+    """:func:`materialised` with the number of rows, observed while they were written."""
+    seen = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    out = materialised(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return out, int(seen.get.get("n", 0))
+
+
+def is_scan(df: DataFrame) -> bool:
+    """True if ``df`` is a file scan with at most projections and filters on top: as cheap to read again as a copy."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return all(re.match(r"[\s:+-]*(Project \[|Filter |Relation \[)", line) for line in plan.strip().split("\n"))

@@ -120,7 +120,11 @@ def _cell(v: Column) -> Column:
 
 
 def data_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One XML data page (50 rows) per row: ``(page_no, doc)``."""
+    """One XML data page (50 rows) per row: ``(page_no, doc)`` (written once)."""
+    return spark.read.parquet(once(spark, sf_dir, "data_pages", lambda p: _data_pages(spark, sf_dir).write.parquet(p)))
+
+
+def _data_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = lineitem_ranked(spark, sf_dir)
     missing = (F.col("page_no") % 9 == 4) & (F.col("row_num") == 1)
     status_cell = F.when(missing, F.lit("<columnData></columnData>")).when(

@@ -266,6 +266,23 @@ def q_rollback_on_error(spark, sf_dir):
     return _read_back(spark, path)
 
 
+@query("slice_index", """
+SELECT strftime(ts, '%Y-%m-%d') AS slice_date, true AS present, 'skipped' AS second_load FROM events GROUP BY 1
+UNION ALL SELECT '2031-01-01', false, 'appended'""")
+def q_slice_index(spark, sf_dir):
+    """An unpartitioned target under an index of its slice key: every day that is there is found, and one that isn't is told
+    by the index alone and loaded."""
+    ev = derive.table(spark, sf_dir, "events").select("event_id", "value", F.date_format("ts", "yyyy-MM-dd").alias("slice_date"))
+    path = scratch_path(spark, "targets", "indexed")
+    guard.guarded_slice_load(spark, path, ev, None, key=("slice_date", None))
+    days = [*[r[0] for r in ev.select("slice_date").distinct().collect()], "2031-01-01"]
+    found = [(d, guard.slice_present(spark, path, "slice_date", d)) for d in days]
+    one = ev.limit(1)
+    loads = {d: guard.guarded_slice_load(spark, path, one.withColumn("slice_date", F.lit(d)), F.col("slice_date") == d, key=("slice_date", d)).first()["action"]
+             for d in (days[0], days[-1])}
+    return spark.createDataFrame([(d, p, loads[days[-1] if d == days[-1] else days[0]]) for d, p in found], "slice_date string, present boolean, second_load string")
+
+
 @query("swap_overwrite", """
 SELECT event_id, event_type, value * 2 AS value_x2 FROM events""")
 def q_swap_overwrite(spark, sf_dir):

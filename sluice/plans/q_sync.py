@@ -226,3 +226,50 @@ def q_projected_scan(spark, sf_dir):
     o = derive.table(spark, sf_dir, "orders")
     return projected_scan(o, ["o_orderkey", "o_custkey", "o_totalprice"],
                           "WHERE o_orderstatus = 'F' AND o_totalprice > 100000")
+
+
+def _order_files(spark, sf_dir):
+    """Orders as they arrive: up to a date, then later ones together with a year of old ones again."""
+    def build(path):
+        o = derive.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+        o.where(F.col("o_orderdate") < "1997-01-01").coalesce(1).write.parquet(path + "/first")
+        o.where(F.col("o_orderdate") >= "1996-01-01").coalesce(1).write.parquet(path + "/second")
+    return derive.once(spark, sf_dir, "order_files", build)
+
+
+_ORDER_DDL = "o_orderkey bigint, o_orderstatus string, o_orderdate timestamp"
+
+
+def _arrived(spark, sf_dir, which):
+    """The rows of one arrival."""
+    return spark.read.schema(_ORDER_DDL).parquet(f"{_order_files(spark, sf_dir)}/{which}")
+
+
+@query("high_water_stream", "SELECT o_orderkey, o_orderstatus, 1 AS times FROM orders")
+def q_high_water_stream(spark, sf_dir):
+    """Two runs of a stream; the second finds a file with a year of old rows. Every order is delivered once."""
+    from ..streaming.incremental import high_water_stream
+
+    inbox, sink, ckpt = (scratch_path(spark, x) for x in ("inbox", "stream_sink", "stream_ckpt"))
+    for which in ("first", "second"):
+        _arrived(spark, sf_dir, which).write.mode("append").parquet(inbox)
+        high_water_stream(spark, inbox, sink, ckpt, "o_orderdate", _ORDER_DDL, key=["o_orderstatus"])
+    return spark.read.parquet(sink).groupBy("o_orderkey", "o_orderstatus").agg(F.count(F.lit(1)).cast("int").alias("times"))
+
+
+@query("batch_pack_stream", """
+WITH o AS (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01' UNION ALL SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01')
+SELECT o_orderkey, count(*) AS times, (SELECT (count(*) + 74) // 75 FROM o) AS batches, (SELECT CAST(count(*) % 75 > 0 AS INTEGER) FROM o) AS short_ones
+FROM o GROUP BY o_orderkey""")
+def q_batch_pack_stream(spark, sf_dir):
+    """Two runs over arriving files: all batches but the very last have 75 rows, and no row is lost or sent twice."""
+    from ..streaming.incremental import batch_pack_stream
+
+    inbox, sink, ckpt = (scratch_path(spark, x) for x in ("inbox", "stream_sink", "stream_ckpt"))
+    for which in ("first", "second"):
+        _arrived(spark, sf_dir, which).write.mode("append").parquet(inbox)
+        batch_pack_stream(spark, inbox, sink, ckpt, sync.LEAD_BATCH_SIZE, ["o_orderkey"], _ORDER_DDL, finish=which == "second", max_files_per_trigger=1)
+    sent = spark.read.parquet(sink)
+    sizes = sent.agg(F.countDistinct("batch").alias("batches"), F.count(F.when(F.col("n") < sync.LEAD_BATCH_SIZE, 1)).cast("int").alias("short_ones")).first()
+    return sent.select(F.explode("rows").alias("r")).groupBy("r.o_orderkey").agg(F.count(F.lit(1)).alias("times")).select(
+        "o_orderkey", "times", F.lit(sizes["batches"]).alias("batches"), F.lit(sizes["short_ones"]).alias("short_ones"))

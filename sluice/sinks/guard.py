@@ -83,8 +83,8 @@ def _write(df: DataFrame, path: str, mode: str, fmt: str) -> int:
 class _New:
     """The rows of a load, written once, whatever the number of attempts to publish them."""
 
-    def __init__(self, spark: SparkSession, path: str, rows: DataFrame, partition_col: str | None, fmt: str):
-        self.spark, self.path, self.frame, self.partition_col, self.fmt = spark, path, rows, partition_col, fmt
+    def __init__(self, spark: SparkSession, path: str, rows: DataFrame, partition_col: str | None, fmt: str, key: str | None = None):
+        self.spark, self.path, self.frame, self.partition_col, self.fmt, self.key = spark, path, rows, partition_col, fmt, key
         self.load, self.rows = None, 0
 
     def schema(self, base: Snapshot | None):
@@ -95,8 +95,16 @@ class _New:
             self.partition_col = self.partition_col or (base.partition_col if base else None)
             self.load, self.rows = snapshots.stage(
                 self.spark, self.path, snapshots.conformed(self.frame, self.schema(base)), self.partition_col, self.fmt)
+            self.index(self.load, self.schema(base))
         return self.load
 
+    def index(self, load: str, schema) -> None:
+        if self.key and not self.partition_col:  # partitions tell their slices by themselves
+            snapshots.index_load(self.spark, self.path, load, schema, self.key, self.fmt)
+
+    def indexed(self, *loads: str) -> dict[str, str]:
+        return dict.fromkeys(loads, self.key) if self.key and not self.partition_col else {}
+
 
 def version_of(snapshot: Snapshot | None) -> int:
     return snapshot.version if snapshot else 0
@@ -122,13 +130,13 @@ def stage_and_swap(spark: SparkSession, result: DataFrame | Callable[[DataFrame
     """Replace the whole table by ``result``: a frame, or a function that makes one of the newest version (called anew if
     another load comes first)."""
     rows = 0
-    fixed = None if callable(result) else _New(spark, path, result, partition_col, fmt)
+    fixed = result if isinstance(result, _New) else None if callable(result) else _New(spark, path, result, partition_col, fmt)
 
     def step(base):
         nonlocal rows
         made = fixed or _New(spark, path, result(None if base is None else snapshots.read(spark, path, base)), partition_col, fmt)
         load, rows = made.staged(None), made.rows
-        return Snapshot(0, fmt, made.schema(None), partition_col, {load: frozenset()}, history), "replaced"
+        return Snapshot(0, fmt, made.schema(None), partition_col, {load: frozenset()}, history, made.indexed(load)), "replaced"
 
     _load(spark, path, fmt, step, made_from)
     return rows
@@ -137,9 +145,9 @@ def stage_and_swap(spark: SparkSession, result: DataFrame | Callable[[DataFrame
 def _appended(base: Snapshot | None, new: _New, history: tuple[str, ...]) -> Snapshot:
     load = new.staged(base)
     if base is None:
-        return Snapshot(0, new.fmt, new.schema(None), new.partition_col, {load: frozenset()}, history)
+        return Snapshot(0, new.fmt, new.schema(None), new.partition_col, {load: frozenset()}, history, new.indexed(load))
     return replace(base, schema=new.schema(base), partition_col=new.partition_col,
-                   loads=base.loads | {load: frozenset()}, history=base.history + history)
+                   loads=base.loads | {load: frozenset()}, history=base.history + history, indexed=base.indexed | new.indexed(load))
 
 
 def _replaced(spark: SparkSession, path: str, base: Snapshot, new: _New, pred: Column, history: tuple[str, ...]) -> Snapshot:
@@ -158,14 +166,32 @@ def _replaced(spark: SparkSession, path: str, base: Snapshot, new: _New, pred: C
         kept, loads = snapshots.read(spark, path, base).where(stays), {}
     if kept is not None:
         own, _ = snapshots.stage(spark, path, snapshots.conformed(kept, schema), new.partition_col, new.fmt)
+        new.index(own, schema)
         loads = loads | {own: frozenset()}
-    return replace(base, schema=schema, loads=loads | {load: frozenset()}, history=base.history + history)
+    loads = loads | {load: frozenset()}
+    indexed = {k: v for k, v in (base.indexed | new.indexed(*loads)).items() if k in loads} if kept is not None or new.key else base.indexed
+    return replace(base, schema=schema, loads=loads, history=base.history + history, indexed=indexed)
+
+
+def _present(spark: SparkSession, path: str, base: Snapshot, pred: Column, key: tuple[str, object] | None) -> bool:
+    """Whether a version has rows of the slice: by its index if there is one for the key, else by a scan."""
+    files = snapshots.candidate_files(spark, path, base, *key) if key and not base.partition_col else None
+    if files is None:
+        return slice_exists(snapshots.read(spark, path, base), pred)
+    return bool(files) and slice_exists(snapshots.read_files(spark, base, files), pred)
+
+
+def slice_present(spark: SparkSession, path: str, key: str, value, fmt: str = "parquet") -> bool:
+    """Whether the table at ``path`` has rows whose ``key`` equals ``value``. A table that was loaded with that key is asked by its
+    index first: an absent slice opens no data file."""
+    base = snapshots.current(spark, path, fmt)
+    return base is not None and _present(spark, path, base, F.col(key) == F.lit(value), (key, value))
 
 
 def guarded_slice_load(spark: SparkSession, path: str, new: DataFrame, pred: Column | None,
                        overwrite: bool = False, truncate: bool = False, check: bool = True,
                        partition_col: str | None = None, fmt: str = "parquet", history: tuple[str, ...] = (),
-                       made_from: int | None = None) -> DataFrame:
+                       made_from: int | None = None, key: tuple[str, object] | None = None) -> DataFrame:
     """Load ``new`` into the target at ``path`` under the slice protocol.
 
     * ``truncate``: the target is emptied first, so the load always proceeds.
@@ -175,15 +201,18 @@ def guarded_slice_load(spark: SparkSession, path: str, new: DataFrame, pred: Col
     * slice absent (or no target): append.
 
     ``history``: ids that the version takes in with the rows. ``made_from``: the version that ``new`` was made from; if the
-    target is at another one, Conflict is raised and nothing is loaded. Returns ``(action, rows)`` with action in skipped | replaced |
+    target is at another one, Conflict is raised and nothing is loaded. ``key``: (column, value) where the slice is one value of a
+    column; the files of an unpartitioned target are then indexed by that column, and whether the slice is there is asked of the
+    index and the few files that it names. Returns ``(action, rows)`` with action in skipped | replaced |
     appended | truncated.
     """
     if truncate:
-        return _status(spark, "truncated", stage_and_swap(spark, new, path, partition_col, fmt, history, made_from))
-    rows = _New(spark, path, new, partition_col, fmt)
+        made = _New(spark, path, new, partition_col, fmt, key[0] if key else None)
+        return _status(spark, "truncated", stage_and_swap(spark, made, path, partition_col, fmt, history, made_from))
+    rows = _New(spark, path, new, partition_col, fmt, key[0] if key else None)
 
     def step(base):
-        if base is None or not check or pred is None or not slice_exists(snapshots.read(spark, path, base), pred):
+        if base is None or not check or pred is None or not _present(spark, path, base, pred, key):
             return _appended(base, rows, history), "appended"
         if not overwrite:
             return None, "skipped"

@@ -8,6 +8,7 @@ pointer. ``vacuum`` removes old versions and such leftovers; loads never delete.
 
 ``<table>/_snapshots/v000000000001.json``           pointer files
 ``<table>/_snapshots/data/__load=<id>/...``         rows of one load
+``<table>/_snapshots/index/__load=<id>/...``        per file of a load: least and greatest slice key, and a Bloom filter
 Data files that lie in ``<table>`` itself, from before its first load, belong to the table until a load replaces them.
 """
 
@@ -19,13 +20,15 @@ import uuid
 from dataclasses import dataclass, field, replace
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import delete_path, path_exists
 
-FOLDER, DATA, LOAD = "_snapshots", "_snapshots/data", "__load"
+FOLDER, DATA, INDEX, LOAD = "_snapshots", "_snapshots/data", "_snapshots/index", "__load"
+#: Bits of a file's Bloom filter (what Spark's bitmap aggregate holds), and bits that a key sets.
+BLOOM_BITS, BLOOM_HASHES = 32_768, 4
 #: The load that stands for files in the table's own folder.
 PLAIN = ""
 
@@ -41,16 +44,19 @@ class Snapshot:
     partition_col: str | None = None
     loads: dict[str, frozenset[str]] = field(default_factory=dict)
     history: tuple[str, ...] = ()
+    #: Loads whose files are indexed, by key column.
+    indexed: dict[str, str] = field(default_factory=dict)
 
     def to_json(self) -> str:
         return json.dumps({"version": self.version, "fmt": self.fmt, "schema": self.schema and json.loads(self.schema.json()),
-                           "partition_col": self.partition_col, "loads": [[k, sorted(v)] for k, v in self.loads.items()], "history": list(self.history)})
+                           "partition_col": self.partition_col, "loads": [[k, sorted(v)] for k, v in self.loads.items()], "history": list(self.history),
+                           "indexed": self.indexed})
 
     @staticmethod
     def from_json(text: str) -> Snapshot:
         d = json.loads(text)
         return Snapshot(d["version"], d["fmt"], d["schema"] and T.StructType.fromJson(d["schema"]), d["partition_col"],
-                        {k: frozenset(v) for k, v in d["loads"]}, tuple(d["history"]))
+                        {k: frozenset(v) for k, v in d["loads"]}, tuple(d["history"]), d.get("indexed", {}))
 
 
 class Conflict(RuntimeError):
@@ -97,6 +103,11 @@ def current(spark: SparkSession, path: str, fmt: str = "parquet") -> Snapshot |
     return Snapshot(0, fmt, spark.read.format(fmt).load(path).schema, None, {PLAIN: frozenset()})
 
 
+def at(spark: SparkSession, path: str, version: int) -> Snapshot:
+    """An earlier version that ``vacuum`` has not removed."""
+    return Snapshot.from_json(_read_text(spark, _pointer(path, version)))
+
+
 def _published(spark: SparkSession, path: str, version: int, text: str) -> bool:
     """Create the pointer of ``version``; False if it exists. The text is written aside and put in place whole, by a link
     on local disks and else by the file system's rename without overwrite, which HDFS does in one step."""
@@ -143,6 +154,44 @@ def stage(spark: SparkSession, path: str, rows: DataFrame, partition_col: str |
     return load, int(obs.get.get("n", 0))
 
 
+def _bits(key: Column) -> list[Column]:
+    """The places of a key in a Bloom filter."""
+    return [F.pmod(F.xxhash64(F.lit(i), key), F.lit(BLOOM_BITS)) for i in range(BLOOM_HASHES)]
+
+
+def index_load(spark: SparkSession, path: str, load: str, rows_schema: T.StructType, key: str, fmt: str) -> None:
+    """Write the index of a load's files: ``(file, least, greatest, bloom)`` over the text of ``key``. Keys that repeat in a file are
+    counted once before they set bits; a file with very many keys has a full filter, which excludes nothing."""
+    folder = f"{path.rstrip('/')}/{DATA}/{LOAD}={load}"
+    keys = (spark.read.format(fmt).schema(rows_schema).load(folder).select(F.col("_metadata.file_path").alias("file"), F.col(key).cast("string").alias("key"))
+            .where("key is not null").distinct())
+    bits = keys.select("file", F.explode(F.array(*_bits(F.col("key")))).alias("bit")).groupBy("file").agg(F.bitmap_construct_agg("bit").alias("bloom"))
+    ends = keys.groupBy("file").agg(F.min("key").alias("least"), F.max("key").alias("greatest"))
+    ends.join(bits, "file").write.parquet(f"{path.rstrip('/')}/{INDEX}/{LOAD}={load}")
+
+
+def candidate_files(spark: SparkSession, path: str, snapshot: Snapshot, key: str, value) -> list[str] | None:
+    """The files that may hold rows whose ``key`` equals ``value``, by the index alone: none means that the slice is absent. None if a
+    load of the version is not indexed by that key. The names of files that a scan of one slice needs."""
+    if not all(snapshot.indexed.get(load) == key for load in snapshot.loads) or any(snapshot.loads.values()):
+        return None
+    if not snapshot.loads:
+        return []
+    root = f"{path.rstrip('/')}/{INDEX}"
+    rows = spark.read.schema("file string, least string, greatest string, bloom binary").parquet(*[f"{root}/{LOAD}={load}" for load in snapshot.loads])
+    text = F.lit(value).cast("string")
+    hit = (F.col("least") <= text) & (F.col("greatest") >= text)
+    for bit in _bits(text):
+        byte = F.conv(F.hex(F.substring("bloom", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        hit = hit & (F.floor(byte / F.pow(F.lit(2), bit % 8)) % 2 == 1)
+    return [r[0] for r in rows.where(hit).select("file").collect()]
+
+
+def read_files(spark: SparkSession, snapshot: Snapshot, files: list[str]) -> DataFrame:
+    """The rows of some files of an unpartitioned version."""
+    return spark.read.format(snapshot.fmt).schema(snapshot.schema).load(files) if files else spark.createDataFrame([], snapshot.schema)
+
+
 def _folder(partition_col: str | None):
     return F.regexp_extract(F.col("_metadata.file_path"), f"/({partition_col}=[^/]*)/", 1) if partition_col else F.lit("")
 
@@ -209,7 +258,7 @@ def vacuum(spark: SparkSession, path: str, keep: int = 1, older_than_s: float =
     kept, limit = versions[-max(1, keep):], (time.time() - older_than_s) * 1000
     named = {f"{LOAD}={x}" for v in kept for x in Snapshot.from_json(_read_text(spark, _pointer(path, v))).loads}
     gone = [_pointer(path, v) for v in versions if v not in kept]
-    gone += [f"{root}/{DATA}/{n}" for n, at in children(spark, f"{root}/{DATA}") if n not in named and at <= limit]
+    gone += [f"{root}/{part}/{n}" for part in (DATA, INDEX) for n, at in children(spark, f"{root}/{part}") if n not in named and at <= limit]
     for x in gone:
         delete_path(spark, x)
     return [x.rsplit("/", 1)[1] for x in gone]

@@ -94,3 +94,27 @@ def test_raise_on_errors(spark):
         checked.collect()
     good = spark.createDataFrame([('{"id":1,"name":"a","x":1,"ok":true,"t":"2020-01-01T00:00:00Z"}',)], "j string")
     assert rec.raise_on_errors(rec.conform_json(good, "j", SPEC)).count() == 1
+
+
+def test_flatten_by_mapping_edges(spark):
+    from sluice.spec import DateTimeField as When
+
+    spec = RecordSpec(IntegerField("i"), FloatField("f"), BooleanField("b"), StringField("s"), When("t"), StringField("u"))
+    mapping = {"root.a.i": "i", "root.f": "f", "root.f2": "f", "root.b": "b", "root.s.t": "s", "root.when": "t", "root.u": "u"}
+    docs = [('{"A":{"I":"12"},"F":"x","f2":1,"b":"","s":{"T":true},"when":"2020-01-02T03:04:05Z"}', (12, 1.0, False, "True", dt.datetime(2020, 1, 2, 3, 4, 5), None)),
+            ('{"f":2.5,"f2":"bad","b":0.0,"a.i":7,"s.t":3.0,"when":"2020-01-02"}', (7, 2.5, False, "3.0", None, None)),  # dots in keys; a failed float keeps, a failed time clears
+            ('{"a":{"i":1},"A":{"i":2},"s":{"t":1e21},"b":[1],"u":null}', (2, None, None, "1e+21", None, None)),
+            ('{"a":{"i":9223372036854775808},"f":true,"u":"\\ud800x"}', (None, 1.0, None, None, None, "?x")),
+            ('[1]', (None,) * 6), ('{"a":', (None,) * 6), (None, (None,) * 6), ('{"a":{"i":-3.9},"f":" 1e3 ","u":"tab\\t"}', (-3, 1000.0, None, None, None, "tab\\t"))]
+    df = spark.createDataFrame([(n, d) for n, (d, _) in enumerate(docs)], "n int, j string").withColumn("v", F.parse_json(F.lit('{"k":1}')))
+    rows = flatten_by_mapping(df, "j", mapping, spec, {"u": F.lit("calc")} if False else None, keep=["n", "v"]).orderBy("n").collect()
+    for r, (_, want) in zip(rows, docs, strict=True):
+        assert tuple(r[c] for c in spec.names) == want
+    assert rows[0]["v"].toPython() == {"k": 1}
+
+
+def test_flatten_by_mapping_parses_each_document_once(spark, monkeypatch):
+    from sluice.operators import mapping as M
+
+    plan = flatten_by_mapping(spark.createDataFrame([('{"a":1}',)], "j string"), "j", {"root.a": "n"}, RecordSpec(IntegerField("n")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "from_json" not in plan and "parse_json" not in plan and M.ROOT == "root"

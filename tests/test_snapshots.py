@@ -200,3 +200,31 @@ def test_swap_finishes_what_a_lost_driver_began(spark, tmp):
     assert [tuple(r) for r in spark.table("swap_lost").collect()] == [(1, "a")]
     guard.swap_overwrite(spark, base.withColumn("k", F.lit("b")), "swap_lost", tmp + "/tables")
     assert [tuple(r) for r in spark.table("swap_lost").collect()] == [(1, "b")]
+
+
+def test_an_absent_slice_is_told_by_the_index_alone(spark, tmp, monkeypatch):
+    path = tmp + "/t"
+    day = lambda d: F.col("day") == d
+    for n in range(4):  # four loads of many days each, one file a load
+        some = spark.createDataFrame([(f"d{n}{i:02d}", "v", i) for i in range(0, 60, 2)] * 3, DDL).coalesce(1)
+        guard.guarded_slice_load(spark, path, some, day(f"d{n}00"), key=("day", f"d{n}00"))
+    snapshot = snapshots.current(spark, path)
+    for n in range(4):
+        for i in range(0, 60, 2):
+            assert len(snapshots.candidate_files(spark, path, snapshot, "day", f"d{n}{i:02d}")) == 1 if i in (0, 20, 58) else True
+    scanned = []
+    real = guard.slice_exists
+    monkeypatch.setattr(guard, "slice_exists", lambda df, pred: (scanned.append(df.inputFiles()), real(df, pred))[1])
+    absent = [d for d in ("d001", "d133", "c", "e", "d259") if not guard.slice_present(spark, path, "day", d)]
+    assert absent == ["d001", "d133", "c", "e", "d259"] and scanned == []
+    assert guard.slice_present(spark, path, "day", "d320") and len(scanned) == 1 and len(scanned[0]) == 1
+    new = spark.createDataFrame([("d320", "v", 100)], DDL)
+    assert guard.guarded_slice_load(spark, path, new, day("d320"), key=("day", "d320")).first()["action"] == "skipped"
+    assert guard.guarded_slice_load(spark, path, new, day("d320"), overwrite=True, key=("day", "d320")).first()["action"] == "replaced"
+    assert guard.slice_present(spark, path, "day", "d320") and not guard.slice_present(spark, path, "day", "d321")
+    assert guard.read_target(spark, path).where(day("d320")).count() == 1 and guard.read_target(spark, path).count() == 4 * 90 - 3 + 1
+    guard.guarded_slice_load(spark, path, new, None)  # a load without the key: the index no longer tells all
+    assert snapshots.candidate_files(spark, path, snapshots.current(spark, path), "day", "x") is None
+    assert not guard.slice_present(spark, path, "day", "x")
+    guard.guarded_slice_load(spark, path, new, None, truncate=True, key=("day", "d320"))
+    assert snapshots.candidate_files(spark, path, snapshots.current(spark, path), "day", "d000") == []
