@@ -206,7 +206,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", keep: tuple[str
                 seq += 1
                 own = batch.column(1).slice(begin, n)
                 yield pa.record_batch([pa.array([name] * n, pa.int64()), pa.array(range(n), pa.int32()), own, pa.array(block.n_bytes, pa.int64()),
-                                       pa.array(block.single, pa.int64()), pa.array([name % parts] * n, pa.int32()), none(n, pa.int32()), none(n, pa.binary()),
+                                       pa.array(block.single, pa.int64()), pa.array([(seq + k) % parts for k in range(n)], pa.int32()), none(n, pa.int32()), none(n, pa.binary()),
                                        none(n, pa.int32()), none(n, pa.binary())], names=names)
                 for p, n_texts, texts, n_often, often in block.parts(parts):
                     yield pa.record_batch([pa.array([name], pa.int64()), none(1, pa.int32()), none(1, own.type), none(1, pa.int64()), none(1, pa.int64()),
@@ -254,7 +254,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", keep: tuple[str
         return pa.table([*fields[1:], documents["n_bytes"], pa.array(total[at])], names=[*keep, "n_bytes", "n_tokens"])
 
     names, back = [f.name for f in [*of_document, *of_part]], [*[f.name for f in of_document], "n", "sums"]
-    dealt = kept.mapInArrow(split, T.StructType([*of_document, *of_part])).repartition(parts, "part")
+    dealt = kept.mapInArrow(split, T.StructType([*of_document, *of_part])).repartitionById(parts, F.col("part"))
     summed = dealt.mapInArrow(count, T.StructType([*of_document, T.StructField("n", T.IntegerType()), T.StructField("sums", T.BinaryType())]))
     return summed.groupBy("block").applyInArrow(added, T.StructType([*kind.fields[1:], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())]))
 

@@ -51,3 +51,26 @@ def test_edges_and_small_cache(edge, empty, library, monkeypatch):
 def test_other_tokenizers_are_refused():
     with pytest.raises(ValueError):
         tokencount.PieceCounter(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_many_blocks_and_a_hot_pre_token(spark, library, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(tokencount, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(tokencount, "KEPT", 50)
+    i = F.col("id")
+    docs = spark.range(0, 1200, 1, 3).select((i % 1000).alias("doc_id"), F.concat_ws(" ", F.lit("xqzzkwort xqzzkwort"), F.concat(F.lit("w"), i % 97, F.lit("gk")), F.lit("the")).alias("text"))
+    rows = tokencount.count_tokens(docs, PATH, keep=("doc_id", "text")).collect()
+    assert len(rows) == 1200
+    counts = {}
+    for r in rows:
+        assert r["n_tokens"] == counts.setdefault(r["text"], count(library, r["text"]))
+
+
+def test_packed_numbers_come_back():
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    for n in (1, 3, 4, 5, 1000):
+        x = (r.integers(0, 2 ** 32, n) >> r.integers(0, 32, n)).astype(np.int64)
+        assert tokencount.unpacked(tokencount.packed(x), n).tolist() == x.tolist()
