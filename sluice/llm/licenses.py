@@ -174,7 +174,8 @@ KNOWN = (
     *_whole_texts(), ("Apache-2.0", "notice", _APACHE_NOTICE), ("LicenseRef-reserved", "notice", "All rights reserved."), *_line_notices(),
 )
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TYPOGRAPHIC = "\u00a0«·»\u2010\u2011\u2012\u2013\u2014\u2015\u2018\u2019\u201a\u201b\u201c\u201d\u201e\u201f\u2022\u2026\ufeff"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _TYPOGRAPHIC, "abcdefghijklmnopqrstuvwxyz" + " " * len(_TYPOGRAPHIC)
 
 
 #: What stands before a line's words: white space and the signs that comments begin with.
@@ -184,8 +185,8 @@ _PHRASE = "(Holder|Owner|Notice|License|Licence|Law|Act|Statement|Permission)"
 #: Copyright notices, a line each: a mark, a year, "by" or a name follows the word; or a year follows the mark.
 _NOTICE = (_LEADER + r"(?:(?:Portions|portions|PORTIONS)[ \t]+(?:of [a-z ]{1,40} )?)?(?:[Cc]opyright|COPYRIGHT)[ \t]*(?:\([Cc]\)|©|:|[0-9]{4}|[Bb]y |[A-Z][a-z])[^\n]*",
            _LEADER + r"(?:\([Cc]\)|©)[ \t]*[0-9]{4}[^\n]*")
-#: What becomes a blank: ASCII white space and punctuation, typographic quotes, dashes, dots and blanks.
-_GAP = r"[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E\x{A0}\x{AB}\x{B7}\x{BB}\x{2010}-\x{2015}\x{2018}-\x{201F}\x{2022}\x{2026}\x{FEFF}]+"
+#: What becomes a blank: ASCII white space and punctuation (typographic quotes, dashes, dots and blanks are folded to a blank before).
+_GAP = r"[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"
 
 
 def canonical(text: Column | str) -> Column:
