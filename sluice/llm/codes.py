@@ -17,8 +17,8 @@ from .topk import scaled, usable
 
 PARTS, ENTRIES, ROUNDS, FACTOR = 8, 16, 6, 4096
 MOST = 2 ** 63 - 1
-#: Rows that one matrix product takes.
-TILE = 8192
+#: Rows that one matrix product takes, and rows of least ids that are looked at first for the codebooks' beginning.
+TILE, FIRST = 8192, 512
 
 
 def largest(x: np.ndarray) -> int:
@@ -129,8 +129,15 @@ def first_books(rows: DataFrame) -> dict[int, np.ndarray]:
     dims = [r[0] for r in rows.select(F.size("v")).distinct().collect()]
     books = {}
     for d in sorted(dims):
-        own = rows.where(F.size("v") == d).groupBy("__id").agg(F.min("v").alias("v")).orderBy(F.asc_nulls_last("__id")).limit(ENTRIES).select("v").collect()
-        books[d] = np.array([r["v"] for r in own], np.int64).reshape(len(own), PARTS, d // PARTS).swapaxes(0, 1).copy()
+        of_dim = rows.where(F.size("v") == d).select("__id", "v")
+        order = (F.asc_nulls_last("__id"), F.asc("v"))
+        least = {}
+        for r in (top := of_dim.orderBy(*order).limit(FIRST).collect()):
+            least.setdefault(r["__id"], r["v"])
+        if len(least) < ENTRIES and len(top) == FIRST:  # few ids in very many rows
+            least = dict(map(tuple, of_dim.groupBy("__id").agg(F.min("v").alias("v")).orderBy(*order).limit(ENTRIES).collect()))
+        own = list(least.values())[:ENTRIES]
+        books[d] = np.array(own, np.int64).reshape(len(own), PARTS, d // PARTS).swapaxes(0, 1).copy()
     return books
 
 

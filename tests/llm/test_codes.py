@@ -58,10 +58,13 @@ def vectors(n, dim, seed, scale=0.2):
 
 def test_matches_brute_force(spark, monkeypatch):
     monkeypatch.setattr(codes, "TILE", 37)
+    monkeypatch.setattr(codes, "FIRST", 40)
     assert run(spark, vectors(300, 16, 1)) == brute(vectors(300, 16, 1))
 
 
-def test_hot_vector_and_ties(spark):
+@pytest.mark.parametrize("first", [10, 512])
+def test_hot_vector_and_ties(spark, monkeypatch, first):
+    monkeypatch.setattr(codes, "FIRST", first)
     rows = vectors(120, 8, 2)
     rows += [(1000 + i, rows[3][1], 1) for i in range(60)] + [rows[5]] * 4  # a third is one vector, one row stands five times
     rows += [(2000, [0.0] * 8, 2), (2001, [-1.0 / 4096] * 8, 2)]  # between two entries as near as each other
