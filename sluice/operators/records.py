@@ -24,6 +24,7 @@ MSG_NAIVE = "The value is a naive datetime."
 MSG_NOT_UTC = "The value must use UTC timezone."
 MSG_PRE_1900 = "The value must be a date after 1900."
 MSG_NOT_FLOAT = "The value is not a floating point number"
+UNKNOWN_FIELDS, REQUIRED_FIELDS = "Unknown fields specified: ", "Required fields not specified: "
 MSG_ARITY = "The length of the tuple of strings must exactly match the number of fields in the Record"
 HIVE_NULL = "\\N"
 DELIMITED_SEP = "\x00"
@@ -77,10 +78,10 @@ def conform(df: DataFrame, spec: RecordSpec, sparse: bool = False) -> DataFrame:
     error unless ``sparse`` (then they are typed NULLs). Schema-level, checked before running."""
     unknown = [c for c in df.columns if c not in spec.names]
     if unknown:
-        raise TypeError("Unknown fields specified: " + ", ".join(unknown))
+        raise TypeError(UNKNOWN_FIELDS + ", ".join(unknown))
     missing = [n for n in spec.names if n not in df.columns]
     if missing and not sparse:
-        raise TypeError("Required fields not specified: " + ", ".join(missing))
+        raise TypeError(REQUIRED_FIELDS + ", ".join(missing))
     return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.spark_type).alias(f.name)
                        for f in spec.fields])
 
@@ -89,7 +90,7 @@ def record_replace(df: DataFrame, spec: RecordSpec, errors_col: str = "errors",
     """Same rows with some fields overridden, then re-validated."""
     bad = [k for k in cols if k not in spec.names]
     if bad:
-        raise TypeError("Unknown fields specified: " + ", ".join(bad))
+        raise TypeError(UNKNOWN_FIELDS + ", ".join(bad))
     return record_validate(df.withColumns(cols), spec, errors_col)
 
 
@@ -213,11 +214,11 @@ def conform_json(df: DataFrame, json_col: str, spec: RecordSpec, sparse: bool =
     row_errs = [
         F.when(F.col("_bad"), F.struct(F.lit("*").alias("field"), F.lit("not a JSON object").alias("message"))),
         F.when(F.size(unknown) > 0, F.struct(F.lit("*").alias("field"), F.concat(
-            F.lit("Unknown fields specified: "), F.array_join(unknown, ", ")).alias("message"))),
+            F.lit(UNKNOWN_FIELDS), F.array_join(unknown, ", ")).alias("message"))),
     ]
     if not sparse:
         row_errs.append(F.when(F.size(missing) > 0, F.struct(F.lit("*").alias("field"), F.concat(
-            F.lit("Required fields not specified: "), F.array_join(missing, ", ")).alias("message"))))
+            F.lit(REQUIRED_FIELDS), F.array_join(missing, ", ")).alias("message"))))
     kinds = fields.select(*keep, "_bad", "_keys", *[F.col(f"_v{i}") for i in range(len(spec.fields))],
                           *[variant_kind(F.col(f"_v{i}")).alias(f"_k{i}") for i in range(len(spec.fields))])
     values, field_errs = [], []

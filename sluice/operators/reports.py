@@ -20,6 +20,9 @@ PREAMBLE_LINES = 3
 # API response codes
 SUCCESS_CODE = 100
 STATUS_CREATED, STATUS_EXECUTING, STATUS_COMPLETE = 1, 2, 3
+# Error texts that users match on
+MISSING_ELEMENT = 'The required element "%s" was not found in the API response'
+NO_BODY = 'Unable to find a valid response body, must be either "runReportResponse" or "getResultsResponse".'
 # Settlement record fields, in order
 SETTLEMENT_FIELDS = [
     "transaction_id", "time", "type", "tender_type", "account_number", "expires", "amount",
@@ -115,9 +118,9 @@ def report_rows(lines: DataFrame, columns: list[str], layout: DataFrame | None =
 
 
 def report_body(rows: DataFrame, report_date, columns: list[str]) -> DataFrame:
-    """Body rows (``CH = 'SB'``, also those after the footer) stamped with ``report_date``."""
+    """Body rows (``CH = 'SB'``, also those after the footer) stamped with ``report_date``; ``malformed`` stays if it is there."""
     return rows.where(F.col(ROW_TYPE_COL) == BODY).select(
-        "file_path", "line", *columns, _col(report_date).alias("report_date"))
+        "file_path", "line", *columns, _col(report_date).alias("report_date"), *[c for c in ("malformed",) if c in rows.columns])
 
 
 def control_total_check(rows: DataFrame, check_col: str, file_col: str = "file_path",
@@ -198,7 +201,7 @@ def parse_response(xml) -> Column:
 
 
 def _missing(name: str) -> Column:
-    return F.lit(f'The required element "{name}" was not found in the API response')
+    return F.lit(MISSING_ELEMENT % name)
 
 
 def _int_text(c: Column) -> Column:
@@ -226,8 +229,7 @@ def report_status(r) -> Column:
     """``struct<report_id, status_code, status_message, error>`` from a run or results response."""
     r = _col(r)
     body = F.coalesce(r["runReportResponse"], r["getResultsResponse"]["Results"])
-    error = (F.when(body.isNull(), F.lit('Unable to find a valid response body, must be either '
-                                         '"runReportResponse" or "getResultsResponse".'))
+    error = (F.when(body.isNull(), F.lit(NO_BODY))
              .when(body["reportId"].isNull(), _missing("reportId"))
              .when(body["statusCode"].isNull(), _missing("statusCode"))
              .when(body["statusMsg"].isNull(), _missing("statusMsg"))

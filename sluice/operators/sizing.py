@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -19,11 +19,17 @@ def materialised(df: DataFrame, name: str = "side") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(df: DataFrame, name: str, **measures: Column) -> tuple[DataFrame, dict]:
+    """:func:`materialised` with aggregates of its rows, taken while they were written."""
+    seen = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
+    out = materialised(df.observe(seen, *[c.alias(k) for k, c in measures.items()]), name)
+    return out, seen.get
+
+
 def counted(df: DataFrame, name: str = "side") -> tuple[DataFrame, int]:
-    """:func:`materialised` with the number of rows, observed while they were written."""
-    seen = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    out = materialised(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
-    return out, int(seen.get.get("n", 0))
+    """:func:`materialised` with the number of rows."""
+    out, seen = observed(df, name, n=F.count(F.lit(1)))
+    return out, int(seen.get("n") or 0)
 
 
 def is_scan(df: DataFrame) -> bool:

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.sizing import materialised
+from ..operators.sizing import materialised, observed
 
 #: States at the start of a line.
 START, QUOTED, PLAIN = 0, 1, 2
@@ -202,11 +202,11 @@ def shared_lines(lines: DataFrame) -> DataFrame | None:
     """``(_file, _line, _first, _bad)``: the lines of :func:`classified` that don't make a record by themselves, with their record's
     first line; ``_bad`` if its quote never closes, or if it has more than RECORD_BYTES (then each line is its own first). None
     if there are no such lines, as in most inputs: one pass over the transitions tells."""
-    chunks = materialised(_chunks(lines), "chunks")
-    if not chunks.where("eventful").limit(1).count():
+    chunks, seen = observed(_chunks(lines), "chunks", eventful=F.max("eventful"))
+    if not seen.get("eventful"):
         return None
     files = chunks.where("eventful").select("file_path").distinct()
-    chunks = materialised(chunks.join(files, "file_path", "left_semi"), "eventful")
+    chunks = chunks.join(files, "file_path", "left_semi")  # one row a chunk
     narrow = lines.select("file_path", "_chunk", "line", "_does", F.octet_length("value").cast("long").alias("bytes"))
     eventful = narrow.drop("bytes").join(chunks.where("eventful").select("file_path", "_chunk"), ["file_path", "_chunk"], "left_semi")
     walked = eventful.groupBy("file_path", "_chunk").applyInPandas(
@@ -214,17 +214,21 @@ def shared_lines(lines: DataFrame) -> DataFrame | None:
     quiet = chunks.where("not eventful").select(  # its records begin and end inside it, unless it stands inside a quoted field
         "file_path", "_chunk", *[F.lit(0).cast("long").alias(f"first_{s}") for s in _THREE],
         F.when(F.col("closes"), F.lit(_code((START, START, START)))).otherwise(F.lit(_code((START, QUOTED, START)))).alias("does"))
-    scanned = materialised(walked.unionByName(quiet).groupBy("file_path").applyInPandas(
-        _scan, "file_path string, _chunk long, state int, owner long"), "scanned")
-    open_at_end = scanned.where(F.col("_chunk") == -1).where(F.col("state") == QUOTED).select("file_path", F.col("owner").alias("first"), F.lit(True).alias("_open"))
+    at_end = (F.col("_chunk") == -1) & (F.col("state") == QUOTED)
+    scanned, ends = observed(walked.unionByName(quiet).groupBy("file_path").applyInPandas(
+        _scan, "file_path string, _chunk long, state int, owner long"), "scanned", open=F.max(at_end))
     needed = scanned.join(chunks.select("file_path", "_chunk", "eventful"), ["file_path", "_chunk"]).where(F.col("eventful") | (F.col("state") != START)).drop("eventful")
     shared = narrow.join(needed, ["file_path", "_chunk"]).groupBy("file_path", "_chunk").applyInPandas(
         _assigned, "file_path string, line long, first long, bytes long")
-    shared = materialised(shared, "shared")
+    shared, size = observed(shared, "shared", bytes=F.sum("bytes"))
+    named = (F.col("file_path").alias("_file"), F.col("line").alias("_line"))
+    if not ends.get("open") and (size.get("bytes") or 0) <= RECORD_BYTES:  # no record is bad or too long
+        return shared.select(*named, F.col("first").alias("_first"), F.lit(False).alias("_bad"))
+    open_at_end = scanned.where(at_end).select("file_path", F.col("owner").alias("first"), F.lit(True).alias("_open"))
     sizes = shared.groupBy("file_path", "first").agg((F.sum("bytes") > RECORD_BYTES).alias("_long"))
     marked = shared.join(materialised(sizes.join(open_at_end, ["file_path", "first"], "left"), "record-sizes"), ["file_path", "first"])
     return materialised(marked.select(
-        F.col("file_path").alias("_file"), F.col("line").alias("_line"), F.when(F.col("_long"), F.col("line")).otherwise(F.col("first")).alias("_first"),
+        *named, F.when(F.col("_long"), F.col("line")).otherwise(F.col("first")).alias("_first"),
         (F.col("_long") | F.coalesce("_open", F.lit(False))).alias("_bad")), "record-lines")
 
 
