@@ -187,7 +187,8 @@ def _scan(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _assigned(rows: pd.DataFrame) -> pd.DataFrame:
-    """The lines of a chunk that share a record with others (or whose record never ends), with its first line."""
+    """The lines of a chunk that share a record with others (or whose record never ends), with its first line; ``open`` if the record
+    is inside quotes at the chunk's end."""
     rows = rows.sort_values("line")
     lines, codes = rows["line"].to_numpy(), rows["_does"].to_numpy()
     before, end = _walk(codes, int(rows["state"].iloc[0]))
@@ -195,36 +196,50 @@ def _assigned(rows: pd.DataFrame) -> pd.DataFrame:
     first = np.maximum.accumulate(np.where(begins, lines, 0))
     first = np.where(first == 0, rows["owner"].to_numpy(), first)
     joined = ~begins | np.append(before[1:] != START, end != START)
-    return pd.DataFrame({"file_path": rows["file_path"].to_numpy()[joined], "line": lines[joined], "first": first[joined], "bytes": rows["bytes"].to_numpy()[joined]})
+    return pd.DataFrame({"file_path": rows["file_path"].to_numpy()[joined], "line": lines[joined], "first": first[joined], "bytes": rows["bytes"].to_numpy()[joined],
+                         "open": (first == first[-1])[joined] & (end == QUOTED)})
+
+
+def _at_end() -> Column:
+    return (F.col("_chunk") == -1) & (F.col("state") == QUOTED)
+
+
+def _scanned(narrow: DataFrame, chunks: DataFrame) -> tuple[DataFrame, dict]:
+    """:func:`_scan` of the files of ``chunks``, and whether one of them ends inside quotes."""
+    eventful = narrow.drop("bytes").join(chunks.where("eventful").select("file_path", "_chunk"), ["file_path", "_chunk"], "left_semi")
+    walked = eventful.groupBy("file_path", "_chunk").applyInPandas(
+        _summary, "file_path string, _chunk long, first_0 long, first_1 long, first_2 long, does int")
+    quiet = chunks.where("not eventful").select(  # its records begin and end inside it, unless it stands inside a quoted field
+        "file_path", "_chunk", *[F.lit(0).cast("long").alias(f"first_{s}") for s in _THREE],
+        F.when(F.col("closes"), F.lit(_code((START, START, START)))).otherwise(F.lit(_code((START, QUOTED, START)))).alias("does"))
+    return observed(walked.unionByName(quiet).groupBy("file_path").applyInPandas(
+        _scan, "file_path string, _chunk long, state int, owner long"), "scanned", open=F.max(_at_end()))
 
 
 def shared_lines(lines: DataFrame) -> DataFrame | None:
     """``(_file, _line, _first, _bad)``: the lines of :func:`classified` that don't make a record by themselves, with their record's
     first line; ``_bad`` if its quote never closes, or if it has more than RECORD_BYTES (then each line is its own first). None
     if there are no such lines, as in most inputs: one pass over the transitions tells."""
-    chunks, seen = observed(_chunks(lines), "chunks", eventful=F.max("eventful"))
+    chunks, seen = observed(_chunks(lines), "chunks", eventful=F.max("eventful"), last=F.max("_chunk"))
     if not seen.get("eventful"):
         return None
     files = chunks.where("eventful").select("file_path").distinct()
     chunks = chunks.join(files, "file_path", "left_semi")  # one row a chunk
     narrow = lines.select("file_path", "_chunk", "line", "_does", F.octet_length("value").cast("long").alias("bytes"))
-    eventful = narrow.drop("bytes").join(chunks.where("eventful").select("file_path", "_chunk"), ["file_path", "_chunk"], "left_semi")
-    walked = eventful.groupBy("file_path", "_chunk").applyInPandas(
-        _summary, "file_path string, _chunk long, first_0 long, first_1 long, first_2 long, does int")
-    quiet = chunks.where("not eventful").select(  # its records begin and end inside it, unless it stands inside a quoted field
-        "file_path", "_chunk", *[F.lit(0).cast("long").alias(f"first_{s}") for s in _THREE],
-        F.when(F.col("closes"), F.lit(_code((START, START, START)))).otherwise(F.lit(_code((START, QUOTED, START)))).alias("does"))
-    at_end = (F.col("_chunk") == -1) & (F.col("state") == QUOTED)
-    scanned, ends = observed(walked.unionByName(quiet).groupBy("file_path").applyInPandas(
-        _scan, "file_path string, _chunk long, state int, owner long"), "scanned", open=F.max(at_end))
-    needed = scanned.join(chunks.select("file_path", "_chunk", "eventful"), ["file_path", "_chunk"]).where(F.col("eventful") | (F.col("state") != START)).drop("eventful")
+    one_each = seen.get("last") == 0  # no file has more than one chunk: each begins with a record
+    if one_each:
+        needed = chunks.where("eventful").select("file_path", "_chunk", F.lit(START).alias("state"), F.lit(0).cast("long").alias("owner"))
+    else:
+        scanned, ends = _scanned(narrow, chunks)
+        needed = scanned.join(chunks.select("file_path", "_chunk", "eventful"), ["file_path", "_chunk"]).where(F.col("eventful") | (F.col("state") != START)).drop("eventful")
     shared = narrow.join(needed, ["file_path", "_chunk"]).groupBy("file_path", "_chunk").applyInPandas(
-        _assigned, "file_path string, line long, first long, bytes long")
-    shared, size = observed(shared, "shared", bytes=F.sum("bytes"))
+        _assigned, "file_path string, line long, first long, bytes long, open boolean")
+    shared, size = observed(shared, "shared", bytes=F.sum("bytes"), open=F.max("open"))
     named = (F.col("file_path").alias("_file"), F.col("line").alias("_line"))
-    if not ends.get("open") and (size.get("bytes") or 0) <= RECORD_BYTES:  # no record is bad or too long
+    if not (size if one_each else ends).get("open") and (size.get("bytes") or 0) <= RECORD_BYTES:  # no record is bad or too long
         return shared.select(*named, F.col("first").alias("_first"), F.lit(False).alias("_bad"))
-    open_at_end = scanned.where(at_end).select("file_path", F.col("owner").alias("first"), F.lit(True).alias("_open"))
+    open_at_end = (shared.where("open").select("file_path", "first").distinct() if one_each else scanned.where(_at_end()).select(
+        "file_path", F.col("owner").alias("first"))).withColumn("_open", F.lit(True))
     sizes = shared.groupBy("file_path", "first").agg((F.sum("bytes") > RECORD_BYTES).alias("_long"))
     marked = shared.join(materialised(sizes.join(open_at_end, ["file_path", "first"], "left"), "record-sizes"), ["file_path", "first"])
     return materialised(marked.select(
