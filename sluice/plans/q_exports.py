@@ -58,7 +58,7 @@ def q_delimited_export(spark, sf_dir):
 
 
 @query("export_file_sizes", PART_SQL + """, l AS (SELECT strlen(line) + 1 AS n FROM (SELECT """ + LINE_SQL + """ AS line FROM px))
-SELECT cap, true AS within_cap, true AS filled, (SELECT CAST(sum(n) AS BIGINT) FROM l) + (SELECT count(*) FROM l) // 500 * 3000 AS bytes
+SELECT cap, true AS within_cap, true AS filled, (SELECT CAST(sum(n) AS BIGINT) FROM l) + (SELECT count(*) FROM px WHERE p_partkey % 500 = 0) * 3000 AS bytes
 FROM (VALUES (20000), (100000)) v(cap)""")
 def q_export_file_sizes(spark, sf_dir):
     """Exports under two caps, with a row of 3,000 more bytes in every 500: no file is above its cap, and files are
