@@ -307,7 +307,7 @@ def test_manifest_lists_all_folders_at_once(spark, tmp):
         os.makedirs(f"{tmp}/m/{folder}")
         with open(f"{tmp}/m/{folder}/x.csv", "w") as f:
             f.write("1\n")
-    entry = lambda url, mandatory: {"url": f"{tmp}/m/{url}", "mandatory": mandatory}
+    entry = lambda url, mandatory: {"url": f"file:{tmp}/m/{url}", "mandatory": mandatory}
     entries = [entry("a/x.csv", True), entry("b,c/x.csv", True), entry("b{d/x.csv", True), entry("none/x.csv", False)]
     with open(f"{tmp}/m/manifest.json", "w") as f:
         json.dump({"entries": entries}, f)
