@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.sizing import materialised
+from ..session import listing
 
 
 
@@ -43,7 +44,8 @@ def read_text(spark: SparkSession, path: str | list[str], recursive: bool = Fals
     if base_path:
         reader = reader.option("basePath", base_path)
     paths = [path] if isinstance(path, str) else list(path)
-    return reader.text(paths, wholetext=wholetext)
+    with listing(spark):
+        return reader.text(paths, wholetext=wholetext)
 
 
 def selected_files(spark: SparkSession, path: str, file: str | None = None,
@@ -123,12 +125,9 @@ def numbered_lines(spark: SparkSession, path: str | list[str], file: str | None
 
 def object_inventory(spark: SparkSession, path: str) -> DataFrame:
     """All objects below a prefix: ``path, length, modified`` (content is never read)."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path", "length", F.col("modificationTime").alias("modified"))
-    )
+    with listing(spark):
+        objects = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return objects.select("path", "length", F.col("modificationTime").alias("modified"))
 
 
 def load_once(files: DataFrame, ledger: DataFrame | None, force: bool = False,

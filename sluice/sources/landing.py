@@ -25,7 +25,8 @@ def strict_json(text) -> "F.Column":
     """
     t = F.col(text) if isinstance(text, str) else text
     arr = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))), "$", "array<variant>")
-    return F.when(F.size(arr) == 1, F.element_at(arr, 1))
+    # as the only element of an array, so that the text is parsed once
+    return F.get(F.get(F.filter(F.array(arr), lambda x: F.size(x) == 1), 0), 0)
 
 
 def _records(spark, path, file, pattern, strip_outer_array, recursive, keep, where, line_numbers):
