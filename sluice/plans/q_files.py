@@ -135,7 +135,7 @@ SELECT layout, event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS prop_d
 FROM src, (VALUES ('one line'), ('pretty'), ('line per element')) v(layout)""")
 def q_array_landing(spark, sf_dir):
     """The same records as arrays in three layouts: on one line, pretty-printed, and one element a line."""
-    e = derive.table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 500).alias("part"), "event_id", derive.event_json_line(broken=False).alias("x"))
+    e = derive.table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / derive.EVENT_CHUNK).alias("part"), "event_id", derive.event_json_line(broken=False).alias("x"))
     arrays = e.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("event_id", "x"))).alias("e")).withColumn("e", F.transform("e", lambda r: r["x"]))
     out = None
     for layout, left, between, right in (("one line", "[", ",", "]"), ("pretty", "[\n  ", ",\n  ", "\n]"), ("line per element", "[\n", ",\n", "\n]")):

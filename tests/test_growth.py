@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from sluice.plans import derive
 from sluice.sources import files as S
 from sluice.sources import landing as L
 
@@ -38,3 +39,14 @@ def test_a_json_text_is_parsed_once(spark):
     assert d._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
     got = {r["value"]: r["j"] for r in d.select("value", F.to_json("v").alias("j")).collect()}
     assert got == {"1": "1", '{"a":1}': '{"a":1}', "1,2": None, "": None, "{": None, None: None, "null": "null", "[1,2]": "[1,2]", "1 2": None}
+
+
+def test_arrays_hold_a_chunk_of_events(spark, tmp, monkeypatch):
+    from sluice.plans import q_files
+
+    spark.range(0, 6000, 3).selectExpr(
+        "id as event_id", "timestamp'2024-01-01' as ts", "1L as user_id", "'click' as event_type", "1.0D as value", "'{\"k\":1}' as props").write.parquet(tmp + "/events.parquet")
+    monkeypatch.setattr(q_files, "scratch_path", lambda spark, name: f"{tmp}/{name}/{len(os.listdir(tmp + '/arrays')) if os.path.isdir(tmp + '/arrays') else 0}")
+    rows = q_files.q_array_landing(spark, tmp).groupBy("layout").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("s")).collect()
+    assert {(r["n"], r["s"]) for r in rows} == {(2000, 3 * 1999 * 1000)} and len(rows) == 3
+    assert all(len([x for x in os.listdir(f"{tmp}/arrays/{i}") if x.startswith("part=")]) == -(-6000 // derive.EVENT_CHUNK) for i in range(3))
