@@ -18,6 +18,8 @@ PAGE_SIZE = 50
 # depend on how many others there are (the oracle SQL has the same rule).
 EVENT_CHUNK = 5000
 REPORT_KEYS = 1_000_000
+# rows that a task sorts to write its reports
+REPORT_ROWS = 250_000
 
 _written: dict[tuple[str, str], str] = {}
 
@@ -227,8 +229,9 @@ def report_files(spark: SparkSession, sf_dir: str) -> str:
         empty = [F.lit(None).cast(li.schema[c].dataType).alias(c) for c in LINEITEM_ORDER]
         allrows = body.unionByName(footer.select("report_date", "part", "section", *empty, "value")) \
                       .unionByName(head.select("report_date", "part", "section", *empty, "value"))
-        # one file per report (the writer of one file is one task); files are size-bounded by `parts`
-        (allrows.repartition("report_date", "part")
+        # one file per report (the writer of one file is one task); files are size-bounded by `parts`, and tasks grow in number
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-li.count() // REPORT_ROWS))
+        (allrows.repartition(tasks, "report_date", "part")
                 .sortWithinPartitions("report_date", "part", "section", *LINEITEM_ORDER)
                 .select("report_date", "part", "value").write.partitionBy("report_date", "part").text(path))
     return once(spark, sf_dir, "report_files", build)

@@ -16,12 +16,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.sizing import materialised, observed
+from ..operators.sizing import counted, materialised, observed
 
 #: States at the start of a line.
 START, QUOTED, PLAIN = 0, 1, 2
 #: Lines of a chunk; the bytes that a record of several lines may have (beyond, each of its lines is a malformed record).
 CHUNK, RECORD_BYTES = 65_536, 8 << 20
+#: Chunks whose lines meet their records in one task.
+TASK_CHUNKS = 8
 _THREE = (START, QUOTED, PLAIN)
 
 
@@ -249,14 +251,23 @@ def shared_lines(lines: DataFrame) -> DataFrame | None:
 
 def records(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``(file_path, line, value, malformed)`` and ``keep`` columns (equal on all lines of a file) of every record of :func:`classified`
-    lines: ``line`` is its first line, ``value`` its text with the line breaks inside. Lines that are a record by themselves, all
-    in most files, are not shuffled; what is gathered for a record is bounded by RECORD_BYTES."""
+    lines: ``line`` is its first line, ``value`` its text with the line breaks inside. Chunks of lines that are records by
+    themselves, most in most files, are not shuffled; what is gathered for a record is bounded by RECORD_BYTES."""
     shared, cols = shared_lines(lines), ["file_path", "line", "value", *keep]
     if shared is None:
         return lines.select(*cols, F.lit(False).alias("malformed"))
+    touched, n = counted(shared.select("_file", F.floor((F.col("_line") - 1) / CHUNK).cast("long").alias("_in")).distinct(), "record-chunks")
+    within = (F.col("file_path") == F.col("_file")) & (F.col("_chunk") == F.col("_in"))
+    quiet = lines.join(touched, within, "left_anti").select(*cols, F.lit(False).alias("malformed"))
     on = (F.col("file_path") == F.col("_file")) & (F.col("line") == F.col("_line"))
-    alone = lines.join(shared, on, "left_anti").select(*cols, F.lit(False).alias("malformed"))
-    joined = lines.join(shared, on).groupBy("file_path", "_first", *keep).agg(
+    # written once: what follows reads records several times
+    busy = lines.join(touched, within, "left_semi").select(*cols)
+    if n // TASK_CHUNKS > int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")):  # a task's share doesn't grow with the input
+        busy = busy.repartition(n // TASK_CHUNKS, "file_path", "line")
+    marked = materialised(busy.join(shared, on, "left").drop("_file", "_line"), "record-marked")
+    alone = marked.where("_first is null").select(*cols, F.lit(False).alias("malformed"))
+    joined = marked.where("_first is not null").groupBy("file_path", "_first", *keep).agg(
         F.sort_array(F.collect_list(F.struct("line", "value"))).alias("_lines"), F.max("_bad").alias("malformed"))
-    return alone.unionByName(joined.select("file_path", F.col("_first").alias("line"), F.array_join(
-        F.transform("_lines", lambda x: x["value"]), "\n").alias("value"), *keep, "malformed"))
+    joined = materialised(joined.select("file_path", F.col("_first").alias("line"), F.array_join(
+        F.transform("_lines", lambda x: x["value"]), "\n").alias("value"), *keep, "malformed"), "records-joined")
+    return quiet.unionByName(alone).unionByName(joined)

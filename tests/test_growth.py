@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sluice.plans import derive
 from sluice.sources import files as S
 from sluice.sources import landing as L
+from sluice.sources import records
 
 
 def most_tasks(spark, group, work):
@@ -50,3 +51,14 @@ def test_arrays_hold_a_chunk_of_events(spark, tmp, monkeypatch):
     rows = q_files.q_array_landing(spark, tmp).groupBy("layout").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("s")).collect()
     assert {(r["n"], r["s"]) for r in rows} == {(2000, 3 * 1999 * 1000)} and len(rows) == 3
     assert all(len([x for x in os.listdir(f"{tmp}/arrays/{i}") if x.startswith("part=")]) == -(-6000 // derive.EVENT_CHUNK) for i in range(3))
+
+
+def test_only_chunks_with_records_of_several_lines_are_shuffled(spark, monkeypatch):
+    seen, real = {}, records.materialised
+    monkeypatch.setattr(records, "materialised", lambda df, name="side": seen.setdefault(name, real(df, name)))
+    monkeypatch.setattr(records, "CHUNK", 10)
+    lines = spark.createDataFrame([("a", i, 'x,"y' if i == 25 else 'z",1' if i == 26 else "p,q") for i in range(1, 101)] + [
+        ("b", i, f'{i},"c"') for i in range(1, 101)], "file_path string, line long, value string")
+    got = records.records(records.classified(lines)).collect()
+    assert len(got) == 199 and [r["value"] for r in got if "\n" in r["value"]] == ['x,"y\nz",1']
+    assert {(r["file_path"], r["line"]) for r in seen["record-marked"].collect()} == {("a", i) for i in range(21, 31)}
