@@ -133,13 +133,16 @@ def control_total_check(rows: DataFrame, check_col: str, file_col: str = "file_p
     Returns ``(file, found, expected, ok, error)``.
     """
     ct = F.col(ROW_TYPE_COL)
-    footers = rows.where(ct == FOOTER).groupBy(file_col).agg(
-        F.min("line").alias("_first_sf"), F.min_by(F.col(check_col), F.col("line")).alias("_check"))
+    # few columns of the rows, which are parsed once
+    typed = materialised(rows.where(ct.isin(BODY, FOOTER)).select(
+        file_col, "line", ct, F.when(ct == FOOTER, F.col(check_col)).alias("_text")), "typed-rows")
+    footers = typed.where(ct == FOOTER).groupBy(file_col).agg(
+        F.min("line").alias("_first_sf"), F.min_by(F.col("_text"), F.col("line")).alias("_check"))
     # one row per file with a footer, computed once: Spark broadcasts it if it is small, so that body
     # rows need no shuffle by file, and else splits a hot file in the join
     footers = materialised(footers, "footers")
     files = (files if files is not None else rows).select(file_col).distinct()
-    bodies = rows.where(ct == BODY).select(file_col, "line")
+    bodies = typed.where(ct == BODY).select(file_col, "line")
     counted = bodies.join(footers, file_col, "left").where(
         F.col("_first_sf").isNull() | (F.col("line") < F.col("_first_sf"))
     ).groupBy(file_col).agg(F.count(F.lit(1)).alias("found"))

@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from sluice.operators import reports as R
 from sluice.plans import derive
 from sluice.sources import files as S
 from sluice.sources import landing as L
@@ -62,3 +63,18 @@ def test_only_chunks_with_records_of_several_lines_are_shuffled(spark, monkeypat
     got = records.records(records.classified(lines)).collect()
     assert len(got) == 199 and [r["value"] for r in got if "\n" in r["value"]] == ['x,"y\nz",1']
     assert {(r["file_path"], r["line"]) for r in seen["record-marked"].collect()} == {("a", i) for i in range(21, 31)}
+
+
+def test_control_totals_read_their_rows_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def kind(n):
+        read.add(1)
+        return "SF" if n == 7 else "SB"
+
+    rows = spark.range(1, 11).select(F.lit("f").alias("file_path"), F.col("id").alias("line"), F.lit("6").alias("Count"), kind.asNondeterministic()("id").alias("CH"))
+    files = spark.createDataFrame([("f",), ("g",)], "file_path string")
+    got = {r["file_path"]: (r["found"], r["expected"], r["ok"]) for r in R.control_total_check(rows, "Count", files=files).collect()}
+    assert got == {"f": (6, 6, True), "g": (0, 0, True)}
+    assert read.value == 10
