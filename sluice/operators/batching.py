@@ -23,9 +23,10 @@ ROWS_PER_RANGE = 2_000_000
 
 
 def global_rank(df: DataFrame, order_by: list[str], rank_col: str = "rank",
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, keep: list[str] | None = None) -> DataFrame:
     """Add a dense 1-based rank in ``order_by`` order (keys should be unique for a total order; a row's place in the input
-    comes last in the key, so equal keys are split too)."""
+    comes last in the key, so equal keys are split too). ``keep`` names the columns that are written and returned with the
+    rank, all of them by default."""
     spark = df.sparkSession
     keys = [k if isinstance(k, str) else k._jc.toString() for k in order_by]
     if is_scan(df):  # the sample and the ranges read the files
@@ -39,14 +40,15 @@ def global_rank(df: DataFrame, order_by: list[str], rank_col: str = "rank",
     once = once.withColumn("_place", F.monotonically_increasing_id())
     ranged = once.repartitionByRange(n, *keys, "_place").sortWithinPartitions(*keys, "_place").drop("_place")
     part = F.spark_partition_id().cast("long")
-    placed = materialised(ranged.select("*", part.alias("_range"), (
+    cols = df.columns if keep is None else keep
+    placed = materialised(ranged.select(*cols, part.alias("_range"), (
         F.monotonically_increasing_id() - F.shiftleft(part, _POS_BITS)).alias("_pos")), "rank-ranges")
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per range: rows / ROWS_PER_RANGE
-    offsets = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
-        "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    # one row per range: rows / ROWS_PER_RANGE. Computed once, so that its size is known and the rows aren't shuffled to it
+    offsets = materialised(placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off")), "rank-offsets")
     ranked = placed.join(offsets, "_range").withColumn(rank_col, F.col("_off") + F.col("_pos") + 1)
-    return ranked.select(*df.columns, rank_col)
+    return ranked.select(*cols, rank_col)
 
 
 def batch_ids(df: DataFrame, size: int, order_by: list[str | Column] | None = None,

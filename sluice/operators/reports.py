@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import cents_error, cents_to_decimal, transaction_type
 from ..sources.records import classified, csv_fields, records
+from .datapages import plain_page
 from .sizing import materialised
 
 # Report row types and layout
@@ -186,15 +187,16 @@ def settlement(df: DataFrame, cells_col: str = "cells") -> DataFrame:
 # --- XML responses --------------------------------------------------------------------------
 
 STATUS_BODY = "reportId string, statusCode string, statusMsg string"
-RESPONSE_SCHEMA = (
-    "baseResponse struct<responseCode string, responseMsg string>, "
-    f"runReportResponse struct<{STATUS_BODY.replace(' string', ': string')}>, "
-    f"getResultsResponse struct<Results: struct<{STATUS_BODY.replace(' string', ': string')}>>, "
-    "getMetaDataResponse struct<numberOfRows: string, numberOfPages: string, pageSize: string, "
-    "columnMetaData: array<struct<dataName: string, dataType: string>>>, "
-    "getDataResponse struct<reportDataRow: array<struct<columnData: array<struct<data: string>>>>>, "
-    "_corrupt_record string"
-)
+RESPONSE_FIELDS = [
+    ("baseResponse", "struct<responseCode: string, responseMsg: string>"),
+    ("runReportResponse", f"struct<{STATUS_BODY.replace(' string', ': string')}>"),
+    ("getResultsResponse", f"struct<Results: struct<{STATUS_BODY.replace(' string', ': string')}>>"),
+    ("getMetaDataResponse", "struct<numberOfRows: string, numberOfPages: string, pageSize: string, "
+                            "columnMetaData: array<struct<dataName: string, dataType: string>>>"),
+    ("getDataResponse", "struct<reportDataRow: array<struct<columnData: array<struct<data: string>>>>>"),
+    ("_corrupt_record", "string"),
+]
+RESPONSE_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in RESPONSE_FIELDS)
 XML_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
@@ -203,6 +205,18 @@ def parse_response(xml) -> Column:
     return F.from_xml(_col(xml), RESPONSE_SCHEMA, XML_OPTIONS)
 
 
+def parse_page(xml) -> Column:
+    """:func:`parse_response` of documents that are mostly data pages: the same struct, far less work for plain pages.
+
+    ``from_xml`` builds several maps for every cell of a page. Plain pages are read by ElementTree in Arrow batches instead,
+    every other document by ``from_xml``.
+    """
+    xml = _col(xml)
+    page = plain_page(xml)
+    parsed = [page[n].alias(n) if n in ("baseResponse", "getDataResponse") else F.lit(None).cast(t).alias(n) for n, t in RESPONSE_FIELDS]
+    return F.when(page.isNotNull(), F.struct(*parsed)).otherwise(parse_response(xml))
+
+
 def _missing(name: str) -> Column:
     return F.lit(MISSING_ELEMENT % name)
 
@@ -281,7 +295,7 @@ def report_page_rows(df: DataFrame, xml_col: str, keep: list[str] | None = None)
     (page-level checks happen before the rows are exploded).
     """
     keep = keep or []
-    parsed = df.select(*keep, parse_response(xml_col).alias("_r"))
+    parsed = df.select(*keep, parse_page(xml_col).alias("_r"))
     r = F.col("_r")
     rows = F.coalesce(r["getDataResponse"]["reportDataRow"],
                       F.array().cast("array<struct<columnData:array<struct<data:string>>>>"))
@@ -296,6 +310,6 @@ def report_page_rows(df: DataFrame, xml_col: str, keep: list[str] | None = None)
                    F.when(F.exists(cells, lambda x: x.isNull()), _missing("data"))).alias("error"))
 
 
-def parse_once(df: DataFrame, xml_col: str, keep: list[str] | None = None, alias: str = "_r") -> DataFrame:
-    """Project the parsed response once so later expressions share it."""
-    return df.select(*(keep or []), parse_response(xml_col).alias(alias))
+def parse_once(df: DataFrame, xml_col: str, keep: list[str] | None = None, alias: str = "_r", pages: bool = False) -> DataFrame:
+    """Project the parsed response once so later expressions share it (``pages``: most documents are data pages)."""
+    return df.select(*(keep or []), (parse_page if pages else parse_response)(xml_col).alias(alias))

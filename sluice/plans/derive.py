@@ -110,9 +110,10 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- paged report documents built from lineitem ---------------------------------------------------
 
-def lineitem_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineitem_ranked(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
+    """Rows with their rank, page and place in it; of the table's own columns those in ``keep``, by default all."""
     li = table(spark, sf_dir, "lineitem")
-    r = global_rank(li, LINEITEM_ORDER, "rank")
+    r = global_rank(li, LINEITEM_ORDER, "rank", keep=keep)
     return r.withColumn("page_no", (F.floor((F.col("rank") - 1) / PAGE_SIZE) + 1).cast("long")) \
             .withColumn("row_num", ((F.col("rank") - 1) % PAGE_SIZE + 1).cast("long"))
 
@@ -127,7 +128,7 @@ def data_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _data_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = lineitem_ranked(spark, sf_dir)
+    r = lineitem_ranked(spark, sf_dir, ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate"])
     missing = (F.col("page_no") % 9 == 4) & (F.col("row_num") == 1)
     status_cell = F.when(missing, F.lit("<columnData></columnData>")).when(
         F.col("l_linenumber") == 3, F.lit("<columnData><data/></columnData>")).otherwise(_cell(F.col("l_linestatus")))
@@ -135,20 +136,20 @@ def _data_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                    _cell(F.col("l_returnflag")), _cell(F.date_format("l_shipdate", "yyyy-MM-dd")), status_cell,
                    F.lit("</reportDataRow>"))
     per_page = r.groupBy("page_no").agg(
-        F.array_sort(F.collect_list(F.struct("row_num", row.alias("x")))).alias("rows"))  # <= 50 per page
+        F.sort_array(F.collect_list(F.struct("row_num", row.alias("x")))).alias("rows"))  # <= 50 per page
     code = F.when(F.col("page_no") % 7 == 3, F.lit("107")).otherwise(F.lit("100"))
     msg = F.when(F.col("page_no") % 7 == 3, F.lit("Report unavailable")).otherwise(
         F.lit("Request has completed successfully"))
     doc = F.concat(F.lit("<reportingEngineResponse><baseResponse><responseCode>"), code,
                    F.lit("</responseCode><responseMsg>"), msg, F.lit("</responseMsg></baseResponse><getDataResponse>"),
-                   F.array_join(F.transform("rows", lambda x: x["x"]), ""),
+                   F.array_join(F.col("rows")["x"], ""),
                    F.lit("</getDataResponse></reportingEngineResponse>"))
     return per_page.select("page_no", doc.alias("doc"))
 
 
 def status_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run / results status response per data page: ``(page_no, doc)``."""
-    pages = lineitem_ranked(spark, sf_dir).select("page_no").distinct()
+    pages = lineitem_ranked(spark, sf_dir, []).select("page_no").distinct()
     p = F.col("page_no")
     code = F.when(p % 7 == 3, F.lit("107")).otherwise(F.lit("100"))
     base_msg = F.when(p % 13 == 8, F.lit("")).otherwise(

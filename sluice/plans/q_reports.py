@@ -165,7 +165,7 @@ SELECT page_no, CASE WHEN page_no % 7 = 3 THEN 107 ELSE 100 END AS response_code
        page_no % 7 <> 3 AS ok
 FROM p GROUP BY page_no""")
 def q_xml_pages_scan(spark, sf_dir):
-    d = R.parse_once(derive.data_pages(spark, sf_dir), "doc", ["page_no"])
+    d = R.parse_once(derive.data_pages(spark, sf_dir), "doc", ["page_no"], pages=True)
     r = F.col("_r")
     base = R.response_ok(r)
     return d.select("page_no", base["response_code"].alias("response_code"),
