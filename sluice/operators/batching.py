@@ -44,10 +44,10 @@ def global_rank(df: DataFrame, order_by: list[str], rank_col: str = "rank",
     placed = materialised(ranged.select(*cols, part.alias("_range"), (
         F.monotonically_increasing_id() - F.shiftleft(part, _POS_BITS)).alias("_pos")), "rank-ranges")
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per range: rows / ROWS_PER_RANGE. Computed once, so that its size is known and the rows aren't shuffled to it
-    offsets = materialised(placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
-        "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off")), "rank-offsets")
-    ranked = placed.join(offsets, "_range").withColumn(rank_col, F.col("_off") + F.col("_pos") + 1)
+    # one row per range: rows / ROWS_PER_RANGE. The hint, as Spark takes an aggregate for as large as its input and would shuffle the rows
+    offsets = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    ranked = placed.join(F.broadcast(offsets), "_range").withColumn(rank_col, F.col("_off") + F.col("_pos") + 1)
     return ranked.select(*cols, rank_col)
 
 

@@ -62,6 +62,7 @@ OTHER = {
     "wrong end": _page(ROW.replace("</data>", "</dat>", 1)),
     "cdata end in text": _page(f"<reportDataRow>{_cells('a]]>b')}</reportDataRow>"),
     "control character": _page(f"<reportDataRow>{_cells(chr(1))}</reportDataRow>"),
+    "not a character": _page(f"<reportDataRow>{_cells(chr(0xfffe))}</reportDataRow>"),
     "unknown entity": _page(f"<reportDataRow>{_cells('&nope;')}</reportDataRow>"),
     "text behind": _page(ROW) + "behind",
     "second root": _page(ROW) + "<again/>",
@@ -81,6 +82,12 @@ def test_pages_are_read_as_from_xml_reads_them(spark):
     assert {k: v for k, v in found.items() if v != expected[k]} == {}
 
 
+def test_broken_bytes_are_left_to_from_xml(spark):
+    doc = _page(f"<reportDataRow>{_cells('a?b')}</reportDataRow>").encode().replace(b"a?b", b"a\xffb")
+    got = spark.createDataFrame([(bytearray(doc),)], "b binary").selectExpr("cast(b as string) as x").select(R.parse_page("x").alias("r")).first()["r"]
+    assert got.getDataResponse.reportDataRow[0].columnData[0].data == "a\ufffdb"
+
+
 def test_only_other_documents_need_from_xml():
     assert [k for k, d in PLAIN.items() if page_cells(d) is None] == []
     assert [k for k, d in OTHER.items() if d is not None and page_cells(d) is not None] == []
@@ -97,9 +104,15 @@ def test_queries_of_pages_leave_plain_ones_to_arrow(spark):
 
 def test_rank_keeps_named_columns_and_needs_no_shuffle_of_the_rows(spark):
     rows = spark.range(5000).select((F.col("id") * 7 % 5000).alias("k"), F.repeat(F.lit("x"), 50).alias("t"))
-    ranked = global_rank(rows, ["k"], "rank", partitions=6, keep=["k"])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")  # far below the written rows, as large tables are
+    try:
+        ranked = global_rank(rows, ["k"], "rank", partitions=6, keep=["k"])
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert ranked.columns == ["k", "rank"]
-    assert "Exchange hashpartitioning" not in ranked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert all(r["rank"] == r["k"] + 1 for r in ranked.collect())
 
 
